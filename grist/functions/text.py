@@ -177,15 +177,15 @@ def normalize_for_dedup(text: Column) -> Column:
 def shingle_list(w: Column, n: int) -> Column:
     """All n-word windows (with repeats), in order; empty when fewer words.
 
-    ``w`` must be a *column reference* to the word array (see
-    :func:`with_shingles`): a lambda re-evaluates any expression it closes
-    over once per element, so the split must be projected beforehand.
+    Built by zipping ``n`` shifted slices, so no lambda closes over ``w``:
+    Catalyst may inline ``w`` (e.g. into an inferred filter), and a lambda
+    that referenced it would re-evaluate the whole split per element.
     """
-    grams = F.transform(
-        F.sequence(F.lit(0), F.size(w) - n),
-        lambda i: F.array_join(F.slice(w, i + 1, n), " "),
-    )
-    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+    m = F.greatest(F.size(w) - n + 1, F.lit(0))
+    acc = F.slice(w, 1, m)
+    for k in range(2, n + 1):
+        acc = F.zip_with(acc, F.slice(w, k, m), lambda x, y: F.concat(x, F.lit(" "), y))
+    return acc
 
 
 def shingles(w: Column, n: int) -> Column:

@@ -8,6 +8,7 @@ translation is ``\\d`` -> ``\\p{Nd}``: Python and Java (with ``(?U)``) read
 from __future__ import annotations
 
 from grist.functions import text as T
+from grist.operators import minhash as MH
 from grist.operators import quality as Q
 
 ORACLES: dict[str, str] = {}
@@ -91,19 +92,24 @@ oracle("normalize_text", f"""
 select doc_id, {normalize_sql('text')} as norm from documents""")
 
 
-def shingle_list_sql(norm: str, n: int) -> str:
-    w = f"string_split({norm}, ' ')"
+def shingle_list_sql(w: str, n: int) -> str:
+    """``w`` must name a column: a lambda closing over an expression would
+    re-evaluate it per element."""
     return (f"(case when len({w}) >= {n} then list_transform(range(0, len({w}) - {n} + 1), "
             f"lambda i: array_to_string({w}[i + 1:i + {n}], ' ')) else []::VARCHAR[] end)")
 
 
-def shingles_sql(norm: str, n: int) -> str:
-    return f"list_sort(list_distinct({shingle_list_sql(norm, n)}))"
+def shingles_sql(w: str, n: int) -> str:
+    return f"list_sort(list_distinct({shingle_list_sql(w, n)}))"
+
+
+def words_sql(src: str = "documents") -> str:
+    return f"select doc_id, string_split({normalize_sql('text')}, ' ') as w from {src}"
 
 
 oracle("shingles", f"""
 select doc_id, len(sh)::BIGINT as n_shingles, sh as shingles
-from (select doc_id, {shingles_sql(normalize_sql('text'), 2)} as sh from documents) s""")
+from (select doc_id, {shingles_sql('w', 2)} as sh from ({words_sql()}) x) s""")
 
 
 def html_sql(e: str) -> str:
@@ -205,3 +211,85 @@ oracle("exact_doc_dedup_first", f"""
 select min(doc_id) as doc_id, k as text
 from (select doc_id, {strip_nl_sql('text')} as k from documents) a
 group by k""")
+
+
+# --- fuzzy dedup -------------------------------------------------------------
+
+def sets_sql(n: int) -> str:
+    return f"select doc_id, {shingles_sql('w', n)} as sh from ({words_sql()}) x"
+
+
+def sigs_sql(p: MH.MinHashParams) -> str:
+    coeffs = MH.hash_coefficients(p.num_hashes, p.seed)
+    mins = ", ".join(f"min(({a}::BIGINT * h + {b}) % {MH.PRIME})" for a, b in coeffs)
+    return f"""
+select doc_id, list_value({mins}) as sig
+from (select doc_id, ('0x' || substr(md5(s), 1, 8))::BIGINT % {MH.PRIME} as h
+      from ({sets_sql(p.ngrams)}) st, unnest(sh) as u(s)) hs
+group by doc_id"""
+
+
+def bands_sql(p: MH.MinHashParams) -> str:
+    r = p.rows_per_band
+    parts = " union all ".join(
+        f"select doc_id, {j} as band, sig[{j * r + 1}:{j * r + r}] as key from sg"
+        for j in range(p.num_bands))
+    return f"with sg as ({sigs_sql(p)}) {parts}"
+
+
+def edges_sql(p: MH.MinHashParams) -> str:
+    return f"""
+with b as ({bands_sql(p)}),
+rt as (select band, key, min(doc_id) as root from b group by band, key having count(*) > 1)
+select distinct rt.root as src, b.doc_id as dst from b join rt using (band, key)
+where b.doc_id <> rt.root"""
+
+
+def jaccard_sql(p: MH.MinHashParams) -> str:
+    return f"""
+with e as ({edges_sql(p)}), st as ({sets_sql(p.ngrams)}),
+j as (select e.src, e.dst, len(list_intersect(a.sh, b.sh)) as i, len(a.sh) + len(b.sh) as t
+      from e join st a on a.doc_id = e.src join st b on b.doc_id = e.dst)
+select src, dst, case when t - i > 0 then i::DOUBLE / (t - i) end as jaccard from j"""
+
+
+def components_sql(edges: str) -> str:
+    return f"""
+with recursive ed as ({edges}),
+g(a, z) as (select src, dst from ed union select dst, src from ed),
+r(id, x) as (select a, a from g union select r.id, g.z from r join g on g.a = r.x)
+select id as vertex, min(x) as component from r group by id"""
+
+
+def kept_sql(comp: str) -> str:
+    return f"""
+select doc_id from documents
+where doc_id not in (select vertex from ({comp}) c where vertex <> component)"""
+
+
+def verified_edges_sql(p: MH.MinHashParams) -> str:
+    return f"select src, dst from ({jaccard_sql(p)}) jj where jaccard > {p.jaccard_threshold}"
+
+
+_MD = MH.MinHashParams(num_hashes=10, num_bands=2, ngrams=2, jaccard_threshold=0.8)
+_MW = MH.MinHashParams(num_hashes=100, num_bands=10, ngrams=5, jaccard_threshold=0.8)
+
+oracle("minhash_signature", sigs_sql(_MD))
+oracle("minhash_signature_wide", sigs_sql(_MW))
+oracle("lsh_bands", bands_sql(_MD))
+oracle("lsh_edges", edges_sql(_MD))
+oracle("jaccard_pairs", f"""
+select src, dst, round(jaccard, 6) as jaccard, jaccard > {_MD.jaccard_threshold} as verified
+from ({jaccard_sql(_MD)}) jj""")
+oracle("minhash_dedup", kept_sql(components_sql(edges_sql(_MD))))
+oracle("minhash_dedup_verified", kept_sql(components_sql(verified_edges_sql(_MD))))
+oracle("minhash_dedup_wide", kept_sql(components_sql(edges_sql(_MW))))
+oracle("duplicate_clusters", f"""
+select component, count(*)::BIGINT as n_members
+from ({components_sql(edges_sql(_MD))}) c group by component""")
+oracle("dedup_report", f"""
+with c as ({components_sql(edges_sql(_MD))})
+select (select count(*) from documents) as n_before,
+       (select count(*) from ({kept_sql('select * from c')}) k) as n_after,
+       (select count(distinct component) from c) as n_clusters,
+       (select count(*) from c where vertex <> component) as n_removed""")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grist.functions import text as T
-from grist.operators import exact, quality
+from grist.operators import exact, minhash, quality
 from grist.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,4 +152,83 @@ def q_exact_doc_dedup_first(spark, sf_dir):
     return exact.exact_doc_dedup(docs(spark, sf_dir, "doc_id", "text"), keep="first")
 
 
+# --- fuzzy dedup -------------------------------------------------------------
+
+MH_DEFAULT = minhash.MinHashParams(num_hashes=10, num_bands=2, ngrams=2, jaccard_threshold=0.8)
+MH_WIDE = minhash.MinHashParams(num_hashes=100, num_bands=10, ngrams=5, jaccard_threshold=0.8)
+
+
+def _sigs(spark, sf_dir, params=MH_DEFAULT):
+    return minhash.signatures(docs(spark, sf_dir, "doc_id", "text"), params)
+
+
+@query("minhash_signature")
+def q_minhash_signature(spark, sf_dir):
+    return _sigs(spark, sf_dir)
+
+
+@query("minhash_signature_wide")
+def q_minhash_signature_wide(spark, sf_dir):
+    return _sigs(spark, sf_dir, MH_WIDE)
+
+
+@query("lsh_bands")
+def q_lsh_bands(spark, sf_dir):
+    return minhash.lsh_bands(_sigs(spark, sf_dir), MH_DEFAULT)
+
+
+@query("lsh_edges")
+def q_lsh_edges(spark, sf_dir):
+    return minhash.bucket_edges(minhash.lsh_bands(_sigs(spark, sf_dir), MH_DEFAULT))
+
+
+@query("jaccard_pairs")
+def q_jaccard_pairs(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    sets = minhash.shingle_sets(d, "doc_id", "text", MH_DEFAULT.ngrams)
+    edges = minhash.bucket_edges(minhash.lsh_bands(
+        minhash.signatures(d, MH_DEFAULT, shingles_df=sets), MH_DEFAULT))
+    v = minhash.verify_edges(edges, sets)
+    return v.select("src", "dst", F.round("jaccard", 6).alias("jaccard"),
+                    (F.col("jaccard") > MH_DEFAULT.jaccard_threshold).alias("verified"))
+
+
+@query("minhash_dedup")
+def q_minhash_dedup(spark, sf_dir):
+    return minhash.fuzzy_dedup(docs(spark, sf_dir, "doc_id", "text"), MH_DEFAULT).kept.select(
+        "doc_id")
+
+
+@query("minhash_dedup_verified")
+def q_minhash_dedup_verified(spark, sf_dir):
+    return minhash.fuzzy_dedup(docs(spark, sf_dir, "doc_id", "text"), MH_DEFAULT,
+                               verify=True).kept.select("doc_id")
+
+
+@query("minhash_dedup_wide")
+def q_minhash_dedup_wide(spark, sf_dir):
+    return minhash.fuzzy_dedup(docs(spark, sf_dir, "doc_id", "text"), MH_WIDE).kept.select(
+        "doc_id")
+
+
+@query("duplicate_clusters")
+def q_duplicate_clusters(spark, sf_dir):
+    res = minhash.fuzzy_dedup(docs(spark, sf_dir, "doc_id", "text"), MH_DEFAULT)
+    return minhash.cluster_sizes(res.assignment)
+
+
+@query("dedup_report")
+def q_dedup_report(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    res = minhash.fuzzy_dedup(d, MH_DEFAULT)
+    before = d.agg(F.count(F.lit(1)).alias("n_before"))
+    after = res.kept.agg(F.count(F.lit(1)).alias("n_after"))
+    clusters = res.assignment.agg(F.countDistinct("component").alias("n_clusters"))
+    # three one-row aggregates; joined on a constant key (one row each)
+    k = F.lit(1).alias("_k")
+    out = before.select("*", k).join(after.select("*", k), "_k").join(clusters.select("*", k), "_k")
+    return out.select("n_before", "n_after", "n_clusters",
+                      (F.col("n_before") - F.col("n_after")).alias("n_removed"))
+
+
 FLAGSHIP = "gopher_filter"
