@@ -215,31 +215,31 @@ group by k""")
 
 # --- fuzzy dedup -------------------------------------------------------------
 
-def sets_sql(n: int) -> str:
-    return f"select doc_id, {shingles_sql('w', n)} as sh from ({words_sql()}) x"
+def sets_sql(n: int, src: str = "documents") -> str:
+    return f"select doc_id, {shingles_sql('w', n)} as sh from ({words_sql(src)}) x"
 
 
-def sigs_sql(p: MH.MinHashParams) -> str:
+def sigs_sql(p: MH.MinHashParams, src: str = "documents") -> str:
     coeffs = MH.hash_coefficients(p.num_hashes, p.seed)
     mins = ", ".join(f"min(({a}::BIGINT * h + {b}) % {MH.PRIME})" for a, b in coeffs)
     return f"""
 select doc_id, list_value({mins}) as sig
 from (select doc_id, ('0x' || substr(md5(s), 1, 8))::BIGINT % {MH.PRIME} as h
-      from ({sets_sql(p.ngrams)}) st, unnest(sh) as u(s)) hs
+      from ({sets_sql(p.ngrams, src)}) st, unnest(sh) as u(s)) hs
 group by doc_id"""
 
 
-def bands_sql(p: MH.MinHashParams) -> str:
+def bands_sql(p: MH.MinHashParams, src: str = "documents") -> str:
     r = p.rows_per_band
     parts = " union all ".join(
         f"select doc_id, {j} as band, sig[{j * r + 1}:{j * r + r}] as key from sg"
         for j in range(p.num_bands))
-    return f"with sg as ({sigs_sql(p)}) {parts}"
+    return f"with sg as ({sigs_sql(p, src)}) {parts}"
 
 
-def edges_sql(p: MH.MinHashParams) -> str:
+def edges_sql(p: MH.MinHashParams, src: str = "documents") -> str:
     return f"""
-with b as ({bands_sql(p)}),
+with b as ({bands_sql(p, src)}),
 rt as (select band, key, min(doc_id) as root from b group by band, key having count(*) > 1)
 select distinct rt.root as src, b.doc_id as dst from b join rt using (band, key)
 where b.doc_id <> rt.root"""
@@ -261,9 +261,9 @@ r(id, x) as (select a, a from g union select r.id, g.z from r join g on g.a = r.
 select id as vertex, min(x) as component from r group by id"""
 
 
-def kept_sql(comp: str) -> str:
+def kept_sql(comp: str, src: str = "documents") -> str:
     return f"""
-select doc_id from documents
+select doc_id from {src} kk
 where doc_id not in (select vertex from ({comp}) c where vertex <> component)"""
 
 
@@ -293,3 +293,165 @@ select (select count(*) from documents) as n_before,
        (select count(*) from ({kept_sql('select * from c')}) k) as n_after,
        (select count(distinct component) from c) as n_clusters,
        (select count(*) from c where vertex <> component) as n_removed""")
+
+
+# --- classifiers -------------------------------------------------------------
+
+from grist.operators import classify as CL  # noqa: E402
+from grist.plans import curate as CU  # noqa: E402
+
+LANGS = ["de", "en", "es", "fr"]
+
+
+def feats_sql(src: str, key: str, text: str, f: CL.Featurizer) -> str:
+    """(key, feats) with the featurizer's features; the word list is a column
+    of an inner query so the bigram lambda does not re-evaluate it."""
+    words = f"regexp_extract_all(lower(replace({text}, chr(10), {lit(f.newline)})), " \
+            f"{lit(T.WORD_RUN_PATTERN)}, 0)"
+    inner = f"select {key}, {words} as w from {src}"
+    if f.bigrams:
+        bi = ("list_transform(range(0, greatest(len(w) - 1, 0)), "
+              "lambda i: w[i + 1] || ' ' || w[i + 2])")
+        return f"select {key}, list_concat(w, {bi}) as feats from ({inner}) fw"
+    return f"select {key}, w as feats from ({inner}) fw"
+
+
+def nb_sql(train: str, classes: list[str], f: CL.Featurizer, score_src: str, prefix: str,
+           text: str = "text", vocab: int = CL.DEFAULT_VOCAB) -> str:
+    """CTE body scoring ``score_src(doc_id, <text>)`` with a head trained on
+    ``train(label, text)``; yields doc_id, <prefix>_label, <prefix>_score."""
+    k = len(classes)
+    ns = ", ".join(f"sum(case when label = {lit(c)} then n else 0 end) as n_{i}"
+                   for i, c in enumerate(classes))
+    ts = ", ".join(f"sum(n_{i}) as t_{i}" for i in range(k))
+    lps = ", ".join(f"ln((n_{i} + 1.0e0) / (t_{i} + 1.0e0 * v)) as lp_{i}" for i in range(k))
+    pri = ", ".join(f"ln(count(*) filter (where label = {lit(c)}) * 1.0e0 / count(*)) as pr_{i}"
+                    for i, c in enumerate(classes))
+    sums = ", ".join(f"sum(lp_{i}) as s_{i}" for i in range(k))
+    zs = ", ".join(f"(pr_{i} + coalesce(s_{i}, 0.0e0)) / (coalesce(m, 0) + 1.0e0) as z_{i}"
+                   for i in range(k))
+    zmax = f"greatest({', '.join(f'z_{i}' for i in range(k))})"
+    lab = "case " + " ".join(f"when z_{i} = zmax then {lit(c)}" for i, c in enumerate(classes)) + " end"
+    den = " + ".join(f"exp((z_{i} - zmax) * {CL.TEMPERATURE})" for i in range(k))
+    return f"""
+select doc_id, label as {prefix}_label, score as {prefix}_score from (
+ with tr as ({train}),
+ tf as (select label, unnest(feats) as feature
+        from ({feats_sql('tr', 'label', 'text', f)}) x),
+ cnt as (select feature, label, count(*) as n from tf group by feature, label),
+ voc as (select feature from cnt group by feature order by sum(n) desc, feature limit {vocab}),
+ wide as (select feature, {ns} from cnt where feature in (select feature from voc)
+          group by feature),
+ tot as (select count(*) as v, {ts} from wide),
+ model as (select feature, {lps} from wide, tot),
+ pri as (select {pri} from tr),
+ sf as (select doc_id, unnest(feats) as feature
+        from ({feats_sql(score_src, 'doc_id', text, f)}) y),
+ agg as (select doc_id, {sums}, count(lp_0) as m from sf join model using (feature)
+         group by doc_id),
+ z as (select d.doc_id, {zs} from {score_src} d left join agg using (doc_id), pri),
+ zz as (select *, {zmax} as zmax from z)
+ select doc_id, {lab} as label, 1.0e0 / ({den}) as score from zz
+) nb"""
+
+
+LANG_TRAIN = "select lang as label, text from documents"
+
+
+def binary_train(flag: str, pos: str, neg: str) -> str:
+    return (f"select case when l.{flag} = 1 then {lit(pos)} else {lit(neg)} end as label, d.text "
+            f"from documents d join labels l using (doc_id)")
+
+
+NSFW_TRAIN = binary_train("toxic", "nsfw", "non-nsfw")
+TOXIC_TRAIN = binary_train("toxic", "toxic", "non-toxic")
+QUALITY_TRAIN = binary_train("quality", "high_quality", "low_quality")
+NSFW_CLASSES = sorted(["nsfw", "non-nsfw"])
+TOXIC_CLASSES = sorted(["toxic", "non-toxic"])
+QUALITY_CLASSES = sorted(["high_quality", "low_quality"])
+
+
+def lang_sql(src="documents", text="text"):
+    return nb_sql(LANG_TRAIN, LANGS, CL.LANGUAGE_FEATURES, src, "lang", text)
+
+
+def nsfw_sql(src="documents", text="text"):
+    return nb_sql(NSFW_TRAIN, NSFW_CLASSES, CL.HARM_FEATURES, src, "nsfw", text)
+
+
+def toxic_sql(src="documents", text="text"):
+    return nb_sql(TOXIC_TRAIN, TOXIC_CLASSES, CL.HARM_FEATURES, src, "toxic", text)
+
+
+def quality_sql(src="documents", text="text"):
+    return nb_sql(QUALITY_TRAIN, QUALITY_CLASSES, CL.QUALITY_FEATURES, src, "quality", text)
+
+
+def rounded(sql: str, prefix: str) -> str:
+    return f"select doc_id, {prefix}_label, round({prefix}_score, 4) as {prefix}_score from ({sql}) r"
+
+
+oracle("identify_language", rounded(lang_sql(), "lang"))
+oracle("classify_nsfw", rounded(nsfw_sql(), "nsfw"))
+oracle("classify_toxic", rounded(toxic_sql(), "toxic"))
+oracle("classify_quality", rounded(quality_sql(), "quality"))
+
+_qs = nb_sql(QUALITY_TRAIN, QUALITY_CLASSES, CL.QUALITY_FEATURES, "documents", "quality")
+_model_only = _qs[_qs.index(" with tr as"):_qs.index(" pri as")].rstrip().rstrip(",")
+oracle("train_quality_nb", f"""
+select feature, round(lp_0, 6) as lp_high, round(lp_1, 6) as lp_low from (
+{_model_only}
+ select * from model) mm""")
+
+EN = f"lang_label = {lit(CU.ENGLISH_LABEL)} and lang_score > {CU.ENGLISH_MIN_SCORE}"
+HARM = (f"(nsfw_label = 'nsfw' or nsfw_score < {CU.HARM_MIN_SCORE} "
+        f"or toxic_label = 'toxic' or toxic_score < {CU.HARM_MIN_SCORE})")
+HIGH = f"quality_label = {lit(CU.QUALITY_LABEL)} and quality_score >= {CU.QUALITY_MIN_SCORE}"
+
+oracle("filter_english", f"select doc_id from ({lang_sql()}) s where {EN}")
+oracle("filter_harmful", f"""
+select doc_id from ({nsfw_sql()}) a join ({toxic_sql()}) b using (doc_id) where not {HARM}""")
+oracle("filter_quality", f"select doc_id from ({quality_sql()}) s where {HIGH}")
+
+oracle("coarse_filter", f"""
+with st as (select doc_id, {rule_stats_sql('text')} from documents),
+rf as (select doc_id, {rule_failure_sql()} as rule_failed from st),
+a as ({lang_sql()}), b as ({nsfw_sql()}), c as ({toxic_sql()})
+select doc_id, case
+  when rule_failed is not null then 'rules'
+  when lang_label <> 'en' or lang_score < {CU.COARSE_MIN_SCORE} then 'language'
+  when nsfw_label <> 'non-nsfw' or nsfw_score < {CU.COARSE_MIN_SCORE} then 'nsfw'
+  when toxic_label <> 'non-toxic' or toxic_score < {CU.COARSE_MIN_SCORE} then 'toxic'
+end as coarse_reason
+from rf join a using (doc_id) join b using (doc_id) join c using (doc_id)""")
+
+MASKED_DOCS = f"(select doc_id, source, {mask_pii_sql('text')} as masked from documents)"
+FUNNEL_SQL = f"""
+with a as ({lang_sql()}),
+b as ({nsfw_sql(MASKED_DOCS, 'masked')}), c as ({toxic_sql(MASKED_DOCS, 'masked')}),
+q as ({quality_sql(MASKED_DOCS, 'masked')}),
+st as (select doc_id, source, masked, {rule_stats_sql('masked')} from {MASKED_DOCS} md),
+rf as (select doc_id, source, masked, {rule_failure_sql()} as rule_failed from st)
+select doc_id, source, masked, case
+  when not ({EN}) then 'non_en'
+  when {HARM} then 'harmful'
+  when rule_failed is not null then 'rules'
+  when not ({HIGH}) then 'low_quality'
+end as drop_reason
+from rf join a using (doc_id) join b using (doc_id) join c using (doc_id) join q using (doc_id)"""
+
+oracle("curate_stages", f"select doc_id, drop_reason from ({FUNNEL_SQL}) f")
+oracle("curate", f"select doc_id, masked as text from ({FUNNEL_SQL}) f where drop_reason is null")
+oracle("funnel_stats", f"""
+select source, coalesce(drop_reason, 'kept') as outcome, count(*)::BIGINT as n
+from ({FUNNEL_SQL}) f group by rollup (source, coalesce(drop_reason, 'kept'))""")
+
+oracle("language_share", f"""
+select lang_label, count(*)::BIGINT as n,
+       round(count(*) * 1.0e0 / (select count(*) from documents), 6) as share
+from ({lang_sql()}) s group by lang_label""")
+
+KEPT_DOCS = f"(select doc_id, masked as text from ({FUNNEL_SQL}) f where drop_reason is null)"
+oracle("curate_dedup", f"""
+select k.doc_id, k.text from {KEPT_DOCS} k
+where k.doc_id in ({kept_sql(components_sql(edges_sql(_MD, KEPT_DOCS)), KEPT_DOCS)})""")

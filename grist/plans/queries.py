@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grist.functions import text as T
+from grist.operators import classify as C
 from grist.operators import exact, minhash, quality
+from grist.plans import curate as X
 from grist.session import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,4 +233,119 @@ def q_dedup_report(spark, sf_dir):
                       (F.col("n_before") - F.col("n_after")).alias("n_removed"))
 
 
-FLAGSHIP = "gopher_filter"
+# --- classifiers and filters -------------------------------------------------
+
+def _labels(spark, sf_dir):
+    return read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"], spread=False)
+
+
+def _scored(model, d, text_col="text", prefix=None):
+    out = C.score_nb(model, d, "doc_id", text_col, prefix)
+    p = prefix or model.name
+    return out.select("doc_id", f"{p}_label", F.round(f"{p}_score", 4).alias(f"{p}_score"))
+
+
+@query("identify_language")
+def q_identify_language(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "lang", "text")
+    return _scored(C.train_language(d), d)
+
+
+@query("classify_nsfw")
+def q_classify_nsfw(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return _scored(C.train_nsfw(d, _labels(spark, sf_dir)), d)
+
+
+@query("classify_toxic")
+def q_classify_toxic(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return _scored(C.train_toxic(d, _labels(spark, sf_dir)), d)
+
+
+@query("classify_quality")
+def q_classify_quality(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return _scored(C.train_quality(d, _labels(spark, sf_dir)), d)
+
+
+@query("train_quality_nb")
+def q_train_quality_nb(spark, sf_dir):
+    m = C.train_quality(docs(spark, sf_dir, "doc_id", "text"), _labels(spark, sf_dir))
+    return m.table.select("feature", F.round("lp_0", 6).alias("lp_high"),
+                          F.round("lp_1", 6).alias("lp_low"))
+
+
+@query("filter_english")
+def q_filter_english(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "lang", "text")
+    s = C.score_nb(C.train_language(d), d)
+    return s.filter(X.is_english(F.col("lang_label"), F.col("lang_score"))).select("doc_id")
+
+
+@query("filter_harmful")
+def q_filter_harmful(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    lab = _labels(spark, sf_dir)
+    s = C.score_nb(C.train_nsfw(d, lab), d).join(C.score_nb(C.train_toxic(d, lab), d), "doc_id")
+    harm = X.is_harmful(F.col("nsfw_label"), F.col("nsfw_score"), F.col("toxic_label"),
+                        F.col("toxic_score"))
+    return s.filter(~harm).select("doc_id")
+
+
+@query("filter_quality")
+def q_filter_quality(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    s = C.score_nb(C.train_quality(d, _labels(spark, sf_dir)), d)
+    return s.filter(X.is_high_quality(F.col("quality_label"), F.col("quality_score"))).select(
+        "doc_id")
+
+
+def _heads(spark, sf_dir):
+    return X.train_heads(docs(spark, sf_dir, "doc_id", "lang", "text"), _labels(spark, sf_dir))
+
+
+@query("coarse_filter")
+def q_coarse_filter(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return X.coarse_filter(d, _heads(spark, sf_dir)).select("doc_id", "coarse_reason")
+
+
+@query("curate")
+def q_curate(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "source", "text")
+    return X.kept(X.funnel(d, _heads(spark, sf_dir)))
+
+
+@query("curate_stages")
+def q_curate_stages(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "source", "text")
+    return X.funnel(d, _heads(spark, sf_dir)).select("doc_id", "drop_reason")
+
+
+@query("funnel_stats")
+def q_funnel_stats(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "source", "text")
+    return X.funnel_stats(X.funnel(d, _heads(spark, sf_dir)))
+
+
+@query("curate_dedup")
+def q_curate_dedup(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "source", "text")
+    return X.curate_then_dedup(d, _heads(spark, sf_dir)).select("doc_id", "text")
+
+
+@query("language_share")
+def q_language_share(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "lang", "text")
+    s = C.score_nb(C.train_language(d), d)
+    total = s.agg(F.count(F.lit(1)).alias("_t"))
+    counts = s.groupBy("lang_label").agg(F.count(F.lit(1)).alias("n"))
+    # one-row total; constant-key join with a single row
+    out = counts.join(F.broadcast(total.withColumn("_k", F.lit(1))),
+                      counts["n"].isNotNull() & (F.lit(1) == F.col("_k")))
+    return out.select("lang_label", F.col("n").cast("bigint").alias("n"),
+                      F.round(F.col("n") / F.col("_t"), 6).alias("share"))
+
+
+FLAGSHIP = "curate"
