@@ -455,3 +455,98 @@ KEPT_DOCS = f"(select doc_id, masked as text from ({FUNNEL_SQL}) f where drop_re
 oracle("curate_dedup", f"""
 select k.doc_id, k.text from {KEPT_DOCS} k
 where k.doc_id in ({kept_sql(components_sql(edges_sql(_MD, KEPT_DOCS)), KEPT_DOCS)})""")
+
+
+# --- tokens and sampling -------------------------------------------------------
+
+from grist.operators import sampling as SA  # noqa: E402
+from grist.operators import tokens as TK  # noqa: E402
+from grist.plans import queries as QQ  # noqa: E402
+
+VOCAB_SQL = f"""
+select token, id from (
+ with t as (select unnest(regexp_extract_all(text, {lit(TK.TOKEN_PATTERN)}, 0)) as token
+            from documents),
+ c as (select token, count(*) as n from t group by token),
+ top as (select token, n from c order by n desc, token limit {TK.MAX_VOCAB - 2})
+ select {lit(TK.EOS_TOKEN)} as token, {TK.EOS}::INTEGER as id
+ union all select {lit(TK.UNK_TOKEN)}, {TK.UNK}::INTEGER
+ union all select token, (row_number() over (order by n desc, token) + 1)::INTEGER from top) v"""
+
+ENCODE_SQL = f"""
+select doc_id, ids from (
+ with v as ({VOCAB_SQL}),
+ tk as (select doc_id, regexp_extract_all(text, {lit(TK.TOKEN_PATTERN)}, 0) as tk from documents),
+ t as (select doc_id, unnest(tk) as token, generate_subscripts(tk, 1) as pos from tk),
+ e as (select doc_id, list(coalesce(v.id, {TK.UNK})::INTEGER order by pos) as ids
+       from t left join v using (token) group by doc_id)
+ select d.doc_id, list_concat(coalesce(e.ids, []::INTEGER[]), [{TK.EOS}::INTEGER]) as ids
+ from documents d left join e using (doc_id)) en"""
+
+FLAT_SQL = f"""
+select off + pos - 1 as g, id from (
+ select off, unnest(ids) as id, generate_subscripts(ids, 1) as pos
+ from (select ids, coalesce(sum(len(ids)) over (order by doc_id
+              rows between unbounded preceding and 1 preceding), 0) as off
+       from ({ENCODE_SQL}) e) l) t"""
+
+PACK_SQL = f"""
+select (g // {TK.CONTEXT})::BIGINT as seq, list(id order by g) as ids
+from ({FLAT_SQL}) f group by 1"""
+
+oracle("build_vocab", VOCAB_SQL)
+oracle("encode_tokens", ENCODE_SQL)
+oracle("token_count", f"select sum(len(ids))::BIGINT as n_tokens from ({ENCODE_SQL}) e")
+oracle("pack_sequences", PACK_SQL)
+oracle("decode_sequences", f"""
+select seq, string_agg(coalesce(v.token, {lit(TK.UNK_TOKEN)}), ' ' order by pos) as text
+from (select seq, unnest(ids) as id, generate_subscripts(ids, 1) as pos from ({PACK_SQL}) p) x
+left join ({VOCAB_SQL}) v using (id) group by seq""")
+
+_B, _C, _S = QQ.WINDOW_BATCH, QQ.WINDOW_CTX, QQ.WINDOW_SEED
+oracle("sample_training_windows", f"""
+with t as ({FLAT_SQL}),
+n as (select count(*) as l from t),
+s as (select range as draw,
+             ('0x' || substr(md5('{_S}:' || range::VARCHAR), 1, 12))::BIGINT % (l - {_C}) as start
+      from range({_B}), n)
+select draw, start,
+       (select list(id order by g) from t where g >= start and g < start + {_C}) as x,
+       (select list(id order by g) from t where g >= start + 1 and g < start + {_C} + 1) as y
+from s""")
+
+oracle("sample_k", f"""
+select page_id, url from pages
+order by md5('{SA.SAMPLE_SEED}:' || page_id::VARCHAR), page_id limit {QQ.URL_SAMPLE}""")
+
+_K = f"md5('{SA.SAMPLE_SEED}:' || doc_id::VARCHAR)"
+TRAINING_SQL = f"""
+select rn, label, doc_id, line from (
+ with cf as ({ORACLES['coarse_filter']}),
+ pos as (select d.doc_id, d.text from documents d join labels l using (doc_id) where l.quality = 1),
+ np as (select count(*) as c from pos),
+ pool as (select * from (select d.doc_id, d.text, row_number() over (order by d.doc_id) as o
+                         from documents d join labels l using (doc_id) where l.quality = 0) x, np
+          where o <= {SA.NEGATIVE_POOL_FACTOR} * np.c),
+ neg as (select * from (select doc_id, text, row_number() over (order by {_K}, doc_id) as o
+                        from pool) y, np where o <= np.c),
+ u as (select doc_id, text, '{SA.POSITIVE}' as label, '' as k from pos
+       union all select doc_id, text, '{SA.NEGATIVE}', {_K} from neg),
+ f as (select u.* from u join cf using (doc_id) where cf.coarse_reason is null),
+ r as (select *, row_number() over (partition by label order by k, doc_id) as rn from f),
+ m as (select case when count(*) < 2 then 0 else min(c) end as m
+       from (select label, count(*) as c from f group by label) z)
+ select rn::BIGINT as rn, label, doc_id,
+        '{SA.LABEL_PREFIX}' || label || ' ' || replace(text, chr(10), ' ') as line
+ from r, m where rn <= m.m) ts"""
+
+oracle("balanced_training_set", TRAINING_SQL)
+oracle("training_lines", f"select line from ({TRAINING_SQL}) t")
+oracle("class_counts", f"select label, count(*)::BIGINT as n from ({TRAINING_SQL}) t group by label")
+oracle("inspect_samples", f"""
+select doc_id, outcome, rn from (
+ select doc_id, coalesce(drop_reason, 'kept') as outcome,
+        row_number() over (partition by coalesce(drop_reason, 'kept') order by {_K}, doc_id)::BIGINT
+          as rn
+ from ({FUNNEL_SQL}) f) x
+where rn <= {QQ.INSPECT_PER_GROUP}""")

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from grist.functions import text as T
 from grist.operators import classify as C
-from grist.operators import exact, minhash, quality
+from grist.operators import exact, minhash, quality, sampling, tokens
 from grist.plans import curate as X
-from grist.session import read_table
+from grist.session import cut_lineage, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -348,4 +348,98 @@ def q_language_share(spark, sf_dir):
                       F.round(F.col("n") / F.col("_t"), 6).alias("share"))
 
 
+# --- tokens ------------------------------------------------------------------
+
+WINDOW_BATCH, WINDOW_CTX, WINDOW_SEED = 8, 512, 0
+INSPECT_PER_GROUP = 5
+URL_SAMPLE = 200
+
+
+def _encoded(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return tokens.encode(d, tokens.build_vocab(d))
+
+
+@query("build_vocab")
+def q_build_vocab(spark, sf_dir):
+    return tokens.build_vocab(docs(spark, sf_dir, "text"))
+
+
+@query("encode_tokens")
+def q_encode_tokens(spark, sf_dir):
+    return tokens.check_uint16(_encoded(spark, sf_dir))
+
+
+@query("token_count")
+def q_token_count(spark, sf_dir):
+    return tokens.token_count(_encoded(spark, sf_dir))
+
+
+@query("pack_sequences")
+def q_pack_sequences(spark, sf_dir):
+    return tokens.pack(_encoded(spark, sf_dir))
+
+
+@query("decode_sequences")
+def q_decode_sequences(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    vocab = tokens.build_vocab(d)
+    return tokens.decode(tokens.pack(tokens.encode(d, vocab)), vocab)
+
+
+@query("sample_training_windows")
+def q_sample_training_windows(spark, sf_dir):
+    packed = cut_lineage(tokens.pack(_encoded(spark, sf_dir)))
+    n = packed.agg(F.sum(F.size("ids"))).first()[0]
+    draws = tokens.draw_starts(spark, n, WINDOW_BATCH, WINDOW_CTX, WINDOW_SEED)
+    return tokens.sample_windows(packed, draws, WINDOW_CTX)
+
+
+# --- sampling and training sets ------------------------------------------------
+
+@query("sample_k")
+def q_sample_k(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages", ["page_id", "url"])
+    return sampling.sample_k(p, URL_SAMPLE, "page_id")
+
+
+def _training_set(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "lang", "text")
+    lab = _labels(spark, sf_dir)
+    heads = X.train_heads(d, lab)
+    cand = d.select("doc_id", "text").join(lab, "doc_id")
+    pos = cand.filter(F.col("quality") == 1).select("doc_id", "text")
+    neg = cand.filter(F.col("quality") == 0).select("doc_id", "text")
+
+    def usable(df):
+        return X.coarse_filter(df, heads).filter(F.col("coarse_reason").isNull()).drop(
+            "coarse_reason", "lang_label", "lang_score", "nsfw_label", "nsfw_score",
+            "toxic_label", "toxic_score")
+
+    return sampling.balanced_training_set(pos, neg, usable)
+
+
+@query("balanced_training_set")
+def q_balanced_training_set(spark, sf_dir):
+    return _training_set(spark, sf_dir)
+
+
+@query("training_lines")
+def q_training_lines(spark, sf_dir):
+    return _training_set(spark, sf_dir).select("line")
+
+
+@query("class_counts")
+def q_class_counts(spark, sf_dir):
+    return sampling.class_counts(_training_set(spark, sf_dir))
+
+
+@query("inspect_samples")
+def q_inspect_samples(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "source", "text")
+    f = X.funnel(d, _heads(spark, sf_dir)).select(
+        "doc_id", F.coalesce("drop_reason", F.lit("kept")).alias("outcome"))
+    return sampling.inspect_samples(f, "outcome", INSPECT_PER_GROUP)
+
+
 FLAGSHIP = "curate"
