@@ -66,11 +66,9 @@ class NBModel:
     name: str
     classes: list[str]            # sorted
     log_priors: list[float]
-    table: DataFrame              # feature, lp_0 .. lp_{C-1}
+    table: DataFrame              # feature + log-probability columns (may hold other heads)
     featurizer: Featurizer
-
-    def lp_cols(self) -> list[str]:
-        return [f"lp_{i}" for i in range(len(self.classes))]
+    cols: list[str]               # this head's log-probability columns, class order
 
 
 def by_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -79,57 +77,96 @@ def by_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, id_col)
 
 
+def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
+                heads: dict[str, tuple[Column, list[str]]], vocab_size: int = DEFAULT_VOCAB,
+                alpha: float = 1.0) -> dict[str, NBModel]:
+    """Fit several naive Bayes heads that share features and training rows in
+    one pass: ``heads`` maps a name to ``(label column, class names)``.
+
+    One explode, one partial-aggregated ``groupBy(feature)`` with a count per
+    (head, class), one bounded top-``vocab_size`` by total count (ties by
+    feature) — the shared vocabulary, and the model's row bound.
+    """
+    names = list(heads)
+    ycols = {h: f"_y{i}" for i, h in enumerate(names)}
+    classes = {h: sorted(heads[h][1]) for h in names}
+    rows = df.select(text_col, *[heads[h][0].alias(ycols[h]) for h in names])
+    feats = featurizer.with_features(rows, text_col)
+    ex = feats.select(*ycols.values(), F.explode("_feats").alias("feature"))
+    ncols, counts = [], []
+    for h in names:
+        for i, c in enumerate(classes[h]):
+            ncols.append(f"n_{ycols[h]}_{i}")
+            counts.append(F.sum(F.when(F.col(ycols[h]) == c, 1).otherwise(0))
+                          .cast("bigint").alias(ncols[-1]))
+    wide = ex.groupBy("feature").agg(*counts, F.count(F.lit(1)).alias("_tot"))
+    top = cut_lineage(wide.orderBy(F.desc("_tot"), F.asc("feature")).limit(vocab_size))
+    totals = top.agg(F.count(F.lit(1)).alias("v"), *[F.sum(c).alias(c) for c in ncols]).first()
+    v = totals["v"]
+    doc_counts = rows.agg(*[F.sum(F.when(F.col(ycols[h]) == c, 1).otherwise(0)).alias(f"{ycols[h]}_{i}")
+                            for h in names for i, c in enumerate(classes[h])]).first()
+    lp = [F.log((F.col(c) + alpha) / F.lit(float((totals[c] or 0) + alpha * v))).alias("lp" + c[1:])
+          for c in ncols]
+    table = cut_lineage(top.select("feature", *lp))
+    models = {}
+    for h in names:
+        k = len(classes[h])
+        docs = [doc_counts[f"{ycols[h]}_{i}"] or 0 for i in range(k)]
+        total = sum(docs)
+        priors = [math.log(n / total) if n else -1e30 for n in docs]
+        models[h] = NBModel(h, classes[h], priors, table, featurizer,
+                            [f"lp_{ycols[h]}_{i}" for i in range(k)])
+    return models
+
+
 def train_nb(df: DataFrame, label_col: str, text_col: str, featurizer: Featurizer,
              name: str, vocab_size: int = DEFAULT_VOCAB, alpha: float = 1.0) -> NBModel:
-    """Fit a multinomial naive Bayes head on ``(label, text)`` rows."""
-    rows = featurizer.with_features(df.select(label_col, text_col), text_col)
-    counts = (rows.select(F.col(label_col).alias("label"), F.explode("_feats").alias("feature"))
-              .groupBy("feature", "label").agg(F.count(F.lit(1)).alias("n")))
-    counts = cut_lineage(counts)
-    stats = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("docs"))
-    prior_rows = sorted((r["label"], r["docs"]) for r in stats.collect())  # one row per class
-    classes = [c for c, _ in prior_rows]
-    total_docs = sum(n for _, n in prior_rows)
-    log_priors = [math.log(n / total_docs) for _, n in prior_rows]
-
-    vocab = (counts.groupBy("feature").agg(F.sum("n").alias("tot"))
-             .orderBy(F.desc("tot"), F.asc("feature")).limit(vocab_size).select("feature"))
-    wide = counts.join(F.broadcast(vocab), "feature", "left_semi").groupBy("feature").agg(
-        *[F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n_{i}")
-          for i, c in enumerate(classes)])
-    wide = cut_lineage(wide)
-    totals = wide.agg(F.count(F.lit(1)).alias("v"),
-                      *[F.sum(f"n_{i}").alias(f"t_{i}") for i in range(len(classes))]).first()
-    v = totals["v"]
-    table = wide.select("feature", *[
-        F.log((F.col(f"n_{i}") + alpha) / F.lit(float(totals[f"t_{i}"] + alpha * v))).alias(f"lp_{i}")
-        for i in range(len(classes))])
-    return NBModel(name, classes, log_priors, cut_lineage(table), featurizer)
+    """Fit one head on ``(label, text)`` rows (classes = distinct labels)."""
+    classes = [r[0] for r in df.select(label_col).distinct().collect()]  # one row per class
+    return train_heads(df, text_col, featurizer, {name: (F.col(label_col), classes)},
+                       vocab_size, alpha)[name]
+
+
+def score_heads(models: list[NBModel], df: DataFrame, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``(id, <name>_label, <name>_score ...)`` for heads sharing one model
+    table and featurizer, from a single explode / broadcast join / aggregate."""
+    table = models[0].table
+    feat = models[0].featurizer
+    if any(m.table is not table or m.featurizer != feat for m in models):
+        raise ValueError("heads scored together must share their table and featurizer")
+    lp = [c for m in models for c in m.cols]
+    feats = feat.with_features(df.select(id_col, text_col), text_col)
+    # explode_outer keeps documents without features (prior only)
+    exploded = feats.select(id_col, F.explode_outer("_feats").alias("feature"))
+    joined = exploded.join(F.broadcast(table.select("feature", *lp)), "feature", "left")
+    agg = joined.groupBy(id_col).agg(*[F.sum(c).alias("s" + c) for c in lp],
+                                     F.count(lp[0]).alias("_m"))
+    zcols = {}
+    for m in models:
+        zcols.update({"z" + c: (F.lit(m.log_priors[i]) + F.coalesce(F.col("s" + c), F.lit(0.0)))
+                      / (F.col("_m") + 1) for i, c in enumerate(m.cols)})
+    agg = agg.select(id_col, *[v.alias(k) for k, v in zcols.items()])
+    out = [F.col(id_col)]
+    for m in models:
+        z = [F.col("z" + c) for c in m.cols]
+        zmax = F.greatest(*z) if len(z) > 1 else z[0]
+        denom = sum((F.exp((zi - zmax) * TEMPERATURE) for zi in z), F.lit(0.0))
+        label = F.lit(None).cast("string")
+        for i in reversed(range(len(z))):
+            label = F.when(z[i] == zmax, F.lit(m.classes[i])).otherwise(label)
+        out += [label.alias(f"{m.name}_label"), (F.lit(1.0) / denom).alias(f"{m.name}_score")]
+    return agg.select(*out)
 
 
 def score_nb(model: NBModel, df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              prefix: str | None = None) -> DataFrame:
     """``(id, <prefix>_label, <prefix>_score)`` for every row of ``df``."""
-    prefix = prefix or model.name
-    feats = model.featurizer.with_features(df.select(id_col, text_col), text_col)
-    # explode_outer keeps documents without features (prior only)
-    exploded = feats.select(id_col, F.explode_outer("_feats").alias("feature"))
-    joined = exploded.join(F.broadcast(model.table), "feature", "left")
-    lp = model.lp_cols()
-    agg = joined.groupBy(id_col).agg(*[F.sum(c).alias("s" + c[2:]) for c in lp],
-                                     F.count(lp[0]).alias("_m"))
-    z = [((F.lit(model.log_priors[i]) + F.coalesce(F.col(f"s_{i}"), F.lit(0.0)))
-          / (F.col("_m") + 1)) for i in range(len(model.classes))]
-    agg = agg.select(id_col, *[zi.alias(f"_z{i}") for i, zi in enumerate(z)])
-    zmax = F.greatest(*[F.col(f"_z{i}") for i in range(len(z))]) if len(z) > 1 else F.col("_z0")
-    agg = agg.withColumn("_zmax", zmax)
-    denom = sum((F.exp((F.col(f"_z{i}") - F.col("_zmax")) * TEMPERATURE)
-                 for i in range(len(z))), F.lit(0.0))
-    label = F.lit(None).cast("string")
-    for i in reversed(range(len(z))):
-        label = F.when(F.col(f"_z{i}") == F.col("_zmax"), F.lit(model.classes[i])).otherwise(label)
-    return agg.select(id_col, label.alias(f"{prefix}_label"),
-                      (F.lit(1.0) / denom).alias(f"{prefix}_score"))
+    out = score_heads([model], df, id_col, text_col)
+    if prefix and prefix != model.name:
+        out = (out.withColumnRenamed(f"{model.name}_label", f"{prefix}_label")
+               .withColumnRenamed(f"{model.name}_score", f"{prefix}_score"))
+    return out
 
 
 # --- training sets from the driver tables ------------------------------------
@@ -144,27 +181,34 @@ def train_language(documents: DataFrame, vocab_size: int = DEFAULT_VOCAB) -> NBM
                     "lang", vocab_size)
 
 
-def train_binary(documents: DataFrame, labels: DataFrame, flag_col: str, positive: str,
-                 negative: str, name: str, featurizer: Featurizer,
-                 vocab_size: int = DEFAULT_VOCAB) -> NBModel:
-    """A binary head trained on ``labels.<flag_col>`` joined to the text."""
-    lab = labels.select("doc_id", binary_labels(F.col(flag_col), positive, negative).alias("y"))
-    train = documents.select("doc_id", "text").join(lab, "doc_id", "inner")
-    return train_nb(train, "y", "text", featurizer, name, vocab_size)
+# name -> (flag column in ``labels``, positive label, negative label). The
+# driver tables have no nsfw column; the nsfw head is trained on ``toxic``
+# (the operator takes any 0/1 column).
+BINARY_HEADS = {
+    "nsfw": ("toxic", "nsfw", "non-nsfw"),
+    "toxic": ("toxic", "toxic", "non-toxic"),
+    "quality": ("quality", "high_quality", "low_quality"),
+}
+
+
+def train_binary_heads(documents: DataFrame, labels: DataFrame, names=("nsfw", "toxic", "quality"),
+                       vocab_size: int = DEFAULT_VOCAB) -> dict[str, NBModel]:
+    """C2-C5 in one pass over ``documents JOIN labels`` (shared features)."""
+    train = documents.select("doc_id", "text").join(labels, "doc_id", "inner")
+    heads = {}
+    for n in names:
+        flag, pos, neg = BINARY_HEADS[n]
+        heads[n] = (binary_labels(F.col(flag), pos, neg), [pos, neg])
+    return train_heads(train, "text", HARM_FEATURES, heads, vocab_size)
 
 
 def train_nsfw(documents, labels, vocab_size=DEFAULT_VOCAB) -> NBModel:
-    """The driver tables have no nsfw column; the nsfw head is trained on the
-    ``toxic`` flag (same operator, any 0/1 column works)."""
-    return train_binary(documents, labels, "toxic", "nsfw", "non-nsfw", "nsfw", HARM_FEATURES,
-                        vocab_size)
+    return train_binary_heads(documents, labels, ("nsfw",), vocab_size)["nsfw"]
 
 
 def train_toxic(documents, labels, vocab_size=DEFAULT_VOCAB) -> NBModel:
-    return train_binary(documents, labels, "toxic", "toxic", "non-toxic", "toxic", HARM_FEATURES,
-                        vocab_size)
+    return train_binary_heads(documents, labels, ("toxic",), vocab_size)["toxic"]
 
 
 def train_quality(documents, labels, vocab_size=DEFAULT_VOCAB) -> NBModel:
-    return train_binary(documents, labels, "quality", "high_quality", "low_quality", "quality",
-                        QUALITY_FEATURES, vocab_size)
+    return train_binary_heads(documents, labels, ("quality",), vocab_size)["quality"]

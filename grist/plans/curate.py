@@ -40,12 +40,10 @@ class Heads:
 
 
 def train_heads(documents: DataFrame, labels: DataFrame) -> Heads:
-    return Heads(
-        lang=C.train_language(documents),
-        nsfw=C.train_nsfw(documents, labels),
-        toxic=C.train_toxic(documents, labels),
-        quality=C.train_quality(documents, labels),
-    )
+    """Language on ``documents.lang``; nsfw, toxic and quality in one pass."""
+    binary = C.train_binary_heads(documents, labels)
+    return Heads(lang=C.train_language(documents), nsfw=binary["nsfw"],
+                 toxic=binary["toxic"], quality=binary["quality"])
 
 
 def is_english(label, score):
@@ -72,8 +70,8 @@ def funnel(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
         "masked", F.when(F.col("_en"), T.mask_pii(F.col(text_col))))
 
     alive1 = s0.filter("_en").select(id_col, "masked")
-    s1 = (s0.join(C.score_nb(heads.nsfw, alive1, id_col, "masked"), id_col, "left")
-          .join(C.score_nb(heads.toxic, alive1, id_col, "masked"), id_col, "left"))
+    s1 = s0.join(C.score_heads([heads.nsfw, heads.toxic], alive1, id_col, "masked"), id_col,
+                 "left")
     harm = is_harmful(F.col("nsfw_label"), F.col("nsfw_score"), F.col("toxic_label"),
                       F.col("toxic_score"))
     s1 = s1.withColumn("_ok2", F.col("_en") & ~harm)
@@ -111,8 +109,7 @@ def coarse_filter(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
     ``coarse_reason`` null means the record is usable for training."""
     d = C.by_id(documents, id_col)
     s = (d.join(C.score_nb(heads.lang, d, id_col, text_col), id_col, "left")
-         .join(C.score_nb(heads.nsfw, d, id_col, text_col), id_col, "left")
-         .join(C.score_nb(heads.toxic, d, id_col, text_col), id_col, "left"))
+         .join(C.score_heads([heads.nsfw, heads.toxic], d, id_col, text_col), id_col, "left"))
     reason = (F.when(quality.rule_failure_of(F.col(text_col)).isNotNull(), F.lit("rules"))
               .when((F.col("lang_label") != ENGLISH_LABEL)
                     | (F.col("lang_score") < COARSE_MIN_SCORE), F.lit("language"))
