@@ -272,8 +272,9 @@ def q_classify_quality(spark, sf_dir):
 @query("train_quality_nb")
 def q_train_quality_nb(spark, sf_dir):
     m = C.train_quality(docs(spark, sf_dir, "doc_id", "text"), _labels(spark, sf_dir))
-    return m.table.select("feature", F.round("lp_0", 6).alias("lp_high"),
-                          F.round("lp_1", 6).alias("lp_low"))
+    high, low = m.cols  # classes are sorted: high_quality, low_quality
+    return m.table.select("feature", F.round(high, 6).alias("lp_high"),
+                          F.round(low, 6).alias("lp_low"))
 
 
 @query("filter_english")
