@@ -550,3 +550,25 @@ select doc_id, outcome, rn from (
           as rn
  from ({FUNNEL_SQL}) f) x
 where rn <= {QQ.INSPECT_PER_GROUP}""")
+
+
+# --- audits ---------------------------------------------------------------------
+
+PAGES_TEXT = f"(select page_id as doc_id, {html_sql('html')} as text from pages)"
+PAGES_FLAT = f"(select doc_id, replace(text, chr(10), '') as text from {PAGES_TEXT} pt)"
+
+oracle("pii_audit", f"""
+select doc_id, masked, n_emails, n_phones, n_ips
+from ({MASK_STEPS_SQL.replace('{src}', 'documents')}) m
+where n_emails + n_phones + n_ips > 0""")
+oracle("language_audit", f"""
+select doc_id as page_id, lang_label, round(lang_score, 4) as lang_score
+from ({lang_sql(PAGES_TEXT)}) a""")
+oracle("harmful_audit", f"""
+select doc_id as page_id, nsfw_label, round(nsfw_score, 4) as nsfw_score, toxic_label,
+       round(toxic_score, 4) as toxic_score
+from ({nsfw_sql(PAGES_FLAT)}) a join ({toxic_sql(PAGES_FLAT)}) b using (doc_id)""")
+oracle("gopher_audit", f"""
+select doc_id as page_id, rule_failed, rule_failed is null as passes
+from (select doc_id, {rule_failure_sql()} as rule_failed
+      from (select doc_id, {rule_stats_sql('text')} from {PAGES_TEXT} pt) s) r""")

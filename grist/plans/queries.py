@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from grist.functions import text as T
 from grist.operators import classify as C
 from grist.operators import exact, minhash, quality, sampling, tokens
+from grist.plans import audit as AU
 from grist.plans import curate as X
 from grist.session import cut_lineage, read_table
 
@@ -443,4 +444,39 @@ def q_inspect_samples(spark, sf_dir):
     return sampling.inspect_samples(f, "outcome", INSPECT_PER_GROUP)
 
 
+# --- audits -------------------------------------------------------------------
+
+def _pages_text(spark, sf_dir):
+    return AU.page_text(read_table(spark, sf_dir, "pages", ["page_id", "html"]))
+
+
+def _rounded(df, *prefixes):
+    cols = [c for c in df.columns if not any(c == f"{p}_score" for p in prefixes)]
+    return df.select(*cols, *[F.round(f"{p}_score", 4).alias(f"{p}_score") for p in prefixes])
+
+
+@query("pii_audit")
+def q_pii_audit(spark, sf_dir):
+    return AU.pii_audit(docs(spark, sf_dir, "doc_id", "text"))
+
+
+@query("language_audit")
+def q_language_audit(spark, sf_dir):
+    lang = C.train_language(docs(spark, sf_dir, "doc_id", "lang", "text"))
+    return _rounded(AU.language_audit(_pages_text(spark, sf_dir), lang), "lang")
+
+
+@query("harmful_audit")
+def q_harmful_audit(spark, sf_dir):
+    heads = C.train_binary_heads(docs(spark, sf_dir, "doc_id", "text"), _labels(spark, sf_dir),
+                                 ("nsfw", "toxic"))
+    out = AU.harmful_audit(_pages_text(spark, sf_dir), heads["nsfw"], heads["toxic"])
+    return _rounded(out, "nsfw", "toxic")
+
+
+@query("gopher_audit")
+def q_gopher_audit(spark, sf_dir):
+    return AU.gopher_audit(_pages_text(spark, sf_dir))
+
+
 FLAGSHIP = "curate"
