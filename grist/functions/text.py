@@ -48,7 +48,8 @@ WS = "[" + WS_CLASS_BODY + "]"
 HTML_WS = r"[ \t\n\x{0B}\f\r]"
 # Unicode word characters; equals Java (?U)\w on letters, marks, digits, Pc
 WORD_CHARS = r"\p{L}\p{M}\p{Nd}\p{Pc}"
-WORD_TOKEN_PATTERN = "[" + WORD_CHARS + "]+|[^" + WORD_CHARS + WS_CLASS_BODY + "]"
+# an ellipsis is one token, as in the treebank tokenizer the reference uses
+WORD_TOKEN_PATTERN = "[" + WORD_CHARS + r"]+|\.\.\.|[^" + WORD_CHARS + WS_CLASS_BODY + "]"
 WORD_RUN_PATTERN = "[" + WORD_CHARS + "]+"
 LETTER_PATTERN = r"\p{L}"
 
