@@ -259,9 +259,12 @@ def declared_charset(body: Column) -> Column:
     return F.when(found == "", F.lit(None)).otherwise(found)
 
 
-def decode_html_bytes(body: Column) -> Column:
-    """Decode with the declared charset when it is one Spark knows, else UTF-8."""
+def decode_html_bytes(body: Column, header_charset: Column | None = None) -> Column:
+    """Decode with the declared charset (HTTP header first, then the page's
+    own declaration) when it is one Spark knows, else UTF-8 with replacement."""
     cs = declared_charset(body)
+    if header_charset is not None:
+        cs = F.coalesce(F.lower(header_charset), cs)
     known = ["us-ascii", "iso-8859-1", "utf-8", "utf-16be", "utf-16le", "utf-16"]
     out = decode_utf8_lenient(body)
     aliases = {"latin1": "iso-8859-1", "latin-1": "iso-8859-1", "windows-1252": "iso-8859-1",

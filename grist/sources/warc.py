@@ -5,9 +5,11 @@ stream of concatenated members is not splittable, so a file is the unit of
 parallelism, as in the reference's one-task-per-file pool). Each task parses
 its file record by record and yields rows
 
-    file string, rec int, warc_type string, url string, status int, body binary
+    file string, rec int, warc_type string, url string, status int, charset string,
+    body binary
 
-``status`` is the HTTP status of ``response`` records (null otherwise) and
+``status`` and ``charset`` come from the HTTP headers of ``response`` records
+(null otherwise);
 ``body`` is the HTTP payload for responses, the raw block for other types.
 Record-type and status predicates are plain filters on these columns; the
 HTML/text decoding runs natively in Spark afterwards (P1-P3).
@@ -29,7 +31,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from grist.functions import text as T
 
-SCHEMA = "file string, rec int, warc_type string, url string, status int, body binary"
+SCHEMA = ("file string, rec int, warc_type string, url string, status int, charset string, "
+          "body binary")
 
 
 def _open(path: str):
@@ -56,14 +59,20 @@ def _headers(stream) -> tuple[str | None, dict[str, str]]:
     return version, headers
 
 
-def _http_payload(block: bytes) -> tuple[int | None, bytes]:
-    """Status code and payload of an HTTP response block."""
+def _http_payload(block: bytes) -> tuple[int | None, str | None, bytes]:
+    """Status code, declared charset and payload of an HTTP response block."""
     head, sep, payload = block.partition(b"\r\n\r\n")
     if not sep:
         head, sep, payload = block.partition(b"\n\n")
-    first = head.split(b"\n", 1)[0].decode("latin-1", "replace").split()
+    lines = head.decode("latin-1", "replace").splitlines()
+    first = lines[0].split() if lines else []
     status = int(first[1]) if len(first) > 1 and first[1].isdigit() else None
-    return status, payload
+    charset = None
+    for line in lines[1:]:
+        key, _, value = line.partition(":")
+        if key.strip().lower() == "content-type" and "charset=" in value.lower():
+            charset = value.lower().split("charset=", 1)[1].split(";")[0].strip(" \"'")
+    return status, charset, payload
 
 
 def parse_archive(path: str):
@@ -79,10 +88,10 @@ def parse_archive(path: str):
             block = stream.read(length)
             wtype = h.get("warc-type")
             url = h.get("warc-target-uri")
-            status, body = (None, block)
+            status, charset, body = (None, None, block)
             if wtype == "response":
-                status, body = _http_payload(block)
-            yield (path, rec, wtype, url, status, body)
+                status, charset, body = _http_payload(block)
+            yield (path, rec, wtype, url, status, charset, body)
             rec += 1
 
 
@@ -128,8 +137,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def extract_responses(records: DataFrame) -> DataFrame:
     """S1 (+F5, P1, P3): HTTP 200 ``response`` records as plain text."""
     ok = records.filter((F.col("warc_type") == "response") & (F.col("status") == 200))
-    return ok.select("file", "rec", "url", T.html_to_text(T.decode_html_bytes(F.col("body")))
-                     .alias("text"))
+    html = T.decode_html_bytes(F.col("body"), F.col("charset"))
+    return ok.select("file", "rec", "url", T.html_to_text(html).alias("text"))
 
 
 def extract_conversions(records: DataFrame) -> DataFrame:
