@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +91,10 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
     names = list(heads)
     ycols = {h: f"_y{i}" for i, h in enumerate(names)}
     classes = {h: sorted(heads[h][1]) for h in names}
-    rows = df.select(text_col, *[heads[h][0].alias(ycols[h]) for h in names])
+    # the labelled rows feed three small jobs (counts, vocabulary, priors);
+    # keep them for the duration of training instead of re-reading the source
+    rows = df.select(text_col, *[heads[h][0].alias(ycols[h]) for h in names]).persist(
+        StorageLevel.MEMORY_AND_DISK)
     feats = featurizer.with_features(rows, text_col)
     ex = feats.select(*ycols.values(), F.explode("_feats").alias("feature"))
     ncols, counts = [], []
@@ -108,6 +112,7 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
     lp = [F.log((F.col(c) + alpha) / F.lit(float((totals[c] or 0) + alpha * v))).alias("lp" + c[1:])
           for c in ncols]
     table = cut_lineage(top.select("feature", *lp))
+    rows.unpersist()
     models = {}
     for h in names:
         k = len(classes[h])

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from grist.functions import text as T
 from grist.operators import classify as C
 from grist.operators import minhash, quality
+from grist.session import cut_lineage
 
 # --- fixed values (stage thresholds and label names of the reference) --------
 ENGLISH_LABEL, ENGLISH_MIN_SCORE = "en", 0.95          # keep when score > 0.95
@@ -62,16 +63,23 @@ def is_high_quality(label, score):
 def funnel(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Every input row with ``masked`` text, the scores each stage computed and
-    ``drop_reason`` (null = kept)."""
+    ``drop_reason`` (null = kept).
+
+    Each stage's scores (one small row per surviving document) are written to
+    the checkpoint folder once: the later branches read them instead of
+    re-running the explode/join/aggregate of earlier stages, and a lost
+    executor costs at most the current stage.
+    """
     d = C.by_id(documents, id_col)
-    s0 = d.join(C.score_nb(heads.lang, d, id_col, text_col), id_col, "left")
+    lang = cut_lineage(C.score_nb(heads.lang, d, id_col, text_col))
+    s0 = d.join(lang, id_col, "left")
     eng = is_english(F.col("lang_label"), F.col("lang_score"))
     s0 = s0.withColumn("_en", eng).withColumn(
         "masked", F.when(F.col("_en"), T.mask_pii(F.col(text_col))))
 
     alive1 = s0.filter("_en").select(id_col, "masked")
-    s1 = s0.join(C.score_heads([heads.nsfw, heads.toxic], alive1, id_col, "masked"), id_col,
-                 "left")
+    harm_scores = cut_lineage(C.score_heads([heads.nsfw, heads.toxic], alive1, id_col, "masked"))
+    s1 = s0.join(harm_scores, id_col, "left")
     harm = is_harmful(F.col("nsfw_label"), F.col("nsfw_score"), F.col("toxic_label"),
                       F.col("toxic_score"))
     s1 = s1.withColumn("_ok2", F.col("_en") & ~harm)
@@ -80,7 +88,8 @@ def funnel(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
     s1 = s1.withColumn("_ok3", F.col("_ok2") & F.col("rule_failed").isNull())
 
     alive3 = s1.filter("_ok3").select(id_col, "masked")
-    s3 = s1.join(C.score_nb(heads.quality, alive3, id_col, "masked"), id_col, "left")
+    q_scores = cut_lineage(C.score_nb(heads.quality, alive3, id_col, "masked"))
+    s3 = s1.join(q_scores, id_col, "left")
     good = is_high_quality(F.col("quality_label"), F.col("quality_score"))
     reason = (F.when(~F.col("_en"), F.lit("non_en"))
               .when(~F.col("_ok2"), F.lit("harmful"))
