@@ -174,7 +174,10 @@ class FuzzyResult:
 def fuzzy_dedup(df: DataFrame, params: MinHashParams = MinHashParams(), verify: bool = False,
                 id_col: str = "doc_id", text_col: str = "text", **skew_opts) -> FuzzyResult:
     """Keep one document (the smallest id) per duplicate cluster."""
-    sets = cut_lineage(shingle_sets(df, id_col, text_col, params.ngrams))
+    sets = shingle_sets(df, id_col, text_col, params.ngrams)
+    if verify:
+        # read twice (signatures, then both ends of every edge): write it once
+        sets = cut_lineage(sets)
     sigs = signatures(df, params, id_col, text_col, shingles_df=sets)
     bands = lsh_bands(sigs, params, id_col)
     edges = cut_lineage(bucket_edges(bands, id_col, **skew_opts))

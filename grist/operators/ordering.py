@@ -35,7 +35,7 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], weight_col: str | None
     """Adds ``out`` = sum of weights of all rows strictly before this row in
     ``order_cols`` order (weight 1 when ``weight_col`` is None: the 0-based rank)."""
     spark = df.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     w = weight_col or "_w1"
     if weight_col is None:
         df = df.withColumn(w, F.lit(1).cast("bigint"))
@@ -82,3 +82,28 @@ def rank_within(df: DataFrame, group_col: str, order_cols: Sequence[str],
     starts = ranked.groupBy(group_col).agg(F.min("_g").alias("_s"))
     return (ranked.join(F.broadcast(starts), group_col)
             .withColumn(out, F.col("_g") - F.col("_s") + 1).drop("_g", "_s"))
+
+
+TOP_K_DIRECT = 100_000
+
+
+def first_k(df: DataFrame, order_cols: Sequence, k: int) -> DataFrame:
+    """The first ``k`` rows in ``order_cols`` order (unique key).
+
+    A small ``k`` uses ``orderBy().limit()`` (each task keeps its own top k,
+    then one merge of at most ``tasks * k`` rows). A ``k`` that grows with the
+    data would pile those rows into one task, so it is answered with the
+    distributed rank of :func:`prefix_sum` instead.
+    """
+    if k <= TOP_K_DIRECT:
+        return df.orderBy(*order_cols).limit(k)
+    names = []
+    keyed = df
+    for i, c in enumerate(order_cols):
+        if isinstance(c, str):
+            names.append(c)
+        else:
+            keyed = keyed.withColumn(f"_k{i}", c)
+            names.append(f"_k{i}")
+    ranked = prefix_sum(keyed, names, None, "_rank")
+    return ranked.filter(F.col("_rank") < k).drop("_rank", *[n for n in names if n.startswith("_k")])

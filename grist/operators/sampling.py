@@ -29,7 +29,8 @@ def sample_k(df: DataFrame, k: int, id_col: str, seed: int = SAMPLE_SEED) -> Dat
     n = df.count()
     if k > n:
         raise ValueError(f"sample of {k} requested from {n} rows")
-    return df.orderBy(sample_key(id_col, seed), F.col(id_col)).limit(k)
+    keyed = df.withColumn("_skey", sample_key(id_col, seed))
+    return ordering.first_k(keyed, ["_skey", id_col], k).drop("_skey")
 
 
 def training_line(label: Column, text: Column) -> Column:
@@ -49,9 +50,11 @@ def balanced_training_set(positives: DataFrame, negatives: DataFrame, usable, id
     are cut to the smaller count and interleaved.
     """
     n_pos = positives.count()
-    pool = negatives.orderBy(id_col).limit(NEGATIVE_POOL_FACTOR * n_pos)
+    # N grows with the data: both cuts use the distributed rank for large N
+    pool = ordering.first_k(negatives, [id_col], NEGATIVE_POOL_FACTOR * n_pos)
     k = min(n_pos, pool.count())
-    neg = pool.orderBy(sample_key(id_col, seed), F.col(id_col)).limit(k)
+    neg = ordering.first_k(pool.withColumn("_skey", sample_key(id_col, seed)),
+                           ["_skey", id_col], k).drop("_skey")
     pos = positives.withColumn("label", F.lit(POSITIVE)).withColumn("_key", F.lit(""))
     neg = neg.withColumn("label", F.lit(NEGATIVE)).withColumn("_key", sample_key(id_col, seed))
     both = usable(pos.unionByName(neg))

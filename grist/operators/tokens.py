@@ -55,7 +55,7 @@ def encode(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: st
            add_eos: bool = True) -> DataFrame:
     """``(id, ids array<int>)``: token ids in order, then ``<eos>``."""
     d = df.select(id_col, text_col)
-    d = d.repartition(df.sparkSession.sparkContext.defaultParallelism, id_col)
+    d = d.repartition(id_col)  # regroup per document below needs no further shuffle
     toks = d.select(id_col, F.posexplode_outer(tokens(F.col(text_col))).alias("pos", "token"))
     joined = toks.join(F.broadcast(vocab), "token", "left")
     item = F.when(F.col("token").isNotNull(),

@@ -572,3 +572,12 @@ oracle("gopher_audit", f"""
 select doc_id as page_id, rule_failed, rule_failed is null as passes
 from (select doc_id, {rule_failure_sql()} as rule_failed
       from (select doc_id, {rule_stats_sql('text')} from {PAGES_TEXT} pt) s) r""")
+
+oracle("validation_tokens", ENCODE_SQL.replace("from documents d left join e using (doc_id)",
+                                               "from benchmark d left join e using (doc_id)")
+       .replace("regexp_extract_all(text, " + lit(TK.TOKEN_PATTERN) + ", 0) as tk from documents",
+                "regexp_extract_all(text, " + lit(TK.TOKEN_PATTERN) + ", 0) as tk from "
+                "(select item_id as doc_id, text from benchmark) b")
+       .replace("select d.doc_id, list_concat", "select d.item_id, list_concat")
+       .replace("left join e using (doc_id)) en", "left join e on e.doc_id = d.item_id) en")
+       .replace("select doc_id, ids from (", "select item_id, ids from ("))

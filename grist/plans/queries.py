@@ -479,4 +479,22 @@ def q_gopher_audit(spark, sf_dir):
     return AU.gopher_audit(_pages_text(spark, sf_dir))
 
 
+@query("validation_tokens")
+def q_validation_tokens(spark, sf_dir):
+    """S13 + T2: the evaluation corpus encoded with the training vocabulary."""
+    vocab = tokens.build_vocab(docs(spark, sf_dir, "text"))
+    bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    return tokens.encode(bench, vocab, id_col="item_id")
+
+
+@query("classify_quality_lr")
+def q_classify_quality_lr(spark, sf_dir):
+    """C5 with the MLlib back end (rows-only check: iterative fit)."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    train = d.join(_labels(spark, sf_dir).select("doc_id", F.col("quality").cast("double")
+                                                 .alias("y")), "doc_id")
+    model = C.train_lr(train, "y")
+    return C.score_lr(model, d, "high_quality", "low_quality", "quality")
+
+
 FLAGSHIP = "curate"

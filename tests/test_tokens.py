@@ -55,3 +55,11 @@ def test_sample_k_is_exact_and_partition_independent(spark):
     a = [r["doc_id"] for r in sampling.sample_k(df, 10, "doc_id").collect()]
     b = [r["doc_id"] for r in sampling.sample_k(df.repartition(7), 10, "doc_id").collect()]
     assert a == b and len(set(a)) == 10
+
+
+def test_first_k_distributed_path_matches_limit(spark, monkeypatch):
+    df = spark.range(300).withColumn("key", F.md5(F.col("id").cast("string")))
+    direct = [r["id"] for r in ordering.first_k(df, ["key", "id"], 120).collect()]
+    monkeypatch.setattr(ordering, "TOP_K_DIRECT", 10)
+    ranked = [r["id"] for r in ordering.first_k(df, ["key", "id"], 120).collect()]
+    assert sorted(direct) == sorted(ranked) and len(ranked) == 120
