@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -97,5 +98,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     if spread:
         slots = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < slots:
-            df = df.repartition(slots)
+            # only small inputs land here (fewer row groups than task slots);
+            # keep the spread copy so multi-job plans do not redo the shuffle
+            df = df.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
     return df
