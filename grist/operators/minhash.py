@@ -178,7 +178,9 @@ def fuzzy_dedup(df: DataFrame, params: MinHashParams = MinHashParams(), verify:
     if verify:
         # read twice (signatures, then both ends of every edge): write it once
         sets = cut_lineage(sets)
-    sigs = signatures(df, params, id_col, text_col, shingles_df=sets)
+    # H longs per document, read by the bucket aggregate, the hot-key count
+    # and the edge join: write it once rather than re-derive it from the text
+    sigs = cut_lineage(signatures(df, params, id_col, text_col, shingles_df=sets))
     bands = lsh_bands(sigs, params, id_col)
     edges = cut_lineage(bucket_edges(bands, id_col, **skew_opts))
     if verify:
