@@ -2,15 +2,19 @@
 
 Each round every vertex takes the smallest label among itself and its
 neighbours: one join of the (static, checkpointed) edge table with the
-current labels, then a ``groupBy(vertex).min`` with partial aggregation.
+current labels, then a ``groupBy(vertex).min`` with partial aggregation;
+from round ``jump_after`` on, it also jumps to the label of its label
+(pointer jumping), so a long chain shrinks geometrically instead of by one
+hop per round.
 The label table is written to the checkpoint folder every round, which
 bounds the lineage (and recovery after a lost executor) to one round.
 
 Hub vertices (a bucket root linked to a third of the corpus) make the
 edge/label join skewed on ``src``; their degrees are counted once and the
 join goes through :func:`grist.operators.skew.split_join` every round.
-Convergence is detected inside the same aggregate (``new < old``), so a
-round costs one shuffle of the messages and no extra join.
+The jump joins on the label, and a component root is every member's label,
+so that join is split the same way (counts per label). Convergence is read
+from the checkpointed labels (``new < old``) without another join.
 """
 
 from __future__ import annotations
@@ -22,6 +26,9 @@ from grist.operators import skew
 from grist.session import cut_lineage
 
 DEFAULT_MAX_ROUNDS = 64
+# LSH star graphs usually settle in a few rounds; jumping costs a join per
+# round, so it starts only when a graph is still changing after this many.
+JUMP_AFTER = 3
 
 
 class NotConverged(RuntimeError):
@@ -29,7 +36,8 @@ class NotConverged(RuntimeError):
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
-                         max_rounds: int = DEFAULT_MAX_ROUNDS, **skew_opts) -> DataFrame:
+                         max_rounds: int = DEFAULT_MAX_ROUNDS, jump_after: int = JUMP_AFTER,
+                         **skew_opts) -> DataFrame:
     """``(vertex, component)`` for every vertex on an edge; component = min id."""
     und = (edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
            .unionByName(edges.select(F.col(dst).alias("src"), F.col(src).alias("dst")))
@@ -42,7 +50,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
 
     labels = cut_lineage(und.select(F.col("src").alias("vertex")).distinct()
                          .withColumn("label", F.col("vertex")))
-    for _ in range(max_rounds):
+    for round_no in range(max_rounds):
         msgs = skew.split_join(
             und, labels.select(F.col("vertex").alias("src"), "label"), ["src"], "inner",
             hot=hot, **opts,
@@ -51,6 +59,21 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         nxt = msgs.unionByName(own).groupBy("vertex").agg(
             F.min("label").alias("label"), F.min("old").alias("old"))
         nxt = cut_lineage(nxt)
+        if round_no < jump_after:
+            changed = nxt.filter(F.col("label") < F.col("old")).limit(1).count()
+            labels = nxt.select("vertex", "label")
+            if changed == 0:
+                return labels.withColumnRenamed("label", "component")
+            continue
+        # pointer jumping: also take the label of one's label, which halves
+        # chains each round (rounds ~ log of the diameter, not the diameter).
+        # A component root is the label of every member: a hot join key.
+        members = nxt.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+        jumped = skew.split_join(
+            nxt, nxt.select(F.col("vertex").alias("label"), F.col("label").alias("_jl")),
+            ["label"], "left", key_counts=members, count_col="n", hot_rows=hot_rows, **opts)
+        nxt = cut_lineage(jumped.select(
+            "vertex", F.least("label", F.coalesce("_jl", "label")).alias("label"), "old"))
         changed = nxt.filter(F.col("label") < F.col("old")).limit(1).count()
         labels = nxt.select("vertex", "label")
         if changed == 0:
