@@ -165,3 +165,17 @@ def test_hot_bucket_star_edges_linear(spark):
     res = minhash.fuzzy_dedup(df, p, hot_rows=100)
     assert res.edges.count() == 399
     assert [r["doc_id"] for r in res.kept.collect()] == [0]
+
+
+def test_hot_line_never_reaches_a_join(spark):
+    # one boilerplate line in every document: dropped everywhere, and the plan
+    # removes it inside the aggregate (no join is keyed on the line)
+    rows = [(i, f"Home | About | Contact\nunique line number {i}") for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = exact.exact_line_dedup(df)
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert got == {i: f"unique line number {i}" for i in range(500)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Join" in line:
+            assert "line" not in line.split("Join", 1)[1]
