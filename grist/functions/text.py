@@ -120,8 +120,10 @@ def words(text: Column) -> Column:
 
 
 def word_runs(text: Column) -> Column:
-    """Runs of word characters only (classifier features)."""
-    return F.regexp_extract_all(text, F.lit(WORD_RUN_PATTERN), 0)
+    """Runs of word characters only (classifier features): the non-empty
+    pieces between runs of other characters, i.e. the matches of
+    ``WORD_RUN_PATTERN``, found by splitting (cheaper than extracting)."""
+    return F.array_remove(F.split(text, "[^" + WORD_CHARS + "]+", -1), "")
 
 
 def lines(text: Column) -> Column:
