@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from grist.session import ensure_checkpoint_dir
 
@@ -64,3 +67,33 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+FILTER_BITS = 1 << 25
+
+
+def key_filter(keys: DataFrame, column: str):
+    """A predicate over 64-bit keys that is true for every key of ``keys`` and
+    for few others: a Bloom filter of a fixed 4 MB, so its size never follows
+    the data. With far more keys than bits it lets everything pass; callers
+    join afterwards, so it only saves shuffling rows that can't match.
+    """
+    def places(c: str) -> Column:                # three places of 25 bits
+        return F.array(*[F.shiftrightunsigned(F.xxhash64(F.lit(i), F.col(c)), 39) for i in range(3)])
+
+    bits = (keys.select(F.explode(places(column)).alias("bit"))
+            .groupBy(F.shiftright("bit", 6).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")))
+    table = np.zeros(FILTER_BITS >> 6, np.uint64)
+    found = bits.toArrow()                       # at most FILTER_BITS / 64 rows
+    table[found["word"].to_numpy().astype(np.int64)] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    shared = keys.sparkSession.sparkContext.broadcast(table.tobytes())
+
+    @F.arrow_udf(BooleanType())
+    def passes(bit: pa.Array) -> pa.Array:
+        words = np.frombuffer(shared.value, np.uint64)
+        at = bit.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        hit = (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+        return pa.array(hit.reshape(-1, 3).all(axis=1))
+
+    return lambda c: passes(places(c))
