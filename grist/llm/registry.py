@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grist.llm import bpe, html_extract, quality_rules, substring
+from grist.llm import bpe, html_extract, quality_rules, simhash, substring
 from grist.llm.common import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents", "doc_id", "text")
     return substring.remove_repeats(documents).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash.groups(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return grouped.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
