@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grist.llm import bpe, html_extract, quality_rules, simhash, substring
+from grist.llm import bpe, html_extract, mixing, quality_rules, simhash, substring
 from grist.llm.common import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash.groups(read(spark, sf_dir, "documents", "doc_id", "text"))
     return grouped.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
