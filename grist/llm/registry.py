@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grist.llm import bpe, html_extract, mixing, quality_rules, simhash, substring
+from grist.llm import bpe, html_extract, lattice_lm, mixing, quality_rules, simhash, substring
 from grist.llm.common import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lattice_lm.score_documents(read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.withColumnRenamed("id", "doc_id")
