@@ -1,10 +1,14 @@
 """Language model over subword lattices (operator 10).
 
-The model spells a text as pieces of an existing vocabulary and an end mark,
-each drawn independently. A text's probability is the sum over all its
-segmentations into pieces, found by a forward recursion in log space. No piece
-runs over a blank, so the sum is a product over words, and words of equal
-length are recursed together as one array.
+A word's lattice has an edge for each piece of an existing vocabulary that its
+bytes hold, and one edge over the whole word with the share it has among the
+words of the training documents. The word's probability is the sum over all
+paths: over all segmentations, each the product of its pieces' weights, found
+by a forward recursion in log space. No piece runs over a blank, so the sum
+over a text's segmentations is a product over its words and an end mark, and
+words of equal length are recursed together as one array. Whole-word shares
+are kept by class of documents (their language, a column); a text's
+probability is the sum over the classes too, so its class is not given away.
 
 Piece weights start from the vocabulary's own scores (log probabilities of a
 unigram vocabulary; ranks of a merge vocabulary become 1 / (rank + 10)) and are
@@ -25,7 +29,8 @@ Its counts must be exact over the corpus, and some words are in every document:
 Defined cases: null text is empty (one end mark); a null id counts as the empty
 text for the split; repeated rows are scored and, if not held out, counted row
 by row; without training documents counts are 0 and the pieces keep the
-vocabulary's weights.
+vocabulary's weights; null classes and those beyond the ``CLASSES`` most
+frequent form one class of their own; the class column may be missing.
 """
 
 from __future__ import annotations
@@ -49,6 +54,8 @@ LOCAL_SHARE = 40_000        # a task names a word that makes up 1 / LOCAL_SHARE
 FLUSH = 300_000             # different words a task gathers before it adds them to its sums
 CHUNK = 8192                # words of one length recursed together
 PRIOR = 0.1                 # added to each piece's expected count
+SPELLED = 0.08              # share of words spelled by pieces; the others come whole from the training words
+CLASSES = 7                 # classes told apart, at most
 SPACE = "▁"
 
 
@@ -170,87 +177,113 @@ def split(text: bytes | None) -> list[bytes]:
 
 # --- scans that learn ----------------------------------------------------------
 
-LEARNED = "kind string, word binary, piece int, n double"
+LEARNED = "kind string, word binary, key int, n double"
 
 
 def learner(path: str, logp, common):
-    """Sums of one task: expected pieces ('p'), and counts of words: of those in
-    ``common`` if it is given ('c'), else of the task's frequent ones ('w')."""
+    """Sums of one task: expected pieces ('p'), words and texts by class ('n',
+    'e'), and counts of words: of those in ``common`` by class ('c') if it is
+    given, else of the task's frequent ones ('w')."""
     def run(batches):
-        own, total, weights = pieces_of(path), None, logp.value if logp else None
+        own = pieces_of(path)
         known = common.value if common else None
-        counted, fixed, texts = Counter(), Counter(), 0
+        weights = np.frombuffer(logp.value) if logp else np.log(own.start / own.start.sum())
         total = np.zeros(len(own.bytes))
-        weights = np.log(own.start / own.start.sum()) if weights is None else np.frombuffer(weights)
+        counted: dict[int, Counter] = {}
+        fixed, texts, n_words = Counter(), Counter(), Counter()
+
+        def rows(kind, words, keys, n):
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(n), pa.string()), pa.array(words or [None] * len(n), pa.binary()),
+                                               pa.array(keys or [None] * len(n), pa.int32()), pa.array(n, pa.float64())],
+                                              names=["kind", "word", "key", "n"])
 
         def flush():
-            words, counts = list(counted), np.fromiter(counted.values(), np.float64, len(counted))
-            for rows, matrix in by_length(words):
-                own.expected(matrix, counts[rows], weights, total)
-            found = []
-            if known is None:
-                least = max(2, counts.sum() / LOCAL_SHARE)
-                found = [(w, float(c)) for w, c in counted.items() if c >= least]
+            every = Counter()
+            for cls, own_counts in counted.items():
+                n_words[cls] += own_counts.total()
+                every.update(own_counts)
+                if known is not None:
+                    fixed.update({(w, cls): c for w, c in own_counts.items() if w in known})
             counted.clear()
-            return found
-
-        def rows(kind, words, pieces, n):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(n), pa.string()), pa.array(words or [None] * len(n), pa.binary()),
-                 pa.array(pieces if len(pieces) else [None] * len(n), pa.int32()), pa.array(n, pa.float64())],
-                names=["kind", "word", "piece", "n"])
+            words, counts = list(every), np.fromiter(every.values(), np.float64, len(every))
+            for at, matrix in by_length(words):
+                own.expected(matrix, counts[at], weights, total)
+            least = max(2, counts.sum() / LOCAL_SHARE)
+            return [] if known is not None else [(w, float(c)) for w, c in every.items() if c >= least]
 
         for batch in batches:
-            for text in batch.column("t").cast(pa.binary()).to_pylist():
-                counted.update(split(text))
-                texts += 1
-            if len(counted) > FLUSH:
-                if known is not None:
-                    fixed.update({w: c for w, c in counted.items() if w in known})
-                if found := flush():
-                    yield rows("w", [w for w, _ in found], [], [c for _, c in found])
-        if known is not None:
-            fixed.update({w: c for w, c in counted.items() if w in known})
+            for text, cls in zip(batch.column("t").cast(pa.binary()).to_pylist(), batch.column("cls").to_pylist()):
+                counted.setdefault(cls, Counter()).update(split(text))
+                texts[cls] += 1
+            if sum(map(len, counted.values())) > FLUSH and (found := flush()):
+                yield rows("w", [w for w, _ in found], None, [c for _, c in found])
         if found := flush():
-            yield rows("w", [w for w, _ in found], [], [c for _, c in found])
+            yield rows("w", [w for w, _ in found], None, [c for _, c in found])
         if fixed:
-            yield rows("c", list(fixed), [], [float(c) for c in fixed.values()])
+            yield rows("c", [w for w, _ in fixed], [cls for _, cls in fixed], [float(c) for c in fixed.values()])
         used = np.nonzero(total)[0]
-        yield rows("p", [], used.tolist(), total[used])
-        yield rows("e", [], [], [float(texts)])
+        yield rows("p", None, used.tolist(), total[used])
+        for kind, sums in (("e", texts), ("n", n_words)):
+            yield rows(kind, None, list(sums), [float(c) for c in sums.values()])
     return run
 
 
-def learn(train: DataFrame, path: str, iterations: int = ITERATIONS, common: int = COMMON) -> tuple[np.ndarray, float, dict[bytes, int]]:
-    """Log weights of the pieces, that of the end mark, and exact counts of the
-    common words, from the texts ``t``. At most as many rows as there are
-    pieces and common words reach the driver."""
+class Learned:
+    """What the scans over the training documents give; of bounded size."""
+
+    def __init__(self, pieces: int, classes: int):
+        self.logp = np.zeros(pieces)                    # log weight by piece
+        self.texts = np.zeros(classes)                  # training texts and their words, by class
+        self.words = np.zeros(classes)
+        self.common: dict[bytes, int] = {}              # row of each common word in counts
+        self.counts = np.zeros((0, classes))            # exact, by class
+
+    def word_scores(self, counts: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+        """Log10 probability of words by class, from their training counts by
+        class and the log10 probability of their spelling."""
+        with np.errstate(divide="ignore"):
+            whole = np.log((1 - SPELLED) * counts / np.maximum(self.words, 1))
+        return np.logaddexp(whole, (log(SPELLED) + spelled * log(10))[:, None]) / log(10)
+
+    def text_scores(self, by_class: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+        """Log10 probability of texts from their words' sums by class."""
+        n, texts = self.words.sum(), self.texts.sum()
+        end = (texts + 1) / (n + texts + 2)
+        prior = np.log((self.texts + 0.5) / (texts + 0.5 * len(self.texts)))
+        return np.logaddexp.reduce(by_class * log(10) + prior, axis=1) / log(10) + log10(end) + n_words * log10(1 - end)
+
+
+def learn(train: DataFrame, path: str, classes: int, iterations: int = ITERATIONS, common: int = COMMON) -> Learned:
+    """From the rows (t, cls) of the training documents. At most a row for each
+    piece and one for each common word and class reach the driver."""
     spark = train.sparkSession
     own = pieces_of(path)
-    logp, end, words, exact = None, 0.0, None, {}
+    out = Learned(len(own.bytes), classes)
+    logp = words = None
     for _ in range(max(2, iterations)):
-        sums = materialize(train.mapInArrow(learner(path, logp, words), LEARNED).groupBy("kind", "word", "piece").agg(F.sum("n").alias("n")), "learned")
-        expected = np.full(len(own.bytes), PRIOR)
+        sums = materialize(train.mapInArrow(learner(path, logp, words), LEARNED).groupBy("kind", "word", "key").agg(F.sum("n").alias("n")), "learned")
+        expected = np.zeros(len(own.bytes))
         for r in sums.filter("kind = 'p'").collect():
-            expected[r["piece"]] += r["n"]
-        texts = sums.filter("kind = 'e'").agg(F.sum("n")).first()[0] or 0.0
-        if expected.sum() <= 2 * PRIOR * len(expected):          # nothing to learn from
-            expected = own.start / own.start.sum()
-            texts = texts or 1e-3
-        whole = expected.sum() + texts
-        end = log((texts or PRIOR) / whole)
-        logp = spark.sparkContext.broadcast(np.log(expected / whole).tobytes())
+            expected[r["key"]] += r["n"]
+        expected = expected + PRIOR if expected.any() else own.start
+        out.logp = np.log(expected / expected.sum())
+        logp = spark.sparkContext.broadcast(out.logp.tobytes())
+        for r in sums.filter("kind in ('e', 'n')").collect():
+            (out.texts if r["kind"] == "e" else out.words)[r["key"]] = r["n"]
         if words is None:
             top = sums.filter("kind = 'w'").orderBy(F.desc("n"), "word").limit(common).select("word").collect()
-            words = spark.sparkContext.broadcast(frozenset(bytes(r["word"]) for r in top))
+            out.common = {bytes(r["word"]): i for i, r in enumerate(top)}
+            out.counts = np.zeros((len(top), classes))
+            words = spark.sparkContext.broadcast(frozenset(out.common))
         else:
-            exact = {bytes(r["word"]): int(r["n"]) for r in sums.filter("kind = 'c'").collect()}
-    return np.frombuffer(logp.value), end, {w: exact.get(w, 0) for w in words.value}
+            for r in sums.filter("kind = 'c'").collect():
+                out.counts[out.common[bytes(r["word"])], r["key"]] = r["n"]
+    return out
 
 
 # --- the scan that scores --------------------------------------------------------
 
-DEALT = "bucket int, part long, batch long, words binary, sizes binary, train binary, entry_word binary, entry_doc binary, entry_n binary, docs binary"
+DEALT = "bucket int, part long, batch long, cls int, words binary, sizes binary, train binary, entry_word binary, entry_doc binary, entry_n binary, docs binary"
 SUMS = "batch long, docs binary, known binary, base binary, score binary, sizes binary, ids binary, valid binary, vocabulary long"
 SCORED = "id long, n_words long, n_known long, base double, score double, vocabulary long"
 
@@ -285,41 +318,44 @@ def pack_batch(batch: pa.RecordBatch, number: int, buckets: int, table: dict[byt
 
 
 def sums_by_document(counts: np.ndarray, scores: np.ndarray, entry_word, entry_doc, entry_n, n_docs: int):
-    """Known tokens, base sum and score of each document of a batch."""
-    known = np.bincount(entry_doc, entry_n * (counts[entry_word] > 0), n_docs)
-    base = np.bincount(entry_doc, entry_n * np.log10(counts[entry_word] + 1.0), n_docs)
-    return known, base, np.bincount(entry_doc, entry_n * scores[entry_word], n_docs)
+    """Known tokens, base sum and scores by class of each document of a batch."""
+    total = counts.sum(axis=1)
+    known = np.bincount(entry_doc, entry_n * (total[entry_word] > 0), n_docs)
+    base = np.bincount(entry_doc, entry_n * np.log10(total[entry_word] + 1.0), n_docs)
+    return known, base, np.stack([np.bincount(entry_doc, entry_n * own[entry_word], n_docs) for own in scores.T], axis=1)
 
 
-def dealer(path: str, buckets: int, logp, table):
-    """Packed rows for the buckets. Bucket -1 answers at once: a batch's ids,
-    sizes and sums over the common words, as rows that stand alone."""
+def dealer(path: str, buckets: int, shared):
+    """Packed rows for the buckets, one class of documents at a time. Bucket -1
+    answers at once: a batch's ids, sizes and sums over the common words, as
+    rows that stand alone."""
     def run(batches):
-        common, weights = table.value, np.frombuffer(logp.value)
-        listed = list(common)
-        score_of = dict(zip(listed, log_scores(listed, path, weights)))
+        learned = shared.value
+        table = learned.word_scores(learned.counts, log_scores(list(learned.common), path, learned.logp))
         task, k = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            number = (task << 32) + k
-            k += 1
+        for whole in batches:
+            classes = whole.column("cls").to_numpy()
             out = []
-            for r in pack_batch(batch, number, buckets, common):
-                if r["bucket"] < 0:
-                    counts = np.array([common[w] for w in r["words"]], np.float64)
-                    scores = np.array([score_of[w] for w in r["words"]], np.float64)
-                    known, base, score = sums_by_document(counts, scores, r["entry_word"], r["entry_doc"], r["entry_n"], r["docs"])
-                    ids = batch.column("id")
-                    packed = [known, r["sizes"], base, score, np.asarray(ids.fill_null(0)).astype(np.int64), np.asarray(ids.is_valid()).astype(np.uint8)]
-                else:
-                    sizes = np.fromiter(map(len, r["words"]), np.uint32, len(r["words"]))
-                    packed = [b"".join(r["words"]), sizes, r["train"], r["entry_word"], r["entry_doc"], r["entry_n"]]
-                packed = [x if isinstance(x, bytes) else x.tobytes() for x in packed]
-                out.append((r["bucket"], number if r["bucket"] < 0 else 0, number, *packed, np.int64(r["docs"]).tobytes()))
-            columns = list(zip(*out))
+            for cls in np.unique(classes).tolist():
+                batch = whole.filter(pa.array(classes == cls))
+                number = (task << 32) + k
+                k += 1
+                for r in pack_batch(batch, number, buckets, learned.common):
+                    if r["bucket"] < 0:
+                        own = [learned.common[w] for w in r["words"]]
+                        known, base, score = sums_by_document(learned.counts[own], table[own], r["entry_word"], r["entry_doc"], r["entry_n"], r["docs"])
+                        ids = batch.column("id")
+                        packed = [known, r["sizes"], base, score, np.asarray(ids.fill_null(0)).astype(np.int64), np.asarray(ids.is_valid()).astype(np.uint8)]
+                    else:
+                        sizes = np.fromiter(map(len, r["words"]), np.uint32, len(r["words"]))
+                        packed = [b"".join(r["words"]), sizes, r["train"], r["entry_word"], r["entry_doc"], r["entry_n"]]
+                    packed = [x if isinstance(x, bytes) else x.tobytes() for x in packed]
+                    out.append((r["bucket"], number if r["bucket"] < 0 else 0, number, cls, *packed, np.int64(r["docs"]).tobytes()))
+            columns = list(zip(*out)) or [[] for _ in range(11)]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32()] + [pa.binary()] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
-                 *[pa.array(c, pa.binary()) for c in columns[3:]]],
-                names=["bucket", "part", "batch", "words", "sizes", "train", "entry_word", "entry_doc", "entry_n", "docs"])
+                [pa.array(c, t) for c, t in zip(columns, kinds)],
+                names=["bucket", "part", "batch", "cls", "words", "sizes", "train", "entry_word", "entry_doc", "entry_n", "docs"])
     return run
 
 
@@ -330,11 +366,11 @@ def sums_table(rows: list[dict]) -> pa.Table:
                     | {"vocabulary": pa.array([r.get("vocabulary", 0) for r in rows], pa.int64())})
 
 
-def bucket_sums(path: str, logp):
+def bucket_sums(path: str, shared):
     """One bucket: exact counts and one score for each word, then sums by
     document and batch. The rows of bucket -1 only change their columns' names."""
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
+        learned, rows = shared.value, table.to_pylist()
         if rows[0]["bucket"] < 0:
             return sums_table([{"batch": r["batch"], "known": r["words"], "sizes": r["sizes"], "base": r["train"], "score": r["entry_word"],
                                 "ids": r["entry_doc"], "valid": r["entry_n"]} for r in rows])
@@ -346,10 +382,10 @@ def bucket_sums(path: str, logp):
                 own.append(ids.setdefault(blob[at:e], len(ids)))
                 at = e
             parts.append(np.array(own, np.int64))
-        counts = np.zeros(len(ids))
+        counts = np.zeros((len(ids), len(learned.words)))
         for r, own in zip(rows, parts):
-            counts[own] += np.frombuffer(r["train"], np.uint32)          # a batch names a word once
-        scores = log_scores(list(ids), path, np.frombuffer(logp.value))
+            counts[own, r["cls"]] += np.frombuffer(r["train"], np.uint32)          # a batch names a word once
+        scores = learned.word_scores(counts, log_scores(list(ids), path, learned.logp))
         out = []
         for r, own in zip(rows, parts):
             n_docs = int(np.frombuffer(r["docs"], np.int64)[0])
@@ -357,45 +393,54 @@ def bucket_sums(path: str, logp):
             known, base, score = sums_by_document(counts, scores, own[word], doc, times, n_docs)
             some = np.unique(doc)
             out.append({"batch": r["batch"], "docs": some.tobytes(), "known": known[some].tobytes(), "base": base[some].tobytes(), "score": score[some].tobytes()})
-        out[0]["vocabulary"] = int((counts > 0).sum())
+        out[0]["vocabulary"] = int((counts.sum(axis=1) > 0).sum())
         return sums_table(out)
     return run
 
 
-def batch_sums(table: pa.Table) -> pa.Table:
+def batch_sums(shared):
     """One batch: the sums of all buckets, a row for each document."""
-    rows = table.to_pylist()
-    info = next(r for r in rows if r["ids"] is not None)
-    sizes, ids, valid = np.frombuffer(info["sizes"], np.int64), np.frombuffer(info["ids"], np.int64), np.frombuffer(info["valid"], np.uint8)
-    known, base, score = (np.frombuffer(info[c], np.float64).copy() for c in ("known", "base", "score"))
-    vocabulary = np.zeros(len(ids), np.int64)
-    # always in the same order, so that sums round alike in every run
-    for r in sorted((r for r in rows if r["ids"] is None), key=lambda r: (r["docs"], r["base"])):
-        doc = np.frombuffer(r["docs"], np.uint32)
-        for total, c in ((known, "known"), (base, "base"), (score, "score")):
-            total[doc] += np.frombuffer(r[c], np.float64)
-        vocabulary[0] += r["vocabulary"]
-    return pa.table({"id": pa.array(ids, mask=valid == 0), "n_words": pa.array(sizes), "n_known": pa.array(np.rint(known).astype(np.int64)),
-                     "base": pa.array(base), "score": pa.array(score), "vocabulary": pa.array(vocabulary)})
-
-
-def score_documents(df: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", iterations: int = ITERATIONS) -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        learned, info = shared.value, next(r for r in rows if r["ids"] is not None)
+        sizes, ids, valid = np.frombuffer(info["sizes"], np.int64), np.frombuffer(info["ids"], np.int64), np.frombuffer(info["valid"], np.uint8)
+        classes, vocabulary = len(learned.words), np.zeros(len(ids), np.int64)
+        known, base = (np.frombuffer(info[c], np.float64).copy() for c in ("known", "base"))
+        score = np.frombuffer(info["score"], np.float64).reshape(-1, classes).copy()
+        # always in the same order, so that sums round alike in every run
+        for r in sorted((r for r in rows if r["ids"] is None), key=lambda r: (r["docs"], r["base"])):
+            doc = np.frombuffer(r["docs"], np.uint32)
+            known[doc] += np.frombuffer(r["known"], np.float64)
+            base[doc] += np.frombuffer(r["base"], np.float64)
+            score[doc] += np.frombuffer(r["score"], np.float64).reshape(-1, classes)
+            vocabulary[0] += r["vocabulary"]
+        return pa.table({"id": pa.array(ids, mask=valid == 0), "n_words": pa.array(sizes), "n_known": pa.array(np.rint(known).astype(np.int64)),
+                         "base": pa.array(base), "score": pa.array(learned.text_scores(score, sizes)), "vocabulary": pa.array(vocabulary)})
+    return run
+
+
+def score_documents(df: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", class_col: str | None = "lang",
+                    iterations: int = ITERATIONS) -> DataFrame:
     """A row for each row of ``df``: ``id`` (an integer column), ``held_out``,
     ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"), (~held_out(F.col(id_col))).alias("train"))
-    weights, end, common = learn(rows.filter("train").select("t"), path, iterations)
-    logp, table = spark.sparkContext.broadcast(weights.tobytes()), spark.sparkContext.broadcast(common)
-    dealt = rows.mapInArrow(dealer(path, partitions(spark), logp, table), DEALT)
-    sums = dealt.groupBy("bucket", "part").applyInArrow(bucket_sums(path, logp), SUMS)
-    scored = materialize(sums.groupBy("batch").applyInArrow(batch_sums, SCORED).withColumn("held_out", held_out(F.col("id"))), "scored")
+    named = F.col(class_col).cast("string") if class_col in df.columns else F.lit(None).cast("string")
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"), (~held_out(F.col(id_col))).alias("train"), named.alias("name"))
+    names = [r["name"] for r in rows.filter("train and name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "name").limit(CLASSES).collect()]
+    cls = F.coalesce(*[F.when(F.col("name") == n, F.lit(i)) for i, n in enumerate(names)], F.lit(len(names)))
+    rows = rows.withColumn("cls", cls).drop("name")
+    learned = learn(rows.filter("train").select("t", "cls"), path, len(names) + 1, iterations)
+    shared = spark.sparkContext.broadcast(learned)
+    dealt = rows.mapInArrow(dealer(path, partitions(spark), shared), DEALT)
+    sums = dealt.groupBy("bucket", "part").applyInArrow(bucket_sums(path, shared), SUMS)
+    scored = materialize(sums.groupBy("batch").applyInArrow(batch_sums(shared), SCORED).withColumn("held_out", held_out(F.col("id"))), "scored")
     texts, words, vocabulary = scored.agg(
         F.count(F.when(~F.col("held_out"), 1)), F.sum(F.when(~F.col("held_out"), F.col("n_words"))), F.sum("vocabulary")).first()
     train_tokens = (words or 0) + texts
-    vocabulary = (vocabulary or 0) + sum(c > 0 for c in common.values()) + (texts > 0)
+    vocabulary = (vocabulary or 0) + int((learned.counts.sum(axis=1) > 0).sum()) + (texts > 0)
     unit = log10(train_tokens + vocabulary + 1)
     return scored.select(
         "id", "held_out", (F.col("n_words") + 1).alias("n_tokens"), (F.col("n_known") + int(texts > 0)).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.lit(log10(texts + 1)) - (F.col("n_words") + 1) * F.lit(unit)).alias("base_score"),
-        (F.col("score") + F.lit(end / log(10))).alias("score"))
+        (F.col("base") + F.lit(log10(texts + 1)) - (F.col("n_words") + 1) * F.lit(unit)).alias("base_score"), "score")

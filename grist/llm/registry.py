@@ -72,5 +72,5 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = lattice_lm.score_documents(read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    scored = lattice_lm.score_documents(read(spark, sf_dir, "documents", "doc_id", "text", "lang"), public_tokenizers.path("piece_bpe_32k.model"))
     return scored.withColumnRenamed("id", "doc_id")
