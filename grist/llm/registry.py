@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grist.llm import bpe, html_extract, lattice_lm, mixing, quality_rules, simhash, substring
+from grist.llm import bpe, html_extract, kneser_ney, lattice_lm, mixing, quality_rules, simhash, substring
 from grist.llm.common import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lattice_lm.score_documents(read(spark, sf_dir, "documents", "doc_id", "text", "lang"), public_tokenizers.path("piece_bpe_32k.model"))
     return scored.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    _, measured, limits, limit = kneser_ney.fit(documents, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    judged = kneser_ney.judge(measured, limits, limit, "language")
+    return judged.select(F.col("id").alias("doc_id"), F.col("language").alias("lang"), "perplexity", "threshold", "kept")
