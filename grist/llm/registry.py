@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grist.llm import bpe, html_extract, kneser_ney, lattice_lm, mixing, quality_rules, simhash, substring
+from grist.llm import bpe, html_extract, kneser_ney, lattice_lm, licenses, mixing, quality_rules, simhash, substring
 from grist.llm.common import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, measured, limits, limit = kneser_ney.fit(documents, read(spark, sf_dir, "labels", "doc_id", "quality"))
     judged = kneser_ney.judge(measured, limits, limit, "language")
     return judged.select(F.col("id").alias("doc_id"), F.col("language").alias("lang"), "perplexity", "threshold", "kept")
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.recognise(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.array_join("sentences", ",").alias("sentences"), F.array_join("licences", ",").alias("licences"),
+                        F.size("sentences").cast("long").alias("n_known"))
+
+
+ORACLES["op5_license_scan"] = licenses.oracle()
