@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grist.llm import bpe, html_extract, kneser_ney, lattice_lm, licenses, mixing, quality_rules, simhash, substring
+from grist.llm import bpe, html_extract, kneser_ney, lattice_lm, licenses, mixing, mtree, quality_rules, simhash, substring
 from grist.llm.common import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,32 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_license_scan"] = licenses.oracle()
+
+
+@query
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 50 == 0)
+
+
+ORACLES["op3_exact_top_k"] = """
+    with whole as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+                   where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scored as (select q.vec_id as query_id, w.vec_id, list_inner_product(q.v, w.v)::bigint as score
+               from whole q join whole w on w.vec_id <> q.vec_id where q.vec_id % 50 = 0)
+    select query_id, rank::int as rank, vec_id, score
+    from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5"""
+
+ORACLES["op7_substring_dedup"] = """
+    with words as (select doc_id, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+                   from documents where text is not null),
+    starts as (select doc_id, w, unnest(range(1, len(w) - 48)) as p from words),
+    windows as (select doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) as h from starts),
+    firsts as (select h, min(doc_id) as first from windows group by h),
+    gone as (select distinct doc_id, unnest(range(p, p + 50)) as p from windows join firsts using (h) where first < doc_id),
+    lists as (select doc_id, list(p) as ps from gone group by doc_id),
+    kept as (select doc_id, len(w) as n, coalesce(len(ps), 0) as r,
+                    case when ps is null then w else list_filter(w, lambda x, i: not list_contains(ps, i)) end as k
+             from words left join lists using (doc_id))
+    select d.doc_id, coalesce(n, 0)::bigint as n_words, coalesce(r, 0)::bigint as n_removed,
+           sha256(coalesce(array_to_string(k, ' '), '')) as kept_sha256
+    from documents d left join kept using (doc_id)"""
