@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,3 +122,7 @@ ORACLES["op7_substring_dedup"] = """
     select d.doc_id, coalesce(n, 0)::bigint as n_words, coalesce(r, 0)::bigint as n_removed,
            sha256(coalesce(array_to_string(k, ' '), '')) as kept_sha256
     from documents d left join kept using (doc_id)"""
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

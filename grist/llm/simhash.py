@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from grist.llm.common import free_name, materialize, partitions
+from grist.llm.common import free_name, key_filter, materialize, partitions
 from grist.operators.components import connected_components
 
 SHINGLE = 3
@@ -265,13 +265,40 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Da
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(id_col, fingerprint, component) of each row: ``component`` stands for
-    the group (one of its fingerprints), ``component_id`` is its smallest id."""
-    rows = materialize(fingerprints(df.select(id_col, text), text, "fingerprint", shingle).select(id_col, "fingerprint"), "prints")
-    prints = materialize(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(id_col).alias("first")), "distinct-prints")
+    """A row for each row of ``df``: ``id_col``, ``text_hash``, ``fingerprint``,
+    ``component`` (one of its fingerprints), ``component_id`` (its smallest id)
+    and ``best``: the text hash of its first row by id, null ids last."""
+    rows = materialize(fingerprints(df.select(id_col, text), text, "fingerprint", shingle).select(
+        id_col, "fingerprint", F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash")), "prints")
+    first = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("text_hash").alias("hash")))
+    prints = materialize(rows.groupBy(F.col("fingerprint").alias("fp")).agg(first.alias("first")), "distinct-prints")
     found = materialize(links(prints, max_bits).distinct(), "links")
     component = connected_components(found).select(F.col("vertex").alias("fp"), "component")
     labelled = prints.join(component, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_print = materialize(labelled.join(smallest, "component").select(F.col("fp").alias("fingerprint"), "component", "component_id"), "groups")
-    return rows.join(by_print, "fingerprint").select(id_col, "fingerprint", "component", "component_id")
+    smallest = materialize(labelled.groupBy("component").agg(F.min("first").alias("first")), "firsts")
+    by_print = materialize(labelled.drop("first").join(smallest, "component").select(
+        F.col("fp").alias("fingerprint"), "component", F.col("first.id").alias("component_id"), F.col("first.hash").alias("best")), "groups")
+    return rows.join(by_print, "fingerprint").select(id_col, "text_hash", "fingerprint", "component", "component_id", "best")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that come first in their groups: smallest id, null
+    ids last, one row if several are alike in id and text.
+
+    Texts are shuffled only for rows that go or may go.
+    """
+    grouped = groups(df, id_col, text, **options)
+    stays = F.col(id_col).eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("best"))
+    marks = (grouped.groupBy(F.col(id_col).alias("i"), F.col("text_hash").alias("h")).agg(F.min(stays).alias("stays"), F.count(F.lit(1)).alias("n"))
+             .filter(~F.col("stays") | (F.col("n") > 1)).withColumn("key", F.xxhash64("i", "h")))
+    marks = materialize(marks, "marks")
+    key, h, i, marked, stay = free_name(df, "_key", "_h", "_i", "_marked", "_stay")
+    keyed = df.withColumn(h, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    keyed = keyed.withColumn(key, F.xxhash64(id_col, h))
+    tested = keyed.withColumn(marked, key_filter(marks, "key")(key))
+    named = marks.select(F.col("i").alias(i), F.col("h").alias("_mark_h"), F.col("stays").alias(stay))
+    met = tested.filter(F.col(marked)).join(named, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(h) == F.col("_mark_h")), "left")
+    unmarked = met.filter(F.col(stay).isNull())
+    alike = met.filter(F.col(stay)).dropDuplicates([id_col, h])
+    rest = tested.filter(~F.col(marked))
+    return rest.select(*df.columns).unionByName(unmarked.select(*df.columns)).unionByName(alike.select(*df.columns))
