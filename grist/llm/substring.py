@@ -173,12 +173,11 @@ def cutter(window: int):
 def removals(rows: DataFrame, window: int) -> DataFrame:
     """(owner, a, starts, whole) of each text that loses words; ``rows`` has
     owner (id), a and b (128 bits of the text) and t (the text)."""
-    spark = rows.sparkSession
     texts = materialize(rows.groupBy("a", "b").agg(F.min("owner").alias("first"), F.max("owner").alias("last"),
                                                    F.count(F.lit(1)).alias("n")), "texts")
-    spans_of = rows.mapInArrow(anchor_rows(window), ANCHOR_ROWS)
-    marks = materialize(spans_of, "anchors")
-    shared = marks.groupBy("anchor").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter("x < y").select("anchor")
+    marks = materialize(rows.mapInArrow(anchor_rows(window), ANCHOR_ROWS), "anchors")
+    # written out, so that the joins below read two plain shuffles, whose hot keys adaptive execution can split
+    shared = materialize(marks.groupBy("anchor").agg(F.min("a").alias("x"), F.max("a").alias("y")).filter("x < y").select("anchor"), "shared")
     lists = marks.join(shared, "anchor").groupBy("a").agg(F.collect_set("anchor").alias("anchors"))
     # one row for each different text stands for it: that of the smallest id
     lists = materialize(lists.join(texts.select("a", F.col("first").alias("owner")), "a")
@@ -187,8 +186,8 @@ def removals(rows: DataFrame, window: int) -> DataFrame:
     candidates = (rows.filter(F.col("t").isNotNull()).select("t", "owner", "a", F.xxhash64("owner", "a").alias("key"))
                   .filter(may_repeat("key")).join(lists.select("owner", "a", "anchors"), ["owner", "a"]))
     windows = materialize(candidates.select("t", "owner", "a", "anchors").mapInArrow(window_rows(window), WINDOW_ROWS), "windows")
-    firsts = (windows.groupBy("h1", "h2").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
-              .filter("first < last").select("h1", "h2", "first"))
+    firsts = materialize(windows.groupBy("h1", "h2").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
+                         .filter("first < last").select("h1", "h2", "first"), "firsts")
     hits = windows.join(firsts, ["h1", "h2"]).filter("owner > first").groupBy("owner", "a").agg(F.collect_set("pos").alias("starts"))
     copies = (rows.select("owner", "a", "b").join(texts.filter("first < last").select("a", "b", "first"), ["a", "b"])
               .filter("owner > first").groupBy("owner", "a").agg(F.lit(True).alias("whole")))
