@@ -1,7 +1,7 @@
 """Licence recognition by sentences (operator 5), native Spark functions only.
 
 A text is cut into sentences after ``.``, ``:``, ``!`` and ``?`` before a blank,
-and either at every line end or, for wrapped texts, at empty lines; the reading
+and either at every line end or, for wrapped texts, at lines without a word; the reading
 with more known sentences counts (by lines, if equal). A sentence is
 normalised: lower case, everything but ASCII letters and digits to single
 blanks, comment marks thereby gone. A table maps
@@ -124,6 +124,7 @@ RULES = (
 #: Every known sentence holds one of these, whatever its case (tested).
 TRIGGERS = ("licen", "permi", "redistrib", "warrant", "copyright", "rights reserved", "public domain", "provided as is", "cc0", "mpl", "endorse")
 BLANK = r"[\x20\x09-\x0D]"
+EMPTY_LINE = r"\n[^a-zA-Z0-9\n]*\n"         # nothing, or only comment marks
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -173,7 +174,7 @@ def recognise(df: DataFrame, text: str = "text") -> DataFrame:
     none = F.array().cast("array<string>")
     triggered = F.col(text).rlike(trigger_pattern())
     lines = F.split(F.regexp_replace(F.col(text), f"([.:!?]){BLANK}+", "$1\n"), r"[\r\n]+")
-    parts = F.split(F.regexp_replace(F.col(text), f"([.:!?]){BLANK}+", "$1\n\n"), rf"\n{BLANK}*\n")
+    parts = F.split(F.regexp_replace(F.col(text), f"([.:!?]){BLANK}+", "$1\n\n"), EMPTY_LINE)
     df = df.withColumns({by_line: F.when(triggered, identifiers(lines)).otherwise(none),
                          by_block: F.when(triggered, identifiers(parts)).otherwise(none)})
     df = df.withColumn("sentences", F.when(F.size(by_block) > F.size(by_line), F.col(by_block)).otherwise(F.col(by_line)))
@@ -201,7 +202,7 @@ def oracle(limit_to: str = "documents") -> str:
       select doc_id, '{mode}' as mode, i, trim(regexp_replace(translate(raw, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')) as s
       from (select doc_id, unnest(parts) as raw, generate_subscripts(parts, 1) as i from (select doc_id, {cut} as parts from {limit_to} where text is not null))"""
     line = f"regexp_split_to_array(regexp_replace(text, '([.:!?]){blank}+', E'\\\\1\\n', 'g'), '[\\r\\n]+')"
-    part = f"regexp_split_to_array(regexp_replace(text, '([.:!?]){blank}+', E'\\\\1\\n\\n', 'g'), '\\n{blank}*\\n')"
+    part = f"regexp_split_to_array(regexp_replace(text, '([.:!?]){blank}+', E'\\\\1\\n\\n', 'g'), '{EMPTY_LINE}')"
     return f"""
     with known(s, id) as (values {known}),
     raw as ({ids_of('line', line)} union all {ids_of('block', part)}),

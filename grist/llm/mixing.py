@@ -54,11 +54,11 @@ def targets(counts: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP)
     ranked = prefix_sum(per_source, ["no_source", "name"], None, "rank")
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     shares = materialize(ranked.withColumn("weight", weight.cast("long")), "sources")
-    total, all_weight = shares.agg(F.sum("source_size"), F.sum("weight")).first()
+    total, all_weight = (x or 0 for x in shares.agg(F.sum("source_size"), F.sum("weight")).first())
     capped_words = capped_weight = 0
     while True:
         # words for one unit of weight, if the sources capped so far stay so
-        free = (all_weight or 0) - capped_weight
+        free = all_weight - capped_weight
         level = (total - cap * capped_words) / free if free else 0.0
         over = F.col("weight") * F.lit(float(level)) >= cap * F.col("source_size")
         words, weight_over = shares.filter(over).agg(F.sum("source_size"), F.sum("weight")).first()
