@@ -35,9 +35,9 @@ from pyspark.sql.types import BinaryType, StringType
 
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_PIECES = 400_000          # distinct pieces a worker remembers
+CACHE_PIECES = 150_000          # distinct pieces, and words, that a worker remembers
 CACHE_LENGTH = 64               # longer ones are encoded anew
-CACHE_PAIRS = 1_000_000
+CACHE_PAIRS = 200_000
 DOUBLE_BLANK = re.compile(r"\s\s")
 
 

@@ -74,7 +74,7 @@ def knapsack(budget: int, sizes: Sequence[int], counts: Sequence[int]) -> list[i
     the largest reachable sum not above it, or the smallest above it if that is
     nearer. Reachable sums are the bits of one integer; counts are cut into
     powers of two."""
-    top = budget + (min(sizes) if sizes else 0)
+    top = budget + (max(sizes) if sizes else 0)      # a least sum above the budget isn't above this
     full = (1 << (top + 1)) - 1
     reach, steps = 1, []
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):

@@ -251,7 +251,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Da
     """(src, dst) links among the different fingerprints ``fp``; their
     components are those of all links."""
     n = prints.count()
-    kept = masks(plan(prints, n, max_bits))
+    kept = masks(plan(prints, max(n, 1), max_bits))
     probes = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(k))) for k in kept])).alias("v", "value"))
     hot = materialize(probes.groupBy("v", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
                       .select("v", "value", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "hot-keys")

@@ -38,7 +38,7 @@ from grist.llm.common import free_name, key_filter, materialize
 
 WINDOW = 50
 ANCHOR = 16
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 LAST_ID = (1 << 63) - 1
 BASES = tuple(np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64))
 
