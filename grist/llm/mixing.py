@@ -108,15 +108,15 @@ def fit(sizes: np.ndarray, counts: np.ndarray, target: float) -> tuple[int, np.n
     if not total:
         return 0, np.zeros(len(sizes), np.int64)
     rounds, rest = divmod(budget, total)
-    extra = (counts * (rest / total)).astype(np.int64)      # the same share of each size
+    extra = np.where(sizes > 0, counts * (rest / total), 0).astype(np.int64)      # the same share of each size
     left = rest - int((extra * sizes).sum())
     for i in np.argsort(-sizes, kind="stable"):             # whole documents, until the knapsack can do the rest
-        if left <= KNAPSACK:
+        if left <= KNAPSACK or not sizes[i]:
             break
         k = min(int(counts[i] - extra[i]), (left - KNAPSACK) // int(sizes[i]) + 1, left // int(sizes[i]))
         extra[i] += k
         left -= k * int(sizes[i])
-    free = np.nonzero((counts > extra) & (sizes <= left + sizes.min()))[0]
+    free = np.nonzero((counts > extra) & (sizes > 0) & (sizes < 2 * left))[0]        # larger ones would miss by more than nothing does
     if left > 0 and len(free):
         extra[free] += knapsack(left, sizes[free].tolist(), (counts - extra)[free].tolist())
     return int(rounds), extra
@@ -151,7 +151,8 @@ def times_taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
                  placed.filter(~inside).withColumn("more", F.col("start") < F.col("extra")).drop("in_bin", "start"),
                  placed.filter(inside).withColumn("more", F.col("start") + rank <= F.col("extra")).drop("in_bin", "start")]
     every = once_more[0].unionByName(once_more[1]).unionByName(once_more[2])
-    return every.withColumn("times", F.col("rounds") + F.col("more").cast("long")).drop("bin", "some", "more")
+    times = F.when(F.col("size") > 0, F.col("rounds") + F.col("more").cast("long")).otherwise(F.lit(0).cast("long"))
+    return every.withColumn("times", times).drop("bin", "some", "more")
 
 
 def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id",
