@@ -22,8 +22,8 @@ Its counts must be exact over the corpus, and some words are in every document:
 * ``COMMON`` words at most, the most frequent by the tasks' own lists, are
   counted exactly in one more scan and broadcast (a bounded table);
 * all other words are dealt by hash into buckets. Each batch of documents sends
-  a bucket its different words, their training counts, and (document, word,
-  times) triples packed in arrays. A bucket adds up the counts, scores each of
+  a bucket its different words and, for each, the documents it is in and how
+  often, packed in arrays. A bucket adds up the counts, scores each of
   its words once, and returns sums by document, which are added by batch.
 
 Defined cases: null text is empty (one end mark); a null id counts as the empty
@@ -52,6 +52,7 @@ ITERATIONS = 2
 COMMON = 20_000             # words counted and scored from a broadcast table, at most
 LOCAL_SHARE = 40_000        # a task names a word that makes up 1 / LOCAL_SHARE of its words
 FLUSH = 300_000             # different words a task gathers before it adds them to its sums
+LEAST_BUCKETS = 64          # more with more shuffle partitions
 CHUNK = 8192                # words of one length recursed together
 PRIOR = 0.1                 # added to each piece's expected count
 SPELLED = 0.08              # share of words spelled by pieces; the others come whole from the training words
@@ -299,7 +300,6 @@ def pack_batch(batch: pa.RecordBatch, number: int, buckets: int, table: dict[byt
     words = list(ids)
     pair, times = np.unique(flat * len(tokens) + doc, return_counts=True)
     word, doc = np.divmod(pair, max(1, len(tokens)))
-    trained = np.bincount(word, times * train[doc], len(words)).astype(np.uint32)
     # common words go to bucket -1, which is answered by the same task
     bucket = np.fromiter((-1 if w in table else xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
     order = np.argsort(bucket, kind="stable")
@@ -313,8 +313,8 @@ def pack_batch(batch: pa.RecordBatch, number: int, buckets: int, table: dict[byt
             continue
         own, some = order[lo:hi], entries[entry_starts[b + 1]:entry_starts[b + 2]]
         mine = [words[i] for i in own.tolist()]
-        yield {"bucket": b, "batch": number, "words": mine, "train": trained[own], "entry_word": (place[word[some]] - lo).astype(np.uint32),
-               "entry_doc": doc[some].astype(np.uint32), "entry_n": times[some].astype(np.uint32), "docs": len(tokens), "sizes": sizes}
+        yield {"bucket": b, "batch": number, "words": mine, "train": np.packbits(train), "entry_word": place[word[some]] - lo,
+               "entry_doc": doc[some].astype(np.uint16), "entry_n": times[some], "docs": len(tokens), "sizes": sizes}
 
 
 def sums_by_document(counts: np.ndarray, scores: np.ndarray, entry_word, entry_doc, entry_n, n_docs: int):
@@ -348,7 +348,9 @@ def dealer(path: str, buckets: int, shared):
                         packed = [known, r["sizes"], base, score, np.asarray(ids.fill_null(0)).astype(np.int64), np.asarray(ids.is_valid()).astype(np.uint8)]
                     else:
                         sizes = np.fromiter(map(len, r["words"]), np.uint32, len(r["words"]))
-                        packed = [b"".join(r["words"]), sizes, r["train"], r["entry_word"], r["entry_doc"], r["entry_n"]]
+                        # entries are in the order of the words: a number for each word tells them apart
+                        times = r["entry_n"].astype(np.uint16 if r["entry_n"].max() < 1 << 16 else np.uint32)
+                        packed = [b"".join(r["words"]), sizes, r["train"], np.bincount(r["entry_word"], minlength=len(sizes)).astype(np.uint16), r["entry_doc"], times]
                     packed = [x if isinstance(x, bytes) else x.tobytes() for x in packed]
                     out.append((r["bucket"], number if r["bucket"] < 0 else 0, number, cls, *packed, np.int64(r["docs"]).tobytes()))
             columns = list(zip(*out)) or [[] for _ in range(11)]
@@ -382,17 +384,22 @@ def bucket_sums(path: str, shared):
                 own.append(ids.setdefault(blob[at:e], len(ids)))
                 at = e
             parts.append(np.array(own, np.int64))
-        counts = np.zeros((len(ids), len(learned.words)))
+        counts, entries = np.zeros((len(ids), len(learned.words))), []
         for r, own in zip(rows, parts):
-            counts[own, r["cls"]] += np.frombuffer(r["train"], np.uint32)          # a batch names a word once
+            n_docs = int(np.frombuffer(r["docs"], np.int64)[0])
+            word = np.repeat(np.arange(len(own)), np.frombuffer(r["entry_word"], np.uint16))
+            doc = np.frombuffer(r["entry_doc"], np.uint16)
+            times = np.frombuffer(r["entry_n"], np.uint16 if len(r["entry_n"]) == 2 * len(doc) else np.uint32)
+            train = np.unpackbits(np.frombuffer(r["train"], np.uint8), count=n_docs)
+            counts[own, r["cls"]] += np.bincount(word, times * train[doc].astype(np.int64), len(own))          # a batch names a word once
+            entries.append((own[word], doc, times, n_docs))
         scores = learned.word_scores(counts, log_scores(list(ids), path, learned.logp))
         out = []
-        for r, own in zip(rows, parts):
-            n_docs = int(np.frombuffer(r["docs"], np.int64)[0])
-            word, doc, times = (np.frombuffer(r[c], np.uint32) for c in ("entry_word", "entry_doc", "entry_n"))
-            known, base, score = sums_by_document(counts, scores, own[word], doc, times, n_docs)
-            some = np.unique(doc)
-            out.append({"batch": r["batch"], "docs": some.tobytes(), "known": known[some].tobytes(), "base": base[some].tobytes(), "score": score[some].tobytes()})
+        for r, own in zip(rows, entries):
+            known, base, score = sums_by_document(counts, scores, *own)
+            some = np.unique(own[1])
+            out.append({"batch": r["batch"], "docs": some.tobytes(), "known": known[some].astype(np.uint32).tobytes(), "base": base[some].tobytes(),
+                        "score": score[some].astype(np.float32).tobytes()})
         out[0]["vocabulary"] = int((counts.sum(axis=1) > 0).sum())
         return sums_table(out)
     return run
@@ -409,10 +416,10 @@ def batch_sums(shared):
         score = np.frombuffer(info["score"], np.float64).reshape(-1, classes).copy()
         # always in the same order, so that sums round alike in every run
         for r in sorted((r for r in rows if r["ids"] is None), key=lambda r: (r["docs"], r["base"])):
-            doc = np.frombuffer(r["docs"], np.uint32)
-            known[doc] += np.frombuffer(r["known"], np.float64)
+            doc = np.frombuffer(r["docs"], np.uint16)
+            known[doc] += np.frombuffer(r["known"], np.uint32)
             base[doc] += np.frombuffer(r["base"], np.float64)
-            score[doc] += np.frombuffer(r["score"], np.float64).reshape(-1, classes)
+            score[doc] += np.frombuffer(r["score"], np.float32).reshape(-1, classes)
             vocabulary[0] += r["vocabulary"]
         return pa.table({"id": pa.array(ids, mask=valid == 0), "n_words": pa.array(sizes), "n_known": pa.array(np.rint(known).astype(np.int64)),
                          "base": pa.array(base), "score": pa.array(learned.text_scores(score, sizes)), "vocabulary": pa.array(vocabulary)})
@@ -432,7 +439,7 @@ def score_documents(df: DataFrame, path: str, id_col: str = "doc_id", text: str
     rows = rows.withColumn("cls", cls).drop("name")
     learned = learn(rows.filter("train").select("t", "cls"), path, len(names) + 1, iterations)
     shared = spark.sparkContext.broadcast(learned)
-    dealt = rows.mapInArrow(dealer(path, partitions(spark), shared), DEALT)
+    dealt = rows.mapInArrow(dealer(path, max(partitions(spark), LEAST_BUCKETS), shared), DEALT)
     sums = dealt.groupBy("bucket", "part").applyInArrow(bucket_sums(path, shared), SUMS)
     scored = materialize(sums.groupBy("batch").applyInArrow(batch_sums(shared), SCORED).withColumn("held_out", held_out(F.col("id"))), "scored")
     texts, words, vocabulary = scored.agg(
