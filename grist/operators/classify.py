@@ -1,40 +1,48 @@
 """Train-and-score text classifiers as Spark jobs.
 
-The reference calls pre-trained fastText models that are not available;
-here each head is a multinomial naive Bayes model trained on a labelled
-DataFrame with aggregates, and applied with a broadcast join:
-
-* features: lower-cased word runs, optionally plus word bigrams;
-* training: ``explode -> groupBy(feature, label).count()`` (partial
-  aggregation, so a feature present in every document costs one row per map
-  task), vocabulary = the ``vocab_size`` most frequent features (a
-  TakeOrderedAndProject, bounded), Laplace-smoothed log-probabilities;
-* scoring: ``explode -> broadcast join -> groupBy(doc)``. The model has at
-  most ``vocab_size`` rows (proven bound), so broadcasting it is safe at any
-  corpus size. When the input is hash-partitioned by the id (see
-  :func:`by_id`), the per-document aggregate and the join back to the rows
-  need no further shuffle.
+The reference calls pre-trained models that are not available; here each head
+is a multinomial naive Bayes model trained on a labelled DataFrame with
+aggregates and applied inside the scan:
+
+* features: lower-cased word runs, optionally plus word bigrams, each hashed
+  to one of ``BUCKETS`` buckets (the first 20 bits of its md5, which any engine
+  computes alike). No feature is dropped; the width of the model is fixed;
+* training: ``explode -> groupBy(bucket)`` with a count per head and class
+  (partial aggregation), Laplace-smoothed log-probabilities. At most about
+  ``max_train_rows`` labelled rows are used to fit, those of the smallest text
+  hashes; a bucket that no training row fills says nothing and is skipped;
+* scoring: the log-probabilities are a matrix with a row for each seen bucket (at
+  most 8 MB a class), broadcast once; a row is scored where it is read, by an
+  Arrow UDF over its words. No explode, join, shuffle or checkpoint, so texts
+  never move.
 
 Score: length-normalised log joint ``z_c = (log prior_c + sum log p(f|c)) /
-(m + 1)`` over the ``m`` in-vocabulary feature occurrences, turned into a
+(m + 1)`` over the ``m`` feature occurrences with a seen bucket, turned into a
 probability with a softmax at temperature ``TEMPERATURE``. The label is the
-arg-max (ties: the smallest class name).
+arg-max (ties: the smallest class name). A null text scores by the priors.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
+from hashlib import md5
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from grist.functions import text as T
 from grist.session import cut_lineage
 
 TEMPERATURE = 10.0
-DEFAULT_VOCAB = 1 << 16
+BUCKET_DIGITS = 5                       # hexadecimal digits of a feature's md5
+BUCKETS = 16 ** BUCKET_DIGITS
+MAX_TRAIN_ROWS = 500_000                # labelled rows that a fit uses, about, at most
+CACHED_FEATURES = 200_000
 
 
 @dataclass(frozen=True)
@@ -62,57 +70,79 @@ HARM_FEATURES = Featurizer(newline=" ", bigrams=True)
 QUALITY_FEATURES = Featurizer(newline=" ", bigrams=True)
 
 
+def bucket(feature: Column) -> Column:
+    digits = F.substring(F.md5(feature.cast("binary")), 1, BUCKET_DIGITS)
+    return F.conv(digits, 16, 10).cast("int")
+
+
+class BucketCache(dict):
+    """Bucket by feature, for a worker."""
+
+    def __missing__(self, feature: str) -> int:
+        if len(self) >= CACHED_FEATURES:
+            self.clear()
+        value = self[feature] = int(md5(feature.encode(), usedforsecurity=False).hexdigest()[:BUCKET_DIGITS], 16)
+        return value
+
+
+BUCKET_OF = BucketCache()
+
+
 @dataclass
 class NBModel:
     name: str
     classes: list[str]            # sorted
     log_priors: list[float]
-    table: DataFrame              # feature + log-probability columns (may hold other heads)
+    table: DataFrame              # bucket + log-probability columns (may hold other heads)
     featurizer: Featurizer
     cols: list[str]               # this head's log-probability columns, class order
+    dense: object                 # broadcast (columns, rows, matrix) shared by the heads of a table
 
 
-def by_id(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Hash-partition rows by id once, so per-document aggregates and joins
-    back on the id reuse this partitioning instead of shuffling again."""
-    return df.repartition(id_col)  # spark.sql.shuffle.partitions, sized for the data
+def _dense(table: DataFrame):
+    """Broadcast the model: its columns, the matrix row of each bucket (-1: not
+    seen) and the matrix; at most ``BUCKETS`` rows are fetched."""
+    cols = [c for c in table.columns if c != "bucket"]
+    found = table.toArrow()
+    row = np.full(BUCKETS, -1, np.int32)
+    row[found["bucket"].to_numpy()] = np.arange(found.num_rows)
+    matrix = np.stack([found[c].to_numpy() for c in cols], axis=1)
+    return table.sparkSession.sparkContext.broadcast((cols, row, matrix))
 
 
 def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
-                heads: dict[str, tuple[Column, list[str]]], vocab_size: int = DEFAULT_VOCAB,
-                alpha: float = 1.0) -> dict[str, NBModel]:
+                heads: dict[str, tuple[Column, list[str]]], alpha: float = 1.0,
+                max_train_rows: int = MAX_TRAIN_ROWS) -> dict[str, NBModel]:
     """Fit several naive Bayes heads that share features and training rows in
     one pass: ``heads`` maps a name to ``(label column, class names)``.
 
-    One explode, one partial-aggregated ``groupBy(feature)`` with a count per
-    (head, class), one bounded top-``vocab_size`` by total count (ties by
-    feature) — the shared vocabulary, and the model's row bound.
+    One explode and one partially aggregated ``groupBy(bucket)`` with a count
+    per head and class.
     """
     names = list(heads)
     ycols = {h: f"_y{i}" for i, h in enumerate(names)}
     classes = {h: sorted(heads[h][1]) for h in names}
-    # the labelled rows feed three small jobs (counts, vocabulary, priors);
-    # keep them for the duration of training instead of re-reading the source
-    rows = df.select(text_col, *[heads[h][0].alias(ycols[h]) for h in names]).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    rows = df.select(text_col, *[heads[h][0].alias(ycols[h]) for h in names])
+    share = min(1.0, max_train_rows / max(rows.count(), 1))
+    rows = rows.filter(F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < int(share * (1 << 30)))
     feats = featurizer.with_features(rows, text_col)
-    ex = feats.select(*ycols.values(), F.explode("_feats").alias("feature"))
+    ex = feats.select(*ycols.values(), F.explode("_feats").alias("_f")).select(
+        *ycols.values(), bucket(F.col("_f")).alias("bucket"))
     ncols, counts = [], []
     for h in names:
         for i, c in enumerate(classes[h]):
             ncols.append(f"n_{ycols[h]}_{i}")
             counts.append(F.sum(F.when(F.col(ycols[h]) == c, 1).otherwise(0))
                           .cast("bigint").alias(ncols[-1]))
-    wide = ex.groupBy("feature").agg(*counts, F.count(F.lit(1)).alias("_tot"))
-    top = cut_lineage(wide.orderBy(F.desc("_tot"), F.asc("feature")).limit(vocab_size))
-    totals = top.agg(F.count(F.lit(1)).alias("v"), *[F.sum(c).alias(c) for c in ncols]).first()
+    wide = cut_lineage(ex.groupBy("bucket").agg(*counts))
+    totals = wide.agg(F.count(F.lit(1)).alias("v"), *[F.sum(c).alias(c) for c in ncols]).first()
     v = totals["v"]
     doc_counts = rows.agg(*[F.sum(F.when(F.col(ycols[h]) == c, 1).otherwise(0)).alias(f"{ycols[h]}_{i}")
                             for h in names for i, c in enumerate(classes[h])]).first()
     lp = [F.log((F.col(c) + alpha) / F.lit(float((totals[c] or 0) + alpha * v))).alias("lp" + c[1:])
           for c in ncols]
-    table = cut_lineage(top.select("feature", *lp))
-    rows.unpersist()
+    table = cut_lineage(wide.select("bucket", *lp))
+    dense = _dense(table)
     models = {}
     for h in names:
         k = len(classes[h])
@@ -120,48 +150,79 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
         total = sum(docs)
         priors = [math.log(n / total) if n else -1e30 for n in docs]
         models[h] = NBModel(h, classes[h], priors, table, featurizer,
-                            [f"lp_{ycols[h]}_{i}" for i in range(k)])
+                            [f"lp_{ycols[h]}_{i}" for i in range(k)], dense)
     return models
 
 
 def train_nb(df: DataFrame, label_col: str, text_col: str, featurizer: Featurizer,
-             name: str, vocab_size: int = DEFAULT_VOCAB, alpha: float = 1.0) -> NBModel:
+             name: str, alpha: float = 1.0) -> NBModel:
     """Fit one head on ``(label, text)`` rows (classes = distinct labels)."""
     classes = [r[0] for r in df.select(label_col).distinct().collect()]  # one row per class
-    return train_heads(df, text_col, featurizer, {name: (F.col(label_col), classes)},
-                       vocab_size, alpha)[name]
+    return train_heads(df, text_col, featurizer, {name: (F.col(label_col), classes)}, alpha)[name]
+
+
+def save_models(models: list[NBModel], path: str) -> None:
+    """Write heads that share a table: the table as Parquet, the rest as JSON."""
+    first = models[0]
+    if any(m.table is not first.table for m in models):
+        raise ValueError("heads saved together must share their table")
+    about = [{"name": m.name, "classes": m.classes, "log_priors": m.log_priors, "cols": m.cols,
+              "newline": m.featurizer.newline, "bigrams": m.featurizer.bigrams} for m in models]
+    first.table.write.mode("overwrite").parquet(f"{path}/table")
+    first.table.sparkSession.createDataFrame([(json.dumps(about),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path}/heads")
+
+
+def load_models(spark: SparkSession, path: str) -> dict[str, NBModel]:
+    """Heads written by :func:`save_models`, by name; nothing is trained anew."""
+    table = spark.read.parquet(f"{path}/table")
+    dense = _dense(table)
+    about = json.loads(spark.read.text(f"{path}/heads", wholetext=True).first()[0])
+    return {a["name"]: NBModel(a["name"], a["classes"], a["log_priors"], table,
+                               Featurizer(a["newline"], a["bigrams"]), a["cols"], dense) for a in about}
+
+
+def with_scores(models: list[NBModel], df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` with ``<name>_label`` and ``<name>_score`` for heads that share
+    one table and featurizer. Narrow: each row is scored where it is."""
+    feat, shared = models[0].featurizer, models[0].dense
+    if any(m.table is not models[0].table or m.featurizer != feat for m in models):
+        raise ValueError("heads scored together must share their table and featurizer")
+    about = [(m.classes, np.array(m.log_priors), m.cols) for m in models]
+    names = [f"{m.name}_{x}" for m in models for x in ("label", "score")]
+    bigrams = feat.bigrams
+
+    @F.arrow_udf(Ty.StructType([Ty.StructField(n, Ty.StringType() if n.endswith("_label") else Ty.DoubleType())
+                                for n in names]))
+    def scores(words: pa.Array) -> pa.Array:
+        cols, row, matrix = shared.value
+        heads = [(classes, priors, [cols.index(c) for c in own]) for classes, priors, own in about]
+        of, found = BUCKET_OF.__getitem__, [[] for _ in names]
+        for own in words.to_pylist():
+            own = own or []
+            if bigrams:
+                own = own + [f"{a} {b}" for a, b in zip(own, own[1:])]
+            seen = row[np.fromiter(map(of, own), np.int64, len(own))]
+            rows = matrix[seen[seen >= 0]]
+            sums = rows.sum(axis=0)
+            for k, (classes, priors, take) in enumerate(heads):
+                z = (priors + sums[take]) / (len(rows) + 1)
+                best = int(z.argmax())
+                found[2 * k].append(classes[best])
+                found[2 * k + 1].append(float(1.0 / np.exp((z - z[best]) * TEMPERATURE).sum()))
+        return pa.StructArray.from_arrays(
+            [pa.array(c, pa.string() if n.endswith("_label") else pa.float64()) for n, c in zip(names, found)], names=names)
+
+    kept = [c for c in df.columns if c not in names]
+    out = df.withColumn("_scores", scores(feat.words(F.col(text_col))))
+    return out.select(*kept, *[F.col("_scores")[n].alias(n) for n in names])
 
 
 def score_heads(models: list[NBModel], df: DataFrame, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """``(id, <name>_label, <name>_score ...)`` for heads sharing one model
-    table and featurizer, from a single explode / broadcast join / aggregate."""
-    table = models[0].table
-    feat = models[0].featurizer
-    if any(m.table is not table or m.featurizer != feat for m in models):
-        raise ValueError("heads scored together must share their table and featurizer")
-    lp = [c for m in models for c in m.cols]
-    feats = feat.with_features(df.select(id_col, text_col), text_col)
-    # explode_outer keeps documents without features (prior only)
-    exploded = feats.select(id_col, F.explode_outer("_feats").alias("feature"))
-    joined = exploded.join(F.broadcast(table.select("feature", *lp)), "feature", "left")
-    agg = joined.groupBy(id_col).agg(*[F.sum(c).alias("s" + c) for c in lp],
-                                     F.count(lp[0]).alias("_m"))
-    zcols = {}
-    for m in models:
-        zcols.update({"z" + c: (F.lit(m.log_priors[i]) + F.coalesce(F.col("s" + c), F.lit(0.0)))
-                      / (F.col("_m") + 1) for i, c in enumerate(m.cols)})
-    agg = agg.select(id_col, *[v.alias(k) for k, v in zcols.items()])
-    out = [F.col(id_col)]
-    for m in models:
-        z = [F.col("z" + c) for c in m.cols]
-        zmax = F.greatest(*z) if len(z) > 1 else z[0]
-        denom = sum((F.exp((zi - zmax) * TEMPERATURE) for zi in z), F.lit(0.0))
-        label = F.lit(None).cast("string")
-        for i in reversed(range(len(z))):
-            label = F.when(z[i] == zmax, F.lit(m.classes[i])).otherwise(label)
-        out += [label.alias(f"{m.name}_label"), (F.lit(1.0) / denom).alias(f"{m.name}_score")]
-    return agg.select(*out)
+    """``(id, <name>_label, <name>_score ...)`` for every row of ``df``."""
+    scored = with_scores(models, df.select(id_col, text_col), text_col)
+    return scored.select(id_col, *[f"{m.name}_{x}" for m in models for x in ("label", "score")])
 
 
 def score_nb(model: NBModel, df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -180,10 +241,10 @@ def binary_labels(flag: Column, positive: str, negative: str) -> Column:
     return F.when(flag == 1, F.lit(positive)).otherwise(F.lit(negative))
 
 
-def train_language(documents: DataFrame, vocab_size: int = DEFAULT_VOCAB) -> NBModel:
+def train_language(documents: DataFrame) -> NBModel:
     """Language head trained on ``documents.lang``."""
     return train_nb(documents.select("lang", "text"), "lang", "text", LANGUAGE_FEATURES,
-                    "lang", vocab_size)
+                    "lang")
 
 
 # name -> (flag column in ``labels``, positive label, negative label). The
@@ -196,27 +257,26 @@ BINARY_HEADS = {
 }
 
 
-def train_binary_heads(documents: DataFrame, labels: DataFrame, names=("nsfw", "toxic", "quality"),
-                       vocab_size: int = DEFAULT_VOCAB) -> dict[str, NBModel]:
+def train_binary_heads(documents: DataFrame, labels: DataFrame, names=("nsfw", "toxic", "quality")) -> dict[str, NBModel]:
     """C2-C5 in one pass over ``documents JOIN labels`` (shared features)."""
     train = documents.select("doc_id", "text").join(labels, "doc_id", "inner")
     heads = {}
     for n in names:
         flag, pos, neg = BINARY_HEADS[n]
         heads[n] = (binary_labels(F.col(flag), pos, neg), [pos, neg])
-    return train_heads(train, "text", HARM_FEATURES, heads, vocab_size)
+    return train_heads(train, "text", HARM_FEATURES, heads)
 
 
-def train_nsfw(documents, labels, vocab_size=DEFAULT_VOCAB) -> NBModel:
-    return train_binary_heads(documents, labels, ("nsfw",), vocab_size)["nsfw"]
+def train_nsfw(documents, labels) -> NBModel:
+    return train_binary_heads(documents, labels, ("nsfw",))["nsfw"]
 
 
-def train_toxic(documents, labels, vocab_size=DEFAULT_VOCAB) -> NBModel:
-    return train_binary_heads(documents, labels, ("toxic",), vocab_size)["toxic"]
+def train_toxic(documents, labels) -> NBModel:
+    return train_binary_heads(documents, labels, ("toxic",))["toxic"]
 
 
-def train_quality(documents, labels, vocab_size=DEFAULT_VOCAB) -> NBModel:
-    return train_binary_heads(documents, labels, ("quality",), vocab_size)["quality"]
+def train_quality(documents, labels) -> NBModel:
+    return train_binary_heads(documents, labels, ("quality",))["quality"]
 
 
 # --- MLlib back end (C5, rows-only check) ------------------------------------

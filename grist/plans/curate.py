@@ -2,13 +2,10 @@
 funnel followed by fuzzy dedup (X1).
 
 Stage order follows the reference: English (on the raw text) -> mask PII ->
-harmful (nsfw, toxic) -> rules -> learned quality. Later stages only see the
-survivors of earlier ones: each classifier explodes and aggregates only the
-rows still alive, so the cheap, very selective language stage (98.85 % of
-records dropped in the reference's run) shields the others. Every stage
-result is joined back on ``doc_id``; the input is hash-partitioned by
-``doc_id`` once (:func:`grist.operators.classify.by_id`), so those joins and
-the per-document aggregates reuse that partitioning.
+harmful (nsfw, toxic) -> rules -> learned quality. All stages run in the scan
+of the records, one after the other, and work only on rows still alive, so the
+cheap, very selective language stage (98.85 % of records dropped in the
+reference's run) shields the others.
 """
 
 from __future__ import annotations
@@ -28,7 +25,6 @@ ENGLISH_LABEL, ENGLISH_MIN_SCORE = "en", 0.95          # keep when score > 0.95
 HARM_MIN_SCORE = 0.5                                   # drop when score < 0.5
 QUALITY_LABEL, QUALITY_MIN_SCORE = "high_quality", 0.5  # keep when score >= 0.5
 COARSE_MIN_SCORE = 0.8                                 # training-set filter
-STAGES = ("non_en", "harmful", "rules", "low_quality")
 # ---------------------------------------------------------------------------
 
 
@@ -65,37 +61,30 @@ def funnel(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
     """Every input row with ``masked`` text, the scores each stage computed and
     ``drop_reason`` (null = kept).
 
-    Each stage's scores (one small row per surviving document) are written to
-    the checkpoint folder once: the later branches read them instead of
-    re-running the explode/join/aggregate of earlier stages, and a lost
-    executor costs at most the current stage.
+    One narrow pass: a stage's text is null for rows that an earlier stage
+    dropped, so neither masks nor heads do any work on them. No row moves.
     """
-    d = C.by_id(documents, id_col)
-    lang = cut_lineage(C.score_nb(heads.lang, d, id_col, text_col))
-    s0 = d.join(lang, id_col, "left")
-    eng = is_english(F.col("lang_label"), F.col("lang_score"))
-    s0 = s0.withColumn("_en", eng).withColumn(
-        "masked", F.when(F.col("_en"), T.mask_pii(F.col(text_col))))
-
-    alive1 = s0.filter("_en").select(id_col, "masked")
-    harm_scores = cut_lineage(C.score_heads([heads.nsfw, heads.toxic], alive1, id_col, "masked"))
-    s1 = s0.join(harm_scores, id_col, "left")
+    s = C.with_scores([heads.lang], documents, text_col)
+    s = s.withColumn("_en", F.coalesce(is_english(F.col("lang_label"), F.col("lang_score")), F.lit(False)))
+    s = s.withColumn("masked", F.when(F.col("_en"), T.mask_pii(F.col(text_col))))
+    s = C.with_scores([heads.nsfw, heads.toxic], s, "masked")
     harm = is_harmful(F.col("nsfw_label"), F.col("nsfw_score"), F.col("toxic_label"),
                       F.col("toxic_score"))
-    s1 = s1.withColumn("_ok2", F.col("_en") & ~harm)
-    s1 = s1.withColumn("rule_failed", F.when(F.col("_ok2"),
-                                             quality.rule_failure_of(F.col("masked"))))
-    s1 = s1.withColumn("_ok3", F.col("_ok2") & F.col("rule_failed").isNull())
-
-    alive3 = s1.filter("_ok3").select(id_col, "masked")
-    q_scores = cut_lineage(C.score_nb(heads.quality, alive3, id_col, "masked"))
-    s3 = s1.join(q_scores, id_col, "left")
+    s = s.withColumn("_ok2", F.col("_en") & ~harm)
+    s = s.withColumn("rule_failed", F.when(F.col("_ok2"),
+                                           quality.rule_failure_of(F.col("masked"))))
+    s = s.withColumn("_ok3", F.col("_ok2") & F.col("rule_failed").isNull())
+    s = s.withColumn("_last", F.when(F.col("_ok3"), F.col("masked")))
+    s = C.with_scores([heads.quality], s, "_last")
     good = is_high_quality(F.col("quality_label"), F.col("quality_score"))
     reason = (F.when(~F.col("_en"), F.lit("non_en"))
               .when(~F.col("_ok2"), F.lit("harmful"))
               .when(~F.col("_ok3"), F.lit("rules"))
               .when(~good, F.lit("low_quality")))
-    return s3.withColumn("drop_reason", reason).drop("_en", "_ok2", "_ok3")
+    computed = {c: F.when(F.col(alive), F.col(c)) for alive, own in
+                (("_en", ("nsfw_label", "nsfw_score", "toxic_label", "toxic_score")),
+                 ("_ok3", ("quality_label", "quality_score"))) for c in own}
+    return s.withColumn("drop_reason", reason).withColumns(computed).drop("_en", "_ok2", "_ok3", "_last")
 
 
 def kept(funnel_df: DataFrame, id_col: str = "doc_id", extra: tuple[str, ...] = ()) -> DataFrame:
@@ -116,9 +105,7 @@ def coarse_filter(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """rules -> English >= 0.8 -> non-nsfw >= 0.8 -> non-toxic >= 0.8;
     ``coarse_reason`` null means the record is usable for training."""
-    d = C.by_id(documents, id_col)
-    s = (d.join(C.score_nb(heads.lang, d, id_col, text_col), id_col, "left")
-         .join(C.score_heads([heads.nsfw, heads.toxic], d, id_col, text_col), id_col, "left"))
+    s = C.with_scores([heads.nsfw, heads.toxic], C.with_scores([heads.lang], documents, text_col), text_col)
     reason = (F.when(quality.rule_failure_of(F.col(text_col)).isNotNull(), F.lit("rules"))
               .when((F.col("lang_label") != ENGLISH_LABEL)
                     | (F.col("lang_score") < COARSE_MIN_SCORE), F.lit("language"))
@@ -133,5 +120,5 @@ def curate_then_dedup(documents: DataFrame, heads: Heads,
                       params: minhash.MinHashParams = minhash.MinHashParams()) -> DataFrame:
     """Funnel, then fuzzy dedup of the survivors (default 10 hashes, 2
     bands, 2-word shingles, unverified)."""
-    survivors = kept(funnel(documents, heads))
+    survivors = cut_lineage(kept(funnel(documents, heads)))     # read twice: written once
     return minhash.fuzzy_dedup(survivors, params).kept

@@ -317,7 +317,7 @@ def feats_sql(src: str, key: str, text: str, f: CL.Featurizer) -> str:
 
 
 def nb_sql(train: str, classes: list[str], f: CL.Featurizer, score_src: str, prefix: str,
-           text: str = "text", vocab: int = CL.DEFAULT_VOCAB) -> str:
+           text: str = "text") -> str:
     """CTE body scoring ``score_src(doc_id, <text>)`` with a head trained on
     ``train(label, text)``; yields doc_id, <prefix>_label, <prefix>_score."""
     k = len(classes)
@@ -336,18 +336,16 @@ def nb_sql(train: str, classes: list[str], f: CL.Featurizer, score_src: str, pre
     return f"""
 select doc_id, label as {prefix}_label, score as {prefix}_score from (
  with tr as ({train}),
- tf as (select label, unnest(feats) as feature
-        from ({feats_sql('tr', 'label', 'text', f)}) x),
- cnt as (select feature, label, count(*) as n from tf group by feature, label),
- voc as (select feature from cnt group by feature order by sum(n) desc, feature limit {vocab}),
- wide as (select feature, {ns} from cnt where feature in (select feature from voc)
-          group by feature),
+ tf as (select label, ('0x' || substr(md5(f), 1, 5))::int as bucket
+        from (select label, unnest(feats) as f from ({feats_sql('tr', 'label', 'text', f)}) x) u),
+ cnt as (select bucket, label, count(*) as n from tf group by bucket, label),
+ wide as (select bucket, {ns} from cnt group by bucket),
  tot as (select count(*) as v, {ts} from wide),
- model as (select feature, {lps} from wide, tot),
+ model as (select bucket, {lps} from wide, tot),
  pri as (select {pri} from tr),
- sf as (select doc_id, unnest(feats) as feature
-        from ({feats_sql(score_src, 'doc_id', text, f)}) y),
- agg as (select doc_id, {sums}, count(lp_0) as m from sf join model using (feature)
+ sf as (select doc_id, ('0x' || substr(md5(f), 1, 5))::int as bucket
+        from (select doc_id, unnest(feats) as f from ({feats_sql(score_src, 'doc_id', text, f)}) y) u),
+ agg as (select doc_id, {sums}, count(lp_0) as m from sf join model using (bucket)
          group by doc_id),
  z as (select d.doc_id, {zs} from {score_src} d left join agg using (doc_id), pri),
  zz as (select *, {zmax} as zmax from z)
@@ -399,7 +397,7 @@ oracle("classify_quality", rounded(quality_sql(), "quality"))
 _qs = nb_sql(QUALITY_TRAIN, QUALITY_CLASSES, CL.QUALITY_FEATURES, "documents", "quality")
 _model_only = _qs[_qs.index(" with tr as"):_qs.index(" pri as")].rstrip().rstrip(",")
 oracle("train_quality_nb", f"""
-select feature, round(lp_0, 6) as lp_high, round(lp_1, 6) as lp_low from (
+select bucket, round(lp_0, 6) as lp_high, round(lp_1, 6) as lp_low from (
 {_model_only}
  select * from model) mm""")
 

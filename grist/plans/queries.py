@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grist.functions import text as T
@@ -227,9 +227,9 @@ def q_dedup_report(spark, sf_dir):
     before = d.agg(F.count(F.lit(1)).alias("n_before"))
     after = res.kept.agg(F.count(F.lit(1)).alias("n_after"))
     clusters = res.assignment.agg(F.countDistinct("component").alias("n_clusters"))
-    # three one-row aggregates; joined on a constant key (one row each)
-    k = F.lit(1).alias("_k")
-    out = before.select("*", k).join(after.select("*", k), "_k").join(clusters.select("*", k), "_k")
+    # three one-row aggregates, put side by side by a last aggregate over three rows
+    out = before.unionByName(after, True).unionByName(clusters, True).agg(
+        *[F.max(c).alias(c) for c in ("n_before", "n_after", "n_clusters")])
     return out.select("n_before", "n_after", "n_clusters",
                       (F.col("n_before") - F.col("n_after")).alias("n_removed"))
 
@@ -237,7 +237,7 @@ def q_dedup_report(spark, sf_dir):
 # --- classifiers and filters -------------------------------------------------
 
 def _labels(spark, sf_dir):
-    return read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"], spread=False)
+    return read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
 
 
 def _scored(model, d, text_col="text", prefix=None):
@@ -274,7 +274,7 @@ def q_classify_quality(spark, sf_dir):
 def q_train_quality_nb(spark, sf_dir):
     m = C.train_quality(docs(spark, sf_dir, "doc_id", "text"), _labels(spark, sf_dir))
     high, low = m.cols  # classes are sorted: high_quality, low_quality
-    return m.table.select("feature", F.round(high, 6).alias("lp_high"),
+    return m.table.select("bucket", F.round(high, 6).alias("lp_high"),
                           F.round(low, 6).alias("lp_low"))
 
 
@@ -289,7 +289,8 @@ def q_filter_english(spark, sf_dir):
 def q_filter_harmful(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "text")
     lab = _labels(spark, sf_dir)
-    s = C.score_nb(C.train_nsfw(d, lab), d).join(C.score_nb(C.train_toxic(d, lab), d), "doc_id")
+    heads = C.train_binary_heads(d, lab, ("nsfw", "toxic"))         # one fit, one scan
+    s = C.score_heads([heads["nsfw"], heads["toxic"]], d)
     harm = X.is_harmful(F.col("nsfw_label"), F.col("nsfw_score"), F.col("toxic_label"),
                         F.col("toxic_score"))
     return s.filter(~harm).select("doc_id")
@@ -341,13 +342,11 @@ def q_curate_dedup(spark, sf_dir):
 def q_language_share(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "lang", "text")
     s = C.score_nb(C.train_language(d), d)
-    total = s.agg(F.count(F.lit(1)).alias("_t"))
+    # one row per language: the total over them needs no second pass over the documents
     counts = s.groupBy("lang_label").agg(F.count(F.lit(1)).alias("n"))
-    # one-row total; constant-key join with a single row
-    out = counts.join(F.broadcast(total.withColumn("_k", F.lit(1))),
-                      counts["n"].isNotNull() & (F.lit(1) == F.col("_k")))
-    return out.select("lang_label", F.col("n").cast("bigint").alias("n"),
-                      F.round(F.col("n") / F.col("_t"), 6).alias("share"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
+    return counts.select("lang_label", F.col("n").cast("bigint").alias("n"),
+                         F.round(F.col("n") / total, 6).alias("share"))
 
 
 # --- tokens ------------------------------------------------------------------

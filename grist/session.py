@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -34,6 +34,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # checkpoints go when nothing refers to them any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -69,7 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):         # local-cluster is a cluster
         raise RuntimeError(
             "spark.checkpoint.dir is not set; configure a shared folder for lineage cuts")
     local = tempfile.mkdtemp(prefix="grist-ckpt-")
@@ -83,22 +85,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread: bool = True) -> DataFrame:
-    """Read one driver table; optionally spread it over the cluster.
-
-    Every test file has a single row group, so the scan is a single task. At
-    scale a table has many row groups and the scan is already parallel; we only
-    repartition when the scan yields fewer partitions than task slots.
-    """
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Read one driver table, narrowed to ``columns``; the scan's own splits
+    decide the parallelism, at every size, and nothing is kept in memory."""
     tune(spark)
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if columns:
-        df = df.select(*columns)
-    if spread:
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < slots:
-            # only small inputs land here (fewer row groups than task slots);
-            # keep the spread copy so multi-job plans do not redo the shuffle
-            df = df.repartition(slots).persist(StorageLevel.MEMORY_AND_DISK)
-    return df
+    return df.select(*columns) if columns else df

@@ -40,3 +40,33 @@ def test_funnel_accounts_for_every_record(spark):
     assert stats.first()["n"] == d.count()
     kept = X.kept(f)
     assert kept.filter(F.col("text").rlike("[a-z0-9._%+-]+@[a-z0-9-]+\\.[a-z]+")).count() == 0
+
+
+def test_no_feature_is_dropped_and_models_come_back_from_disk(spark, tmp_dir):
+    # 70,000 different words, each in one document of its class only
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(700)), "a" if i % 2 else "b") for i in range(100)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = C.train_language(d)
+    assert m.table.count() > 65_536
+    probe = spark.createDataFrame([(i, f"w{i}x{j}") for i in range(100) for j in (0, 699)], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_label"] for r in C.score_nb(m, probe).collect()}
+    assert sum(got[i] == ("a" if i % 2 else "b") for i in range(100)) >= 97     # buckets may collide
+    C.save_models([m], tmp_dir + "/model")
+    again = C.load_models(spark, tmp_dir + "/model")["lang"]
+    key = lambda model: sorted((r["doc_id"], r["lang_label"], round(r["lang_score"], 9)) for r in C.score_nb(model, d).collect())
+    assert key(again) == key(m)
+
+
+def test_funnel_moves_no_rows(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    heads = X.train_heads(d, spark.read.parquet(f"{SF}/labels.parquet"))
+    for df in (X.funnel(d, heads), X.coarse_filter(d, heads)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_null_and_empty_texts_score_by_the_priors(spark):
+    d = spark.createDataFrame([(1, "a b", "x"), (2, "c d", "y"), (3, "c d", "y")], "doc_id long, text string, lang string")
+    probe = spark.createDataFrame([(1, None), (2, ""), (3, "zz")], "doc_id long, text string")
+    got = {(r["lang_label"], round(r["lang_score"], 6)) for r in C.score_nb(C.train_language(d), probe).collect()}
+    assert len(got) == 1 and next(iter(got))[0] == "y"
