@@ -2,8 +2,8 @@
 
 Every function here returns a ``Column`` built from native Spark SQL
 expressions, so it stays inside whole-stage code generation and can be used
-from ``select``, ``withColumn``, ``filter`` or SQL (through the registered
-functions in ``grist.functions.sql``).
+from ``select``, ``withColumn`` or ``filter``. Two steps are Arrow UDFs, since
+no built-in function has their tables: character references and charsets.
 
 Patterns are written once and shared with the DuckDB oracles
 (``grist.plans.oracle``): where Java and RE2 disagree on a class (``\\d``,
@@ -13,12 +13,17 @@ same characters.
 
 from __future__ import annotations
 
+import codecs
+import html as html_lib
+import re
 import string
 import unicodedata
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # --- fixed values (must equal the reference's for identical results) -------
 # masking patterns, in the order e-mail, phone, IP, and their replacements
@@ -28,6 +33,7 @@ IP_PATTERN = r"(25[0-9]|2[0-4]\d|[01]?\d\d?\.){3}(25[0-9]|2[0-4]\d|[01]?\d\d?)"
 EMAIL_TOKEN = "|||EMAIL_ADDRESS|||"
 PHONE_TOKEN = "|||PHONE_NUMBER|||"
 IP_TOKEN = "|||IP_ADDRESS|||"
+# (the e-mail pattern is run in the form of SAFE_EMAIL_PATTERN below)
 # rule thresholds: words in [50, 100000], mean word length in [3, 10],
 # ellipsis lines <= 0.3, alphabetic words >= 0.8
 MIN_WORDS, MAX_WORDS = 50, 100000
@@ -61,12 +67,22 @@ def _java(pattern: str) -> str:
 
 # --- PII masking (P4-P7) ----------------------------------------------------
 
+# The same matches as EMAIL_PATTERN, without its two traps for Java's engine:
+# a repeated group of variable length recurses (a long dotted run overflows the
+# stack), and a run without '@' is scanned again from each of its characters.
+# So the local part starts where a run starts or where the last match ended, and
+# never gives back; the domain is a run of single characters without two dots
+# in a row, cut back to its last dot that letters follow.
+SAFE_EMAIL_PATTERN = (r"(?:(?<![a-zA-Z0-9._%+-])|\G)[a-zA-Z0-9._%+-]++@[a-zA-Z0-9-]"
+                      r"(?:(?!\.\.)[a-zA-Z0-9.-])*\.[a-zA-Z]+")
+
+
 def mask_emails(text: Column) -> Column:
-    return F.regexp_replace(text, EMAIL_PATTERN, EMAIL_TOKEN)
+    return F.regexp_replace(text, SAFE_EMAIL_PATTERN, EMAIL_TOKEN)
 
 
 def count_emails(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(EMAIL_PATTERN)).cast("bigint")
+    return F.regexp_count(text, F.lit(SAFE_EMAIL_PATTERN)).cast("bigint")
 
 
 def mask_phones(text: Column) -> Column:
@@ -137,7 +153,7 @@ def strip_trailing_newlines(text: Column) -> Column:
 
 # --- dedup normalisation (P8) and shingles (P11) -----------------------------
 
-_FOLD_RANGES = ((0x00C0, 0x0250), (0x0370, 0x0530), (0x1E00, 0x2000))
+_FOLD_RANGES = ((0x00C0, 0xD800), (0xF900, 0x30000))        # all letters; no surrogates, no private use
 
 
 @lru_cache(maxsize=1)
@@ -145,9 +161,10 @@ def accent_fold_table() -> tuple[str, str]:
     """(source, target) for ``translate``: NFD then drop Mn, per code point.
 
     Built from the Unicode database rather than listed: every precomposed code
-    point in the Latin, Greek and Cyrillic blocks whose canonical
-    decomposition minus non-spacing marks is one character maps to it; those
-    that reduce to nothing are deleted (they go last, past the target length).
+    point whose canonical decomposition minus non-spacing marks is one character
+    maps to it; those that reduce to nothing are deleted (they go last, past the
+    target length). What decomposes into several base characters (Hangul
+    syllables) stays composed.
     """
     mapped_src, mapped_dst, deleted = [], [], []
     for lo, hi in _FOLD_RANGES:
@@ -226,8 +243,6 @@ HTML_STEPS: tuple[tuple[str, str], ...] = (
     (r"(?i)</?(?:" + BLOCK_TAGS + r")(?:[ \t\n\x{0B}\f\r/][^>]*)?>", "\n\n"),
     (r"<[^>]*>", ""),
 )
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&"))
 HTML_TAIL_STEPS: tuple[tuple[str, str], ...] = (
     (r" *\n *", "\n"),
     (r"\n{3,}", "\n\n"),
@@ -236,14 +251,19 @@ HTML_TAIL_STEPS: tuple[tuple[str, str], ...] = (
 BULLET = "  • "
 
 
+@F.arrow_udf(StringType())
+def unescape(texts: pa.Array) -> pa.Array:
+    """Character references, numeric and named, as HTML5 defines them."""
+    return pa.array([html_lib.unescape(t) if t and "&" in t else t for t in texts.to_pylist()], pa.string())
+
+
 def html_to_text(html: Column) -> Column:
     """Drop head, scripts, styles and comments; blocks become blank-line
     separated paragraphs, list items become ``  • item`` lines."""
     s = html
     for pattern, repl in HTML_STEPS:
         s = F.regexp_replace(s, pattern, repl)
-    for entity, ch in ENTITIES:
-        s = F.replace(s, F.lit(entity), F.lit(ch))
+    s = unescape(F.replace(s, F.lit("&nbsp;"), F.lit(" ")))
     for pattern, repl in HTML_TAIL_STEPS:
         s = F.regexp_replace(s, pattern, repl)
     return F.replace(s, F.lit("\x01"), F.lit(BULLET))
@@ -254,28 +274,46 @@ def decode_utf8_lenient(body: Column) -> Column:
     return F.make_valid_utf8(body.cast("string"))
 
 
-def declared_charset(body: Column) -> Column:
-    """Charset declared in the first 2 KB of an HTML body, lower-cased, or null."""
-    head = F.substring(body, 1, 2048).cast("string")
-    found = F.lower(F.regexp_extract(head, r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_\-:]+)", 1))
-    return F.when(found == "", F.lit(None)).otherwise(found)
+CHARSET = re.compile(rb"""charset\s*=\s*["']?\s*([A-Za-z0-9_\-:.]+)""", re.I)
+BOMS = ((codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be"))
+# labels that pages use for the larger Windows sets (fixed values of the web's encoding list)
+WIDER = {"iso8859-1": "cp1252", "ascii": "cp1252", "iso8859-9": "cp1254", "gb2312": "gb18030", "gbk": "gb18030",
+         "euc_kr": "cp949", "shift_jis": "cp932"}
+
+
+def decode_page(body: bytes, header: str | None = None) -> str:
+    """The text of a page's bytes: by its byte order mark, else the charset of
+    the HTTP header, else one declared anywhere in the page, else UTF-8 if the
+    bytes are valid UTF-8, else windows-1252. Never raises: bytes that the charset
+    doesn't know become U+FFFD, an unknown charset counts as not declared."""
+    for mark, name in BOMS:
+        if body.startswith(mark):
+            return body[len(mark):].decode(name, "replace")
+    declared = CHARSET.search(body)
+    for label in (header, declared and declared.group(1).decode("ascii")):
+        try:
+            name = codecs.lookup((label or "").strip().lower()).name
+            if not codecs.lookup(name)._is_text_encoding:
+                continue
+            # a page that could be searched byte by byte isn't in UTF-16
+            name = "utf-8" if name.startswith("utf-16") and label is not header else WIDER.get(name, name)
+            return body.decode(name, "replace")
+        except (LookupError, ValueError):
+            continue
+    try:
+        return body.decode("utf-8")
+    except UnicodeDecodeError as e:
+        # cut off in the middle of a character, or another charset
+        return body.decode("utf-8" if e.start >= len(body) - 3 else "cp1252", "replace")
+
+
+@F.arrow_udf(StringType())
+def _decode_pages(bodies: pa.Array, headers: pa.Array) -> pa.Array:
+    return pa.array([None if b is None else decode_page(b, h) for b, h in zip(bodies.to_pylist(), headers.to_pylist())],
+                    pa.string())
 
 
 def decode_html_bytes(body: Column, header_charset: Column | None = None) -> Column:
-    """Decode with the declared charset (HTTP header first, then the page's
-    own declaration) when it is one Spark knows, else UTF-8 with replacement."""
-    cs = declared_charset(body)
-    if header_charset is not None:
-        cs = F.coalesce(F.lower(header_charset), cs)
-    known = ["us-ascii", "iso-8859-1", "utf-8", "utf-16be", "utf-16le", "utf-16"]
-    out = decode_utf8_lenient(body)
-    aliases = {"latin1": "iso-8859-1", "latin-1": "iso-8859-1", "windows-1252": "iso-8859-1",
-               "ascii": "us-ascii"}
-    cs_norm = cs
-    for a, b in aliases.items():
-        cs_norm = F.when(cs_norm == a, F.lit(b)).otherwise(cs_norm)
-    for name in known:
-        if name == "utf-8":
-            continue
-        out = F.when(cs_norm == name, F.decode(body, name)).otherwise(out)
-    return out
+    """Page bytes to text (P1): see :func:`decode_page`."""
+    header = F.lit(None).cast("string") if header_charset is None else header_charset
+    return _decode_pages(body, header)

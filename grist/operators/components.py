@@ -38,7 +38,8 @@ class NotConverged(RuntimeError):
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
                          max_rounds: int = DEFAULT_MAX_ROUNDS, jump_after: int = JUMP_AFTER,
                          **skew_opts) -> DataFrame:
-    """``(vertex, component)`` for every vertex on an edge; component = min id."""
+    """``(vertex, component)`` for every vertex on an edge; component = min id
+    (ids of any type that has an order)."""
     und = (edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
            .unionByName(edges.select(F.col(dst).alias("src"), F.col(src).alias("dst")))
            .filter(F.col("src") != F.col("dst")).distinct())
@@ -54,7 +55,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
         msgs = skew.split_join(
             und, labels.select(F.col("vertex").alias("src"), "label"), ["src"], "inner",
             hot=hot, **opts,
-        ).select(F.col("dst").alias("vertex"), "label", F.lit(None).cast("bigint").alias("old"))
+        ).select(F.col("dst").alias("vertex"), "label",
+                 F.lit(None).cast(labels.schema["label"].dataType).alias("old"))
         own = labels.select("vertex", "label", F.col("label").alias("old"))
         nxt = msgs.unionByName(own).groupBy("vertex").agg(
             F.min("label").alias("label"), F.min("old").alias("old"))

@@ -5,8 +5,8 @@ corpus is removed everywhere. Both operators are *aggregate-first*: one
 ``groupBy`` on the exact value with map-side partial aggregation collapses a
 hot value (a boilerplate line present in a third of all documents) to one row
 per map task before the shuffle, and the surviving occurrence is carried out
-of the aggregate itself (``min(struct(doc_id, pos))`` of a group of one *is*
-that occurrence). No join ever probes the hot key, so there is nothing to
+of the aggregate itself (the minima of a group of one *are* that
+occurrence). No join ever probes the hot key, so there is nothing to
 salt.
 """
 
@@ -46,11 +46,10 @@ def unique_lines(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Occurrences of lines that appear exactly once in the corpus."""
     agg = lines.groupBy("line").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(F.col(id_col).alias("id"), "pos", "has_nl")).alias("at"),
+        # the minima of a group of one are its row; primitive ones keep this a hash aggregate
+        F.min(id_col).alias(id_col), F.min("pos").alias("pos"), F.min("has_nl").alias("has_nl"),
     )
-    return agg.filter(F.col("n") == 1).select(
-        F.col("at.id").alias(id_col), F.col("at.pos").alias("pos"), "line",
-        F.col("at.has_nl").alias("has_nl"))
+    return agg.filter(F.col("n") == 1).select(id_col, "pos", "line", "has_nl")
 
 
 def exact_line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grist.functions import text as T
 from grist.operators import classify as C
 from grist.operators import minhash, quality
 from grist.session import cut_lineage
+from grist.sources import files, warc
 
 # --- fixed values (stage thresholds and label names of the reference) --------
 ENGLISH_LABEL, ENGLISH_MIN_SCORE = "en", 0.95          # keep when score > 0.95
@@ -116,6 +117,35 @@ def coarse_filter(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
     return s.withColumn("coarse_reason", reason)
 
 
+def archive_texts(spark: SparkSession, path: str, kind: str = "conversion") -> DataFrame:
+    """Records of crawl archives as documents: ``doc_id`` (file and record
+    number), ``file``, ``rec``, ``url``, ``text``."""
+    if kind == "response":
+        texts = warc.extract_responses(warc.read_archives(spark, path, types=kind, statuses="200"))
+    else:
+        texts = warc.extract_conversions(warc.read_archives(spark, path, types=kind))
+    return texts.withColumn("doc_id", F.concat_ws(":", "file", "rec"))
+
+
+def curate_archives(spark: SparkSession, path: str, heads: Heads, out_dir: str, stats_dir: str,
+                    kind: str = "conversion", params: minhash.MinHashParams | None = None) -> None:
+    """The whole job: archives -> funnel -> (fuzzy dedup) -> JSON lines with
+    url, and a table of records per file and stage outcome.
+
+    The outcome of every record is written once, without its text if it was
+    dropped; statistics and survivors are read from there.
+    """
+    f = funnel(archive_texts(spark, path, kind), heads)
+    done = cut_lineage(f.select("doc_id", "file", "url", F.coalesce("drop_reason", F.lit("kept")).alias("outcome"),
+                                F.when(F.col("drop_reason").isNull(), F.col("masked")).alias("text")))
+    (done.groupBy("file", "outcome").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+     .write.mode("overwrite").parquet(stats_dir))
+    survivors = done.filter("outcome = 'kept'").select("doc_id", "file", "url", "text")
+    if params is not None:
+        survivors = minhash.fuzzy_dedup(survivors, params).kept
+    files.write_jsonl(survivors, out_dir)
+
+
 def curate_then_dedup(documents: DataFrame, heads: Heads,
                       params: minhash.MinHashParams = minhash.MinHashParams()) -> DataFrame:
     """Funnel, then fuzzy dedup of the survivors (default 10 hashes, 2

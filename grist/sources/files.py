@@ -41,12 +41,13 @@ def dedup_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
-    """``{"text", "url"}`` lines with a deterministic id (file path and
-    byte-independent content hash; stable across re-reads and retries)."""
+    """``{"text", "url"}`` lines with an id of their own: file, start of the
+    split and place of the row in its partition. Identical records get different
+    ids; retries and re-reads with the same split sizes give the same ones."""
     df = spark.read.schema(DOC_SCHEMA).json(path)
-    key = F.concat_ws("\u0000", F.col("_metadata.file_path"), F.coalesce("url", F.lit("")),
-                      F.col("text"))
-    return df.select(F.xxhash64(key).alias(id_col), "text", "url")
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    key = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), place)
+    return df.select(key.alias(id_col), "text", "url")
 
 
 def write_jsonl(df: DataFrame, path: str, with_url: bool = True) -> None:

@@ -11,20 +11,21 @@ its file record by record and yields rows
 ``status`` and ``charset`` come from the HTTP headers of ``response`` records
 (null otherwise);
 ``body`` is the HTTP payload for responses, the raw block for other types.
-Record-type and status predicates are plain filters on these columns; the
-HTML/text decoding runs natively in Spark afterwards (P1-P3).
+Record-type and status predicates are filters on these columns, or options
+that skip records in the reader; decoding to text follows as column expressions (P1-P3).
 
-Paths must be readable from every executor (a shared mount); the driver only
-lists file names.
+Paths are URIs of any file system that pyarrow knows, or local paths, which
+must then be the same on every executor; the driver only lists file names.
 """
 
 from __future__ import annotations
 
-import glob
+import fnmatch
 import gzip
 import io
-import os
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -35,10 +36,55 @@ SCHEMA = ("file string, rec int, warc_type string, url string, status int, chars
           "body binary")
 
 
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+ARROW_TYPES = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.binary())
+
+
+def _locate(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI (any scheme that pyarrow's public
+    file-system layer knows) or of a plain local path."""
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def _list(pattern: str) -> list[str]:
+    """Files that a file, folder or ``folder/name*`` pattern names, as URIs."""
+    system, path = _locate(pattern)
+    prefix = pattern[:len(pattern) - len(path)] if pattern.endswith(path) else ""
+    info = system.get_file_info(path)
+    if info.type == fs.FileType.File:
+        return [pattern]
+    folder, name = (path, "*") if info.type == fs.FileType.Directory else path.rsplit("/", 1)
+    found = system.get_file_info(fs.FileSelector(folder))
+    return sorted(prefix + f.path for f in found if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, name))
+
+
 def _open(path: str):
-    with open(path, "rb") as fh:
-        magic = fh.read(2)
-    return gzip.open(path, "rb") if magic == b"\x1f\x8b" else open(path, "rb")
+    system, own = _locate(path)
+    with system.open_input_stream(own, compression=None) as probe:
+        magic = probe.read(2)
+    raw = io.BufferedReader(_Stream(system.open_input_stream(own, compression=None)), 1 << 20)
+    return gzip.GzipFile(fileobj=raw) if magic == b"\x1f\x8b" else raw
+
+
+class _Stream(io.RawIOBase):
+    """A pyarrow input stream for Python's readers."""
+
+    def __init__(self, stream):
+        self.stream = stream
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.stream.read(len(buffer))
+        buffer[:len(data)] = data
+        return len(data)
+
+    def close(self) -> None:
+        self.stream.close()
+        super().close()
 
 
 def _headers(stream) -> tuple[str | None, dict[str, str]]:
@@ -75,24 +121,30 @@ def _http_payload(block: bytes) -> tuple[int | None, str | None, bytes]:
     return status, charset, payload
 
 
-def parse_archive(path: str):
-    """Yield ``(file, rec, warc_type, url, status, body)`` for every record."""
-    rec = 0
+def parse_archive(path: str, types: frozenset[str] | None = None, statuses: frozenset[int] | None = None,
+                  body: bool = True):
+    """Yield ``(file, rec, warc_type, url, status, charset, body)`` for every
+    record of the given types and statuses (all, if None); without ``body``
+    contents are skipped."""
+    rec = -1
     with _open(path) as raw:
         stream = io.BufferedReader(raw) if not isinstance(raw, io.BufferedReader) else raw
         while True:
             version, h = _headers(stream)
             if version is None:
                 break
+            rec += 1
             length = int(h.get("content-length", "0") or 0)
-            block = stream.read(length)
             wtype = h.get("warc-type")
-            url = h.get("warc-target-uri")
-            status, charset, body = (None, None, block)
+            block = stream.read(length)
+            if types is not None and wtype not in types:
+                continue
+            status, charset, content = (None, None, block)
             if wtype == "response":
-                status, charset, body = _http_payload(block)
-            yield (path, rec, wtype, url, status, charset, body)
-            rec += 1
+                status, charset, content = _http_payload(block)
+            if statuses is not None and status not in statuses:
+                continue
+            yield (path, rec, wtype, h.get("warc-target-uri"), status, charset, content if body else None)
 
 
 class ArchivePartition(InputPartition):
@@ -102,19 +154,39 @@ class ArchivePartition(InputPartition):
 
 
 class ArchiveReader(DataSourceReader):
+    """One partition for each archive; rows go to Spark as Arrow batches of
+    bounded size. The options ``types`` and ``statuses`` (comma-separated) skip
+    other records where they are read; ``body=false`` leaves contents out. (They
+    are options rather than pushed filters: Spark 4.1 keeps a reader's pushed
+    filters for other queries on the same DataFrame, which then lose rows.)"""
+
     def __init__(self, options: dict[str, str]):
         pattern = options.get("path") or options.get("paths")
         if not pattern:
-            raise ValueError("warc source needs a path (file, directory or glob)")
-        if os.path.isdir(pattern):
-            pattern = os.path.join(pattern, "*")
-        self.files = sorted(p for p in glob.glob(pattern) if os.path.isfile(p))
+            raise ValueError("warc source needs a path (file, directory or pattern)")
+        self.files = _list(pattern)
+        self.body = str(options.get("body", "true")).lower() != "false"
+        self.types = frozenset(options["types"].split(",")) if options.get("types") else None
+        self.statuses = frozenset(map(int, options["statuses"].split(","))) if options.get("statuses") else None
 
     def partitions(self):
         return [ArchivePartition(p) for p in self.files]
 
     def read(self, partition):
-        yield from parse_archive(partition.path)
+        rows, size = [], 0
+        for r in parse_archive(partition.path, self.types, self.statuses, self.body):
+            rows.append(r)
+            size += len(r[-1] or b"")
+            if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                yield _batch(rows)
+                rows, size = [], 0
+        if rows:
+            yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ARROW_TYPES)],
+                                      names=[c.split(" ")[0] for c in SCHEMA.split(", ")])
 
 
 class ArchiveSource(DataSource):
@@ -129,9 +201,10 @@ class ArchiveSource(DataSource):
         return ArchiveReader(self.options)
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Records of archives; ``options`` as :class:`ArchiveReader` takes them."""
     spark.dataSource.register(ArchiveSource)
-    return spark.read.format("warc").load(path)
+    return spark.read.format("warc").options(**options).load(path)
 
 
 def extract_responses(records: DataFrame) -> DataFrame:

@@ -1,8 +1,7 @@
 """Structured Streaming paths (V1-V3): curation of newly arriving files.
 
-The funnel's per-document aggregates (classifier scores joined back to the
-row) are not streaming operators, so each micro-batch runs the *batch*
-plan through ``foreachBatch``. Exactly-once comes from the query checkpoint
+Each micro-batch runs the *batch* plan through ``foreachBatch``, with models
+that are trained or loaded once. Exactly-once comes from the query checkpoint
 plus idempotent writes: batch ``b`` always (over)writes the folder
 ``batch=b``, so a replayed batch replaces its own output.
 
@@ -27,14 +26,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from grist.operators import components as CC
-from grist.operators import minhash
+from grist.operators import minhash, skew
 from grist.plans import curate as X
+from grist.session import cut_lineage
 
 
 def _batch_path(root: str, batch_id: int) -> str:
     return os.path.join(root, f"batch={batch_id}")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, on whatever file system its path names."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def stream_documents(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .parquet(path))
@@ -68,13 +74,12 @@ def start_fuzzy_dedup(stream: DataFrame, params: minhash.MinHashParams, out_dir:
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bands = minhash.lsh_bands(minhash.signatures(batch, params, id_col, text_col),
-                                  params, id_col)
-        try:
-            seen = spark.read.parquet(bands_dir).filter(F.col("batch") < batch_id).select(
-                "band", "key")
-            hit = bands.join(seen.distinct(), ["band", "key"], "left_semi").select(id_col).distinct()
-        except Exception:  # noqa: BLE001 - no earlier batch yet
+        bands = cut_lineage(minhash.lsh_bands(minhash.signatures(batch, params, id_col, text_col),
+                                              params, id_col))
+        if _exists(spark, bands_dir):
+            seen = spark.read.parquet(bands_dir).filter(F.col("batch") < batch_id).select("band", "key").distinct()
+            hit = cut_lineage(skew.split_join(bands, seen, ["band", "key"], "left_semi").select(id_col).distinct())
+        else:       # no earlier batch; any other failure to read is an error
             hit = bands.limit(0).select(id_col)
         fresh = bands.join(hit, id_col, "left_anti")
         edges = minhash.bucket_edges(fresh, id_col)

@@ -71,3 +71,65 @@ def test_url_list_and_names(spark, tmp_dir):
     assert [r["url"] for r in files.read_url_list(spark, p).collect()] == ["u1", "u2"]
     df = spark.createDataFrame([("/d/x.warc.wet.gz",)], "f string")
     assert df.select(files.output_name(F.col("f"))).first()[0] == "x.warc.wet.jsonl"
+
+
+def test_identical_json_records_have_ids_of_their_own(spark, tmp_dir):
+    from grist.operators import exact, minhash
+
+    text = "the river runs past the old mill and the bridge " * 4
+    p = os.path.join(tmp_dir, "d.jsonl")
+    with open(p, "w") as fh:
+        for t in (text, text, "another text about the stars and the sea " * 4):
+            fh.write(json.dumps({"text": t, "url": "u"}) + "\n")
+    df = files.read_jsonl(spark, p)
+    assert df.select("doc_id").distinct().count() == 3
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, files.read_jsonl(spark, p).collect()))
+    assert minhash.fuzzy_dedup(df).kept.count() == 2
+    assert exact.exact_doc_dedup_rows(df, keep="first").count() == 2
+
+
+def test_fuzzy_dedup_of_files_by_their_names(spark, tmp_dir):
+    from grist.operators import minhash
+
+    text = "the river runs past the old mill and the bridge " * 10
+    for name, t in (("a.txt", text), ("b.txt", text + "end"), ("c.txt", "another text about the stars and the sea " * 9)):
+        with open(os.path.join(tmp_dir, name), "w") as fh:
+            fh.write(t)
+    for verify in (False, True):
+        kept = minhash.fuzzy_dedup(files.read_whole_files(spark, tmp_dir), minhash.MinHashParams(20, 10, 2), verify=verify, id_col="file").kept
+        assert sorted(r["file"].rsplit("/", 1)[1] for r in kept.collect()) == ["a.txt", "c.txt"]
+
+
+def test_archive_options_skip_records_and_uris_are_paths(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "one.warc.gz")
+    write_archive(path)
+    assert len(list(warc.parse_archive("file://" + path, frozenset(["response"]), frozenset([200])))) == 2
+    assert {r[-1] for r in warc.parse_archive(path, body=False)} == {None}
+    assert warc.ArchiveReader({"path": "file://" + tmp_dir + "/*.gz"}).files == ["file://" + path]
+    records = warc.read_archives(spark, "file://" + tmp_dir, types="response,conversion", statuses="200", body="false")
+    assert [r["body"] for r in records.collect()] == [None, None]
+    every = warc.read_archives(spark, "file://" + tmp_dir)
+    assert every.filter("warc_type = 'response' and status = 200").count() == 2 and every.count() == 5
+
+
+def test_archives_to_json_lines(spark, tmp_dir):
+    from grist.plans import curate as X
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    heads = X.train_heads(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = docs.orderBy("doc_id").collect()
+    os.mkdir(os.path.join(tmp_dir, "in"))
+    for k in range(2):
+        with open(os.path.join(tmp_dir, "in", f"{k}.warc.wet.gz"), "wb") as fh:
+            fh.write(gzip.compress(record("warcinfo", b"x", "http://info")))
+            for r in rows[k::2]:
+                fh.write(gzip.compress(record("conversion", r["text"].encode(), f"http://d/{r['doc_id']}")))
+    out, stats = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "stats")
+    X.curate_archives(spark, os.path.join(tmp_dir, "in"), heads, out, stats)
+    by_file = {r["file"].rsplit("/", 1)[1]: r["n"] for r in spark.read.parquet(stats).groupBy("file").agg(F.sum("n").alias("n")).collect()}
+    assert by_file == {"0.warc.wet.gz": 100, "1.warc.wet.gz": 100}
+    expected = sorted((f"http://d/{r['doc_id']}", r["text"]) for r in X.kept(X.funnel(docs, heads)).collect())
+    assert sorted((r["url"], r["text"]) for r in files.read_jsonl(spark, out).collect()) == expected
+    X.curate_archives(spark, os.path.join(tmp_dir, "in"), heads, out, stats, params=X.minhash.MinHashParams(10, 2, 2))
+    assert 0 < files.read_jsonl(spark, out).count() <= len(expected)

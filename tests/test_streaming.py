@@ -40,3 +40,22 @@ def test_incremental_fuzzy_dedup(spark, tmp_dir):
     q.awaitTermination()
     first = sorted(r["doc_id"] for r in spark.read.parquet(os.path.join(tmp_dir, "o")).collect())
     assert first == [1, 2]
+
+
+def test_duplicates_of_earlier_batches_are_found(spark, tmp_dir):
+    text = "the river runs past the old mill and the bridge " * 4
+    other = "entirely unrelated words about stars and the sea " * 4
+    src = os.path.join(tmp_dir, "s")
+    params = minhash.MinHashParams(num_hashes=20, num_bands=5)
+
+    def arrive(name, rows):
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(os.path.join(src, name))
+        q = S.start_fuzzy_dedup(
+            spark.readStream.schema("doc_id long, text string").option("recursiveFileLookup", "true").parquet(src), params,
+            os.path.join(tmp_dir, "o"), os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "c"))
+        q.awaitTermination()
+        return sorted(r["doc_id"] for r in spark.read.parquet(os.path.join(tmp_dir, "o")).collect())
+
+    assert arrive("a", [(5, text), (6, other), (7, text)]) == [5, 6]
+    # 1 repeats an earlier survivor, 2 and 3 are copies of each other
+    assert arrive("b", [(1, text), (2, "a third text with its own words " * 5), (3, "a third text with its own words " * 5)]) == [2, 5, 6]

@@ -108,3 +108,55 @@ def test_decode_invalid_utf8(spark):
     df = spark.createDataFrame([(bytearray(b"ok \xff\xfe end"),)], "b binary")
     got = df.select(T.decode_utf8_lenient(F.col("b"))).first()[0]
     assert got == b"ok \xff\xfe end".decode("utf-8", errors="replace")
+
+
+def test_safe_email_pattern_has_the_matches_of_the_plain_one(spark):
+    import random
+    import re
+
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("ab1.@-_ Z%") for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    texts += ["a@b.com1@x.com", "a@b..com", "a@b.com..x", "a@-.c", "é@b.co", "a@b.c.d.e1", "a@b.co@x.y", "x.@y.zz.", "a@@b.cc"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: (r["m"], r["n"]) for r in df.select("i", T.mask_emails(F.col("t")).alias("m"), T.count_emails(F.col("t")).alias("n")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == re.subn(T.EMAIL_PATTERN, T.EMAIL_TOKEN, t), t
+
+
+def test_masks_of_long_runs_take_linear_time(spark):
+    import time
+
+    longs = ["x@" + "a." * 500_000 + "com", "a" * 1_000_000, "a@" * 300_000, "1." * 400_000, "a@b." * 200_000]
+    for t in longs:
+        df = spark.createDataFrame([(t,)], "t string").select(F.length(T.mask_pii(F.col("t"))).alias("n"))
+        at = time.perf_counter()
+        assert df.first()["n"] > 0
+        assert time.perf_counter() - at < 10
+
+
+def test_page_bytes():
+    page = lambda cs: f'<html><head>{" " * 5000}<meta charset="{cs}"></head>'.encode()      # noqa: E731
+    cases = [
+        (b"caf\xe9", "us-ascii", "café"), (b"\x93q\x94 \x80", "windows-1252", "“q” €"), (b"\x93q\x94", "iso-8859-1", "“q”"),
+        ("Привет".encode("cp1251"), "windows-1251", "Привет"), ("日本".encode("shift_jis"), "Shift_JIS", "日本"),
+        (b"\xef\xbb\xbfa\xc3\xa9", "iso-8859-1", "aé"), ("a\u20ac".encode("utf-16"), None, "a€"), (b"\xc3\xa9", "no-such", "é"),
+        (b"ab\xff\xfe", "utf-8", "ab\ufffd\ufffd"), (b"caf\xe9 au lait", None, "café au lait"), (b"", "utf-16", ""), (b"\xff", "utf-16", "\ufffd"),
+    ]
+    for body, header, text in cases:
+        assert T.decode_page(body, header) == text, (body, header)
+    late = page("windows-1251") + "Привет".encode("cp1251")
+    assert T.decode_page(late).endswith("Привет")
+    for n in range(256):
+        for header in (None, "utf-8", "utf-16", "us-ascii", "big5", "hex", "rot13", "idna"):
+            T.decode_page(bytes([n, 0xC3, n]), header)
+
+
+def test_character_references(spark):
+    html = "<p>a&#8217;s &mdash; caf&eacute; &#x27;q&#x27; &copy; x&nbsp;y &amp;lt; &bogus;</p>"
+    df = spark.createDataFrame([(html,), (None,)], "html string")
+    assert [r[0] for r in df.select(T.html_to_text(F.col("html"))).collect()] == ["a’s — café 'q' © x y &lt; &bogus;", None]
+
+
+def test_all_precomposed_letters_lose_their_marks(spark):
+    df = spark.createDataFrame([("が ﾎﾞ Ǻ ẛ̣ Ж Й ཧྷ",)], "t string")
+    assert df.select(T.normalize_for_dedup(F.col("t"))).first()[0].split(" ")[0] == "か"
