@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from grist.llm.common import release_memory
+
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE_PIECES = 150_000          # distinct pieces, and words, that a worker remembers
@@ -243,6 +245,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     """``df`` with ``out`` (replaced if it exists): the packed ids of ``text``."""
     @F.arrow_udf(BinaryType())
     def ids(texts: pa.Array) -> pa.Array:
+        release_memory()
         v = vocabulary(path)
         return pa.array([v.encode(t) if t else b"" for t in texts.to_pylist()], pa.binary())
 
@@ -253,6 +256,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     """``df`` with ``out`` (replaced if it exists): the text of packed ``ids`` (null: empty)."""
     @F.arrow_udf(StringType())
     def texts(packed: pa.Array) -> pa.Array:
+        release_memory()
         v = vocabulary(path)
         return pa.array([v.decode(p) if p else "" for p in packed.to_pylist()], pa.string())
 

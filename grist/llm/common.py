@@ -15,11 +15,11 @@ from grist.session import ensure_checkpoint_dir
 #: A word, everywhere in this subpackage: a maximal run of characters other
 #: than the six ASCII blanks. ``bytes.split()`` splits at exactly these six.
 WORD = r"[^\x20\x09-\x0D]+"
-ROWS_PER_BATCH = 1000
+ROWS_PER_BATCH = 400
 
 
 def tune(spark: SparkSession) -> None:
-    """Arrow batches of at most 1,000 rows, so that a batch of long documents
+    """Arrow batches of at most ``ROWS_PER_BATCH`` rows, so that a batch of long documents
     stays small beside an executor's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
@@ -46,6 +46,11 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give back what earlier batches used: a Python worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -34,26 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from grist.llm.common import free_name, key_filter, materialize
+from grist.llm.common import free_name, key_filter, materialize, release_memory
 
 WINDOW = 50
 ANCHOR = 16
-CACHE_WORDS = 150_000
 LAST_ID = (1 << 63) - 1
 BASES = tuple(np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64))
 
 
-class WordHashes(dict):
-    """64-bit hash by word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-HASHES = WordHashes()
 POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -73,7 +61,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def rolled(h: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
@@ -112,6 +100,7 @@ def anchor_rows(window: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(np.array(keys, np.int64), counts))],
                     names=["anchor", "a"])
+        release_memory()
     return run
 
 
@@ -131,6 +120,7 @@ def window_rows(window: int):
                 out.append((first.view(np.int64), second.view(np.int64), np.full(len(at), owner), np.full(len(at), a), at.astype(np.int32)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=WINDOW_ROWS.names)
+        release_memory()
     return run
 
 
@@ -164,6 +154,7 @@ def cut(text: bytes | None, starts: list[int] | None, whole: bool | None, window
 def cutter(window: int):
     @F.arrow_udf(CUT)
     def run(texts: pa.Array, starts: pa.Array, whole: pa.Array) -> pa.Array:
+        release_memory()
         return pa.array([cut(*x, window) for x in zip(texts.cast(pa.binary()).to_pylist(), starts.to_pylist(), whole.to_pylist())],
                         pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()),
                                    ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]))
