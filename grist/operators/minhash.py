@@ -164,6 +164,28 @@ def verify_edges(edges: DataFrame, sets: DataFrame, id_col: str = "doc_id",
     return both.select("src", "dst", jaccard(F.col("_ss"), F.col("_sd")).alias("jaccard"))
 
 
+def verified_edges(bands: DataFrame, sets: DataFrame, params: MinHashParams, id_col: str = "doc_id",
+                   **skew_opts) -> DataFrame:
+    """Edges of sufficient similarity. In each round a bucket's members are
+    compared with its smallest id; those that are too different form the bucket's
+    next round, under the next smallest id, until none is left. Rounds cost time
+    linear in the members left. What stays unchecked: a member that is like
+    another one which has already found its smallest id, but unlike that id."""
+    found, active = None, cut_lineage(bands.select(F.col(id_col).alias("dst"), "band", "key"))
+    while True:
+        roots = active.groupBy("band", "key").agg(F.min("dst").alias("src"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        members = cut_lineage(skew.split_join(active, roots.select("band", "key", "src"), ["band", "key"], "inner",
+                                              key_counts=roots, count_col="n", **skew_opts).filter(F.col("dst") != F.col("src")))
+        scored = cut_lineage(verify_edges(members.select("src", "dst").distinct(), sets, id_col, **skew_opts)
+                             .select("src", "dst", (F.col("jaccard") > params.jaccard_threshold).alias("like")))
+        passed = scored.filter("like").select("src", "dst")
+        found = passed if found is None else found.unionByName(passed)
+        active = cut_lineage(members.join(scored.filter("like is not true").select("src", "dst"), ["src", "dst"], "left_semi")
+                             .select("dst", "band", "key"))
+        if active.limit(1).count() == 0:
+            return cut_lineage(found.distinct())
+
+
 @dataclass
 class FuzzyResult:
     kept: DataFrame          # input rows that survive
@@ -182,11 +204,10 @@ def fuzzy_dedup(df: DataFrame, params: MinHashParams = MinHashParams(), verify:
     # and the edge join: write it once rather than re-derive it from the text
     sigs = cut_lineage(signatures(df, params, id_col, text_col, shingles_df=sets))
     bands = lsh_bands(sigs, params, id_col)
-    edges = cut_lineage(bucket_edges(bands, id_col, **skew_opts))
     if verify:
-        scored = verify_edges(edges, sets, id_col, **skew_opts)
-        edges = cut_lineage(scored.filter(F.col("jaccard") > params.jaccard_threshold)
-                            .select("src", "dst"))
+        edges = verified_edges(bands, sets, params, id_col, **skew_opts)
+    else:
+        edges = cut_lineage(bucket_edges(bands, id_col, **skew_opts))
     comp = CC.connected_components(edges, **skew_opts)
     assignment = comp.select(F.col("vertex").alias(id_col), "component")
     dropped = assignment.filter(F.col(id_col) != F.col("component")).select(id_col)

@@ -1,74 +1,93 @@
 """Vocabulary, encoding, packing and window sampling of token ids.
 
-The reference encodes with a fixed 50,257-entry byte-pair table. Here the
-vocabulary is built from the corpus (blank-separated tokens, the
-``V - 2`` most frequent, ties by token), with ``<eos>`` = 0 and ``<unk>`` = 1,
-so ids fit the uint16 stream the reference writes (``V <= 65536``).
-
-* build: partial-aggregated counts, then a bounded top-k (TakeOrderedAndProject);
-* encode: ``posexplode`` -> broadcast join with the vocabulary (at most
-  65,536 rows, a proven bound) -> ordered ``collect_list`` per document; the
-  documents are hash-partitioned by id first so the regroup is local;
+The reference encodes with a fixed byte-pair table, without loss. Here the
+vocabulary is built from the corpus: a text is cut into runs of blanks and runs
+of other characters, ``<eos>`` is 0, the 256 bytes follow, then the most
+frequent runs (ties by run). A run outside the vocabulary becomes its UTF-8
+bytes, so every text comes back whole, and ids fit the uint16 stream that the
+reference writes.
+
+* build: partially aggregated counts, then a bounded top-k (TakeOrderedAndProject);
+* encode and decode: narrow, by an Arrow UDF with the broadcast vocabulary (at
+  most 65,536 rows, a proven bound); texts never move;
 * pack: document offsets from :func:`grist.operators.ordering.prefix_sum`
-  (no single-partition window), then each token lands in sequence
-  ``(offset + pos) div ctx`` — a shuffle into groups of at most ``ctx`` ids.
+  (no single-partition window), then each document is cut where sequences begin
+  and one piece per (document, sequence) is shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as Ty
 
 from grist.functions import text as T
 from grist.operators import ordering
 from grist.session import cut_lineage
 
-EOS, UNK = 0, 1
-EOS_TOKEN, UNK_TOKEN = "<eos>", "<unk>"
+EOS, EOS_TOKEN = 0, "<eos>"
+FIRST_BYTE, FIRST_RUN = 1, 257
 MAX_VOCAB = 1 << 16
 CONTEXT = 512
-TOKEN_PATTERN = "[^" + T.WS_CLASS_BODY + "]+"
+TOKEN_PATTERN = "[" + T.WS_CLASS_BODY + "]+|[^" + T.WS_CLASS_BODY + "]+"
 
 
 def tokens(text) -> F.Column:
-    """Blank-separated tokens (``str.split()``): the non-blank runs.
+    """Runs of blanks and of other characters, in order: the whole text."""
+    return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
 
-    Splitting on blank runs and dropping the empty ends gives the same array
-    as extracting ``TOKEN_PATTERN`` matches, about three times faster (the
-    matcher only stops at blanks instead of testing every character)."""
-    return F.array_remove(F.split(text, T.WS + "+"), "")
+
+def byte_name(b: int) -> str:
+    return f"<0x{b:02X}>"
 
 
 def build_vocab(df: DataFrame, text_col: str = "text", size: int = MAX_VOCAB) -> DataFrame:
-    """``(token, id)``: specials first, then tokens by (count desc, token)."""
-    if not 3 <= size <= MAX_VOCAB:
-        raise ValueError(f"vocabulary size must be in [3, {MAX_VOCAB}]")
+    """``(token, id)``: ``<eos>``, the bytes, then runs by (count desc, run).
+    Ids from ``FIRST_RUN`` on are runs, whatever they look like."""
+    if not FIRST_RUN < size <= MAX_VOCAB:
+        raise ValueError(f"vocabulary size must be in [{FIRST_RUN + 1}, {MAX_VOCAB}]")
     counts = (df.select(F.explode(tokens(F.col(text_col))).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size - 2)
-    # at most size - 2 rows: numbering them in one window is bounded work
+    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size - FIRST_RUN)
+    # at most size - FIRST_RUN rows: numbering them in one window is bounded work
     ranked = top.withColumn("id", (F.row_number().over(
-        Window.orderBy(F.desc("n"), F.asc("token"))) + 1).cast("int")).select("token", "id")
-    specials = df.sparkSession.createDataFrame([(EOS_TOKEN, EOS), (UNK_TOKEN, UNK)],
-                                               "token string, id int")
-    return cut_lineage(specials.unionByName(ranked))
+        Window.orderBy(F.desc("n"), F.asc("token"))) + FIRST_RUN - 1).cast("int")).select("token", "id")
+    fixed = df.sparkSession.createDataFrame(
+        [(EOS_TOKEN, EOS)] + [(byte_name(b), FIRST_BYTE + b) for b in range(256)], "token string, id int")
+    return cut_lineage(fixed.unionByName(ranked))
+
+
+def _shared(vocab: DataFrame):
+    """Broadcast bytes by id; the vocabulary has at most ``MAX_VOCAB`` rows."""
+    rows = vocab.filter(F.col("id") >= FIRST_RUN).orderBy("id").collect()
+    known = [EOS_TOKEN.encode(), *(bytes([b]) for b in range(256)), *(r["token"].encode() for r in rows)]
+    return vocab.sparkSession.sparkContext.broadcast(known)
 
 
 def encode(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            add_eos: bool = True) -> DataFrame:
-    """``(id, ids array<int>)``: token ids in order, then ``<eos>``."""
-    d = df.select(id_col, text_col)
-    d = d.repartition(id_col)  # regroup per document below needs no further shuffle
-    toks = d.select(id_col, F.posexplode_outer(tokens(F.col(text_col))).alias("pos", "token"))
-    joined = toks.join(F.broadcast(vocab), "token", "left")
-    item = F.when(F.col("token").isNotNull(),
-                  F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id")))
-    agg = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_p"))
-    ids = F.transform("_p", lambda p: p["id"])
-    if add_eos:
-        ids = F.concat(ids, F.array(F.lit(EOS)))
-    return agg.select(id_col, ids.alias("ids"))
+    """``(id, ids array<int>)``: token ids in order, then ``<eos>`` (null text: no tokens)."""
+    shared = _shared(vocab)
+    end = [EOS] if add_eos else []
+
+    @F.arrow_udf(Ty.ArrayType(Ty.IntegerType()))
+    def ids(runs: pa.Array) -> pa.Array:
+        table = {b: i for i, b in enumerate(shared.value) if i >= FIRST_RUN}
+        out = []
+        for own in runs.to_pylist():
+            row = []
+            for run in own or ():
+                run = run.encode()
+                i = table.get(run)
+                if i is None:
+                    row.extend(FIRST_BYTE + b for b in run)
+                else:
+                    row.append(i)
+            out.append(row + end)
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return df.select(id_col, ids(tokens(F.col(text_col))).alias("ids"))
 
 
 def token_count(encoded: DataFrame) -> DataFrame:
@@ -85,23 +104,34 @@ def pack(encoded: DataFrame, id_col: str = "doc_id", ctx: int = CONTEXT) -> Data
     """``(seq, ids)``: all documents concatenated in id order, cut every ``ctx``."""
     lens = encoded.select(id_col, F.size("ids").cast("bigint").alias("_n"))
     offs = ordering.prefix_sum(lens, [id_col], "_n", "_off").select(id_col, "_off")
-    placed = encoded.join(offs, id_col)
-    toks = placed.select(F.col("_off"), F.posexplode("ids").alias("pos", "id"))
-    g = F.col("_off") + F.col("pos")
-    toks = toks.select(F.floor(g / ctx).cast("bigint").alias("seq"),
-                       (g % ctx).cast("int").alias("i"), "id")
-    agg = toks.groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("i", "id"))).alias("_p"))
-    return agg.select("seq", F.transform("_p", lambda p: p["id"]).alias("ids"))
-
-
-def decode(packed: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``(seq, text)``: ids mapped back to tokens, joined by blanks."""
-    toks = packed.select("seq", F.posexplode("ids").alias("pos", "id"))
-    joined = toks.join(F.broadcast(vocab), "id", "left")
-    agg = joined.groupBy("seq").agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("token", F.lit(UNK_TOKEN))
-                                             .alias("t")))).alias("_p"))
-    return agg.select("seq", F.array_join(F.transform("_p", lambda p: p["t"]), " ").alias("text"))
+    placed = encoded.join(offs, id_col).filter(F.size("ids") > 0)
+    end = F.col("_off") + F.size("ids")
+    pieces = placed.select("_off", "ids", end.alias("_end"), F.explode(F.sequence(
+        F.floor(F.col("_off") / ctx).cast("bigint"), F.floor((end - 1) / ctx).cast("bigint"))).alias("seq"))
+    start = F.greatest(F.col("seq") * ctx, F.col("_off"))
+    stop = F.least((F.col("seq") + 1) * ctx, F.col("_end"))
+    pieces = pieces.select("seq", start.alias("at"), F.slice(
+        "ids", (start - F.col("_off") + 1).cast("int"), (stop - start).cast("int")).alias("piece"))
+    agg = pieces.groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("_p"))
+    return agg.select("seq", F.flatten(F.transform("_p", lambda p: p["piece"])).alias("ids"))
+
+
+def decode_bytes(encoded: DataFrame, vocab: DataFrame, out: str = "bytes") -> DataFrame:
+    """``encoded`` with ``out`` in place of ``ids``: the bytes that they stand for."""
+    shared = _shared(vocab)
+
+    @F.arrow_udf(Ty.BinaryType())
+    def run(ids: pa.Array) -> pa.Array:
+        known = shared.value
+        return pa.array([b"".join([known[i] for i in own or ()]) for own in ids.to_pylist()], pa.binary())
+
+    return encoded.select(*[c for c in encoded.columns if c != "ids"], run(F.col("ids")).alias(out))
+
+
+def decode(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Ids mapped back to ``text``. A packed sequence may begin or end within a
+    character, which then shows as U+FFFD; a document's own ids give its text."""
+    return decode_bytes(encoded, vocab, "text").withColumn("text", F.make_valid_utf8(F.col("text").cast("string")))
 
 
 def draw_starts(spark, n_tokens: int, batch: int, ctx: int, seed: int = 0) -> DataFrame:

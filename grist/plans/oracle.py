@@ -270,7 +270,12 @@ where doc_id not in (select vertex from ({comp}) c where vertex <> component)"""
 
 
 def verified_edges_sql(p: MH.MinHashParams) -> str:
-    return f"select src, dst from ({jaccard_sql(p)}) jj where jaccard > {p.jaccard_threshold}"
+    """All pairs that share a bucket, by their similarity (not the operator's edges)."""
+    return f"""
+with b as ({bands_sql(p)}), st as ({sets_sql(p.ngrams)}),
+pr as (select distinct x.doc_id as src, y.doc_id as dst from b x join b y using (band, key) where x.doc_id < y.doc_id)
+select src, dst from pr join st a on a.doc_id = pr.src join st c on c.doc_id = pr.dst
+where len(list_intersect(a.sh, c.sh)) > {p.jaccard_threshold} * (len(a.sh) + len(c.sh) - len(list_intersect(a.sh, c.sh)))"""
 
 
 _MD = MH.MinHashParams(num_hashes=10, num_bands=2, ngrams=2, jaccard_threshold=0.8)
@@ -468,19 +473,21 @@ select token, id from (
  with t as (select unnest(regexp_extract_all(text, {lit(TK.TOKEN_PATTERN)}, 0)) as token
             from documents),
  c as (select token, count(*) as n from t group by token),
- top as (select token, n from c order by n desc, token limit {TK.MAX_VOCAB - 2})
- select {lit(TK.EOS_TOKEN)} as token, {TK.EOS}::INTEGER as id
- union all select {lit(TK.UNK_TOKEN)}, {TK.UNK}::INTEGER
- union all select token, (row_number() over (order by n desc, token) + 1)::INTEGER from top) v"""
+ top as (select token, n from c order by n desc, token limit {65536 - 257})
+ select '<eos>' as token, 0::INTEGER as id
+ union all select printf('<0x%02X>', range), (range + 1)::INTEGER from range(256)
+ union all select token, (row_number() over (order by n desc, token) + 256)::INTEGER from top) v"""
 
 ENCODE_SQL = f"""
 select doc_id, ids from (
  with v as ({VOCAB_SQL}),
  tk as (select doc_id, regexp_extract_all(text, {lit(TK.TOKEN_PATTERN)}, 0) as tk from documents),
  t as (select doc_id, unnest(tk) as token, generate_subscripts(tk, 1) as pos from tk),
- e as (select doc_id, list(coalesce(v.id, {TK.UNK})::INTEGER order by pos) as ids
-       from t left join v using (token) group by doc_id)
- select d.doc_id, list_concat(coalesce(e.ids, []::INTEGER[]), [{TK.EOS}::INTEGER]) as ids
+ e as (select doc_id, flatten(list(case when v.id is not null then [v.id]
+                 else list_transform(regexp_extract_all(hex(token), '..', 0), lambda h: ('0x' || h)::INTEGER + 1) end
+               order by pos)) as ids
+       from t left join (select * from v where id > 256) v using (token) group by doc_id)
+ select d.doc_id, list_concat(coalesce(e.ids, []::INTEGER[]), [0::INTEGER]) as ids
  from documents d left join e using (doc_id)) en"""
 
 FLAT_SQL = f"""
@@ -499,9 +506,10 @@ oracle("encode_tokens", ENCODE_SQL)
 oracle("token_count", f"select sum(len(ids))::BIGINT as n_tokens from ({ENCODE_SQL}) e")
 oracle("pack_sequences", PACK_SQL)
 oracle("decode_sequences", f"""
-select seq, string_agg(coalesce(v.token, {lit(TK.UNK_TOKEN)}), ' ' order by pos) as text
+select seq, string_agg(case when x.id between 1 and 256 then printf('%02X', x.id - 1) else hex(v.token) end, '' order by pos) as hex
 from (select seq, unnest(ids) as id, generate_subscripts(ids, 1) as pos from ({PACK_SQL}) p) x
 left join ({VOCAB_SQL}) v using (id) group by seq""")
+oracle("token_round_trip", "select doc_id, text from documents")
 
 _B, _C, _S = QQ.WINDOW_BATCH, QQ.WINDOW_CTX, QQ.WINDOW_SEED
 oracle("sample_training_windows", f"""

@@ -385,7 +385,16 @@ def q_pack_sequences(spark, sf_dir):
 def q_decode_sequences(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "text")
     vocab = tokens.build_vocab(d)
-    return tokens.decode(tokens.pack(tokens.encode(d, vocab)), vocab)
+    # bytes, as a sequence may end within a character
+    return tokens.decode_bytes(tokens.pack(tokens.encode(d, vocab)), vocab).select("seq", F.hex("bytes").alias("hex"))
+
+
+@query("token_round_trip")
+def q_token_round_trip(spark, sf_dir):
+    """T2 + T4: every document comes back whole from its ids."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    vocab = tokens.build_vocab(d)
+    return tokens.decode(tokens.encode(d, vocab, add_eos=False), vocab)
 
 
 @query("sample_training_windows")

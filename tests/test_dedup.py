@@ -179,3 +179,12 @@ def test_hot_line_never_reaches_a_join(spark):
     for line in plan.splitlines():
         if "Join" in line:
             assert "line" not in line.split("Join", 1)[1]
+
+
+def test_verified_dedup_compares_beyond_the_smallest_id(spark):
+    """1 shares buckets with 2 and 3 but is unlike them; 2 and 3 are alike."""
+    bands = spark.createDataFrame([(i, 0, [7]) for i in (1, 2, 3)], "doc_id long, band int, key array<long>")
+    words = [f"s{i}" for i in range(60)]
+    sets = spark.createDataFrame([(1, words[:2] + [f"x{i}" for i in range(30)]), (2, words[:41]), (3, words[:42])], "doc_id long, shingles array<string>")
+    got = minhash.verified_edges(bands, sets, minhash.MinHashParams(), "doc_id").collect()
+    assert [(r["src"], r["dst"]) for r in got] == [(2, 3)]

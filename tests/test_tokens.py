@@ -26,15 +26,25 @@ def test_pack_equals_flatten(spark):
     assert [x for r in packed for x in r["ids"]] == flat
     assert all(len(r["ids"]) == 16 for r in packed[:-1])
     text = {r["seq"]: r["text"] for r in tokens.decode(tokens.pack(enc, ctx=16), vocab).collect()}
-    assert text[0].split(" ")[0] == "w0"
+    assert text[0].startswith("w0<eos>w0 w1<eos>")
 
 
 def test_vocab_specials_and_uint16(spark):
     df = spark.createDataFrame([(1, "b a b c b a")], "doc_id long, text string")
     vocab = {r["token"]: r["id"] for r in tokens.build_vocab(df).collect()}
-    assert vocab == {"<eos>": 0, "<unk>": 1, "b": 2, "a": 3, "c": 4}
-    enc = tokens.check_uint16(tokens.encode(df, tokens.build_vocab(df, size=4)))
-    assert enc.first()["ids"] == [2, 3, 2, 1, 2, 3, 0]
+    assert {t: i for t, i in vocab.items() if not t.startswith("<0x")} == {"<eos>": 0, " ": 257, "b": 258, "a": 259, "c": 260}
+    assert vocab["<0x00>"] == 1 and vocab["<0xFF>"] == 256
+    enc = tokens.check_uint16(tokens.encode(df, tokens.build_vocab(df, size=260)))
+    assert enc.first()["ids"] == [258, 257, 259, 257, 258, 257, 1 + ord("c"), 257, 258, 257, 259, 0]
+
+
+def test_texts_come_back_whole(spark):
+    texts = [None, "", " ", "a\n\n b\t", "é漢🙂\x85x", "<eos> <0x41> <unk>", "rare " * 3 + "x" * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for size in (258, 262, 65536):
+        vocab = tokens.build_vocab(df, size=size)
+        got = {r["doc_id"]: r["text"] for r in tokens.decode(tokens.encode(df, vocab, add_eos=False), vocab).collect()}
+        assert got == {i: t or "" for i, t in enumerate(texts)}
 
 
 def test_windows_shift_by_one(spark):
