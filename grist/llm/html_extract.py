@@ -12,7 +12,8 @@ on pages without such an element.
 
 Defined cases: null html gives an empty text; a page without tags is one
 block; unclosed tags, tags cut off at the end and unclosed comments or scripts
-are accepted; character references decode as HTML5 defines them, also without
+are accepted; list items, cells and rows end where a sibling begins, and an end
+tag finds its element at any depth; character references decode as HTML5 defines them, also without
 a semicolon; a long page takes time in proportion to its length.
 """
 
@@ -56,8 +57,15 @@ pre section summary table tbody td tfoot th thead tr ul
 """.split())
 CONTAINERS = frozenset("""
 address article aside blockquote details dialog div dl fieldset figure footer form header main menu nav ol
-section table tbody td tr ul li span p
+section table tbody td tfoot th thead tr ul li span p
 """.split())
+UNSTYLED = frozenset("tfoot th thead".split())     # their class and id say nothing of what they hold
+INLINE = frozenset(("p", "span"))
+# What may stay open inside an item of a list when the next one begins; any other container holds a list of its own.
+IN_ITEM = frozenset("address div li p span".split())
+# Start tags of table parts and what they end, back to the innermost table.
+ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"),
+        **dict.fromkeys(("tbody", "tfoot", "thead"), ("tbody", "td", "tfoot", "th", "thead", "tr"))}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 # Words of class and id values. The first kind holds even around an article.
@@ -110,6 +118,10 @@ def blocks(page: str) -> list[tuple[str, int, int, bool]]:
     block in page order; region 0 is outside every ``article`` and ``main``."""
     out: list[tuple[str, int, int, bool]] = []
     stack: list[tuple[str, int, int]] = []       # container tag, kind, region
+    # positions in the stack, ascending: of each tag, of what isn't INLINE and of what isn't IN_ITEM
+    places: dict[str, list[int]] = {tag: [] for tag in CONTAINERS}
+    walls: list[int] = []
+    lists: list[int] = []
     parts: list[str] = []
     linked, in_link, region, kind, regions, at = 0, False, 0, 0, 0, 0
 
@@ -127,6 +139,17 @@ def blocks(page: str) -> list[tuple[str, int, int, bool]]:
         if in_link:
             linked += len(text)
 
+    def close(i):
+        """Everything from position ``i`` of the stack on ends."""
+        while len(stack) > i:
+            places[stack.pop()[0]].pop()
+        for own in (walls, lists):
+            while own and own[-1] >= i:
+                own.pop()
+
+    def last(own):
+        return own[-1] if own else -1
+
     search = TAG.search
     while True:
         m = search(page, at)
@@ -161,10 +184,18 @@ def blocks(page: str) -> list[tuple[str, int, int, bool]]:
                 continue
             if tag == "p":
                 # a paragraph ends where the next one begins, whatever stayed open inside
-                while stack and stack[-1][0] in ("p", "span"):
-                    stack.pop()
+                close(last(walls) + 1)
+            elif tag == "li" and last(places["li"]) > last(lists):
+                close(places["li"][-1])
+                in_link = False
+            elif tag in ENDS:
+                table = last(places["table"])
+                ended = [i for own in ENDS[tag] if (i := last(places[own])) > table]
+                if ended:
+                    close(min(ended))
+                    in_link = False
             region, kind = (stack[-1][2], stack[-1][1]) if stack else (0, 0)
-            own = container_kind(tag, m.group(3), region > 0)
+            own = 0 if tag in UNSTYLED else container_kind(tag, m.group(3), region > 0)
             if own and tag == "span":
                 flush()
             if tag in MAIN_TAGS and own < 2 and kind < 2:
@@ -172,16 +203,18 @@ def blocks(page: str) -> list[tuple[str, int, int, bool]]:
                 region, kind = regions, own and kind
             else:
                 kind = max(kind, own)
+            places[tag].append(len(stack))
+            if tag not in INLINE:
+                walls.append(len(stack))
+            if tag not in IN_ITEM:
+                lists.append(len(stack))
             stack.append((tag, kind, region))
         else:
-            for i in range(len(stack) - 1, max(-1, len(stack) - 200), -1):
-                if stack[i][0] == tag:
-                    if tag == "span" and stack[i][1]:
-                        flush()
-                    del stack[i:]
-                    break
-                if tag in ("span", "p") and stack[i][0] not in ("span", "p"):
-                    break
+            i = last(places[tag])
+            if i > (last(walls) if tag in INLINE else -1):
+                if tag == "span" and stack[i][1]:
+                    flush()
+                close(i)
             region, kind = (stack[-1][2], stack[-1][1]) if stack else (0, 0)
             in_link = False if tag != "span" else in_link
     flush()

@@ -73,3 +73,39 @@ def test_query_against_a_plain_reading_of_the_test_pages(spark):
         body = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S).group(1)
         expected = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub("</?b>", "", body))).split())
         assert (r.text, r.n_chars) == (expected, len(expected))
+
+
+LONG_TEXT = "The words of the story are here and it is that which the reader came for, so all of it is in the text that is kept at the end of the day."
+
+
+def test_many_unclosed_elements_hide_no_end_tag():
+    items = "".join(f"<li><a href='/{i}'>Entry {i}</a>" for i in range(300))
+    rows = "".join(f"<tr><th>Row {i}<td>cell {i}" for i in range(300))
+    body = f"<article><p>{LONG_TEXT}</p></article>"
+    after = "<div>Some other words after it that are no part of the main text.</div>"
+    for page in (f"<nav><ul>{items}</ul></nav>{body}", f"<nav>{items}</nav>{body}", f"<aside><table>{rows}</table></aside>{body}",
+                 f"<nav>{'<div>' * 300}menu</nav>{body}", f"<nav><ul>{items}</ul></nav>{body}{after}"):
+        assert H.main_text(page) == LONG_TEXT
+    inside = f"<article><p>{LONG_TEXT}</p><table>{rows}</table></article>{after}"
+    assert H.main_text(inside) == LONG_TEXT + "".join(f" Row {i} cell {i}" for i in range(300))
+
+
+def test_siblings_end_items_and_cells():
+    for page in ("<ul><li class='menu'>Home<li>words</ul>", "<ul><li class='menu'><div>Home<li>words</ul>",
+                 "<table><tr><td class='menu'>Home<td>words</table>", "<table><tr><td class='menu'>Home<th>words</table>",
+                 "<table><tr class='menu'><td>Home<tr><td>words</table>", "<table><tbody class='menu'><tr><td>Home<tfoot><tr><td>words</table>"):
+        assert H.main_text(page) == "words", page
+    # an inner list or table is no sibling
+    for page in ("<ul><li class='menu'>Home<ul><li>a<li>b</ul><li>words</ul>", "<table><tr><td class='menu'>Home<table><tr><td>a<td>b</table><td>words</table>"):
+        assert H.main_text(page) == "words", page
+
+
+def test_closing_deep_pages_takes_linear_time():
+    import time
+
+    n = 30_000
+    for page in ("<div>" * n + "t" + "</div>" * n, "<ul><li>a" * n + "</ul>" * n, "<table><tr><td>" * n + "</table>" * n,
+                 "<span>" * n + "</p>" * n, "<div>" * n + "</ul></li></td>" * n, "<li>a" * n + "</nav>" * n, "<span>a<div>" * n + "<p>" * n):
+        t = time.perf_counter()
+        H.main_text(page)
+        assert time.perf_counter() - t < 10
