@@ -15,8 +15,9 @@ Plan shape (per call of :func:`fuzzy_dedup`):
 5. components: :func:`grist.operators.components.connected_components`;
 6. survivors: anti-join on the unique document id.
 
-Verified mode keeps a star edge only when the exact Jaccard similarity of the
-two shingle sets exceeds the threshold (strict ``>``).
+Verified mode links documents only when the exact Jaccard similarity of the two
+shingle sets exceeds the threshold (strict ``>``); its components are those of
+all such pairs that share a bucket (:func:`verified_edges`).
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -38,6 +41,7 @@ from grist.session import cut_lineage
 # Mersenne prime 2^31 - 1: (a*h + b) stays below 2^62 for 31-bit a, b, h.
 PRIME = 2147483647
 NATIVE_MAX_HASHES = 32
+BLOCK = 512                 # members of a large bucket that are compared as one block
 
 
 @dataclass(frozen=True)
@@ -164,26 +168,94 @@ def verify_edges(edges: DataFrame, sets: DataFrame, id_col: str = "doc_id",
     return both.select("src", "dst", jaccard(F.col("_ss"), F.col("_sd")).alias("jaccard"))
 
 
+def _block_forest(batch: pa.Table) -> pa.Table:
+    """Edges that join the components (column ``c``) of one block pair's members
+    (``id``, ``shingles``) as all similar pairs would: each reached member is
+    compared with those not reached yet; a component is reached as a whole."""
+    threshold = batch["threshold"][0].as_py()
+    values = batch["shingles"].combine_chunks()
+    sizes = pc.list_value_length(values).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = values.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    component = batch["c"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    mark = np.zeros(int(codes.max(initial=-1)) + 1, bool)
+    left = np.argsort(-np.bincount(component)[component], kind="stable")     # the largest component goes first
+    sources, targets, todo, stale = [], [], [], True
+    while len(left):
+        if not todo:
+            own = component[left] == component[left[0]]
+            todo, left, stale = left[own].tolist(), left[~own], True
+            continue
+        if stale:
+            left_codes = np.concatenate([codes[starts[i]:starts[i + 1]] for i in left.tolist()])
+            left_starts, stale = np.concatenate(([0], np.cumsum(sizes[left])[:-1])), False
+        here = todo.pop()
+        mine = codes[starts[here]:starts[here + 1]]
+        mark[mine] = True
+        common = np.add.reduceat(mark[left_codes], left_starts, dtype=np.int64)
+        mark[mine] = False
+        near = common / (sizes[here] + sizes[left] - common) > threshold
+        if near.any():
+            sources += [here] * int(near.sum())
+            targets += left[near].tolist()
+            reached = np.isin(component[left], component[left[near]])
+            todo += left[reached].tolist()
+            left, stale = left[~reached], True
+    ids = batch["id"].combine_chunks()
+    return pa.table({"src": ids.take(pa.array(sources, pa.int64())), "dst": ids.take(pa.array(targets, pa.int64()))})
+
+
 def verified_edges(bands: DataFrame, sets: DataFrame, params: MinHashParams, id_col: str = "doc_id",
-                   **skew_opts) -> DataFrame:
-    """Edges of sufficient similarity. In each round a bucket's members are
-    compared with its smallest id; those that are too different form the bucket's
-    next round, under the next smallest id, until none is left. Rounds cost time
-    linear in the members left. What stays unchecked: a member that is like
-    another one which has already found its smallest id, but unlike that id."""
-    found, active = None, cut_lineage(bands.select(F.col(id_col).alias("dst"), "band", "key"))
-    while True:
-        roots = active.groupBy("band", "key").agg(F.min("dst").alias("src"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-        members = cut_lineage(skew.split_join(active, roots.select("band", "key", "src"), ["band", "key"], "inner",
-                                              key_counts=roots, count_col="n", **skew_opts).filter(F.col("dst") != F.col("src")))
-        scored = cut_lineage(verify_edges(members.select("src", "dst").distinct(), sets, id_col, **skew_opts)
-                             .select("src", "dst", (F.col("jaccard") > params.jaccard_threshold).alias("like")))
-        passed = scored.filter("like").select("src", "dst")
-        found = passed if found is None else found.unionByName(passed)
-        active = cut_lineage(members.join(scored.filter("like is not true").select("src", "dst"), ["src", "dst"], "left_semi")
-                             .select("dst", "band", "key"))
-        if active.limit(1).count() == 0:
-            return cut_lineage(found.distinct())
+                   block: int = BLOCK, **skew_opts) -> DataFrame:
+    """Edges of sufficient similarity whose components are those of all similar
+    pairs that share a bucket.
+
+    Documents of equal shingle sets stand for each other. A bucket's other members
+    are compared with its smallest id, linear in its size. Only buckets whose
+    members then still lie in several components go on: members outside their
+    largest component meet all the others, in pairs of blocks of about ``block``
+    members, of which each finds the links between different components."""
+    kind = bands.schema[id_col].dataType
+    ordered = F.array_sort("shingles")
+    prints = cut_lineage(sets.filter(F.size("shingles") > 0).select(
+        F.col(id_col).alias("id"), F.xxhash64(ordered).alias("h1"), F.xxhash64(F.lit("second"), ordered).alias("h2")))
+    first = cut_lineage(prints.groupBy("h1", "h2").agg(F.min("id").alias("src"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+    copies = cut_lineage(skew.split_join(prints, first.select("h1", "h2", "src"), ["h1", "h2"], "inner", key_counts=first, count_col="n", **skew_opts)
+                         .filter(F.col("id") != F.col("src")).select("src", F.col("id").alias("dst")))
+
+    active = cut_lineage(bands.select(F.col(id_col).alias("dst"), "band", "key").join(copies.select("dst"), "dst", "left_anti"))
+    roots = cut_lineage(active.groupBy("band", "key").agg(F.min("dst").alias("src"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+    members = cut_lineage(skew.split_join(active, roots.select("band", "key", "src"), ["band", "key"], "inner",
+                                          key_counts=roots, count_col="n", **skew_opts).filter(F.col("dst") != F.col("src")))
+    # texts that share no bucket needn't be shuffled, as far as the ids of the others may be broadcast
+    needed = cut_lineage(members.select("dst").unionByName(members.select(F.col("src").alias("dst"))).distinct().withColumnRenamed("dst", id_col))
+    if needed.count() <= skew.DEFAULT_MAX_BROADCAST_ROWS:
+        sets = sets.join(F.broadcast(needed), id_col, "left_semi")
+    stars = cut_lineage(verify_edges(members.select("src", "dst").distinct(), sets, id_col, **skew_opts)
+                        .filter(F.col("jaccard") > params.jaccard_threshold).select("src", "dst"))
+    found = stars.unionByName(copies) if params.jaccard_threshold < 1 else stars
+
+    # every pair with a smallest id is settled; what is left are pairs of the other members
+    label = CC.connected_components(stars, **skew_opts).select(F.col("vertex").alias("dst"), "component")
+    labelled = cut_lineage(members.join(label, "dst", "left").select("band", "key", F.col("dst").alias("id"), F.coalesce("component", "dst").alias("c")))
+    parts = labelled.groupBy("band", "key", "c").agg(F.count(F.lit(1)).alias("n"))
+    unsettled = cut_lineage(parts.groupBy("band", "key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("most"), F.count(F.lit(1)).alias("parts"))
+                            .filter(F.col("parts") > 1)
+                            .select("band", "key", "n", F.col("most.c").alias("largest"),
+                                    F.ceil(F.col("most.n") / block).alias("m"), F.ceil((F.col("n") - F.col("most.n")) / block).alias("k")))
+    met = skew.split_join(labelled, unsettled.drop("n"), ["band", "key"], "inner", key_counts=unsettled, count_col="n", **skew_opts)
+    # blocks 0 to k - 1: members outside the largest component; k to k + m - 1: the largest, which needs no comparison with itself
+    inner = F.col("c") == F.col("largest")
+    at = F.xxhash64("id", F.lit(7))
+    own = F.when(inner, F.col("k") + F.pmod(at, F.col("m"))).otherwise(F.pmod(at, F.col("k")))
+    others = F.sequence(F.lit(0).cast("long"), F.when(inner, F.col("k")).otherwise(F.col("k") + F.col("m")) - 1)
+    dealt = (met.withColumns({"own": own, "others": others}).join(sets.select(F.col(id_col).alias("id"), "shingles"), "id")
+             .withColumn("other", F.explode("others"))
+             .select("band", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "id", "c", "shingles",
+                     F.lit(float(params.jaccard_threshold)).alias("threshold")))
+    schema = Ty.StructType([Ty.StructField("src", kind), Ty.StructField("dst", kind)])
+    linked = dealt.groupBy("band", "key", "lo", "hi").applyInArrow(_block_forest, schema)
+    return cut_lineage(found.unionByName(linked.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))).distinct())
 
 
 @dataclass

@@ -188,3 +188,31 @@ def test_verified_dedup_compares_beyond_the_smallest_id(spark):
     sets = spark.createDataFrame([(1, words[:2] + [f"x{i}" for i in range(30)]), (2, words[:41]), (3, words[:42])], "doc_id long, shingles array<string>")
     got = minhash.verified_edges(bands, sets, minhash.MinHashParams(), "doc_id").collect()
     assert [(r["src"], r["dst"]) for r in got] == [(2, 3)]
+
+
+def test_verified_dedup_follows_chains_of_near_copies(spark):
+    """1 is like 2 and 2 like 3, but 1 is unlike 3."""
+    bands = spark.createDataFrame([(i, 0, [7]) for i in (1, 2, 3)], "doc_id long, band int, key array<long>")
+    words = [f"s{i}" for i in range(60)]
+    sets = spark.createDataFrame([(1, words[:40]), (2, words[4:44]), (3, words[8:48])], "doc_id long, shingles array<string>")
+    got = minhash.verified_edges(bands, sets, minhash.MinHashParams(), "doc_id").collect()
+    assert sorted((r["src"], r["dst"]) for r in got) == [(1, 2), (2, 3)]
+
+
+def test_verified_components_equal_those_of_all_pairs(spark):
+    rng = random.Random(3)
+    sets, buckets = {}, {}
+    for i in range(150):
+        base, shift = rng.randrange(6) * 1000, rng.randrange(30)
+        sets[i] = frozenset(f"w{base + shift + j}" for j in range(rng.randint(18, 24)))
+        if i % 5 == 4:
+            sets[i] = sets[i - 1]
+        buckets.setdefault(sets[i], (i % 3, rng.randrange(8)))      # equal sets share all buckets
+    linked = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) > 0.8
+              and any(x == y for x, y in zip(buckets[sets[a]], buckets[sets[b]]))}
+    bands = spark.createDataFrame([(i, b, [k]) for i, s in sets.items() for b, k in enumerate(buckets[s])], "doc_id long, band int, key array<long>")
+    rows = spark.createDataFrame([(i, rng.sample(sorted(s), len(s))) for i, s in sets.items()], "doc_id long, shingles array<string>")
+    edges = minhash.verified_edges(bands, rows, minhash.MinHashParams(), block=3, hot_rows=20)
+    got = {(r["src"], r["dst"]) for r in edges.collect()}
+    assert got <= linked
+    assert union_find(got, sets) == union_find(linked, sets)
