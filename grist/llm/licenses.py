@@ -28,30 +28,41 @@ from pyspark.sql import functions as F
 
 from grist.llm.common import free_name
 
-#: Licence sentences, normalised, by identifier. ``*`` stands for
+MIT_GRANT = ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the "
+             "software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+             "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject "
+             "to the following conditions")
+ISC_GRANT = ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the "
+             "above copyright notice and this permission notice appear in all copies")
+APACHE_REFS = tuple(f"{start} under the apache license version 2 0{end}" for start in ("licensed", "released", "this work is licensed")
+                    for end in ("", " the license"))
+APACHE_USE = "you may not use this file except in compliance with the license"
+APACHE_URLS = ("http www apache org licenses license 2 0", "https www apache org licenses license 2 0")
+APACHE_COPY = "you may obtain a copy of the license at"
+APACHE_AS_IS = ("unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+                "without warranties or conditions of any kind either express or implied")
+
+#: Licence sentences, normalised, by identifier; those that a notice
+#: joins without a mark at which it is cut, also joined (``ApacheRefUse``,
+#: ``ApacheCopyAsIs``, ``MITCopyGrant``, ``ISCCopyGrant``). ``*`` stands for
 #: a version number, a year or a name of one to twelve words.
 SENTENCES = {
-    "ApacheRef": ("licensed under the apache license version 2 0",
-                  "licensed under the apache license version 2 0 the license",
-                  "released under the apache license version 2 0",
-                  "this work is licensed under the apache license version 2 0"),
-    "ApacheUse": ("you may not use this file except in compliance with the license",),
-    "ApacheCopy": ("you may obtain a copy of the license at http www apache org licenses license 2 0",
-                   "you may obtain a copy of the license at"),
-    "ApacheAsIs": ("unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
-                   "without warranties or conditions of any kind either express or implied",),
+    "ApacheRef": APACHE_REFS,
+    "ApacheRefUse": tuple(f"{ref} {APACHE_USE}" for ref in APACHE_REFS),
+    "ApacheUse": (APACHE_USE,),
+    "ApacheCopy": (APACHE_COPY, *[f"{APACHE_COPY} {url}" for url in APACHE_URLS]),
+    "ApacheCopyAsIs": tuple(f"{APACHE_COPY} {url} {APACHE_AS_IS}" for url in APACHE_URLS),
+    "ApacheAsIs": (APACHE_AS_IS, *[f"{url} {APACHE_AS_IS}" for url in APACHE_URLS]),
     "ApacheSee": ("see the license for the specific language governing permissions and limitations under the license",),
     "MITRef": ("released under the mit license", "licensed under the mit license", "this work is licensed under the mit license",
                "this project is licensed under the mit license", "the mit license mit", "mit license"),
-    "MITGrant": ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the "
-                 "software to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
-                 "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject "
-                 "to the following conditions",),
+    "MITGrant": (MIT_GRANT,),
+    "MITCopyGrant": tuple(f"{title}copyright * {MIT_GRANT}" for title in ("", "mit license ", "the mit license ", "the mit license mit ")),
     "MITNotice": ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",),
     "AsIs": ("the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
              "merchantability fitness for a particular purpose and noninfringement",),
-    "ISCGrant": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the "
-                 "above copyright notice and this permission notice appear in all copies",),
+    "ISCGrant": (ISC_GRANT,),
+    "ISCCopyGrant": tuple(f"{title}copyright * {ISC_GRANT}" for title in ("", "isc license ", "the isc license ")),
     "BSDRef": ("licensed under the bsd license", "released under the bsd license", "this work is licensed under the bsd license"),
     "BSD2Ref": ("licensed under the bsd 2 clause license", "released under the bsd 2 clause license"),
     "BSD3Ref": ("licensed under the bsd 3 clause license", "released under the bsd 3 clause license"),
@@ -74,8 +85,11 @@ SENTENCES = {
                    "either version 3 of the license or at your option any later version",),
     "GPLNoWarranty": ("this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",),
     "GPLSee": ("see the gnu general public license for more details",),
-    "MPL2Ref": ("this source code form is subject to the terms of the mozilla public license v 2 0", "licensed under the mozilla public license version 2 0"),
-    "MPLCopy": ("if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",),
+    "MPL2Ref": ("this source code form is subject to the terms of the mozilla public license v 2 0",
+                "this source code form is subject to the terms of the mozilla public license v",       # 'v. 2.0' is cut
+                "licensed under the mozilla public license version 2 0"),
+    "MPLCopy": ("if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+                "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"),
     "EPL2Ref": ("licensed under the eclipse public license version 2 0", "licensed under the eclipse public license 2 0"),
     "CCBYRef": ("licensed under cc by 4 0", "this work is licensed under cc by 4 0", "licensed under a creative commons attribution 4 0 international license",
                 "this work is licensed under a creative commons attribution 4 0 international license"),
@@ -92,13 +106,17 @@ SENTENCES = {
 #: Fixed values, in the order of matching: identifiers that must follow each
 #: other, and the licence that they mean.
 RULES = (
-    (("ApacheRef", "ApacheUse", "ApacheCopy", "ApacheAsIs", "ApacheSee"), "Apache-2.0"),
-    (("ApacheRef", "ApacheUse", "ApacheCopy"), "Apache-2.0"),
+    *[((*ref, *rest), "Apache-2.0") for rest in (("ApacheCopy", "ApacheAsIs", "ApacheSee"), ("ApacheCopyAsIs", "ApacheSee"), ("ApacheCopy", "ApacheAsIs"),
+                                                 ("ApacheCopyAsIs",), ("ApacheCopy",)) for ref in (("ApacheRef", "ApacheUse"), ("ApacheRefUse",))],
+    (("ApacheRefUse",), "Apache-2.0"),
     (("ApacheRef",), "Apache-2.0"),
     (("MITGrant", "MITNotice", "AsIs"), "MIT"),
     (("MITGrant", "MITNotice"), "MIT"),
+    (("MITCopyGrant", "MITNotice", "AsIs"), "MIT"),
+    (("MITCopyGrant", "MITNotice"), "MIT"),
     (("MITRef",), "MIT"),
     (("ISCGrant",), "ISC"),
+    (("ISCCopyGrant",), "ISC"),
     (("BSDGrant", "BSDSource", "BSDBinary", "BSDEndorse"), "BSD-3-Clause"),
     (("BSDGrant", "BSDSource", "BSDBinary"), "BSD-2-Clause"),
     (("BSD3Ref",), "BSD-3-Clause"),

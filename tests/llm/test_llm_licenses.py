@@ -76,3 +76,57 @@ def test_every_planted_line_is_found(spark, sf):
     found = {r.doc_id: r.licences for r in QUERIES["op5_license_scan"](spark, sf).filter(F.col("licences") != "").collect()}
     expected = {i: {x for s, x in lines.items() if s in t} for i, t in texts.items()}
     assert {i: set(x.split(",")) for i, x in found.items()} == {i: x for i, x in expected.items() if x} and found
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+AS_IS = """
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+MIT_FULL = "MIT License\n\n" + MIT.replace("/*\n", "").replace(" */", "").replace(" * ", "").replace(" *", "").strip() + AS_IS
+ISC = """Copyright (c) 2020, Some Body
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies."""
+BSD = """Copyright (c) 2020, Some Body
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+NOTICES = [(APACHE, "Apache-2.0"), (APACHE.replace("http:", "https:"), "Apache-2.0"), (MIT_FULL, "MIT"),
+           (GPL, "GPL-2.0-or-later"), (GPL.replace("version 2", "version 3"), "GPL-3.0-or-later"), (MPL, "MPL-2.0")]
+
+
+def test_full_notices_wrapped_reflowed_and_on_one_line(spark):
+    import textwrap
+
+    forms = []
+    for notice, licence in NOTICES:
+        paragraphs = [" ".join(p.split()) for p in notice.split("\n\n")]
+        for width in (30, 47, 60, 72, 79, 100, 10_000):
+            wrapped = "\n\n".join(textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in paragraphs)
+            forms += [(wrapped, licence), ("".join(f"# {line}\n" for line in wrapped.split("\n")), licence)]
+            forms.append((textwrap.fill(" ".join(paragraphs), width, break_long_words=False, break_on_hyphens=False), licence))
+        forms += [(notice, licence), (f"Some words.\n\n{notice}\n\nOther words.", licence), (" ".join(notice.split()), licence)]
+    # wrapped to a narrow width, a line of these may begin with 'copyright': README names it as open
+    forms += [(form, licence) for notice, licence in ((ISC, "ISC"), (BSD, "BSD-2-Clause")) for form in (notice, " ".join(notice.split()))]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(forms)], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in L.recognise(docs).collect()}
+    assert [(forms[i][0], x) for i, x in sorted(got.items()) if x != [forms[i][1]]] == []
