@@ -21,7 +21,8 @@ Its counts must be exact over the corpus, and some words are in every document:
 
 * ``COMMON`` words at most, the most frequent by the tasks' own lists, are
   counted exactly in one more scan and broadcast (a bounded table);
-* all other words are dealt by hash into buckets. Each batch of documents sends
+* all other words are dealt by hash into buckets, whose number follows the bytes
+  of all texts (``BUCKET_BYTES``). Each batch of documents sends
   a bucket its different words and, for each, the documents it is in and how
   often, packed in arrays. A bucket adds up the counts, scores each of
   its words once, and returns sums by document, which are added by batch.
@@ -52,7 +53,8 @@ ITERATIONS = 2
 COMMON = 20_000             # words counted and scored from a broadcast table, at most
 LOCAL_SHARE = 40_000        # a task names a word that makes up 1 / LOCAL_SHARE of its words
 FLUSH = 300_000             # different words a task gathers before it adds them to its sums
-LEAST_BUCKETS = 64          # more with more shuffle partitions
+LEAST_BUCKETS = 64          # more with more shuffle partitions or more text
+BUCKET_BYTES = 32 << 20     # of text for each bucket of words, on average at most
 CHUNK = 8192                # words of one length recursed together
 PRIOR = 0.1                 # added to each piece's expected count
 SPELLED = 0.08              # share of words spelled by pieces; the others come whole from the training words
@@ -426,6 +428,13 @@ def batch_sums(shared):
     return run
 
 
+def bucket_count(rows: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for the words of the texts ``t``: a bucket is held by one task, so
+    their number follows the bytes of all texts, held out or not."""
+    size = rows.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
+    return max(partitions(rows.sparkSession), LEAST_BUCKETS, -(-size // bucket_bytes))
+
+
 def score_documents(df: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", class_col: str | None = "lang",
                     iterations: int = ITERATIONS) -> DataFrame:
     """A row for each row of ``df``: ``id`` (an integer column), ``held_out``,
@@ -439,7 +448,7 @@ def score_documents(df: DataFrame, path: str, id_col: str = "doc_id", text: str
     rows = rows.withColumn("cls", cls).drop("name")
     learned = learn(rows.filter("train").select("t", "cls"), path, len(names) + 1, iterations)
     shared = spark.sparkContext.broadcast(learned)
-    dealt = rows.mapInArrow(dealer(path, max(partitions(spark), LEAST_BUCKETS), shared), DEALT)
+    dealt = rows.mapInArrow(dealer(path, bucket_count(rows), shared), DEALT)
     sums = dealt.groupBy("bucket", "part").applyInArrow(bucket_sums(path, shared), SUMS)
     scored = materialize(sums.groupBy("batch").applyInArrow(batch_sums(shared), SCORED).withColumn("held_out", held_out(F.col("id"))), "scored")
     texts, words, vocabulary = scored.agg(

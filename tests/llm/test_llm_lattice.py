@@ -126,3 +126,16 @@ def test_learned_weights_beat_the_vocabularys_own(spark):
     own = L.pieces_of(PATH)
     words = [w for t in texts for w in t]
     assert L.log_scores(words, PATH, learned.logp).sum() > 0.9 * L.log_scores(words, PATH, np.log(own.start / own.start.sum())).sum()
+
+
+def test_buckets_follow_the_text(spark, monkeypatch):
+    texts = spark.createDataFrame([("é" * 500,)] * 400 + [(None,)], "t string")
+    assert L.bucket_count(texts) == L.bucket_count(texts.limit(0)) == max(L.LEAST_BUCKETS, L.partitions(spark))
+    assert L.bucket_count(texts, 1000) == 400 and L.bucket_count(texts, 1001) == 400
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(300)}" for _ in range(40)), "en") for i in range(60)], "doc_id long, text string, lang string")
+    few = sorted(map(tuple, L.score_documents(docs, PATH).collect()))
+    monkeypatch.setattr(L, "bucket_count", lambda rows: 700)
+    many = sorted(map(tuple, L.score_documents(docs, PATH).collect()))
+    assert [r[:5] for r in many] == [r[:5] for r in few]
+    assert [x for r in many for x in r[5:]] == pytest.approx([x for r in few for x in r[5:]], rel=1e-5)
