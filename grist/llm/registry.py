@@ -14,7 +14,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grist.llm import bpe, html_extract, kneser_ney, lattice_lm, licenses, mixing, mtree, quality_rules, simhash, substring
+from grist.llm import (bpe, collocations, html_extract, kneser_ney, lattice_lm, licenses, mixing, mtree, quality_rules, rank_profiles, simhash,
+                       substring, whitening)
 from grist.llm.common import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +124,29 @@ ORACLES["op7_substring_dedup"] = """
            sha256(coalesce(array_to_string(k, ' '), '')) as kept_sha256
     from documents d left join kept using (doc_id)"""
 
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents", "text", "lang")).withColumnRenamed("language", "lang")
+
+
+ORACLES["op11_collocations"] = collocations.oracle()
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    out = rank_profiles.held_out("doc_id")
+    profiles = rank_profiles.learn(documents.filter(~out))
+    return rank_profiles.predict(documents.drop("lang"), profiles).select(
+        "doc_id", F.coalesce(out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
