@@ -7,12 +7,13 @@ ROLLUP over (language, word 1, ..., word 5) then sums them to the count of every
 shorter prefix, that is of every phrase, so no order of n-grams is exploded by
 itself.
 
-A phrase can only reach ``min_count`` if each of its adjacent word pairs does,
-so a window ends before the first pair that can't:
+A phrase can only reach ``min_count`` if each of its words and adjacent word
+pairs does, so a window ends before the first pair that can't, and the window of
+a word that can't is padding alone (it still counts as a word of its language):
 
-* map tasks send counts of hashed pairs; those that reach ``min_count`` set bits
-  in a filter of a fixed 8 MB. The filter has no false negatives, and a pair
-  that passes by chance only makes windows longer: all counts stay exact. With
+* map tasks send counts of hashed words and pairs; those that reach ``min_count``
+  set bits in a filter of a fixed 8 MB. The filter has no false negatives, and
+  what passes by chance only makes windows longer: all counts stay exact. With
   more frequent pairs than bits, windows are simply cut less;
 * map tasks form windows in blocks of words, with words numbered within the
   block, and send each distinct window of a block once with its count.
@@ -49,6 +50,7 @@ UNKNOWN = "und"
 BLOCK = 1 << 19             # words that are counted together before they are sent
 SLICE = 1 << 22             # bytes of a text that are split at once
 FILTER_BITS = 1 << 26
+SHARES = 32                 # groups of a language's phrases that are ranked apart first
 WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 
 END = b"\xff"               # piece end; no byte of UTF-8
@@ -91,14 +93,14 @@ class Block:
         owners, n = zip(*self.owners)
         return np.concatenate(self.words), np.repeat(np.array(owners), n)
 
-    def pair_hashes(self, words: np.ndarray, owners: np.ndarray) -> np.ndarray:
-        """64 bits of (language, word, next word) at each place but the last."""
+    def hashes(self, words: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """64 bits of (language, word) at each place, and of (language, word, next word) at each but the last."""
         own = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.numbers), np.uint64, len(self.numbers))[words]
         name = np.fromiter((xxhash.xxh64_intdigest(x) for x in self.languages), np.uint64, len(self.languages))[owners]
-        h = (own[:-1] + name[:-1]) * np.uint64(0x9E3779B185EBCA87)
-        h ^= h >> np.uint64(29)
-        h = (h + own[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-        return h ^ h >> np.uint64(32)
+        single = (own + name) * np.uint64(0x9E3779B185EBCA87)
+        single ^= single >> np.uint64(29)
+        pair = (single[:-1] + own[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return single, pair ^ pair >> np.uint64(32)
 
 
 def blocks(batches):
@@ -116,20 +118,21 @@ def blocks(batches):
         yield block
 
 
-def pair_counts(rows: DataFrame) -> DataFrame:
-    """(h, n): counts of hashed pairs of adjacent words, partial ones summed."""
+def hash_counts(rows: DataFrame) -> DataFrame:
+    """(h, n): counts of hashed words and of hashed pairs of adjacent words, partial ones summed."""
     def run(batches):
         for block in blocks(batches):
             words, owners = block.rows()
             inside = (words[:-1] > 0) & (words[1:] > 0)
-            h, n = np.unique(block.pair_hashes(words, owners)[inside], return_counts=True)
+            single, pair = block.hashes(words, owners)
+            h, n = np.unique(np.concatenate((single[words > 0], pair[inside])), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
     return rows.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def pair_filter(counts: DataFrame, min_count: int) -> np.ndarray:
-    """Bits of the pairs that reach ``min_count``, two each; at most ``FILTER_BITS`` bits reach the driver."""
+def frequent_filter(counts: DataFrame, min_count: int) -> np.ndarray:
+    """Bits of the hashes that reach ``min_count``, two each; at most ``FILTER_BITS`` bits reach the driver."""
     low, high = F.col("h").bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned("h", 30).bitwiseAND(FILTER_BITS - 1)
     bits = (counts.filter(F.col("n") >= min_count).select(F.explode(F.array(low, high)).alias("bit"))
             .groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")))
@@ -165,10 +168,13 @@ def window_counts(rows: DataFrame, table: np.ndarray) -> DataFrame:
         for block in blocks(batches):
             words, owners = block.rows()
             goes_on = (words[:-1] > 0) & (words[1:] > 0)
-            goes_on[goes_on] = passes(shared.value, block.pair_hashes(words, owners)[goes_on])
+            single, pair = block.hashes(words, owners)
+            goes_on[goes_on] = passes(shared.value, pair[goes_on])
+            frequent = words > 0
+            frequent[frequent] = passes(shared.value, single[frequent])
             padded = np.concatenate((words, np.zeros(LONGEST, np.int64)))
             open_ = np.concatenate((goes_on, np.zeros(LONGEST, bool)))
-            leads, alive = [words], np.ones(len(words), bool)
+            leads, alive = [np.where(frequent, words, 0)], frequent
             for k in range(1, LONGEST):
                 alive = alive & open_[k - 1:k - 1 + len(words)]
                 leads.append(np.where(alive, padded[k:k + len(words)], 0))
@@ -232,12 +238,14 @@ def mine(df: DataFrame, text: str = "text", language: str = "lang", min_count: i
          contained_percent: int = CONTAINED_PERCENT) -> DataFrame:
     """Each language's first ``top`` collocations: language, rank, phrase, a, l, r, n, score."""
     rows = df.select(F.coalesce(F.col(language).cast("string"), F.lit(UNKNOWN)).alias("language"), F.col(text).alias("t"))
-    table = pair_filter(pair_counts(rows), min_count)
+    table = frequent_filter(hash_counts(rows), min_count)
     counted, totals = phrase_counts(window_counts(rows, table), min_count)
     candidates = materialize(scored(counted, totals), "candidates")
-    order = Window.partitionBy("language").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (not_contained(candidates, contained_percent).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-            .select("language", "rank", "phrase", "a", "l", "r", "n", "score"))
+    best = not_contained(candidates, contained_percent).withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    for group in (["language", "share"], ["language"]):         # the first of each share, then the first of those: a bounded group
+        order = Window.partitionBy(*group).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        best = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    return best.select("language", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def oracle(min_count: int = MIN_COUNT, top: int = TOP, percent: int = CONTAINED_PERCENT) -> str:
