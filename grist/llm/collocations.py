@@ -47,9 +47,11 @@ MIN_COUNT = 100
 TOP = 2000                  # phrases reported for each language
 CONTAINED_PERCENT = 100     # a phrase goes if a longer one that holds it has this share of its count
 UNKNOWN = "und"
-BLOCK = 1 << 19             # words that are counted together before they are sent
+BLOCK = 1 << 18             # words that are counted together before they are sent
 SLICE = 1 << 22             # bytes of a text that are split at once
+HASH_BITS = 40              # of a word or pair; equal hashes only let more pass, and shorter ones make smaller shuffles
 FILTER_BITS = 1 << 26
+SHIFTS = (0, 14)            # of a hash, for its two places in the filter
 SHARES = 32                 # groups of a language's phrases that are ranked apart first
 WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 
@@ -94,13 +96,13 @@ class Block:
         return np.concatenate(self.words), np.repeat(np.array(owners), n)
 
     def hashes(self, words: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """64 bits of (language, word) at each place, and of (language, word, next word) at each but the last."""
+        """``HASH_BITS`` bits of (language, word) at each place, and of (language, word, next word) at each but the last."""
         own = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.numbers), np.uint64, len(self.numbers))[words]
         name = np.fromiter((xxhash.xxh64_intdigest(x) for x in self.languages), np.uint64, len(self.languages))[owners]
         single = (own + name) * np.uint64(0x9E3779B185EBCA87)
         single ^= single >> np.uint64(29)
         pair = (single[:-1] + own[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-        return single, pair ^ pair >> np.uint64(32)
+        return single >> np.uint64(64 - HASH_BITS), pair >> np.uint64(64 - HASH_BITS)
 
 
 def blocks(batches):
@@ -133,8 +135,8 @@ def hash_counts(rows: DataFrame) -> DataFrame:
 
 def frequent_filter(counts: DataFrame, min_count: int) -> np.ndarray:
     """Bits of the hashes that reach ``min_count``, two each; at most ``FILTER_BITS`` bits reach the driver."""
-    low, high = F.col("h").bitwiseAND(FILTER_BITS - 1), F.shiftrightunsigned("h", 30).bitwiseAND(FILTER_BITS - 1)
-    bits = (counts.filter(F.col("n") >= min_count).select(F.explode(F.array(low, high)).alias("bit"))
+    places = F.array(*[F.shiftrightunsigned("h", s).bitwiseAND(FILTER_BITS - 1) for s in SHIFTS])
+    bits = (counts.filter(F.col("n") >= min_count).select(F.explode(places).alias("bit"))
             .groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")))
     table = np.zeros(FILTER_BITS >> 6, np.uint64)
     found = bits.toArrow()
@@ -144,7 +146,7 @@ def frequent_filter(counts: DataFrame, min_count: int) -> np.ndarray:
 
 def passes(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     hit = np.ones(len(h), bool)
-    for shift in (0, 30):
+    for shift in SHIFTS:
         bit = h >> np.uint64(shift) & np.uint64(FILTER_BITS - 1)
         hit &= (table[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
     return hit
