@@ -37,9 +37,9 @@ from grist.llm.common import release_memory
 
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_PIECES = 150_000          # distinct pieces, and words, that a worker remembers
+CACHE_PIECES = 60_000           # distinct pieces, and words, that a worker remembers
 CACHE_LENGTH = 64               # longer ones are encoded anew
-CACHE_PAIRS = 200_000
+CACHE_PAIRS = 100_000
 DOUBLE_BLANK = re.compile(r"\s\s")
 
 

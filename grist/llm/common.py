@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +49,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 
 def release_memory() -> None:
-    """Give back what earlier batches used: a Python worker outlives its tasks."""
+    """Give back what earlier batches used: a Python worker outlives its tasks, and
+    neither Arrow's pool nor the C library returns freed memory by itself."""
     pa.default_memory_pool().release_unused()
+    trim = libc().malloc_trim if hasattr(libc(), "malloc_trim") else None     # of the GNU C library
+    if trim:
+        trim(0)
+
+
+@lru_cache(1)
+def libc() -> ctypes.CDLL:
+    return ctypes.CDLL(None)
 
 
 def partitions(spark: SparkSession) -> int:

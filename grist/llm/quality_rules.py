@@ -3,9 +3,12 @@
 ``text_statistics`` counts, per document, what the rules look at.
 ``learn`` finds the list by sequential covering on labelled rows: a rule is a
 conjunction of thresholds on ratios of counts, grown one condition at a time by
-information gain on two thirds of the rows, then pruned from its end on the
-rest; the bad rows that it covers leave and the next rule is sought, until none
-is precise enough. ``DecisionList.verdict`` emits the rules, in order, as one
+information gain and pruned from its end by folds: rules grown without a fold
+are judged on it. The bad rows that a rule covers leave and the next is sought,
+until one doesn't pay: its precision on unseen rows must reach
+``MIN_PRECISION``, and the bits that it saves in describing the labels must
+exceed its own. Thresholds lie midway between neighbouring values of the two
+classes. ``DecisionList.verdict`` emits the rules, in order, as one
 Spark conditional expression, so applying them is a narrow native projection.
 
 Only the fit is bounded: it uses at most ``MAX_LABELLED`` labelled rows, those
@@ -13,7 +16,8 @@ with the smallest hashes of their ids. Statistics and verdicts cover every row.
 
 Defined cases: null or blank text has all counts 0 and fails the base rule; a
 label table that is empty or has one class gives a list without rules, which
-keeps every row; null labels and labels of unknown ids are ignored; an id that
+keeps every row, an empty table of texts gives an empty result; very long texts
+are counted whole, like others; columns named like a count are replaced; null labels and labels of unknown ids are ignored; an id that
 is labelled twice takes the smaller label; repeated rows get equal results.
 """
 
@@ -33,9 +37,9 @@ from grist.llm.common import free_name
 MAX_LABELLED = 20_000       # labelled rows that the fit uses at most
 MIN_WORDS = 50              # base rule: fewer words fail
 MAX_REPEAT_PERCENT = 50     # base rule: a larger share of words in repeated windows fails
-MAX_RULES, MAX_CONDITIONS, CUTS = 12, 4, 64
-MIN_PRECISION = 0.95        # of a rule on the rows that pruned it, smoothed
-MIN_COVERED = 5
+MAX_RULES, MAX_CONDITIONS, FOLDS = 12, 4, 5
+MIN_PRECISION = 0.9         # of a rule, on rows that didn't grow it
+CONDITION_BITS = 12.0       # to name a ratio, a side and a threshold
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks")
 #: Ratios that conditions compare: (numerator, denominator).
@@ -144,14 +148,24 @@ def covers(rule: list[Condition], ratios: np.ndarray) -> np.ndarray:
     return hit
 
 
-def grow(ratios: np.ndarray, bad: np.ndarray, cuts: list[np.ndarray]) -> list[Condition]:
+def cuts_between(values: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Midpoints between neighbouring values, where the classes of the two differ."""
+    distinct, place = np.unique(values, return_inverse=True)
+    has_bad = np.bincount(place, bad, len(distinct)) > 0
+    has_good = np.bincount(place, ~bad, len(distinct)) > 0
+    same = (has_bad[1:] == has_bad[:-1]) & (has_good[1:] == has_good[:-1]) & (has_bad[1:] != has_good[1:])
+    return ((distinct[1:] + distinct[:-1]) / 2)[~same]
+
+
+def grow(ratios: np.ndarray, bad: np.ndarray) -> list[Condition]:
     """Add the condition of the highest information gain until no good row is covered."""
     rule: list[Condition] = []
     hit = np.ones(len(bad), bool)
     while len(rule) < MAX_CONDITIONS and (hit & ~bad).any():
         p, n = (hit & bad).sum(), (hit & ~bad).sum()
         best, best_gain = None, 1e-9
-        for k, values in enumerate(cuts):
+        for k in range(ratios.shape[1]):
+            values = cuts_between(ratios[hit, k], bad[hit])
             if not len(values):
                 continue
             # covered rows up to each cut, for both classes, in two searches
@@ -171,17 +185,32 @@ def grow(ratios: np.ndarray, bad: np.ndarray, cuts: list[np.ndarray]) -> list[Co
     return rule
 
 
-def prune(rule: list[Condition], ratios: np.ndarray, bad: np.ndarray) -> tuple[list[Condition], float, int]:
-    """The prefix of ``rule`` worth most on rows that didn't grow it; its smoothed precision and its cover."""
-    best = ([], 0.0, 0)
-    best_worth = 0.0
-    for k in range(len(rule), 0, -1):
-        hit = covers(rule[:k], ratios)
-        p, n = int((hit & bad).sum()), int((hit & ~bad).sum())
-        worth = (p - n) / (p + n) if p + n else 0.0
-        if worth >= best_worth and p:
-            best, best_worth = (rule[:k], (p + 1) / (p + n + 2), p), worth
-    return best
+def prune(ratios: np.ndarray, bad: np.ndarray, folds: np.ndarray) -> tuple[int, int, int]:
+    """(conditions, bad, good): the length at which rules are worth most on rows
+    that didn't grow them, and the rows covered there. Each fold is judged by a
+    rule grown on the others, so that every row grows rules and judges one."""
+    seen = np.zeros((MAX_CONDITIONS + 1, 2), int)
+    for f in range(FOLDS):
+        own = folds == f
+        if not (bad & ~own).any() or not (~bad & ~own).any():
+            continue
+        rule = grow(ratios[~own], bad[~own])
+        for k in range(1, MAX_CONDITIONS + 1):
+            hit = covers(rule[:k], ratios[own]) if rule else np.zeros(own.sum(), bool)
+            seen[k] += (hit & bad[own]).sum(), (hit & ~bad[own]).sum()
+    worth = [(p - n) / (p + n) if p + n else -1.0 for p, n in seen[1:]]
+    best = int(np.argmax(worth)) + 1
+    return best, *map(int, seen[best])
+
+
+def pays(p: int, n: int, bad: int, good: int, conditions: int) -> bool:
+    """Whether a rule that covers ``p`` bad and ``n`` good rows of so many shortens
+    the description of the labels by more than the bits it takes itself."""
+    if p < MIN_PRECISION * (p + n) or not p:
+        return False
+    share, base = (p + 0.5) / (p + n + 1), bad / (bad + good)
+    saved = p * np.log2(share / base) + n * np.log2((1 - share) / (1 - base))
+    return saved > conditions * CONDITION_BITS
 
 
 def learn_rows(counts: np.ndarray, bad: np.ndarray, seed: int = 42) -> DecisionList:
@@ -189,18 +218,16 @@ def learn_rows(counts: np.ndarray, bad: np.ndarray, seed: int = 42) -> DecisionL
     column = {c: counts[:, i].astype(float) for i, c in enumerate(COUNTS)}
     ratios = np.stack([np.divide(column[a], column[b], out=np.zeros(len(counts)), where=column[b] > 0)
                        for a, b in RATIOS], axis=1) if len(counts) else np.zeros((0, len(RATIOS)))
-    # cuts between values, at quantiles of each class
-    cuts = []
-    for k in range(len(RATIOS)):
-        q = [np.quantile(ratios[m, k], np.linspace(0, 1, CUTS)) for m in (bad, ~bad) if m.any()]
-        cuts.append(np.unique(np.concatenate(q)) if q else np.zeros(0))
-    grows = np.random.default_rng(seed).random(len(bad)) < 2 / 3
+    # folds dealt apart in each class, so that few bad rows are in all of them
+    folds, rng = np.zeros(len(bad), int), np.random.default_rng(seed)
+    for m in (bad, ~bad):
+        folds[m] = rng.permutation(np.arange(m.sum()) % FOLDS)
     left = np.ones(len(bad), bool)
     found = DecisionList()
-    while len(found.rules) < MAX_RULES and (left & grows & bad).sum() >= MIN_COVERED and (~bad).any():
-        rule = grow(ratios[left & grows], bad[left & grows], cuts)
-        rule, precision, covered = prune(rule, ratios[left & ~grows], bad[left & ~grows])
-        if not rule or precision < MIN_PRECISION or covered < MIN_COVERED:
+    while len(found.rules) < MAX_RULES and (left & bad).any() and (left & ~bad).any():
+        length, p, n = prune(ratios[left], bad[left], folds[left])
+        rule = grow(ratios[left], bad[left])[:length]
+        if not rule or not pays(p, n, int((left & bad).sum()), int((left & ~bad).sum()), len(rule)):
             break
         found.rules.append(rule)
         left &= ~covers(rule, ratios)

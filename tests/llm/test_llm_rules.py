@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -75,10 +76,26 @@ def test_defined_cases(spark):
     assert Q.apply(stats.limit(0), Q.learn(stats.limit(0), labels.limit(0))).count() == 0
 
 
-def test_query_rejects_labelled_junk_and_keeps_the_rest(spark):
+def test_few_labelled_rows_suffice_and_noise_gives_no_rule():
+    for seed in range(5):
+        counts, bad = rows(90, seed=seed)
+        found = Q.learn_rows(counts, bad)
+        new, new_bad = rows(2000, seed=100 + seed)
+        ratios = np.stack([np.divide(new[:, Q.COUNTS.index(a)], new[:, Q.COUNTS.index(b)]) for a, b in Q.RATIOS], axis=1)
+        hit = found.covered(ratios)
+        assert found.rules and (hit & new_bad).sum() > 0.5 * new_bad.sum() and (hit & ~new_bad).sum() < 0.02 * (~new_bad).sum()
+        assert Q.learn_rows(counts, np.random.default_rng(seed + 50).random(len(bad)) < 0.3).rules == []
+
+
+def test_cuts_lie_midway_between_the_classes():
+    values, bad = np.array([0.0, 0.0, 1.0, 2.0, 2.0, 4.0]), np.array([False, False, False, True, False, True])
+    assert Q.cuts_between(values, bad).tolist() == [1.5, 3.0]
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_query_rejects_labelled_junk_and_keeps_the_rest(spark, sf):
     from grist.llm.registry import QUERIES
 
-    sf = "/root/testdata/sf0.01"
     got = QUERIES["op2_quality_rules"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("not base_failed").collect()
     bad = [r for r in got if r.quality == 0]
     good = [r for r in got if r.quality == 1]
