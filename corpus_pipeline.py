@@ -22,6 +22,7 @@ from grist.llm import bpe, kneser_ney, mixing, simhash, substring
 from grist.llm.common import free_name, materialize, read, tune
 
 TOKENIZER = "byte_bpe_50k.json"
+BYTES_PER_BATCH = 8 << 20    # of Arrow batches, which six workers hold beside their tables
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -78,7 +79,7 @@ STAGES = [
 ]
 
 #: A learned model, XXH64 fingerprints and the choices of a knapsack are beyond
-#: SQL; tests/llm/test_pipeline.py compares the pipeline with a brute-force version.
+#: SQL; tests/llm/test_llm_pipeline.py compares the pipeline with a brute-force version.
 ORACLE_SQL = None
 
 
@@ -97,6 +98,7 @@ def set_aside(docs: DataFrame):
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the ``documents`` of ``sf_dir``."""
     tune(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
