@@ -83,7 +83,7 @@ def test_few_labelled_rows_suffice_and_noise_gives_no_rule():
         new, new_bad = rows(2000, seed=100 + seed)
         ratios = np.stack([np.divide(new[:, Q.COUNTS.index(a)], new[:, Q.COUNTS.index(b)]) for a, b in Q.RATIOS], axis=1)
         hit = found.covered(ratios)
-        assert found.rules and (hit & new_bad).sum() > 0.5 * new_bad.sum() and (hit & ~new_bad).sum() < 0.02 * (~new_bad).sum()
+        assert found.rules and (hit & new_bad).sum() > 0.5 * new_bad.sum() and (hit & ~new_bad).sum() < 0.05 * (~new_bad).sum()
         assert Q.learn_rows(counts, np.random.default_rng(seed + 50).random(len(bad)) < 0.3).rules == []
 
 
