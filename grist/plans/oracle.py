@@ -290,6 +290,30 @@ select src, dst, round(jaccard, 6) as jaccard, jaccard > {_MD.jaccard_threshold}
 from ({jaccard_sql(_MD)}) jj""")
 oracle("minhash_dedup", kept_sql(components_sql(edges_sql(_MD))))
 oracle("minhash_dedup_verified", kept_sql(components_sql(verified_edges_sql(_MD))))
+
+
+def similar_sql(n: int, percent: int) -> str:
+    """(src, dst): all pairs of documents, copies included, by shared shingles."""
+    return f"""
+with st as ({sets_sql(n)}), t as (select doc_id, len(sh) as m, unnest(sh) as s from st),
+o as (select x.doc_id as src, y.doc_id as dst, any_value(x.m) + any_value(y.m) as m, count(*) as i
+      from t x join t y using (s) where x.doc_id < y.doc_id group by all)
+select src, dst from o where i * 100 >= (m - i) * {percent}"""
+
+
+_SIMILAR = similar_sql(_MW.ngrams, 80)
+_CLASSES = f"""select doc_id, case when len(sh) = 0 or sh is null then doc_id else min(doc_id) over (partition by sh) end as class_id
+from ({sets_sql(_MW.ngrams)}) st"""
+oracle("similar_documents", f"""
+with p as ({_SIMILAR}), l as (select src as doc_id from p union all select dst from p),
+n as (select doc_id, count(*) as n_links from l group by doc_id)
+select doc_id, class_id, coalesce(n_links, 0)::BIGINT as n_links from ({_CLASSES}) c left join n using (doc_id)""")
+oracle("similarity_dedup", kept_sql(components_sql(_SIMILAR)))
+oracle("lsh_recall", f"""
+with c as ({_CLASSES}), p as (select src, dst from ({_SIMILAR}) q
+  where src in (select class_id from c) and dst in (select class_id from c)),
+b as ({bands_sql(_MW)}), f as (select distinct src, dst from p join b x on x.doc_id = src join b y on y.doc_id = dst and x.band = y.band and x.key = y.key)
+select (select count(*) from p) as n_pairs, (select count(*) from f) as n_found""")
 oracle("minhash_dedup_wide", kept_sql(components_sql(edges_sql(_MW))))
 oracle("duplicate_clusters", f"""
 select component, count(*)::BIGINT as n_members

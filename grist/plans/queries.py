@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from grist.functions import text as T
 from grist.operators import classify as C
-from grist.operators import exact, minhash, quality, sampling, tokens
+from grist.operators import exact, minhash, quality, sampling, setjoin, tokens
 from grist.plans import audit as AU
 from grist.plans import curate as X
 from grist.session import cut_lineage, read_table
@@ -158,6 +158,7 @@ def q_exact_doc_dedup_first(spark, sf_dir):
 # --- fuzzy dedup -------------------------------------------------------------
 
 MH_DEFAULT = minhash.MinHashParams(num_hashes=10, num_bands=2, ngrams=2, jaccard_threshold=0.8)
+SIMILAR_PERCENT = 80
 MH_WIDE = minhash.MinHashParams(num_hashes=100, num_bands=10, ngrams=5, jaccard_threshold=0.8)
 
 
@@ -208,6 +209,21 @@ def q_minhash_dedup_verified(spark, sf_dir):
                                verify=True).kept.select("doc_id")
 
 
+@query("similar_documents")
+def q_similar_documents(spark, sf_dir):
+    return setjoin.similar_documents(docs(spark, sf_dir, "doc_id", "text"), MH_WIDE.ngrams, SIMILAR_PERCENT)
+
+
+@query("similarity_dedup")
+def q_similarity_dedup(spark, sf_dir):
+    return setjoin.similarity_dedup(docs(spark, sf_dir, "doc_id", "text"), MH_WIDE.ngrams, SIMILAR_PERCENT).select("doc_id")
+
+
+@query("lsh_recall")
+def q_lsh_recall(spark, sf_dir):
+    return setjoin.lsh_recall(docs(spark, sf_dir, "doc_id", "text"), MH_WIDE, SIMILAR_PERCENT)
+
+
 @query("minhash_dedup_wide")
 def q_minhash_dedup_wide(spark, sf_dir):
     return minhash.fuzzy_dedup(docs(spark, sf_dir, "doc_id", "text"), MH_WIDE).kept.select(
