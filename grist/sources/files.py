@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grist.operators import exact, tokens
+from grist.sources import per_file
 
 DOC_SCHEMA = "text string, url string"
 
@@ -56,6 +57,19 @@ def write_jsonl(df: DataFrame, path: str, with_url: bool = True) -> None:
     df.select(*cols).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def write_jsonl_per_file(df: DataFrame, path: str, order: str = "rec", file_col: str = "file") -> None:
+    """S6 + S7: one JSON-lines file for each input file, named by
+    :func:`output_name`, beside those that ``path`` has already. All rows of an
+    input file go to one task, in ``order``; outputs appear when the whole job has
+    succeeded, and a rerun replaces the outputs of its own input files alone."""
+    spark = df.sparkSession
+    spark.dataSource.register(per_file.PerFileSink)
+    (df.select(F.col(file_col).alias("file"), F.to_json(F.struct("text", "url"), {"ignoreNullFields": "false"}).alias("line"), F.col(order).alias("place"))
+     .repartition("file").sortWithinPartitions("file", "place")
+     .select("file", output_name(F.col("file")).alias("name"), "line")
+     .write.format("lines_per_file").mode("append").option("path", path).save())
+
+
 def write_training_lines(df: DataFrame, path: str) -> None:
     """The ``__label__...`` lines as a text file set."""
     df.select("line").write.mode("overwrite").text(path)
