@@ -9,12 +9,14 @@ aggregates and applied inside the scan:
   computes alike). No feature is dropped; the width of the model is fixed;
 * training: ``explode -> groupBy(bucket)`` with a count per head and class
   (partial aggregation), Laplace-smoothed log-probabilities. At most about
-  ``max_train_rows`` labelled rows are used to fit, those of the smallest text
-  hashes; a bucket that no training row fills says nothing and is skipped;
+  ``max_train_rows`` labelled rows are used to fit, those of the smallest hashes
+  of id and text (so copies of a text are chosen one by one); a bucket that no training row fills says nothing and is skipped;
 * scoring: the log-probabilities are a matrix with a row for each seen bucket (at
   most 8 MB a class), broadcast once; a row is scored where it is read, by an
-  Arrow UDF over its words. No explode, join, shuffle or checkpoint, so texts
-  never move.
+  Arrow UDF over its words: a batch's distinct words and word pairs are hashed
+  once, and its documents summed in numpy. No explode, join, shuffle or
+  checkpoint, so texts never move. The UDF is marked as not deterministic, which
+  keeps Spark from running it again for a filter on its result.
 
 Score: length-normalised log joint ``z_c = (log prior_c + sum log p(f|c)) /
 (m + 1)`` over the ``m`` feature occurrences with a seen bucket, turned into a
@@ -43,6 +45,7 @@ BUCKET_DIGITS = 5                       # hexadecimal digits of a feature's md5
 BUCKETS = 16 ** BUCKET_DIGITS
 MAX_TRAIN_ROWS = 500_000                # labelled rows that a fit uses, about, at most
 CACHED_FEATURES = 200_000
+BYTES = (BUCKET_DIGITS + 1) // 2        # of the md5 that hold these digits
 
 
 @dataclass(frozen=True)
@@ -81,7 +84,8 @@ class BucketCache(dict):
     def __missing__(self, feature: str) -> int:
         if len(self) >= CACHED_FEATURES:
             self.clear()
-        value = self[feature] = int(md5(feature.encode(), usedforsecurity=False).hexdigest()[:BUCKET_DIGITS], 16)
+        digest = md5(feature.encode(), usedforsecurity=False).digest()
+        value = self[feature] = int.from_bytes(digest[:BYTES], "big") >> 8 * BYTES - 4 * BUCKET_DIGITS
         return value
 
 
@@ -112,7 +116,7 @@ def _dense(table: DataFrame):
 
 def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
                 heads: dict[str, tuple[Column, list[str]]], alpha: float = 1.0,
-                max_train_rows: int = MAX_TRAIN_ROWS) -> dict[str, NBModel]:
+                max_train_rows: int = MAX_TRAIN_ROWS, id_col: str = "doc_id") -> dict[str, NBModel]:
     """Fit several naive Bayes heads that share features and training rows in
     one pass: ``heads`` maps a name to ``(label column, class names)``.
 
@@ -122,9 +126,10 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
     names = list(heads)
     ycols = {h: f"_y{i}" for i, h in enumerate(names)}
     classes = {h: sorted(heads[h][1]) for h in names}
-    rows = df.select(text_col, *[heads[h][0].alias(ycols[h]) for h in names])
+    key = [c for c in (id_col, text_col) if c in df.columns]
+    rows = df.select(*key, *[heads[h][0].alias(ycols[h]) for h in names])
     share = min(1.0, max_train_rows / max(rows.count(), 1))
-    rows = rows.filter(F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = rows.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < int(share * (1 << 30)))
     feats = featurizer.with_features(rows, text_col)
     ex = feats.select(*ycols.values(), F.explode("_feats").alias("_f")).select(
         *ycols.values(), bucket(F.col("_f")).alias("bucket"))
@@ -182,40 +187,73 @@ def load_models(spark: SparkSession, path: str) -> dict[str, NBModel]:
                                Featurizer(a["newline"], a["bigrams"]), a["cols"], dense) for a in about}
 
 
-def with_scores(models: list[NBModel], df: DataFrame, text_col: str = "text") -> DataFrame:
+def features_of(words: pa.Array, bigrams: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all features of a batch's documents, one document after the
+    other (words, then word pairs), and each document's number of features."""
+    sizes = np.fromiter((len(w) if w.is_valid else 0 for w in words), np.int64, len(words)) if words.null_count else \
+        np.diff(words.offsets.to_numpy()).astype(np.int64)
+    coded = words.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    single = np.fromiter(map(BUCKET_OF.__getitem__, names), np.int64, len(names))[codes]
+    if not bigrams:
+        return single, sizes
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    inside = owner[1:] == owner[:-1]
+    pairs, place = np.unique(codes[:-1][inside] * max(len(names), 1) + codes[1:][inside], return_inverse=True)
+    first, second = np.divmod(pairs, max(len(names), 1))
+    of = BUCKET_OF.__getitem__
+    hashed = np.fromiter((of(f"{names[i]} {names[j]}") for i, j in zip(first.tolist(), second.tolist())), np.int64, len(pairs))
+    both = np.concatenate((single, hashed[place]))
+    order = np.argsort(np.concatenate((owner, owner[1:][inside])), kind="stable")
+    return both[order], sizes + np.maximum(sizes - 1, 0)
+
+
+def sums_of(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of each document's rows; a document without rows has 0."""
+    out = np.zeros((len(sizes), rows.shape[1]))
+    some = sizes > 0
+    if some.any():
+        starts = (np.cumsum(sizes) - sizes)[some]
+        out[some] = np.add.reduceat(rows, starts, axis=0)
+    return out
+
+
+def with_scores(models: list[NBModel], df: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with ``<name>_label`` and ``<name>_score`` for heads that share
-    one table and featurizer. Narrow: each row is scored where it is."""
+    one table and featurizer. Narrow: each row is scored where it is. Columns of
+    ``carry`` go through the UDF with the words: what follows reads their values
+    instead of computing their expressions again."""
     feat, shared = models[0].featurizer, models[0].dense
     if any(m.table is not models[0].table or m.featurizer != feat for m in models):
         raise ValueError("heads scored together must share their table and featurizer")
     about = [(m.classes, np.array(m.log_priors), m.cols) for m in models]
     names = [f"{m.name}_{x}" for m in models for x in ("label", "score")]
     bigrams = feat.bigrams
+    fields = [Ty.StructField(n, Ty.StringType() if n.endswith("_label") else Ty.DoubleType()) for n in names]
+    kept = [c for c in df.columns if c not in names and c not in carry]
+    carried = [f for f in df.schema.fields if f.name in carry]
 
-    @F.arrow_udf(Ty.StructType([Ty.StructField(n, Ty.StringType() if n.endswith("_label") else Ty.DoubleType())
-                                for n in names]))
-    def scores(words: pa.Array) -> pa.Array:
+    @F.arrow_udf(Ty.StructType(fields + [Ty.StructField(f.name, f.dataType) for f in carried]))
+    def scores(words: pa.Array, *values: pa.Array) -> pa.Array:
         cols, row, matrix = shared.value
-        heads = [(classes, priors, [cols.index(c) for c in own]) for classes, priors, own in about]
-        of, found = BUCKET_OF.__getitem__, [[] for _ in names]
-        for own in words.to_pylist():
-            own = own or []
-            if bigrams:
-                own = own + [f"{a} {b}" for a, b in zip(own, own[1:])]
-            seen = row[np.fromiter(map(of, own), np.int64, len(own))]
-            rows = matrix[seen[seen >= 0]]
-            sums = rows.sum(axis=0)
-            for k, (classes, priors, take) in enumerate(heads):
-                z = (priors + sums[take]) / (len(rows) + 1)
-                best = int(z.argmax())
-                found[2 * k].append(classes[best])
-                found[2 * k + 1].append(float(1.0 / np.exp((z - z[best]) * TEMPERATURE).sum()))
-        return pa.StructArray.from_arrays(
-            [pa.array(c, pa.string() if n.endswith("_label") else pa.float64()) for n, c in zip(names, found)], names=names)
-
-    kept = [c for c in df.columns if c not in names]
-    out = df.withColumn("_scores", scores(feat.words(F.col(text_col))))
-    return out.select(*kept, *[F.col("_scores")[n].alias(n) for n in names])
+        buckets, sizes = features_of(words, bigrams)
+        seen = row[buckets]
+        hit = seen >= 0
+        known = sums_of(hit[:, None].astype(np.int64), sizes)[:, 0]
+        sums = sums_of(matrix[seen[hit]], known.astype(np.int64))
+        found = []
+        for classes, priors, own in about:
+            z = (priors + sums[:, [cols.index(c) for c in own]]) / (known + 1)[:, None]
+            best = z.argmax(axis=1) if len(z) else np.zeros(0, np.int64)
+            top = z[np.arange(len(z)), best]
+            found.append(pa.array(classes, pa.string()).take(pa.array(best)))
+            found.append(pa.array(1.0 / np.exp((z - top[:, None]) * TEMPERATURE).sum(axis=1)))
+        return pa.StructArray.from_arrays([*found, *values], names=[*names, *[f.name for f in carried]])
+
+    run = scores.asNondeterministic()
+    out = df.withColumn("_scores", run(feat.words(F.col(text_col)), *[F.col(f.name) for f in carried]))
+    return out.select(*kept, *[F.col("_scores")[n].alias(n) for n in [*[f.name for f in carried], *names]])
 
 
 def score_heads(models: list[NBModel], df: DataFrame, id_col: str = "doc_id",
@@ -243,7 +281,7 @@ def binary_labels(flag: Column, positive: str, negative: str) -> Column:
 
 def train_language(documents: DataFrame) -> NBModel:
     """Language head trained on ``documents.lang``."""
-    return train_nb(documents.select("lang", "text"), "lang", "text", LANGUAGE_FEATURES,
+    return train_nb(documents.select("doc_id", "lang", "text"), "lang", "text", LANGUAGE_FEATURES,
                     "lang")
 
 

@@ -63,20 +63,22 @@ def funnel(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
     ``drop_reason`` (null = kept).
 
     One narrow pass: a stage's text is null for rows that an earlier stage
-    dropped, so neither masks nor heads do any work on them. No row moves.
+    dropped, so neither masks nor heads do any work on them. No row moves. The
+    masked text, and later the failed rule, go through the next head's UDF, so
+    that each mask and each rule is computed once, whoever reads them.
     """
     s = C.with_scores([heads.lang], documents, text_col)
     s = s.withColumn("_en", F.coalesce(is_english(F.col("lang_label"), F.col("lang_score")), F.lit(False)))
     s = s.withColumn("masked", F.when(F.col("_en"), T.mask_pii(F.col(text_col))))
-    s = C.with_scores([heads.nsfw, heads.toxic], s, "masked")
+    s = C.with_scores([heads.nsfw, heads.toxic], s, "masked", carry=("masked",))
     harm = is_harmful(F.col("nsfw_label"), F.col("nsfw_score"), F.col("toxic_label"),
                       F.col("toxic_score"))
     s = s.withColumn("_ok2", F.col("_en") & ~harm)
     s = s.withColumn("rule_failed", F.when(F.col("_ok2"),
                                            quality.rule_failure_of(F.col("masked"))))
+    s = s.withColumn("_last", F.when(F.col("_ok2") & F.col("rule_failed").isNull(), F.col("masked")))
+    s = C.with_scores([heads.quality], s, "_last", carry=("rule_failed",))
     s = s.withColumn("_ok3", F.col("_ok2") & F.col("rule_failed").isNull())
-    s = s.withColumn("_last", F.when(F.col("_ok3"), F.col("masked")))
-    s = C.with_scores([heads.quality], s, "_last")
     good = is_high_quality(F.col("quality_label"), F.col("quality_score"))
     reason = (F.when(~F.col("_en"), F.lit("non_en"))
               .when(~F.col("_ok2"), F.lit("harmful"))
@@ -105,16 +107,24 @@ def funnel_stats(funnel_df: DataFrame, group_col: str = "source") -> DataFrame:
 def coarse_filter(documents: DataFrame, heads: Heads, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """rules -> English >= 0.8 -> non-nsfw >= 0.8 -> non-toxic >= 0.8;
-    ``coarse_reason`` null means the record is usable for training."""
-    s = C.with_scores([heads.nsfw, heads.toxic], C.with_scores([heads.lang], documents, text_col), text_col)
-    reason = (F.when(quality.rule_failure_of(F.col(text_col)).isNotNull(), F.lit("rules"))
+    ``coarse_reason`` null means the record is usable for training. The rules are
+    native and come first; a head sees the text of rows that are still alive.
+    The scores of stages that a row doesn't reach are null."""
+    s = documents.withColumn("_rule", quality.rule_failure_of(F.col(text_col)))
+    s = C.with_scores([heads.lang], s.withColumn("_ruled", F.when(F.col("_rule").isNull(), F.col(text_col))), "_ruled", carry=("_rule",))
+    fluent = F.col("_rule").isNull() & (F.col("lang_label") == ENGLISH_LABEL) & (F.col("lang_score") >= COARSE_MIN_SCORE)
+    s = C.with_scores([heads.nsfw, heads.toxic], s.withColumn("_fluent", F.coalesce(fluent, F.lit(False)))
+                      .withColumn("_last", F.when(F.col("_fluent"), F.col(text_col))), "_last")
+    reason = (F.when(F.col("_rule").isNotNull(), F.lit("rules"))
               .when((F.col("lang_label") != ENGLISH_LABEL)
                     | (F.col("lang_score") < COARSE_MIN_SCORE), F.lit("language"))
               .when((F.col("nsfw_label") != "non-nsfw")
                     | (F.col("nsfw_score") < COARSE_MIN_SCORE), F.lit("nsfw"))
               .when((F.col("toxic_label") != "non-toxic")
                     | (F.col("toxic_score") < COARSE_MIN_SCORE), F.lit("toxic")))
-    return s.withColumn("coarse_reason", reason)
+    reached = {c: F.when(F.col("_rule").isNull() if c.startswith("lang") else F.col("_fluent"), F.col(c))
+               for c in [f"{h}_{x}" for h in ("lang", "nsfw", "toxic") for x in ("label", "score")]}
+    return s.withColumn("coarse_reason", reason).withColumns(reached).drop("_rule", "_ruled", "_fluent", "_last")
 
 
 def archive_texts(spark: SparkSession, path: str, kind: str = "conversion") -> DataFrame:

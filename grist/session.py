@@ -87,7 +87,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Read one driver table, narrowed to ``columns``; the scan's own splits
-    decide the parallelism, at every size, and nothing is kept in memory."""
+    decide the parallelism, at every size, and nothing is kept in memory.
+
+    A caller whose files have fewer row groups than it has cores may set
+    ``spark.grist.spread`` to the number of partitions that rows are dealt to
+    after the scan (one shuffle of the table). It is unset by default: large
+    tables have splits enough."""
     tune(spark)
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    spread = spark.conf.get("spark.grist.spread", None)
+    return df.repartition(int(spread)) if spread else df
