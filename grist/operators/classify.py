@@ -7,8 +7,8 @@ aggregates and applied inside the scan:
 * features: lower-cased word runs, optionally plus word bigrams, each hashed
   to one of ``BUCKETS`` buckets (the first 20 bits of its md5, which any engine
   computes alike). No feature is dropped; the width of the model is fixed;
-* training: ``explode -> groupBy(bucket)`` with a count per head and class
-  (partial aggregation), Laplace-smoothed log-probabilities. At most about
+* training: each task counts its rows by bucket, head and class in arrays of the
+  model's size, ``groupBy(bucket)`` sums them; Laplace-smoothed log-probabilities. At most about
   ``max_train_rows`` labelled rows are used to fit, those of the smallest hashes
   of id and text (so copies of a text are chosen one by one); a bucket that no training row fills says nothing and is skipped;
 * scoring: the log-probabilities are a matrix with a row for each seen bucket (at
@@ -45,6 +45,7 @@ BUCKET_DIGITS = 5                       # hexadecimal digits of a feature's md5
 BUCKETS = 16 ** BUCKET_DIGITS
 MAX_TRAIN_ROWS = 500_000                # labelled rows that a fit uses, about, at most
 CACHED_FEATURES = 200_000
+COUNTED_ROWS = 1000                     # documents whose features a training task holds at once
 BYTES = (BUCKET_DIGITS + 1) // 2        # of the md5 that hold these digits
 
 
@@ -120,8 +121,9 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
     """Fit several naive Bayes heads that share features and training rows in
     one pass: ``heads`` maps a name to ``(label column, class names)``.
 
-    One explode and one partially aggregated ``groupBy(bucket)`` with a count
-    per head and class.
+    One pass over the texts: a task counts its documents' features by bucket,
+    head and class (arrays of a fixed size) and sends the buckets that it has
+    seen; bucket -1 counts documents.
     """
     names = list(heads)
     ycols = {h: f"_y{i}" for i, h in enumerate(names)}
@@ -130,20 +132,35 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
     rows = df.select(*key, *[heads[h][0].alias(ycols[h]) for h in names])
     share = min(1.0, max_train_rows / max(rows.count(), 1))
     rows = rows.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < int(share * (1 << 30)))
-    feats = featurizer.with_features(rows, text_col)
-    ex = feats.select(*ycols.values(), F.explode("_feats").alias("_f")).select(
-        *ycols.values(), bucket(F.col("_f")).alias("bucket"))
-    ncols, counts = [], []
-    for h in names:
-        for i, c in enumerate(classes[h]):
-            ncols.append(f"n_{ycols[h]}_{i}")
-            counts.append(F.sum(F.when(F.col(ycols[h]) == c, 1).otherwise(0))
-                          .cast("bigint").alias(ncols[-1]))
-    wide = cut_lineage(ex.groupBy("bucket").agg(*counts))
+    class_of = [F.coalesce(F.array_position(F.array(*[F.lit(c) for c in classes[h]]), F.col(ycols[h])), F.lit(0)).cast("int")
+                .alias(ycols[h]) for h in names]
+    coded = rows.select(featurizer.words(F.col(text_col)).alias("words"), *class_of)
+    ncols = [f"n_{ycols[h]}_{i}" for h in names for i in range(len(classes[h]))]
+    widths, bigrams = [len(classes[h]) for h in names], featurizer.bigrams
+
+    def count(batches):
+        totals, documents = np.zeros((len(ncols), BUCKETS), np.int64), np.zeros(len(ncols), np.int64)
+        for batch in batches:
+            for part in (batch.slice(i, COUNTED_ROWS) for i in range(0, batch.num_rows, COUNTED_ROWS)):
+                buckets, sizes = features_of(part.column(0), bigrams)
+                at = 0
+                for k, width in enumerate(widths, 1):
+                    own = part.column(k).to_numpy(zero_copy_only=False)
+                    owner = np.repeat(own, sizes)
+                    for i in range(width):
+                        totals[at + i] += np.bincount(buckets[owner == i + 1], minlength=BUCKETS)
+                        documents[at + i] += np.count_nonzero(own == i + 1)
+                    at += width
+        seen = np.nonzero(totals.any(axis=0))[0]
+        columns = [np.append(c[seen], n) for c, n in zip(totals, documents)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1), pa.int32()), *map(pa.array, columns)], names=["bucket", *ncols])
+
+    schema = "bucket int, " + ", ".join(f"{c} long" for c in ncols)
+    wide = cut_lineage(coded.mapInArrow(count, schema).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ncols]))
+    doc_counts = wide.filter("bucket < 0").first()
+    wide = wide.filter("bucket >= 0")
     totals = wide.agg(F.count(F.lit(1)).alias("v"), *[F.sum(c).alias(c) for c in ncols]).first()
     v = totals["v"]
-    doc_counts = rows.agg(*[F.sum(F.when(F.col(ycols[h]) == c, 1).otherwise(0)).alias(f"{ycols[h]}_{i}")
-                            for h in names for i, c in enumerate(classes[h])]).first()
     lp = [F.log((F.col(c) + alpha) / F.lit(float((totals[c] or 0) + alpha * v))).alias("lp" + c[1:])
           for c in ncols]
     table = cut_lineage(wide.select("bucket", *lp))
@@ -151,7 +168,7 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
     models = {}
     for h in names:
         k = len(classes[h])
-        docs = [doc_counts[f"{ycols[h]}_{i}"] or 0 for i in range(k)]
+        docs = [doc_counts[f"n_{ycols[h]}_{i}"] or 0 if doc_counts else 0 for i in range(k)]
         total = sum(docs)
         priors = [math.log(n / total) if n else -1e30 for n in docs]
         models[h] = NBModel(h, classes[h], priors, table, featurizer,

@@ -17,7 +17,9 @@ reference writes.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -65,6 +67,36 @@ def _shared(vocab: DataFrame):
     return vocab.sparkSession.sparkContext.broadcast(known)
 
 
+_LAST: list = [None, None]          # of a worker: the vocabulary that it used last, and its ids by run
+
+
+def _ids_by_run(known: list[bytes]) -> dict[bytes, int]:
+    if _LAST[0] is not known:
+        _LAST[:] = known, {b: i for i, b in enumerate(known) if i >= FIRST_RUN}
+    return _LAST[1]
+
+
+def ids_of(runs: pa.Array, table: dict[bytes, int], end: list[int]) -> pa.Array:
+    """Ids of each list of runs, then ``end``; each distinct run is looked up once."""
+    sizes = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = runs.flatten().dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    found = []
+    for run in coded.dictionary.cast(pa.binary()).to_pylist():
+        i = table.get(run)
+        found.append([i] if i is not None else [FIRST_BYTE + b for b in run])
+    found.append(end)
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.fromiter((i for own in found for i in own), np.int32, lengths.sum())
+    # the runs of each document, and after them its end
+    code = np.insert(code, np.cumsum(sizes), len(found) - 1)
+    starts, n = (np.cumsum(lengths) - lengths)[code], lengths[code]
+    place = np.arange(n.sum()) + np.repeat(starts - (np.cumsum(n) - n), n)
+    per_row = np.add.reduceat(n, np.cumsum(sizes + 1) - (sizes + 1)) if len(sizes) else np.zeros(0, np.int64)
+    offsets = np.concatenate(([0], np.cumsum(per_row))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[place], pa.int32()))
+
+
 def encode(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            add_eos: bool = True) -> DataFrame:
     """``(id, ids array<int>)``: token ids in order, then ``<eos>`` (null text: no tokens)."""
@@ -73,21 +105,9 @@ def encode(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: st
 
     @F.arrow_udf(Ty.ArrayType(Ty.IntegerType()))
     def ids(runs: pa.Array) -> pa.Array:
-        table = {b: i for i, b in enumerate(shared.value) if i >= FIRST_RUN}
-        out = []
-        for own in runs.to_pylist():
-            row = []
-            for run in own or ():
-                run = run.encode()
-                i = table.get(run)
-                if i is None:
-                    row.extend(FIRST_BYTE + b for b in run)
-                else:
-                    row.append(i)
-            out.append(row + end)
-        return pa.array(out, pa.list_(pa.int32()))
-
-    return df.select(id_col, ids(tokens(F.col(text_col))).alias("ids"))
+        return ids_of(runs, _ids_by_run(shared.value), end)
+
+    return df.select(id_col, ids.asNondeterministic()(tokens(F.col(text_col))).alias("ids"))
 
 
 def token_count(encoded: DataFrame) -> DataFrame:
@@ -101,7 +121,10 @@ def check_uint16(encoded: DataFrame) -> DataFrame:
 
 
 def pack(encoded: DataFrame, id_col: str = "doc_id", ctx: int = CONTEXT) -> DataFrame:
-    """``(seq, ids)``: all documents concatenated in id order, cut every ``ctx``."""
+    """``(seq, ids)``: all documents concatenated in id order, cut every ``ctx``.
+
+    Ids are read by the offsets and by the pieces, so they are written once."""
+    encoded = cut_lineage(encoded.select(id_col, "ids"))
     lens = encoded.select(id_col, F.size("ids").cast("bigint").alias("_n"))
     offs = ordering.prefix_sum(lens, [id_col], "_n", "_off").select(id_col, "_off")
     placed = encoded.join(offs, id_col).filter(F.size("ids") > 0)
