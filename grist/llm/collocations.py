@@ -2,10 +2,11 @@
 
 Texts are cut into pieces at punctuation and line ends, pieces into words. Every
 word starts one window: the word and up to four words after it in its piece (its
-leads), padded with nulls. Only these longest windows are counted; a Spark
-ROLLUP over (language, word 1, ..., word 5) then sums them to the count of every
+leads), padded with nulls. Only these longest windows are counted; Spark
+ROLLUPs over (language, word 1, ..., word 5) then sum them to the count of every
 shorter prefix, that is of every phrase, so no order of n-grams is exploded by
-itself.
+itself. Windows of one length before the padding share a ROLLUP over just their
+words, as levels of padding would only repeat rows in the shuffle.
 
 A phrase can only reach ``min_count`` if each of its words and adjacent word
 pairs does, so a window ends before the first pair that can't, and the window of
@@ -195,13 +196,18 @@ def window_counts(rows: DataFrame, table: np.ndarray) -> DataFrame:
 def phrase_counts(windows: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame]:
     """Phrases of 1 to 5 words that occur ``min_count`` times: (language, k,
     phrase, f); and all word occurrences by language: (language, total)."""
-    rolled = windows.rollup("language", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
-    levels = {2 ** (LONGEST - k) - 1: k for k in range(LONGEST + 1)}        # bits of the words rolled up -> words left
-    k = F.create_map(*[F.lit(x) for pair in levels.items() for x in pair])[F.col("level").cast("int")]
-    last = F.coalesce(*[F.when(F.col("k") == i, F.col(w).isNotNull()) for i, w in enumerate(WORDS, 1)], F.lit(True))
-    counted = (rolled.withColumn("k", k).filter("k is not null").filter(last)        # a prefix that ends in padding is a shorter phrase
-               .filter((F.col("k") == 0) | (F.col("f") >= min_count))
-               .select("language", "k", F.concat_ws(" ", *WORDS).alias("phrase"), "f"))
+    rolled = None
+    for size in range(LONGEST + 1):
+        # windows of this many words before the padding: their prefixes are real phrases, so no level is summed in vain
+        own, after = WORDS[:size], WORDS[size:]
+        part = windows.filter(F.lit(True) if not own else F.col(own[-1]).isNotNull()).filter(F.lit(True) if not after else F.col(after[0]).isNull())
+        levels = {2 ** (size - k) - 1: k for k in range(size + 1)}        # bits of the words rolled up -> words left
+        k = F.create_map(*[F.lit(x) for pair in levels.items() for x in pair])[F.col("level").cast("int")]
+        summed = (part.rollup("language", *own).agg(F.sum("n").alias("f"), F.grouping_id().alias("level")).withColumn("k", k).filter("k is not null")
+                  .select("language", "k", F.concat_ws(" ", *own).alias("phrase") if own else F.lit("").alias("phrase"), "f"))
+        rolled = summed if rolled is None else rolled.unionByName(summed)
+    counted = (rolled.groupBy("language", "k", "phrase").agg(F.sum("f").alias("f"))
+               .filter((F.col("k") == 0) | (F.col("f") >= min_count)))
     counted = materialize(counted, "phrases")
     return counted.filter("k > 0"), counted.filter("k = 0").select("language", F.col("f").alias("total"))
 
@@ -241,7 +247,8 @@ def mine(df: DataFrame, text: str = "text", language: str = "lang", min_count: i
     """Each language's first ``top`` collocations: language, rank, phrase, a, l, r, n, score."""
     rows = df.select(F.coalesce(F.col(language).cast("string"), F.lit(UNKNOWN)).alias("language"), F.col(text).alias("t"))
     table = frequent_filter(hash_counts(rows), min_count)
-    counted, totals = phrase_counts(window_counts(rows, table), min_count)
+    windows = materialize(window_counts(rows, table), "windows")        # partial counts, read once for each length
+    counted, totals = phrase_counts(windows, min_count)
     candidates = materialize(scored(counted, totals), "candidates")
     best = not_contained(candidates, contained_percent).withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
     for group in (["language", "share"], ["language"]):         # the first of each share, then the first of those: a bounded group
