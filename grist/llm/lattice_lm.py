@@ -309,6 +309,8 @@ def pack_batch(batch: pa.RecordBatch, number: int, buckets: int, table: dict[byt
     place[order] = np.arange(len(words))
     entries = np.argsort(place[word], kind="stable")
     starts, entry_starts = np.searchsorted(bucket[order], np.arange(-1, buckets + 1)), np.searchsorted(bucket[word[entries]], np.arange(-1, buckets + 1))
+    if len(tokens) > 1 << 16:
+        raise ValueError("a batch of more than 65,536 documents has no 16-bit document numbers; lower spark.sql.execution.arrow.maxRecordsPerBatch")
     for b in range(-1, buckets):
         lo, hi = starts[b + 1], starts[b + 2]
         if lo == hi and b >= 0:

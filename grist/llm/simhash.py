@@ -292,12 +292,12 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text: str = "text", **opti
     marks = (grouped.groupBy(F.col(id_col).alias("i"), F.col("text_hash").alias("h")).agg(F.min(stays).alias("stays"), F.count(F.lit(1)).alias("n"))
              .filter(~F.col("stays") | (F.col("n") > 1)).withColumn("key", F.xxhash64("i", "h")))
     marks = materialize(marks, "marks")
-    key, h, i, marked, stay = free_name(df, "_key", "_h", "_i", "_marked", "_stay")
+    key, h, i, marked, stay, mark_h = free_name(df, "_key", "_h", "_i", "_marked", "_stay", "_mark_h")
     keyed = df.withColumn(h, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     keyed = keyed.withColumn(key, F.xxhash64(id_col, h))
     tested = keyed.withColumn(marked, key_filter(marks, "key")(key))
-    named = marks.select(F.col("i").alias(i), F.col("h").alias("_mark_h"), F.col("stays").alias(stay))
-    met = tested.filter(F.col(marked)).join(named, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(h) == F.col("_mark_h")), "left")
+    named = marks.select(F.col("i").alias(i), F.col("h").alias(mark_h), F.col("stays").alias(stay))
+    met = tested.filter(F.col(marked)).join(named, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(h) == F.col(mark_h)), "left")
     unmarked = met.filter(F.col(stay).isNull())
     alike = met.filter(F.col(stay)).dropDuplicates([id_col, h])
     rest = tested.filter(~F.col(marked))

@@ -214,5 +214,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", wi
     both = hit.unionByName(rest)
     done = both.withColumn(made, cutter(window)(F.col(text), F.col(starts), F.col(whole)))
     results = {"n_words": "n_words", "n_removed": "n_removed", "spans": "spans", out: "kept"}
-    keep = [F.col(c) for c in df.columns if c not in results]
+    taken = {c.lower() for c in results}                 # Spark compares names without case
+    keep = [F.col(c) for c in df.columns if c.lower() not in taken]
     return done.select(*keep, *[F.col(made)[v].alias(k) for k, v in results.items()])
