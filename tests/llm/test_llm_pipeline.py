@@ -124,7 +124,7 @@ def test_registered_queries():
     import __spark_entry__ as E
 
     names = set(E.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", n).group() for n in names if n.startswith("op")} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} == {re.match(r"op\d+_", n).group() for n in names if n.startswith("op")} and "pipeline" in names
     assert {"op3_exact_top_k", "op5_license_scan", "op7_substring_dedup"} <= set(E.oracle_sql()) <= names
 
 
