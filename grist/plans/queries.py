@@ -369,7 +369,7 @@ def q_language_share(spark, sf_dir):
 
 WINDOW_BATCH, WINDOW_CTX, WINDOW_SEED = 8, 512, 0
 INSPECT_PER_GROUP = 5
-URL_SAMPLE = 40         # every given scale has as many pages
+URL_SAMPLE = 200
 
 
 def _encoded(spark, sf_dir):
