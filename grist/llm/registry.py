@@ -81,8 +81,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    _, measured, limits, limit = kneser_ney.fit(documents, read(spark, sf_dir, "labels", "doc_id", "quality"))
-    judged = kneser_ney.judge(measured, limits, limit, "language")
+    judged = kneser_ney.judge(*kneser_ney.fit(documents, read(spark, sf_dir, "labels", "doc_id", "quality")))
     return judged.select(F.col("id").alias("doc_id"), F.col("language").alias("lang"), "perplexity", "threshold", "kept")
 
 
