@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     without text go."""
     labels = read(spark, sf_dir, "labels", "doc_id", "quality")
     renamed, back = set_aside(docs)
-    return back(kneser_ney.classify(renamed, labels).filter("kept"))
+    return back(kneser_ney.keep(renamed, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
