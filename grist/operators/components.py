@@ -1,20 +1,27 @@
-"""Connected components by iterative min-label propagation.
-
-Each round every vertex takes the smallest label among itself and its
-neighbours: one join of the (static, checkpointed) edge table with the
-current labels, then a ``groupBy(vertex).min`` with partial aggregation;
-from round ``jump_after`` on, it also jumps to the label of its label
-(pointer jumping), so a long chain shrinks geometrically instead of by one
-hop per round.
-The label table is written to the checkpoint folder every round, which
-bounds the lineage (and recovery after a lost executor) to one round.
-
-Hub vertices (a bucket root linked to a third of the corpus) make the
-edge/label join skewed on ``src``; their degrees are counted once and the
-join goes through :func:`grist.operators.skew.split_join` every round.
-The jump joins on the label, and a component root is every member's label,
-so that join is split the same way (counts per label). Convergence is read
-from the checkpointed labels (``new < old``) without another join.
+"""Connected components by alternating star contraction.
+
+Edges are kept as (vertex, smaller vertex). A round is two steps, each an
+aggregate and a join on its key:
+
+* large star: a vertex hands its larger neighbours to the smallest vertex that
+  it knows, itself included;
+* small star: a vertex and its smaller neighbours all link to the smallest of them.
+
+Both keep the components as they are. The rounds end when the edges are a forest of
+stars (each vertex links to one other, which links to none): then every centre is
+the smallest vertex of its component. That takes O(log^2 n) rounds for n vertices
+whatever the shape of the graph (Kiveris et al., "Connected Components in MapReduce
+and Beyond", 2014), so there is no limit of rounds to run into; a chain of a million
+takes about its logarithm. LSH buckets are stars already and end after a round or two.
+
+Each round's edges are written to the checkpoint folder, which bounds the lineage
+(and recovery after a lost executor) to one round. Hubs (a bucket root linked to a
+third of the corpus) make a step's join skewed on its key; the number of edges of
+each key comes with the aggregate, and the join goes through
+:func:`grist.operators.skew.split_join`.
+
+Null ids are on no edge; self-loops and repeated edges change nothing, but a vertex
+that has only a self-loop isn't returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,59 +32,39 @@ from pyspark.sql import functions as F
 from grist.operators import skew
 from grist.session import cut_lineage
 
-DEFAULT_MAX_ROUNDS = 64
-# LSH star graphs usually settle in a few rounds; jumping costs a join per
-# round, so it starts only when a graph is still changing after this many.
-JUMP_AFTER = 3
+
+def large_star(pairs: DataFrame, **skew_opts) -> DataFrame:
+    """Each pair (v, m), m < v, becomes (v, smallest of m and its neighbours)."""
+    ends = pairs.select(F.col("m").alias("k"), F.col("m").alias("w"), F.lit(1).alias("larger")).unionByName(
+        pairs.select(F.col("v").alias("k"), F.col("m").alias("w"), F.lit(0).alias("larger")))
+    least = cut_lineage(ends.groupBy("k").agg(F.min("w").alias("top"), F.sum("larger").alias("n"))
+                        .filter("n > 0").withColumnRenamed("k", "m"))
+    return skew.split_join(pairs, least.drop("n"), ["m"], key_counts=least, **skew_opts).select("v", F.col("top").alias("m"))
+
+
+def small_star(pairs: DataFrame, **skew_opts) -> DataFrame:
+    """Of each v and its smaller neighbours, all but the smallest link to the smallest."""
+    least = cut_lineage(pairs.groupBy("v").agg(F.min("m").alias("top"), F.count(F.lit(1)).alias("n")))
+    several = least.filter("n > 1")
+    others = skew.split_join(pairs, several.drop("n"), ["v"], key_counts=several, **skew_opts)
+    return (others.filter("m <> top").select(F.col("m").alias("v"), F.col("top").alias("m"))
+            .unionByName(least.select("v", F.col("top").alias("m"))).distinct())
 
 
-class NotConverged(RuntimeError):
-    pass
+def is_star_forest(pairs: DataFrame) -> bool:
+    """Whether every vertex either links to one vertex or is linked to."""
+    roles = pairs.select(F.col("v").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        pairs.select(F.col("m").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    mixed = roles.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1")
+    return not mixed.limit(1).count()
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst",
-                         max_rounds: int = DEFAULT_MAX_ROUNDS, jump_after: int = JUMP_AFTER,
-                         **skew_opts) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", **skew_opts) -> DataFrame:
     """``(vertex, component)`` for every vertex on an edge; component = min id
     (ids of any type that has an order)."""
-    und = (edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-           .unionByName(edges.select(F.col(dst).alias("src"), F.col(src).alias("dst")))
-           .filter(F.col("src") != F.col("dst")).distinct())
-    und = cut_lineage(und)
-    degree = und.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
-    hot_rows = skew_opts.get("hot_rows", skew.DEFAULT_HOT_ROWS)
-    hot = skew.hot_keys(degree, ["src"], "n", hot_rows)
-    opts = {k: v for k, v in skew_opts.items() if k != "hot_rows"}
-
-    labels = cut_lineage(und.select(F.col("src").alias("vertex")).distinct()
-                         .withColumn("label", F.col("vertex")))
-    for round_no in range(max_rounds):
-        msgs = skew.split_join(
-            und, labels.select(F.col("vertex").alias("src"), "label"), ["src"], "inner",
-            hot=hot, **opts,
-        ).select(F.col("dst").alias("vertex"), "label",
-                 F.lit(None).cast(labels.schema["label"].dataType).alias("old"))
-        own = labels.select("vertex", "label", F.col("label").alias("old"))
-        nxt = msgs.unionByName(own).groupBy("vertex").agg(
-            F.min("label").alias("label"), F.min("old").alias("old"))
-        nxt = cut_lineage(nxt)
-        if round_no < jump_after:
-            changed = nxt.filter(F.col("label") < F.col("old")).limit(1).count()
-            labels = nxt.select("vertex", "label")
-            if changed == 0:
-                return labels.withColumnRenamed("label", "component")
-            continue
-        # pointer jumping: also take the label of one's label, which halves
-        # chains each round (rounds ~ log of the diameter, not the diameter).
-        # A component root is the label of every member: a hot join key.
-        members = nxt.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-        jumped = skew.split_join(
-            nxt, nxt.select(F.col("vertex").alias("label"), F.col("label").alias("_jl")),
-            ["label"], "left", key_counts=members, count_col="n", hot_rows=hot_rows, **opts)
-        nxt = cut_lineage(jumped.select(
-            "vertex", F.least("label", F.coalesce("_jl", "label")).alias("label"), "old"))
-        changed = nxt.filter(F.col("label") < F.col("old")).limit(1).count()
-        labels = nxt.select("vertex", "label")
-        if changed == 0:
-            return labels.withColumnRenamed("label", "component")
-    raise NotConverged(f"labels still changing after {max_rounds} rounds")
+    a, b = F.col(src), F.col(dst)
+    pairs = cut_lineage(edges.filter(a != b).select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m")).distinct())
+    while not is_star_forest(pairs):
+        pairs = cut_lineage(small_star(large_star(pairs, **skew_opts).distinct(), **skew_opts))
+    return (pairs.select(F.col("v").alias("vertex"), F.col("m").alias("component"))
+            .unionByName(pairs.select(F.col("m").alias("vertex"), F.col("m").alias("component")).distinct()))

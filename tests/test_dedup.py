@@ -142,6 +142,33 @@ def test_components_match_union_find(spark):
     assert got == {n: uf[n] for n in nodes}
 
 
+@pytest.mark.parametrize("seed, hot_rows", [(1, 1 << 17), (2, 4), (3, 4)])
+def test_components_of_random_shapes(spark, seed, hot_rows):
+    """Chains of shuffled ids, hubs, self-loops, repeated and null edges."""
+    rng = random.Random(seed)
+    ids = rng.sample(range(10_000), 400)
+    edges = [(a, b) for a, b in zip(ids[:150], ids[1:151])] + [(ids[200], x) for x in ids[201:280]]
+    edges += [(rng.choice(ids[300:]), rng.choice(ids[300:])) for _ in range(60)] + [(ids[0], ids[0])] + [(ids[3], ids[2])] * 3
+    df = spark.createDataFrame(edges + [(None, 1), (2, None)], "src long, dst long")
+    got = [(r["vertex"], r["component"]) for r in CC.connected_components(df, hot_rows=hot_rows).collect()]
+    real = [e for e in edges if e[0] != e[1]]
+    assert sorted(got) == sorted(union_find(real, {x for e in real for x in e}).items())
+    assert CC.connected_components(df.limit(0)).count() == 0
+
+
+def test_rounds_of_a_long_chain(spark, monkeypatch):
+    """Contraction shortens a chain geometrically: few rounds, no limit of them."""
+    ids = list(range(1 << 13))
+    random.Random(5).shuffle(ids)
+    rounds = []
+    forest = CC.is_star_forest
+    monkeypatch.setattr(CC, "is_star_forest", lambda pairs: rounds.append(1) or forest(pairs))
+    df = spark.createDataFrame(list(zip(ids, ids[1:])), "src long, dst long")
+    got = CC.connected_components(df)
+    assert got.filter("component = 0").count() == len(ids) == got.count()
+    assert len(rounds) <= 14
+
+
 @pytest.mark.parametrize("mode", ["broadcast", "salted", "salted_all"])
 def test_split_join_paths_agree(spark, mode):
     big = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k long, v long")
