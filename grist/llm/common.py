@@ -18,12 +18,14 @@ from grist.session import ensure_checkpoint_dir
 #: than the six ASCII blanks. ``bytes.split()`` splits at exactly these six.
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BATCH = 400
+BYTES_PER_BATCH = 8 << 20
 
 
 def tune(spark: SparkSession) -> None:
-    """Arrow batches of at most ``ROWS_PER_BATCH`` rows, so that a batch of long documents
-    stays small beside an executor's memory."""
+    """Arrow batches of at most ``ROWS_PER_BATCH`` rows and ``BYTES_PER_BATCH`` bytes, so
+    that a batch of long documents stays small beside an executor's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

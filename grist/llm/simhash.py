@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from grist.llm.common import free_name, key_filter, materialize, partitions
+from grist.llm.common import free_name, key_filter, materialize, partitions, release_memory
 from grist.operators.components import connected_components
 
 SHINGLE = 3
@@ -78,6 +78,7 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint", sh
     @F.arrow_udf(LongType())
     def run(texts: pa.Array) -> pa.Array:
         found = np.array([fingerprint(t, shingle) for t in texts.cast(pa.binary()).to_pylist()], np.uint64)
+        release_memory()
         return pa.array(found.view(np.int64))
 
     return df.withColumn(out, run(F.col(text)))
@@ -244,6 +245,7 @@ def linker(max_bits: int):
                 yield emit(rows[:cut])
         if held is not None and len(held):
             yield emit(np.ascontiguousarray(held))
+        release_memory()
     return run
 
 
