@@ -332,40 +332,3 @@ def train_toxic(documents, labels) -> NBModel:
 
 def train_quality(documents, labels) -> NBModel:
     return train_binary_heads(documents, labels, ("quality",))["quality"]
-
-
-# --- MLlib back end (C5, rows-only check) ------------------------------------
-
-LR_FEATURES = 1 << 18
-
-
-def train_lr(train: DataFrame, label_col: str, text_col: str = "text",
-             num_features: int = LR_FEATURES):
-    """Logistic regression on hashed word 1- and 2-grams (MLlib Pipeline).
-
-    ``HashingTF`` fixes the model width at ``num_features`` whatever the
-    corpus size; the fit is distributed (treeAggregate of gradients)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, SQLTransformer
-
-    flat = SQLTransformer(statement=f"SELECT *, replace({text_col}, '\\n', ' ') AS _flat FROM __THIS__")
-    tok = RegexTokenizer(inputCol="_flat", outputCol="_w", pattern=T.WORD_RUN_PATTERN, gaps=False,
-                         toLowercase=True)
-    bi = NGram(n=2, inputCol="_w", outputCol="_b")
-    both = SQLTransformer(statement="SELECT *, concat(_w, _b) AS _f FROM __THIS__")
-    tf = HashingTF(inputCol="_f", outputCol="features", numFeatures=num_features)
-    lr = LogisticRegression(labelCol=label_col, featuresCol="features", maxIter=20, regParam=0.01)
-    return Pipeline(stages=[flat, tok, bi, both, tf, lr]).fit(train)
-
-
-def score_lr(model, df: DataFrame, positive: str, negative: str, prefix: str,
-             id_col: str = "doc_id") -> DataFrame:
-    """``(id, <prefix>_label, <prefix>_score)`` from a fitted :func:`train_lr`."""
-    from pyspark.ml.functions import vector_to_array
-
-    out = model.transform(df)
-    p1 = vector_to_array("probability")[1]
-    label = F.when(F.col("prediction") == 1.0, F.lit(positive)).otherwise(F.lit(negative))
-    score = F.when(F.col("prediction") == 1.0, p1).otherwise(1 - p1)
-    return out.select(id_col, label.alias(f"{prefix}_label"), score.alias(f"{prefix}_score"))

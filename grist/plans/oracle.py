@@ -329,6 +329,7 @@ select (select count(*) from documents) as n_before,
 # --- classifiers -------------------------------------------------------------
 
 from grist.operators import classify as CL  # noqa: E402
+from grist.operators import linear as LM  # noqa: E402
 from grist.plans import curate as CU  # noqa: E402
 
 LANGS = ["de", "en", "es", "fr"]
@@ -432,6 +433,38 @@ select bucket, round(lp_0, 6) as lp_high, round(lp_1, 6) as lp_low from (
 {_model_only}
  select * from model) mm""")
 
+
+
+def linear_sql() -> str:
+    """The linear model's gradient steps, one common table expression each."""
+    f = CL.HARM_FEATURES
+
+    def scaled(src: str, key: str) -> str:
+        return f"""select {key}, bucket, floor(n / sqrt(sum(n * n) over (partition by {key})) * {LM.FEATURE} + 0.5e0)::BIGINT as x
+         from (select {key}, ('0x' || substr(md5(f), 1, {CL.BUCKET_DIGITS}))::int as bucket, count(*) as n
+               from (select {key}, unnest(feats) as f from ({feats_sql(src, key, 'text', f)}) a) b group by 1, 2) c
+         union all select {key}, {CL.BUCKETS}, {LM.FEATURE} from {src}"""
+
+    share = f"1.0e0 / (1.0e0 + exp(-(sum(x * coalesce(w, 0)) / ({LM.FEATURE}.0e0 * {LM.WEIGHT}.0e0))))"
+    ctes = [f"""tr as materialized (select row_number() over () as r, text, quality as y,
+              count(*) over () / (2.0e0 * count(*) over (partition by quality)) as balance, count(*) over () as n
+         from documents join labels using (doc_id) where quality in (0, 1))""",
+            f"tf as materialized ({scaled('tr', 'r')})",
+            "w0 as (select distinct bucket, 0::BIGINT as w from tf)"]
+    for i in range(LM.STEPS):
+        ctes.append(f"""r{i} as materialized (select r, floor((p - y) * balance * {LM.WEIGHT} + 0.5e0)::BIGINT as rest, n
+         from (select r, {share} as p from tf join w{i} using (bucket) group by r) p join tr using (r))""")
+        ctes.append(f"""w{i + 1} as materialized (select bucket, w - floor(g::DOUBLE * {LM.RATE}e0 / n / {LM.FEATURE} + 0.5e0)::BIGINT as w
+         from (select bucket, sum(rest * x) as g, any_value(n) as n from tf join r{i} using (r) group by bucket) g join w{i} using (bucket))""")
+    return f"""
+ with {", ".join(ctes)},
+ sf as ({scaled('documents', 'doc_id')}),
+ s as (select doc_id, {share} as p from sf left join w{LM.STEPS} using (bucket) group by doc_id)
+ select doc_id, case when p > 0.5e0 then 'high_quality' else 'low_quality' end as quality_label, greatest(p, 1 - p) as quality_score from s"""
+
+
+oracle("classify_quality_lr", rounded(linear_sql(), "quality"))
+
 EN = f"lang_label = {lit(CU.ENGLISH_LABEL)} and lang_score > {CU.ENGLISH_MIN_SCORE}"
 HARM = (f"(nsfw_label = 'nsfw' or nsfw_score < {CU.HARM_MIN_SCORE} "
         f"or toxic_label = 'toxic' or toxic_score < {CU.HARM_MIN_SCORE})")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from grist.functions import text as T
 from grist.operators import classify as C
-from grist.operators import exact, minhash, quality, sampling, setjoin, tokens
+from grist.operators import exact, linear, minhash, quality, sampling, setjoin, tokens
 from grist.plans import audit as AU
 from grist.plans import curate as X
 from grist.session import cut_lineage, read_table
@@ -513,12 +513,10 @@ def q_validation_tokens(spark, sf_dir):
 
 @query("classify_quality_lr")
 def q_classify_quality_lr(spark, sf_dir):
-    """C5 with the MLlib back end (rows-only check: iterative fit)."""
+    """C5 with the linear model, fitted in a fixed number of gradient steps."""
     d = docs(spark, sf_dir, "doc_id", "text")
-    train = d.join(_labels(spark, sf_dir).select("doc_id", F.col("quality").cast("double")
-                                                 .alias("y")), "doc_id")
-    model = C.train_lr(train, "y")
-    return C.score_lr(model, d, "high_quality", "low_quality", "quality")
+    model = linear.train(d.join(_labels(spark, sf_dir), "doc_id"), F.col("quality"))
+    return _rounded(linear.score(model, d, "high_quality", "low_quality", "quality"), "quality")
 
 
 FLAGSHIP = "curate"
