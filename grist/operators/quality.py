@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grist.functions import text as T
+from grist.functions import treebank
 
 # Words containing at least one letter: a word run is one token, and any other
 # token is a single non-letter character, so counting letter-bearing runs
@@ -26,8 +27,14 @@ ELLIPSIS_LINE_PATTERN = r"\.\.\.(?=\n|\z)"
 RULE_REASONS = ("word_count", "mean_word_length", "ellipsis_lines", "alphabetic_words")
 
 
-def rule_stats(text: Column) -> dict[str, Column]:
-    """Integer statistics behind the rules, as named columns."""
+def rule_stats(text: Column, spaced: Column | None = None) -> dict[str, Column]:
+    """Integer statistics behind the rules, as named columns; of Treebank words
+    where ``spaced`` gives the text with blanks between them."""
+    stats = _rule_stats(text)
+    return stats if spaced is None else stats | treebank.word_stats(spaced)
+
+
+def _rule_stats(text: Column) -> dict[str, Column]:
     return {
         "n_words": F.regexp_count(text, F.lit(T.WORD_TOKEN_PATTERN)).cast("bigint"),
         # every non-blank character belongs to exactly one token
@@ -50,9 +57,19 @@ def rule_failure(n_words: Column, n_word_chars: Column, n_alpha: Column, n_lines
     )
 
 
-def with_rule_stats(df: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:
-    stats = rule_stats(F.col(text_col))
-    return df.withColumns({prefix + k: v for k, v in stats.items()})
+def with_rule_stats(df: DataFrame, text_col: str = "text", prefix: str = "", tokens: str = "plain") -> DataFrame:
+    """``df`` with the statistics; ``tokens`` is ``plain`` (``T.words``) or ``treebank``."""
+    if tokens not in ("plain", "treebank"):
+        raise ValueError(f"no such tokens: {tokens}")
+    if tokens == "plain":
+        return df.withColumns({prefix + k: v for k, v in rule_stats(F.col(text_col)).items()})
+    # explode of one element: the optimizer doesn't merge projections across it, so the cascade runs once a row
+    spaced = "_spaced"
+    while spaced in {c.lower() for c in df.columns}:
+        spaced = "_" + spaced
+    df = df.withColumn(spaced, F.explode(F.array(treebank.spaced(F.col(text_col)))))
+    stats = rule_stats(F.col(text_col), F.col(spaced))
+    return df.withColumns({prefix + k: v for k, v in stats.items()}).drop(spaced)
 
 
 def rule_failure_of(text: Column) -> Column:
@@ -66,9 +83,9 @@ def passes_rules(text: Column) -> Column:
     return rule_failure_of(text).isNull()
 
 
-def gopher_filter(df: DataFrame, text_col: str = "text") -> DataFrame:
+def gopher_filter(df: DataFrame, text_col: str = "text", tokens: str = "plain") -> DataFrame:
     """Adds the statistics, ``rule_failed`` and ``passes``; keeps every row."""
-    out = with_rule_stats(df, text_col)
+    out = with_rule_stats(df, text_col, tokens=tokens)
     out = out.withColumn("rule_failed", rule_failure(
         F.col("n_words"), F.col("n_word_chars"), F.col("n_alpha_words"), F.col("n_lines"),
         F.col("n_ellipsis_lines")))

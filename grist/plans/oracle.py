@@ -7,7 +7,10 @@ translation is ``\\d`` -> ``\\p{Nd}``: Python and Java (with ``(?U)``) read
 
 from __future__ import annotations
 
+import re
+
 from grist.functions import text as T
+from grist.functions import treebank
 from grist.operators import minhash as MH
 from grist.operators import quality as Q
 
@@ -176,6 +179,32 @@ from (select doc_id, {rule_failure_sql()} as rule_failed
             from (select doc_id, {mask_pii_sql('text')} as masked from documents) m) s) r""")
 
 
+def treebank_sql(e: str) -> str:
+    """The cascade of ``treebank.STEPS``; RE2 writes groups as ``\\1``."""
+    for pattern, replacement in treebank.STEPS:
+        e = rx_replace(e, pattern, re.sub(r"\$(\d)", r"\\\1", replacement))
+    return e
+
+
+def treebank_stats_sql(e: str) -> str:
+    letters = f"regexp_replace({e}, {re2('[^' + chr(92) + 'p{L}' + T.WS_CLASS_BODY + ']+')}, '', 'g')"
+    return f"""{rx_count(e, '[^' + T.WS_CLASS_BODY + ']+')} as n_words,
+       length(regexp_replace({e}, {re2(T.WS)}, '', 'g'))::BIGINT as n_word_chars,
+       {rx_count(letters, chr(92) + 'p{L}+')} as n_alpha_words"""
+
+
+oracle("treebank_words", f"""
+select doc_id, trim(regexp_replace(spaced, {re2(T.WS + '+')}, ' ', 'g')) as words, {treebank_stats_sql('spaced')}
+from (select doc_id, {treebank_sql('text')} as spaced from documents) s""")
+
+oracle("gopher_filter_treebank", f"""
+with masked as (select doc_id, {mask_pii_sql('text')} as masked from documents),
+spaced as (select doc_id, masked, {treebank_sql('masked')} as spaced from masked),
+lines as (select doc_id, spaced, n_lines, n_ellipsis_lines from (select doc_id, spaced, {rule_stats_sql('masked')} from spaced) s),
+stats as (select doc_id, n_lines, n_ellipsis_lines, {treebank_stats_sql('spaced')} from lines)
+select doc_id, n_words, n_word_chars, n_alpha_words, {rule_failure_sql()} as rule_failed, ({rule_failure_sql()}) is null as passes from stats""")
+
+
 # --- exact dedup -------------------------------------------------------------
 
 LINES_SQL = f"""

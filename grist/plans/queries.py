@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grist.functions import text as T
+from grist.functions import treebank
 from grist.operators import classify as C
 from grist.operators import exact, linear, minhash, quality, sampling, setjoin, tokens
 from grist.plans import audit as AU
@@ -112,6 +113,14 @@ def q_word_stats(spark, sf_dir):
                     s["n_alpha_words"].alias("n_alpha_words"))
 
 
+@query("treebank_words")
+def q_treebank_words(spark, sf_dir):
+    """Treebank tokens of every text, blanks between them, and their counts."""
+    d = docs(spark, sf_dir, "doc_id", "text").withColumn("w", F.explode(F.array(treebank.tokens(F.col("text")))))
+    stats = treebank.word_stats(F.array_join("w", " "))
+    return d.select("doc_id", F.array_join("w", " ").alias("words"), *[c.alias(n) for n, c in stats.items()])
+
+
 @query("line_stats")
 def q_line_stats(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "text")
@@ -128,6 +137,13 @@ def q_gopher_filter(spark, sf_dir):
     return out.select("doc_id", "rule_failed", "passes")
 
 
+@query("gopher_filter_treebank")
+def q_gopher_filter_treebank(spark, sf_dir):
+    d = docs(spark, sf_dir, "doc_id", "text")
+    masked = d.select("doc_id", T.mask_pii(F.col("text")).alias("text"))
+    return quality.gopher_filter(masked, tokens="treebank").select("doc_id", "n_words", "n_word_chars", "n_alpha_words", "rule_failed", "passes")
+
+
 # --- exact dedup -------------------------------------------------------------
 
 @query("line_explode")
