@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -118,16 +119,85 @@ def test_defined_cases(spark, rows):
     assert only and all(r.held_out and r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0 and math.isfinite(r.score) for r in only)
 
 
+def training(docs, cls=None):
+    cls = F.xxhash64("lang") if cls is None else cls
+    return docs.filter(~L.held_out(F.col("doc_id"))).select(F.col("text").alias("t"), cls.alias("cls"))
+
+
 def test_learned_weights_beat_the_vocabularys_own(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = [r.text.encode().lower().split() for r in docs.filter(L.held_out(F.col("doc_id"))).collect()]
-    learned = L.learn(docs.filter(~L.held_out(F.col("doc_id"))).select(F.col("text").alias("t"), F.lit(0).alias("cls")), PATH, 1)
+    learned = L.learn(training(docs, F.lit(0).cast("long")), PATH, 4)
     own = L.pieces_of(PATH)
     words = [w for t in texts for w in t]
     assert L.log_scores(words, PATH, learned.logp).sum() > 0.9 * L.log_scores(words, PATH, np.log(own.start / own.start.sum())).sum()
 
 
+def plain_scores(rows, logp):
+    """Log10 probability of each text: every class by itself, word by word."""
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, *_ in rows]
+    counts, texts = {}, Counter()
+    for (_, t, lang), h in zip(rows, held):
+        if not h:
+            counts.setdefault(lang, Counter()).update(L.split((t or "").encode()))
+            texts[lang] += 1
+
+    def shares(c):
+        """Discounted shares and what is left, from counts."""
+        n1, n2 = (sum(x == k for x in c.values()) for k in (1, 2))
+        d = (n1 + 0.5) / (n1 + 2 * n2 + 1)
+        return ({w: (x - d) / c.total() for w, x in c.items()}, d * len(c) / c.total()) if c else ({}, 1.0)
+
+    by_class = {lang: shares(c) for lang, c in counts.items()}
+    new, spelled_share = shares(Counter(w for c in counts.values() for w in c))
+    n, n_texts = sum(c.total() for c in counts.values()), texts.total()
+    end = (n_texts + 1) / (n + n_texts + 2)
+    spelled = dict(zip(words := sorted({w for _, t, _ in rows for w in L.split((t or "").encode())}), L.log_scores(words, PATH, logp)))
+    out = []
+    for i, t, _ in rows:
+        terms = []
+        for lang, (own, left) in by_class.items():
+            score = math.log10((texts[lang] + 0.5) / (n_texts + 0.5 * len(by_class)))
+            for w in L.split((t or "").encode()):
+                score += np.logaddexp(math.log(own.get(w, 0) + left * new.get(w, 0) + 1e-320), math.log(left * spelled_share) + spelled[w] * math.log(10)) / math.log(10)
+                score += math.log10(1 - end)
+            terms.append(score * math.log(10))
+        out.append((i, np.logaddexp.reduce(terms) / math.log(10) + math.log10(end)))
+    return out
+
+
+@pytest.mark.parametrize("common", [20_000, 5])
+def test_scores_are_those_of_a_plain_model(spark, rows, monkeypatch, common):
+    rows = rows + [(1000 + i, f"the cat w{i} x{i % 9}", f"lang{i % 40}") for i in range(150)]       # many classes
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    learned = L.learn(training(docs), PATH, 4)
+    monkeypatch.setattr(L, "learn", lambda train, path, buckets, iterations, learn=L.learn: learn(train, path, buckets, iterations, common))
+    got = L.score_documents(docs, PATH).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])      # noqa: E731
+    mine, plain_ones = sorted(((r.id, r.score) for r in got), key=key), sorted(plain_scores(rows, learned.logp), key=key)
+    assert [x[0] for x in mine] == [x[0] for x in plain_ones]
+    assert [x[1] for x in mine] == pytest.approx([x[1] for x in plain_ones], rel=1e-5)
+
+
+def test_batches_are_bounded_and_sums_alike_in_both_ways(monkeypatch):
+    pair, x = np.array([5, 1, 5, 9]), np.array([1.0, 2.0, 3.0, 4.0])
+    assert all((a == b).all() for a, b in zip(L.pair_sums(pair, x, 10), L.pair_sums(pair, x, L.CELLS + 1)))
+    batches = [pa.record_batch({"t": ["x" * 100] * 50}) for _ in range(9)]
+    assert sum(t.num_rows for t in L.gathered(batches)) == 450 and len(list(L.gathered(batches))) == 1
+    monkeypatch.setattr(L, "BATCH_BYTES", 9000)
+    assert [t.num_rows for t in L.gathered(batches)] == [50] * 9
+    monkeypatch.setattr(L, "BATCH_ROWS", 20)
+    assert [t.num_rows for t in L.gathered(batches)] == [20, 20, 10] * 9
+
+
+def test_held_out_documents_score_above_the_base(spark):
+    from grist.llm.registry import QUERIES
+
+    got = QUERIES["op10_lm_scoring"](spark, "/root/testdata/sf0.1").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
+
+
 def test_buckets_follow_the_text(spark, monkeypatch):
     texts = spark.createDataFrame([("é" * 500,)] * 400 + [(None,)], "t string")
     assert L.bucket_count(texts) == L.bucket_count(texts.limit(0)) == max(L.LEAST_BUCKETS, L.partitions(spark))
