@@ -394,8 +394,8 @@ def pack_batch(texts: list[bytes | None], buckets: int, table: dict[bytes, int])
     word, times, per_doc, sizes = [], [], [], []
     for text in texts:
         own = Counter(split(text))
-        for w in own.keys() - ids.keys():
-            ids[w] = len(ids)
+        for w in own:
+            ids.setdefault(w, len(ids))
         word.append(np.fromiter(map(ids.__getitem__, own), np.int64, len(own)))
         times.append(np.fromiter(own.values(), np.int64, len(own)))
         per_doc.append(len(own))
