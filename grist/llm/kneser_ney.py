@@ -24,9 +24,9 @@ n-gram from the first to the last step:
 
 Log probabilities are whole multiples of 2**-24, so sums are the same in any order.
 
-The model learns from half of the trusted ids, at most ``MAX_TRUSTED`` (those
-of the smallest hashes); the thresholds come from all rows of the other half,
-texts that the model hasn't seen: ``SLACK`` times their quantile. A language with
+The model learns from all rows of one half of the trusted ids; the thresholds come
+from all rows of the other half, texts that the model hasn't seen: ``SLACK`` times
+their quantile. A language with
 fewer than ``MIN_TRUSTED`` of them takes the threshold of all languages.
 
 Defined cases: null or empty text has no perplexity and is rejected; without
@@ -57,7 +57,6 @@ START, REPEAT = 0x110000, 0x110001      # a text's start, a blank between equal
 HOT = 1 << 19               # n-grams whose scores are broadcast: 8 MB
 PIECE = 1 << 20             # characters counted at a time
 UNIT = float(1 << 24)       # log10 probabilities are kept in multiples of 1 / UNIT
-MAX_TRUSTED = 20_000        # trusted ids whose texts the model is trained on, at most
 QUANTILE = 0.995            # of the perplexities of trusted documents that the model hasn't seen
 SLACK = 1.25                # times that quantile
 MIN_TRUSTED = 30
@@ -220,14 +219,22 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id", label: str = "quality
             .select(F.col(id_col).alias("trusted_id"), (F.pmod(F.xxhash64(F.lit("half"), id_col), F.lit(2)) == 0).alias("learns")))
 
 
+def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """All ``rows`` whose ``trusted_id`` is in ``ids``, however many these are. Texts are
+    shuffled only if a filter of fixed size can't tell their ids from those."""
+    if rows.schema["trusted_id"].dataType == ids.schema["trusted_id"].dataType:
+        suspect = key_filter(ids.select(F.xxhash64("trusted_id").alias("h")), "h")
+        rows = rows.withColumn("h", F.xxhash64("trusted_id")).filter(suspect("h")).drop("h")
+    return skew.split_join(rows, ids, ["trusted_id"], "left_semi")
+
+
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", language: str = "lang",
-        quantile: float = QUANTILE, slack: float = SLACK, least: int = MIN_TRUSTED, max_trusted: int = MAX_TRUSTED):
+        quantile: float = QUANTILE, slack: float = SLACK, least: int = MIN_TRUSTED):
     """(measured, limits, limit): all rows' id, ``language``, ``text_key`` and
     ``perplexity``; (language, no_language, threshold) rows; the threshold of
     languages that have too few trusted rows."""
     trusted = materialize(trusted_ids(labels, id_col), "trusted")
-    some = trusted.filter("learns").orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(max_trusted)     # bounded, so it may be broadcast
-    model = train(df.join(F.broadcast(some), df[id_col] == some["trusted_id"], "left_semi"), text)
+    model = train(rows_of(df.select(F.col(id_col).alias("trusted_id"), F.col(text).alias("t")), trusted.filter("learns").select("trusted_id")), "t")
     rows = df.select(F.col(id_col).alias("id"), F.col(language).cast("string").alias("language"), F.col(text).alias("t"))
     measured = materialize(model.measure(rows), "measured")
     others = trusted.filter("not learns")

@@ -123,3 +123,23 @@ def test_query_rejects_junk_and_keeps_clean_documents(spark):
     judged = QUERIES["op8_quality_classifier"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     bad, good = [r for r in judged if r.quality == 0], [r for r in judged if r.quality == 1]
     assert sum(not r.kept for r in bad) >= 0.95 * len(bad) and sum(r.kept for r in good) >= 0.99 * len(good)
+
+
+def test_the_model_learns_from_every_trusted_id_of_its_half(spark, monkeypatch):
+    """More ids than any fixed number of rows: none is left out, repeated rows included."""
+    n = 42_000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('t', id) as text", "'en' as lang")
+    docs = docs.unionByName(docs.filter("doc_id < 10"))
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality")
+
+    class Stop(Exception):
+        pass
+
+    def train(trusted, text):
+        raise Stop(trusted.count())
+
+    monkeypatch.setattr(K, "train", train)
+    with pytest.raises(Stop) as e:
+        K.fit(docs, labels)
+    learns = K.trusted_ids(labels).filter("learns")
+    assert e.value.args[0] == docs.join(learns, docs.doc_id == learns.trusted_id, "left_semi").count() > 20_000
