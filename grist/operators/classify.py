@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from grist.functions import text as T
-from grist.session import cut_lineage
+from grist.session import cut_lineage, release_memory
 
 TEMPERATURE = 10.0
 BUCKET_DIGITS = 5                       # hexadecimal digits of a feature's md5
@@ -151,6 +151,7 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
                         totals[at + i] += np.bincount(buckets[owner == i + 1], minlength=BUCKETS)
                         documents[at + i] += np.count_nonzero(own == i + 1)
                     at += width
+            release_memory()
         seen = np.nonzero(totals.any(axis=0))[0]
         columns = [np.append(c[seen], n) for c, n in zip(totals, documents)]
         yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1), pa.int32()), *map(pa.array, columns)], names=["bucket", *ncols])
@@ -266,6 +267,7 @@ def with_scores(models: list[NBModel], df: DataFrame, text_col: str = "text", ca
             top = z[np.arange(len(z)), best]
             found.append(pa.array(classes, pa.string()).take(pa.array(best)))
             found.append(pa.array(1.0 / np.exp((z - top[:, None]) * TEMPERATURE).sum(axis=1)))
+        release_memory()
         return pa.StructArray.from_arrays([*found, *values], names=[*names, *[f.name for f in carried]])
 
     run = scores.asNondeterministic()

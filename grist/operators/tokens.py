@@ -26,7 +26,7 @@ from pyspark.sql import types as Ty
 
 from grist.functions import text as T
 from grist.operators import ordering
-from grist.session import cut_lineage
+from grist.session import cut_lineage, release_memory
 
 EOS, EOS_TOKEN = 0, "<eos>"
 FIRST_BYTE, FIRST_RUN = 1, 257
@@ -105,6 +105,7 @@ def encode(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: st
 
     @F.arrow_udf(Ty.ArrayType(Ty.IntegerType()))
     def ids(runs: pa.Array) -> pa.Array:
+        release_memory()
         return ids_of(runs, _ids_by_run(shared.value), end)
 
     return df.select(id_col, ids.asNondeterministic()(tokens(F.col(text_col))).alias("ids"))
@@ -145,6 +146,7 @@ def decode_bytes(encoded: DataFrame, vocab: DataFrame, out: str = "bytes") -> Da
 
     @F.arrow_udf(Ty.BinaryType())
     def run(ids: pa.Array) -> pa.Array:
+        release_memory()
         known = shared.value
         return pa.array([b"".join([known[i] for i in own or ()]) for own in ids.to_pylist()], pa.binary())
 
