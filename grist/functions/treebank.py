@@ -8,8 +8,9 @@ token only where a sentence ends.
 
 ``STEPS`` holds (pattern, replacement) pairs that Java and RE2 read alike: no
 look-around, no back-references, group numbers up to 9, ASCII case spelled out.
-Spark runs them as nested ``regexp_replace`` within one projection; the SQL
-oracle is generated from the same list. Every pattern is linear in the text.
+Spark runs them in an Arrow UDF, each over a whole batch by Arrow's own
+``replace_substring_regex`` (RE2); the SQL oracle is generated from the same
+list. Every pattern is linear in the text.
 
 A sentence ends at a dot, and closing quotes or brackets after it, before
 blanks and an upper-case letter or digit, or at the end of the text; but not
@@ -23,8 +24,13 @@ handled whole.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from grist.functions import text as T
 
@@ -36,6 +42,7 @@ ABBREVIATIONS = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Sen", "Rep", "Gov", "Gen", "C
 _WS, _NOT_WS = T.WS, "[^" + T.WS_CLASS_BODY + "]"
 _CLOSE = r"[\])}>\"'»”’]*"
 _EDGE = r"([^\p{L}\p{Nd}_])"            # a character that ends a word
+GROUP = re.compile(r"\$(\d)")            # in a replacement
 CAPITAL, DOT = "\x01", "\x02"           # marks: a sentence may start here; a dot that ends none
 
 
@@ -86,11 +93,12 @@ STEPS: list[tuple[str, str]] = [
 ]
 
 
-def spaced(text: Column) -> Column:
-    """``text`` with blanks between its tokens."""
+@F.arrow_udf(StringType())
+def spaced(texts: pa.Array) -> pa.Array:
+    """The text with blanks between its tokens."""
     for pattern, replacement in STEPS:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+        texts = pc.replace_substring_regex(texts, pattern, GROUP.sub(r"\\\1", replacement))
+    return texts
 
 
 def tokens(text: Column) -> Column:
