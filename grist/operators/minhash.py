@@ -24,9 +24,9 @@ from __future__ import annotations
 
 import random
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -36,7 +36,7 @@ from pyspark.sql import types as Ty
 from grist.functions import text as T
 from grist.operators import components as CC
 from grist.operators import skew
-from grist.session import cut_lineage
+from grist.session import cut_lineage, release_memory
 
 # Mersenne prime 2^31 - 1: (a*h + b) stays below 2^62 for 31-bit a, b, h.
 PRIME = 2147483647
@@ -108,23 +108,30 @@ def signatures(df: DataFrame, params: MinHashParams, id_col: str = "doc_id",
 
 
 def _signatures_arrow(sets: DataFrame, id_col: str, coeffs: list[tuple[int, int]]) -> DataFrame:
-    """Many hash functions: base hashes natively, then one vectorised numpy
-    ``min`` per document inside an Arrow-batched UDF (a lambda per hash
-    function would run outside code generation)."""
-    a = np.array([c[0] for c in coeffs], dtype=np.int64)
-    b = np.array([c[1] for c in coeffs], dtype=np.int64)
-
-    @F.pandas_udf(Ty.ArrayType(Ty.LongType()))
-    def minhash(hs: pd.Series) -> pd.Series:
-        out = []
-        for h in hs:
-            v = np.asarray(h, dtype=np.int64)
-            out.append(((v[:, None] * a + b) % PRIME).min(axis=0))
-        return pd.Series(out)
-
-    hashed = sets.filter(F.size("shingles") > 0).select(
-        id_col, F.transform("shingles", base_hash).alias("_hs"))
-    return hashed.select(id_col, minhash("_hs").alias("sig"))
+    """Many hash functions, in an Arrow-batched UDF: one pass over all base
+    hashes of a batch for each function, with a minimum for each document. The
+    remainder by the Mersenne prime is a shift, an addition and a minimum.
+    Documents without shingles leave by the result: a filter on the sets would be
+    pushed below them, where every use of the words normalises the text anew."""
+    prime = np.uint64(PRIME)
+
+    @F.arrow_udf(Ty.ArrayType(Ty.LongType()))
+    def minhash(shingles: pa.Array) -> pa.Array:
+        release_memory()
+        sizes = pc.fill_null(pc.list_value_length(shingles), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        digests = b"".join([md5(s, usedforsecurity=False).digest()[:4] for s in shingles.flatten().cast(pa.binary()).to_pylist()])
+        h = np.frombuffer(digests, ">u4").astype(np.uint64) % prime
+        some = sizes > 0
+        starts = (np.cumsum(sizes) - sizes)[some]
+        out = np.empty((len(starts), len(coeffs)), np.int64)
+        for i, (a, b) in enumerate(coeffs if len(starts) else ()):
+            v = h * np.uint64(a) + np.uint64(b)                 # below PRIME * PRIME
+            v = (v & prime) + (v >> np.uint64(31))              # the same remainder, below 2 * PRIME
+            out[:, i] = np.minimum.reduceat(np.minimum(v, v - prime), starts)
+        offsets = np.concatenate(([0], np.cumsum(some * len(coeffs)))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()), mask=pa.array(~some))
+
+    return sets.select(id_col, minhash.asNondeterministic()("shingles").alias("sig")).filter(F.col("sig").isNotNull())
 
 
 def lsh_bands(sigs: DataFrame, params: MinHashParams, id_col: str = "doc_id") -> DataFrame:
@@ -141,7 +148,7 @@ def bucket_edges(bands: DataFrame, id_col: str = "doc_id", **skew_opts) -> DataF
     smallest id. Linear in bucket size; connects exactly what all pairs would."""
     roots = bands.groupBy("band", "key").agg(
         F.min(id_col).alias("root"), F.count(F.lit(1)).alias("n"))
-    roots = roots.filter(F.col("n") > 1)
+    roots = cut_lineage(roots.filter(F.col("n") > 1))          # read by the hot keys and by the join
     joined = skew.split_join(bands, roots.select("band", "key", "root"), ["band", "key"],
                              "inner", key_counts=roots, count_col="n", **skew_opts)
     return (joined.filter(F.col(id_col) != F.col("root"))
@@ -151,7 +158,7 @@ def bucket_edges(bands: DataFrame, id_col: str = "doc_id", **skew_opts) -> DataF
 def jaccard(a, b) -> F.Column:
     """|a ∩ b| / |a ∪ b| of two distinct arrays; null when both are empty."""
     inter = F.size(F.array_intersect(a, b)).cast("double")
-    union = F.size(F.array_union(a, b)).cast("double")
+    union = (F.size(a) + F.size(b)).cast("double") - inter
     return F.when(union > 0, inter / union)
 
 
@@ -168,6 +175,13 @@ def verify_edges(edges: DataFrame, sets: DataFrame, id_col: str = "doc_id",
     return both.select("src", "dst", jaccard(F.col("_ss"), F.col("_sd")).alias("jaccard"))
 
 
+def sets_on_edges(edges: DataFrame, sets: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``sets`` that an edge needs, written once; the others needn't be shuffled."""
+    needed = cut_lineage(edges.select(F.explode(F.array("src", "dst")).alias(id_col)).distinct())
+    few = needed.count() <= skew.DEFAULT_MAX_BROADCAST_ROWS
+    return cut_lineage(sets.join(F.broadcast(needed) if few else needed, id_col, "left_semi"))
+
+
 def _block_forest(batch: pa.Table) -> pa.Table:
     """Edges that join the components (column ``c``) of one block pair's members
     (``id``, ``shingles``) as all similar pairs would: each reached member is

@@ -199,16 +199,17 @@ def q_lsh_bands(spark, sf_dir):
 
 @query("lsh_edges")
 def q_lsh_edges(spark, sf_dir):
-    return minhash.bucket_edges(minhash.lsh_bands(_sigs(spark, sf_dir), MH_DEFAULT))
+    # signatures are read by the buckets and by the edges: written once
+    return minhash.bucket_edges(minhash.lsh_bands(cut_lineage(_sigs(spark, sf_dir)), MH_DEFAULT))
 
 
 @query("jaccard_pairs")
 def q_jaccard_pairs(spark, sf_dir):
     d = docs(spark, sf_dir, "doc_id", "text")
     sets = minhash.shingle_sets(d, "doc_id", "text", MH_DEFAULT.ngrams)
-    edges = minhash.bucket_edges(minhash.lsh_bands(
-        minhash.signatures(d, MH_DEFAULT, shingles_df=sets), MH_DEFAULT))
-    v = minhash.verify_edges(edges, sets)
+    edges = cut_lineage(minhash.bucket_edges(minhash.lsh_bands(
+        cut_lineage(minhash.signatures(d, MH_DEFAULT, shingles_df=sets)), MH_DEFAULT)))
+    v = minhash.verify_edges(edges, minhash.sets_on_edges(edges, sets))
     return v.select("src", "dst", F.round("jaccard", 6).alias("jaccard"),
                     (F.col("jaccard") > MH_DEFAULT.jaccard_threshold).alias("verified"))
 
