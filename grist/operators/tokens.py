@@ -17,6 +17,8 @@ reference writes.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,6 +35,8 @@ FIRST_BYTE, FIRST_RUN = 1, 257
 MAX_VOCAB = 1 << 16
 CONTEXT = 512
 TOKEN_PATTERN = "[" + T.WS_CLASS_BODY + "]+|[^" + T.WS_CLASS_BODY + "]+"
+# the same for Python, which writes code points in another way
+RUNS = re.compile(re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\u{int(m[1], 16):04x}", TOKEN_PATTERN))
 
 
 def tokens(text) -> F.Column:
@@ -40,6 +44,22 @@ def tokens(text) -> F.Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
 
 
+def runs_of(texts: pa.Array) -> pa.Array:
+    """:func:`tokens` of a batch, where it is needed within a worker."""
+    return pa.array([None if t is None else RUNS.findall(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+
+def run_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """(token, n): each task counts its batches' runs, then the counts are added."""
+    def count(batches):
+        for batch in batches:
+            found = runs_of(batch.column(0)).flatten().value_counts()
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["token", "n"])
+            release_memory()
+
+    return df.select(text_col).mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
 def byte_name(b: int) -> str:
     return f"<0x{b:02X}>"
 
@@ -49,9 +69,7 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = MAX_VOCAB) ->
     Ids from ``FIRST_RUN`` on are runs, whatever they look like."""
     if not FIRST_RUN < size <= MAX_VOCAB:
         raise ValueError(f"vocabulary size must be in [{FIRST_RUN + 1}, {MAX_VOCAB}]")
-    counts = (df.select(F.explode(tokens(F.col(text_col))).alias("token"))
-              .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size - FIRST_RUN)
+    top = run_counts(df, text_col).orderBy(F.desc("n"), F.asc("token")).limit(size - FIRST_RUN)
     # at most size - FIRST_RUN rows: numbering them in one window is bounded work
     ranked = top.withColumn("id", (F.row_number().over(
         Window.orderBy(F.desc("n"), F.asc("token"))) + FIRST_RUN - 1).cast("int")).select("token", "id")
@@ -104,11 +122,11 @@ def encode(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: st
     end = [EOS] if add_eos else []
 
     @F.arrow_udf(Ty.ArrayType(Ty.IntegerType()))
-    def ids(runs: pa.Array) -> pa.Array:
+    def ids(texts: pa.Array) -> pa.Array:
         release_memory()
-        return ids_of(runs, _ids_by_run(shared.value), end)
+        return ids_of(runs_of(texts), _ids_by_run(shared.value), end)
 
-    return df.select(id_col, ids.asNondeterministic()(tokens(F.col(text_col))).alias("ids"))
+    return df.select(id_col, ids.asNondeterministic()(F.col(text_col)).alias("ids"))
 
 
 def token_count(encoded: DataFrame) -> DataFrame:
