@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grist.operators import ordering
+from grist.session import cut_lineage
 
 # --- fixed values: training-set layout of the reference -----------------------
 LABEL_PREFIX = "__label__"
@@ -51,16 +52,16 @@ def balanced_training_set(positives: DataFrame, negatives: DataFrame, usable, id
     """
     n_pos = positives.count()
     # N grows with the data: both cuts use the distributed rank for large N
-    pool = ordering.first_k(negatives, [id_col], NEGATIVE_POOL_FACTOR * n_pos)
+    # what is counted or ranked is read several times: written once, the filter's heads run once
+    pool = cut_lineage(ordering.first_k(negatives, [id_col], NEGATIVE_POOL_FACTOR * n_pos))
     k = min(n_pos, pool.count())
     neg = ordering.first_k(pool.withColumn("_skey", sample_key(id_col, seed)),
                            ["_skey", id_col], k).drop("_skey")
     pos = positives.withColumn("label", F.lit(POSITIVE)).withColumn("_key", F.lit(""))
     neg = neg.withColumn("label", F.lit(NEGATIVE)).withColumn("_key", sample_key(id_col, seed))
-    both = usable(pos.unionByName(neg))
+    both = cut_lineage(usable(pos.unionByName(neg)).select(id_col, text_col, "label", "_key"))
     # positives keep id order, negatives keep sample order (_key = '' for positives)
-    ranked = ordering.rank_within(both.select(id_col, text_col, "label", "_key"), "label",
-                                  ["_key", id_col])
+    ranked = ordering.rank_within(both, "label", ["_key", id_col])
     sizes = ranked.groupBy("label").agg(F.count(F.lit(1)).alias("_c"))
     m = sizes.agg(F.min("_c")).first()[0] or 0
     if sizes.count() < 2:
@@ -77,6 +78,7 @@ def class_counts(training: DataFrame) -> DataFrame:
 def inspect_samples(df: DataFrame, group_col: str, k: int, id_col: str = "doc_id",
                     seed: int = SAMPLE_SEED) -> DataFrame:
     """``k`` rows per group in hash order (the per-group cap is the feature)."""
-    keyed = df.withColumn("_key", sample_key(id_col, seed))
+    # ranking reads its rows several times; what made them (the funnel) runs once
+    keyed = cut_lineage(df.withColumn("_key", sample_key(id_col, seed)))
     ranked = ordering.rank_within(keyed, group_col, ["_key", id_col])
     return ranked.filter(F.col("rn") <= k).drop("_key")
