@@ -14,8 +14,10 @@ whatever the shape of the graph (Kiveris et al., "Connected Components in MapRed
 and Beyond", 2014), so there is no limit of rounds to run into; a chain of a million
 takes about its logarithm. LSH buckets are stars already and end after a round or two.
 
-Each round's edges are written to the checkpoint folder, which bounds the lineage
-(and recovery after a lost executor) to one round. Hubs (a bucket root linked to a
+Each round's edges are written as files to the checkpoint folder, which bounds the
+lineage (and recovery after a lost executor) to one round. A checkpoint would keep the
+planner's estimate of its size, which every join squares: after a dozen rounds that
+number has billions of digits. Hubs (a bucket root linked to a
 third of the corpus) make a step's join skewed on its key; the number of edges of
 each key comes with the aggregate, and the join goes through
 :func:`grist.operators.skew.split_join`.
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grist.operators import skew
-from grist.session import cut_lineage
+from grist.session import cut_lineage, materialize
 
 
 def large_star(pairs: DataFrame, **skew_opts) -> DataFrame:
@@ -63,8 +65,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", *
     """``(vertex, component)`` for every vertex on an edge; component = min id
     (ids of any type that has an order)."""
     a, b = F.col(src), F.col(dst)
-    pairs = cut_lineage(edges.filter(a != b).select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m")).distinct())
+    pairs = materialize(edges.filter(a != b).select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m")).distinct(), "edges")
     while not is_star_forest(pairs):
-        pairs = cut_lineage(small_star(large_star(pairs, **skew_opts).distinct(), **skew_opts))
+        pairs = materialize(small_star(large_star(pairs, **skew_opts).distinct(), **skew_opts), "edges")
     return (pairs.select(F.col("v").alias("vertex"), F.col("m").alias("component"))
             .unionByName(pairs.select(F.col("m").alias("vertex"), F.col("m").alias("component")).distinct()))
