@@ -10,7 +10,11 @@ token; a bit for each place says that nothing fits from there, so each place is
 left at most once and the time is linear in the piece's length. The result is
 the sequence that merging by rank gives.
 
-Decoding copies the bytes of all ids of a batch with one gather from the
+Pieces that a worker doesn't remember are encoded together, those of a slice of
+texts at a time: each takes the same steps, a step of all of them being a few
+array operations.
+
+Decoding copies the bytes of all ids of a text with one gather from the
 vocabulary's bytes by a table of offsets.
 
 Ids are kept as packed little-endian unsigned 32-bit integers, four bytes a
@@ -40,6 +44,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CACHE_PIECES = 60_000           # distinct pieces, and words, that a worker remembers
 CACHE_LENGTH = 64               # longer ones are encoded anew
 CACHE_PAIRS = 100_000
+CACHE_PAIR_BITS = 18            # of the number of judged pairs that steps of many pieces remember
+FEW = 16                        # so many pieces aren't worth common steps
+SLICE = 1 << 19                 # characters of texts whose pieces are encoded together; a longer text goes by itself
 DOUBLE_BLANK = re.compile(r"\s\s")
 
 
@@ -107,6 +114,13 @@ class Vocabulary:
         self.sizes = lengths.tolist()
         self.window = int(lengths.max())
         self.packed = [i.to_bytes(4, "little") for i in range(size)]
+        # the same tables for many pieces at once
+        self.trie, self.followers = Trie(self.id), np.array(self.shorter, np.int64)
+        self.ranks = Table(np.fromiter((a << 32 | b for a, b in self.merge), np.int64, len(self.merge)),
+                           np.fromiter((rank for rank, _ in self.merge.values()), np.int64, len(self.merge)))
+        self.undone = np.full((size, 3), -1)
+        self.undone[list(self.parts)] = list(self.parts.values())
+        self.judged, self.fits = np.full(1 << CACHE_PAIR_BITS, -1), np.zeros(1 << CACHE_PAIR_BITS, bool)
         self.pieces, self.words = Pieces(self), Words(self)
         self.cut = regex.compile(PATTERN)
         self.cut_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
@@ -178,6 +192,113 @@ class Vocabulary:
                 at -= sizes[back]
                 token = shorter[back]
 
+    def compatible_pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """:meth:`compatible` of many pairs, the latest ones remembered."""
+        code = a << 32 | b
+        slot = spread(code, CACHE_PAIR_BITS)
+        found = self.fits[slot]
+        new = np.nonzero(self.judged[slot] != code)[0]
+        if len(new):
+            a, b, none = a[new], b[new], len(self.merge)
+            out, lane = np.zeros(len(new), bool), np.arange(len(new))
+            rank, side = np.full(len(new), none), np.ones(len(new), np.int64)
+            while len(lane):            # the steps of _compatible
+                across = self.ranks.get(a << 32 | b)
+                on = ~((across >= 0) & ((across < rank) | (across == rank) & (side > 0)))
+                lane, a, b = lane[on], a[on], b[on]
+                left, right = self.undone[a, 2], self.undone[b, 2]      # ranks, -1 of single bytes
+                over = (left < 0) & (right < 0)
+                out[lane[over]] = True
+                lane, a, b, left, right = (x[~over] for x in (lane, a, b, left, right))
+                first = left > right
+                rank, side = np.where(first, left, right), np.where(first, 0, 1)
+                a, b = np.where(first, self.undone[a, 1], a), np.where(first, b, self.undone[b, 0])
+            found[new], self.judged[slot[new]], self.fits[slot[new]] = out, code[new], out
+        return found
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """:meth:`encode_piece` of many pieces: all take each of its steps together."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(sizes)
+        at = ends - sizes
+        text = np.frombuffer(b"".join(pieces), np.uint8)
+        longest = self.trie.longest(text, np.repeat(ends, sizes))
+        fits = np.ones(len(text) + 1, bool)
+        chosen = np.full(len(text), -1)             # the token that starts at each place
+        before = np.full(len(text) + 1, -1)         # the place of the token that ends there
+        which, token = np.arange(len(pieces)), longest[at]
+        while len(which) > FEW:
+            end, stop, back = at + self.lengths[token], ends[which], before[at]
+            ok = (end == stop) | fits[end]
+            pair = np.nonzero(ok & (back >= 0))[0]
+            ok[pair] = self.compatible_pairs(chosen[back[pair]], token[pair])
+            chosen[at[ok]] = token[ok]
+            more = ok & (end < stop)
+            before[end[more]] = at[more]
+            token = np.where(more, longest[np.where(more, end, 0)], self.followers[token])
+            at, on = np.where(more, end, at), ~ok | more
+            which, at, token = which[on], at[on], token[on]
+            while len(lost := np.nonzero(token < 0)[0]):        # nothing fits from here: step back
+                place = at[lost]
+                fits[place] = False
+                at[lost] = before[place]
+                token[lost] = self.followers[chosen[at[lost]]]
+        singly = which.tolist()
+        which = np.setdiff1d(np.arange(len(pieces)), which)
+        at, owners, tokens = (ends - sizes)[which], [which[:0]], [which[:0]]
+        while len(which):
+            owners.append(which)
+            tokens.append(chosen[at])
+            at = at + self.lengths[tokens[-1]]
+            on = at < ends[which]
+            which, at = which[on], at[on]
+        owner = np.concatenate(owners)
+        packed = np.concatenate(tokens)[np.argsort(owner, kind="stable")].astype("<u4").tobytes()
+        stops = (np.cumsum(np.bincount(owner, minlength=len(pieces))) * 4).tolist()
+        out = [packed[a:b] for a, b in zip([0, *stops], stops)]
+        for i in singly:
+            out[i] = self.encode_piece(pieces[i])
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The packed ids of each text (null: none)."""
+        out, slice_, size = [], [], 0
+        for text in texts:
+            if size and size + len(text or "") > SLICE:
+                out += self.encode_slice(slice_)
+                slice_, size = [], 0
+            slice_.append(text or "")
+            size += len(text or "")
+        return out + self.encode_slice(slice_)
+
+    def encode_slice(self, texts: list[str]) -> list[bytes]:
+        if sum(map(len, texts)) > SLICE:            # one long text
+            return list(map(self.encode, texts))
+        plain = [None if DOUBLE_BLANK.search(t) or self.cut_special is not None and self.cut_special.search(t) else t.split(" ") for t in texts]
+        self.remember({w for words in plain if words for w in words[1:]})
+        return [self.encode(t) if words is None else self.encode_words(words) for t, words in zip(texts, plain)]
+
+    def remember(self, words: set[str]) -> None:
+        """Encode what isn't known of ``words``, each the text between two spaces, together. It only
+        saves time: what it leaves out is encoded when it is met."""
+        words = self.words.make_room(words)
+        whole = [w for w in words if w.isascii() and w.isalpha()]
+        whole_pieces = [" " + w for w in whole]
+        # cut as one text: no two blanks meet in it, so a space begins a piece and nothing else holds one
+        others = [w for w in words.difference(whole) if w and not w[-1].isspace()]
+        lists: list[list[str]] = []
+        for piece in self.cut.findall("".join([" " + w for w in others])):
+            if piece[0] == " ":
+                lists.append([piece])
+            else:
+                lists[-1].append(piece)
+        new = list(self.pieces.make_room({*whole_pieces, *(p for ps in lists for p in ps)}))
+        if new:
+            self.pieces.update(zip(new, self.encode_pieces([p.encode() for p in new])))
+        get = self.pieces.__getitem__
+        self.words.update(zip(whole, map(get, whole_pieces)))
+        self.words.update(zip(others, [b"".join(map(get, ps)) for ps in lists]))
+
     def encode(self, text: str) -> bytes:
         """The packed ids of a whole text."""
         if self.cut_special is not None and self.cut_special.search(text):
@@ -194,8 +315,10 @@ class Vocabulary:
         follows a space can be looked up whole."""
         if DOUBLE_BLANK.search(text):
             return b"".join(map(self.pieces.__getitem__, self.cut.findall(text)))
-        first, *rest = text.split(" ")
-        return b"".join([*map(self.pieces.__getitem__, self.cut.findall(first)), *map(self.words.__getitem__, rest)])
+        return self.encode_words(text.split(" "))
+
+    def encode_words(self, words: list[str]) -> bytes:
+        return b"".join([*map(self.pieces.__getitem__, self.cut.findall(words[0])), *map(self.words.__getitem__, words[1:])])
 
     def decode(self, packed: bytes) -> str:
         """The text of packed ids; ids outside the vocabulary give nothing."""
@@ -208,6 +331,64 @@ class Vocabulary:
         return self.bytes[source].tobytes().decode("utf-8", "replace")
 
 
+def spread(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Table:
+    """Numbers by 64-bit keys, many at once (-1: no such key), by linear probing."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = (4 * len(keys)).bit_length()
+        self.keys, self.values = np.full(1 << self.bits, -1), np.full(1 << self.bits, -1, np.int32)
+        slot = spread(keys, self.bits)
+        while len(keys):
+            free = np.nonzero(self.keys[slot] < 0)[0]
+            free = free[np.unique(slot[free], return_index=True)[1]]
+            self.keys[slot[free]], self.values[slot[free]] = keys[free], values[free]
+            left = np.ones(len(keys), bool)
+            left[free] = False
+            keys, values, slot = keys[left], values[left], slot[left] + 1 & len(self.keys) - 1
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        slot = spread(keys, self.bits)
+        seen = self.keys[slot]
+        while len(other := np.nonzero((seen != keys) & (seen >= 0))[0]):
+            slot[other] = slot[other] + 1 & len(self.keys) - 1
+            seen[other] = self.keys[slot[other]]
+        return self.values[slot].astype(np.int64)
+
+
+class Trie:
+    """The automaton's way down from its root, for all places of many pieces at once."""
+
+    def __init__(self, ids: dict[bytes, int]):
+        steps: dict[int, int] = {}
+        ends = {0: -1}
+        for token, i in ids.items():
+            node = 0
+            for byte in token:
+                node = steps.setdefault(node << 8 | byte, len(steps) + 1)
+            ends[node] = i
+        self.steps = Table(*(np.fromiter(x, np.int64, len(steps)) for x in (steps.keys(), steps.values())))
+        self.token = np.full(len(steps) + 1, -1)                # that ends at the node, -1 if none does
+        self.token[np.fromiter(ends.keys(), np.int64, len(ends))] = np.fromiter(ends.values(), np.int64, len(ends))
+
+    def longest(self, text: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The longest token from each place that doesn't pass the place's end."""
+        best, start, node, depth = np.full(len(text), -1), np.arange(len(text)), np.zeros(len(text), np.int64), 0
+        while len(start):
+            node = self.steps.get(node << 8 | text[start + depth])
+            depth += 1
+            on = node >= 0
+            start, node = start[on], node[on]
+            token = self.token[node]
+            best[start[token >= 0]] = token[token >= 0]
+            inside = start + depth < ends[start]
+            start, node = start[inside], node[inside]
+        return best
+
+
 class Pieces(dict):
     """Packed ids by piece of the pre-tokenizer; made when first asked for."""
 
@@ -217,6 +398,15 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         return self.keep(piece, self.vocabulary.encode_piece(piece.encode()))
 
+    def make_room(self, wanted: set[str]) -> set[str]:
+        """The short ones of ``wanted`` that aren't here; if they don't fit in, all that isn't wanted now goes."""
+        new = {w for w in wanted.difference(self) if len(w) <= CACHE_LENGTH}
+        if len(self) + len(new) > CACHE_PIECES:
+            here = {w: self[w] for w in wanted if w in self}
+            self.clear()
+            self.update(here)
+        return new
+
     def keep(self, text: str, packed: bytes) -> bytes:
         if len(text) <= CACHE_LENGTH:
             if len(self) >= CACHE_PIECES:
@@ -246,8 +436,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
     @F.arrow_udf(BinaryType())
     def ids(texts: pa.Array) -> pa.Array:
         release_memory()
-        v = vocabulary(path)
-        return pa.array([v.encode(t) if t else b"" for t in texts.to_pylist()], pa.binary())
+        return pa.array(vocabulary(path).encode_all(texts.to_pylist()), pa.binary())
 
     return df.withColumn(out, ids(F.col(text)))
 

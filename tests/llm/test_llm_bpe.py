@@ -73,3 +73,27 @@ def test_query(spark):
         own = LIBRARY.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(own), hashlib.sha256(np.array(own, "<u4").tobytes()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+@pytest.mark.parametrize("few", [0, bpe.FEW])
+def test_texts_together_equal_the_library(monkeypatch, few):
+    monkeypatch.setattr(bpe, "FEW", few)
+    monkeypatch.setattr(bpe, "SLICE", 2000)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 300)
+    rng = random.Random(11)
+    v = bpe.Vocabulary(PATH)
+    syllables = "an the schung ció über é 日本 don't 's ## ... \n \x85 \x1c A1 99 xq".split(" ")
+    texts = [" ".join("".join(rng.choices(syllables, k=rng.randint(0, 6))) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    texts += [None, "", " ", "a ", "end\n", "a" * 3000, "x" * 70 + " " + "y" * 70, "a  b", "a <|endoftext|> b"]
+    expected = [np.array(LIBRARY.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert v.encode_all(texts) == expected == v.encode_all(texts)
+
+
+def test_new_words_are_encoded_together(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("aeioubcdfgst", k=9)) for _ in range(5000)]
+    singly = []
+    v, one = bpe.Vocabulary(PATH), bpe.Vocabulary.encode_piece
+    monkeypatch.setattr(bpe.Vocabulary, "encode_piece", lambda self, piece: singly.append(piece) or one(self, piece))
+    assert v.encode_all([" ".join(words)]) == [np.array(LIBRARY.encode(" ".join(words)).ids, "<u4").tobytes()]
+    assert len(singly) < 100
