@@ -8,14 +8,18 @@ shorter prefix, that is of every phrase, so no order of n-grams is exploded by
 itself. Windows of one length before the padding share a ROLLUP over just their
 words, as levels of padding would only repeat rows in the shuffle.
 
-A phrase can only reach ``min_count`` if each of its words and adjacent word
-pairs does, so a window ends before the first pair that can't, and the window of
-a word that can't is padding alone (it still counts as a word of its language):
+A phrase can only reach ``min_count`` if each of its words, adjacent word pairs
+and runs of three words does, so a window ends before the first pair or run that
+can't, and the window of a word that can't is padding alone (it still counts as
+a word of its language):
 
 * map tasks send counts of hashed words and pairs; those that reach ``min_count``
-  set bits in a filter of a fixed 8 MB. The filter has no false negatives, and
-  what passes by chance only makes windows longer: all counts stay exact. With
-  more frequent pairs than bits, windows are simply cut less;
+  set bits in a filter of a fixed 8 MB. Runs of three words whose pairs pass are
+  counted likewise, for a second filter: pairs get frequent with the size of a
+  corpus long before longer runs do, and by pairs alone windows would grow with it.
+  The filters have no false negatives, and what passes by chance only makes
+  windows longer: all counts stay exact. With more frequent hashes than bits,
+  windows are simply cut less;
 * map tasks form windows in blocks of words, with words numbered within the
   block, and send each distinct window of a block once with its count.
 
@@ -50,7 +54,7 @@ CONTAINED_PERCENT = 100     # a phrase goes if a longer one that holds it has th
 UNKNOWN = "und"
 BLOCK = 1 << 18             # words that are counted together before they are sent
 SLICE = 1 << 22             # bytes of a text that are split at once
-HASH_BITS = 40              # of a word or pair; equal hashes only let more pass, and shorter ones make smaller shuffles
+HASH_BITS = 40              # of a word, pair or run; equal hashes only let more pass, and shorter ones make smaller shuffles
 FILTER_BITS = 1 << 26
 SHIFTS = (0, 14)            # of a hash, for its two places in the filter
 SHARES = 32                 # groups of a language's phrases that are ranked apart first
@@ -96,14 +100,16 @@ class Block:
         owners, n = zip(*self.owners)
         return np.concatenate(self.words), np.repeat(np.array(owners), n)
 
-    def hashes(self, words: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``HASH_BITS`` bits of (language, word) at each place, and of (language, word, next word) at each but the last."""
+    def hashes(self, words: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``HASH_BITS`` bits of (language, word) at each place, of (language, word, next word) at each
+        but the last, and of the word and the next two at each but the last two."""
         own = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.numbers), np.uint64, len(self.numbers))[words]
         name = np.fromiter((xxhash.xxh64_intdigest(x) for x in self.languages), np.uint64, len(self.languages))[owners]
         single = (own + name) * np.uint64(0x9E3779B185EBCA87)
         single ^= single >> np.uint64(29)
         pair = (single[:-1] + own[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-        return single >> np.uint64(64 - HASH_BITS), pair >> np.uint64(64 - HASH_BITS)
+        three = ((pair[:-1] ^ (pair[:-1] >> np.uint64(31))) + own[2:]) * np.uint64(0xD6E8FEB86659FD93)
+        return single >> np.uint64(64 - HASH_BITS), pair >> np.uint64(64 - HASH_BITS), three >> np.uint64(64 - HASH_BITS)
 
 
 def blocks(batches):
@@ -121,14 +127,22 @@ def blocks(batches):
         yield block
 
 
-def hash_counts(rows: DataFrame) -> DataFrame:
-    """(h, n): counts of hashed words and of hashed pairs of adjacent words, partial ones summed."""
+def hash_counts(rows: DataFrame, pairs: np.ndarray | None = None) -> DataFrame:
+    """(h, n): counts of hashed words and of hashed pairs of adjacent words, partial ones summed;
+    with the filter ``pairs``, of hashed runs of three words whose pairs pass it."""
+    shared = None if pairs is None else rows.sparkSession.sparkContext.broadcast(pairs)
+
     def run(batches):
         for block in blocks(batches):
             words, owners = block.rows()
             inside = (words[:-1] > 0) & (words[1:] > 0)
-            single, pair = block.hashes(words, owners)
-            h, n = np.unique(np.concatenate((single[words > 0], pair[inside])), return_counts=True)
+            single, pair, three = block.hashes(words, owners)
+            if shared is None:
+                found = np.concatenate((single[words > 0], pair[inside]))
+            else:
+                inside[inside] = passes(shared.value, pair[inside])
+                found = three[inside[:-1] & inside[1:]]
+            h, n = np.unique(found, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
     return rows.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
@@ -162,24 +176,31 @@ def distinct_rows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return first, n.astype(np.int64)
 
 
-def window_counts(rows: DataFrame, table: np.ndarray) -> DataFrame:
-    """(language, w1..w5, n): partial counts of the padded longest windows."""
-    shared = rows.sparkSession.sparkContext.broadcast(table)
+def window_counts(rows: DataFrame, pairs: np.ndarray, runs: np.ndarray | None = None) -> DataFrame:
+    """(language, w1..w5, n): partial counts of the padded longest windows; ``pairs`` is the filter
+    of words and pairs, ``runs`` that of runs of three words (none: all pass)."""
+    shared, shared_runs = (x if x is None else rows.sparkSession.sparkContext.broadcast(x) for x in (pairs, runs))
     names = ["language", *WORDS, "n"]
 
     def run(batches):
         for block in blocks(batches):
             words, owners = block.rows()
             goes_on = (words[:-1] > 0) & (words[1:] > 0)
-            single, pair = block.hashes(words, owners)
+            single, pair, three = block.hashes(words, owners)
             goes_on[goes_on] = passes(shared.value, pair[goes_on])
+            run_on = goes_on[:-1] & goes_on[1:]
+            if shared_runs is not None:
+                run_on[run_on] = passes(shared_runs.value, three[run_on])
             frequent = words > 0
             frequent[frequent] = passes(shared.value, single[frequent])
             padded = np.concatenate((words, np.zeros(LONGEST, np.int64)))
             open_ = np.concatenate((goes_on, np.zeros(LONGEST, bool)))
+            open_runs = np.concatenate((run_on, np.zeros(LONGEST + 1, bool)))
             leads, alive = [np.where(frequent, words, 0)], frequent
             for k in range(1, LONGEST):
                 alive = alive & open_[k - 1:k - 1 + len(words)]
+                if k > 1:
+                    alive = alive & open_runs[k - 2:k - 2 + len(words)]
                 leads.append(np.where(alive, padded[k:k + len(words)], 0))
             starts = words > 0
             columns = [owners[starts], *[c[starts] for c in leads]]
@@ -246,8 +267,9 @@ def mine(df: DataFrame, text: str = "text", language: str = "lang", min_count: i
          contained_percent: int = CONTAINED_PERCENT) -> DataFrame:
     """Each language's first ``top`` collocations: language, rank, phrase, a, l, r, n, score."""
     rows = df.select(F.coalesce(F.col(language).cast("string"), F.lit(UNKNOWN)).alias("language"), F.col(text).alias("t"))
-    table = frequent_filter(hash_counts(rows), min_count)
-    windows = materialize(window_counts(rows, table), "windows")        # partial counts, read once for each length
+    pairs = frequent_filter(hash_counts(rows), min_count)
+    runs = frequent_filter(hash_counts(rows, pairs), min_count)
+    windows = materialize(window_counts(rows, pairs, runs), "windows")        # partial counts, read once for each length
     counted, totals = phrase_counts(windows, min_count)
     candidates = materialize(scored(counted, totals), "candidates")
     best = not_contained(candidates, contained_percent).withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))

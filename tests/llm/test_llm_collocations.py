@@ -105,3 +105,16 @@ def test_query_equals_sql(spark):
     con.sql(f"create view documents as select * from '{sf}/documents.parquet'")
     got = sorted(tuple(r) for r in QUERIES["op11_collocations"](spark, sf).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
     assert got == sorted(con.sql(ORACLES["op11_collocations"]).fetchall()) and got
+
+
+def test_windows_end_before_runs_that_are_not_frequent(spark, monkeypatch):
+    # every pair of neighbours is frequent, no run of three is
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(6)]
+    texts = [(" ".join(rng.choices(words, k=40)), "en") for _ in range(40)] + [("a b c d e f", "fr")] * 30
+    kept = []
+    monkeypatch.setattr(C, "materialize", lambda df, tag, write=C.materialize: kept.append((tag, write(df, tag))) or kept[-1][1])
+    got = C.mine(spark.createDataFrame(texts, "text string, lang string"), min_count=25).collect()
+    assert sorted(map(tuple, got)) == plain(texts, 25)
+    windows = dict(kept)["windows"].filter("w3 is not null")
+    assert {r.language for r in windows.select("language").distinct().collect()} == {"fr"}
