@@ -41,12 +41,12 @@ from grist.llm.common import release_memory
 
 #: The pattern of byte-level pre-tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_PIECES = 60_000           # distinct pieces, and words, that a worker remembers
+CACHE_PIECES = 150_000          # distinct pieces, and words, that a worker remembers
 CACHE_LENGTH = 64               # longer ones are encoded anew
 CACHE_PAIRS = 100_000
 CACHE_PAIR_BITS = 18            # of the number of judged pairs that steps of many pieces remember
 FEW = 16                        # so many pieces aren't worth common steps
-SLICE = 1 << 19                 # characters of texts whose pieces are encoded together; a longer text goes by itself
+SLICE = 1 << 20                 # characters of texts whose pieces are encoded together; a longer text goes by itself
 DOUBLE_BLANK = re.compile(r"\s\s")
 
 
