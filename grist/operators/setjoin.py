@@ -4,9 +4,11 @@ Jaccard similarity of at least ``percent`` / 100, without buckets (J4, A7).
 The MinHash path finds most such pairs, this one finds all of them, so it also
 measures that path's recall (:func:`lsh_recall`). Steps:
 
-1. shingles become 64-bit hashes; documents of equal sets form a class, whose
+1. words become 64-bit hashes and n of them a shingle's, on arrays of a batch
+   (Spark folds accents and case before); documents of equal sets form a class, whose
    smallest id stands for all of them from here on (copies are never paired);
-2. document frequencies of the shingles. A shingle of a single class can't
+2. document frequencies of the shingles, counted in blocks of about ``COUNTED``
+   of them, of which each batch of sets sends every shingle once. A shingle of a single class can't
    link anything and only counts as a place at the front of its set's order;
    the others are ordered by (frequency, hash), rare ones first;
 3. prefix filter: two sets of sufficient similarity share a shingle within the
@@ -39,16 +41,80 @@ from pyspark.sql import types as Ty
 from grist.functions import text as T
 from grist.operators import components as CC
 from grist.operators import minhash, skew
-from grist.session import cut_lineage
+from grist.session import cut_lineage, release_memory
 
 CELL = 2000
+COUNTED = 1 << 20           # shingles that are counted as one block
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Spreads 64-bit numbers over all bits, one to one."""
+    h = h ^ (h >> np.uint64(32))
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """The 64-bit hash of every word (none is empty): the sum of a number for
+    each byte at its place in the word."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    whole = pa.concat_arrays([words])
+    ends = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset:whole.offset + len(whole) + 1].astype(np.int64)
+    letters = np.frombuffer(whole.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    starts = ends[:-1] - ends[0]
+    place = np.arange(1, len(letters) + 1) - np.repeat(starts, np.diff(ends))
+    return np.add.reduceat(_mixed(_mixed((place * 256 + letters).view(np.uint64))), starts)
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted; by sorting, which is quicker than numpy's unique on short arrays."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+def _shingle_sets(ngrams: int):
+    """A function of lower-case texts: each one's sorted distinct shingle hashes.
+    Words are those of :func:`grist.functions.text.dedup_words`."""
+    blanks = bytes(32 if chr(c) in T.PUNCTUATION else c for c in range(256))
+
+    @F.arrow_udf(Ty.ArrayType(Ty.LongType()))
+    def sets(texts: pa.Array) -> pa.Array:
+        release_memory()
+        null = texts.is_null().to_numpy(zero_copy_only=False)
+        whole = pa.concat_arrays([texts.cast(pa.string()).fill_null("")])
+        offsets, data = whole.buffers()[1:]
+        plain = pa.StringArray.from_buffers(len(whole), offsets, pa.py_buffer((data.to_pybytes() if data else b"").translate(blanks)), offset=whole.offset)
+        pieces = pc.utf8_split_whitespace(plain)
+        words, parents = pieces.flatten(), pc.list_parent_indices(pieces)
+        some = pc.greater(pc.binary_length(words), 0)
+        sizes = np.bincount(parents.filter(some).to_numpy(zero_copy_only=False), minlength=len(texts))
+        h = _word_hashes(words.filter(some))
+        windows = max(len(h) - ngrams + 1, 0)
+        shingles = _mixed(h[:windows])
+        for k in range(1, ngrams):
+            shingles = _mixed(shingles + h[k:k + windows])
+        shingles, starts = shingles.view(np.int64), np.cumsum(sizes) - sizes
+        # a text without words has one empty word, as split() has
+        blank = np.zeros(1 if ngrams == 1 else 0, np.int64)
+        found = [blank[:0] if none else _distinct(shingles[at:max(at, at + n - ngrams + 1)]) if n else blank
+                 for none, at, n in zip(null, starts, sizes)]
+        ends = np.cumsum([0] + [len(x) for x in found]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([blank[:0], *found])))
+
+    return sets
 
 
 def shingle_hashes(df: DataFrame, id_col: str, text_col: str, ngrams: int) -> DataFrame:
     """(id, set): the sorted distinct 64-bit hashes of a document's shingles."""
-    listed = T.with_shingles(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), "t", ngrams, "l", distinct=False)
-    hashed = F.array_sort(F.array_distinct(F.transform("l", lambda s: F.xxhash64(s))))
-    return listed.select("id", F.coalesce(hashed, F.array().cast("array<bigint>")).alias("set"))
+    src, dst = T.accent_fold_table()
+    text = F.col("t")
+    folded = F.regexp_replace(F.translate(text, src, dst), r"\p{Mn}", "")
+    ascii_only = F.octet_length(text) == F.length(text)         # has no accents
+    lowered = F.lower(F.when(ascii_only, text).otherwise(folded))
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    return texts.select("id", _shingle_sets(ngrams)(lowered).alias("set"))
 
 
 @dataclass
@@ -76,13 +142,40 @@ def _needed(size, percent: int):
     return F.expr(f"({size} * {percent} + 99) div 100")
 
 
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """(token, df): the shingles that two or more sets have, and how many have them."""
+    total = sets.agg(F.sum(F.size("set"))).first()[0] or 0
+    blocks = max(1, -(-total // COUNTED))
+
+    def dealt(batches):
+        for batch in batches:
+            tokens, n = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            block = (tokens.view(np.uint64) % np.uint64(blocks)).astype(np.int64)
+            order = np.argsort(block, kind="stable")
+            own, starts = np.unique(block[order], return_index=True)
+            ends = pa.array(np.append(starts, len(tokens)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (tokens, n))],
+                                             names=["block", "tokens", "n"])
+
+    def counted(block: pa.Table) -> pa.Table:
+        tokens, n = (block[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("tokens", "n"))
+        order = np.argsort(tokens)
+        own, starts = np.unique(tokens[order], return_index=True)
+        df = np.add.reduceat(n[order], starts)
+        return pa.table({"token": pa.array(own[df > 1]), "df": pa.array(df[df > 1])})
+
+    return cut_lineage(sets.select("set").mapInArrow(dealt, "block long, tokens array<long>, n array<long>")
+                       .groupBy("block").applyInArrow(counted, "token long, df long"))
+
+
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """(id, size, token, place, before): the places of each set's order that can
     start a link, ``place`` from 0, ``before`` the shingle one place earlier."""
     listed = sets.select("id", F.size("set").cast("long").alias("size"), F.explode("set").alias("token"))
-    shared = cut_lineage(listed.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1))
-    own = (skew.split_join(listed, shared, ["token"], "inner", key_counts=shared, count_col="df")
-           .groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("order")))       # one document's shingles
+    shared = shared_shingles(sets)
+    # most shingles are of one set: they are looked up in the few shared ones, not sorted
+    own = (skew.split_join(listed, shared.hint("shuffle_hash"), ["token"], "inner", key_counts=shared, count_col="df")
+           .groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order")))       # one document's shingles
     ordered = own.select("id", "size", F.col("order.token").alias("order"), (F.col("size") - F.size("order")).alias("alone"))
     take = (F.col("size") - _needed("size", percent) + 1 - F.col("alone")).cast("int")
     rows = ordered.withColumn("take", take).filter("take > 0")

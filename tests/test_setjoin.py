@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from grist.functions import text as T
 from grist.operators import setjoin as S
 
 
@@ -59,3 +60,26 @@ def test_one_copy_of_each_group_stays(spark):
     assert S.similarity_dedup(df.filter("false")).collect() == []
     with pytest.raises(ValueError):
         S.similar_pairs(df, 0)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_shingles_are_hashed_as_arrays(spark, n):
+    texts = ["É a-b  C　d ΟΔΟΣ. x", "e a b c d οδος x", "e a b c d", " ", "", None, "!?", "x​y ́z\x85Ⅷ İ İ", "a a a a a a a a",
+             "a b c d e f", "f e d c b a", "\U0001d400 K k ß ≮"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = S.shingle_hashes(df, "doc_id", "text", n)
+    assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
+    hashed = {r.id: r.set for r in got.collect()}
+    named = {r.doc_id: set(r.s or []) for r in T.with_shingles(df, "text", n, "s").collect()}
+    assert all(x == sorted(set(x)) and len(x) == len(named[i]) for i, x in hashed.items())
+    assert all(len(set(hashed[i]) & set(hashed[j])) == len(named[i] & named[j]) for i in named for j in named)
+
+
+def test_shared_shingles_are_counted_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(S, "COUNTED", 3)
+    r = random.Random(5)
+    sets = [sorted(r.sample(range(-20, 20), r.randint(1, 9))) for _ in range(30)]
+    df = spark.createDataFrame([(i, 1, s) for i, s in enumerate(sets)], "id long, n long, set array<long>").repartition(3)
+    want = {t: sum(t in s for s in sets) for t in range(-20, 20)}
+    assert {x.token: x.df for x in S.shared_shingles(df).collect()} == {t: c for t, c in want.items() if c > 1}
+    assert S.shared_shingles(df.filter("false")).collect() == []
