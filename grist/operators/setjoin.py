@@ -8,18 +8,20 @@ measures that path's recall (:func:`lsh_recall`). Steps:
    (Spark folds accents and case before); documents of equal sets form a class, whose
    smallest id stands for all of them from here on (copies are never paired);
 2. document frequencies of the shingles, counted in blocks of about ``COUNTED``
-   of them, of which each batch of sets sends every shingle once. A shingle of a single class can't
-   link anything and only counts as a place at the front of its set's order;
-   the others are ordered by (frequency, hash), rare ones first;
+   of them, to which each batch of sets sends every shingle once, with the places of its
+   sets; those that two or more sets have come back to the batch, as arrays. A shingle of
+   a single class can't link anything and only counts as a place at the front of its
+   set's order; the others are ordered by (frequency, hash), rare ones first;
 3. prefix filter: two sets of sufficient similarity share a shingle within the
    first ``size - ceil(percent * size / 100) + 1`` places of both, so only these
    prefixes are joined on the shingle (hot shingles split), with the length
    filter and the positional filter as the join's condition. A pair that shares
    a run of shingles is emitted at the run's start alone: each prefix row
    carries the shingle before it, and where these agree the pair is known;
-4. verification: pairs are dealt to cells by the hashes of both ids, and each
-   cell gets the sets it needs once, however many pairs they are in. Cells hold
-   about ``CELL`` sets a side; similarity is compared in integers.
+4. verification: pairs are dealt to cells by the smallest shared shingle of both
+   sets, mostly the same in near copies, and each cell gets the sets it needs once,
+   however many pairs they are in. Cells hold about ``CELL`` sets a side;
+   similarity is compared in integers.
 
 Defined cases: null texts, and texts of fewer words than a shingle, have no
 shingles, are classes of their own and link to nothing; repeated ids count as
@@ -30,6 +32,7 @@ results.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +58,12 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+@lru_cache(1)
+def _byte_numbers() -> np.ndarray:
+    """The number of each byte at each of a word's first 63 places."""
+    return _mixed(_mixed(np.arange(64 * 256, dtype=np.uint64)))
+
+
 def _word_hashes(words: pa.Array) -> np.ndarray:
     """The 64-bit hash of every word (none is empty): the sum of a number for
     each byte at its place in the word."""
@@ -64,8 +73,14 @@ def _word_hashes(words: pa.Array) -> np.ndarray:
     ends = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset:whole.offset + len(whole) + 1].astype(np.int64)
     letters = np.frombuffer(whole.buffers()[2], np.uint8)[ends[0]:ends[-1]]
     starts = ends[:-1] - ends[0]
-    place = np.arange(1, len(letters) + 1) - np.repeat(starts, np.diff(ends))
-    return np.add.reduceat(_mixed(_mixed((place * 256 + letters).view(np.uint64))), starts)
+    key = np.arange(256, 256 * len(letters) + 256, 256) - np.repeat(starts * 256, np.diff(ends))     # 256 times the place in the word, from 1
+    key += letters
+    known = _byte_numbers()
+    numbers = known.take(key, mode="clip")
+    late = key >= len(known)                # of the rare long words
+    if late.any():
+        numbers[late] = _mixed(_mixed(key[late].view(np.uint64)))
+    return np.add.reduceat(numbers, starts)
 
 
 def _distinct(x: np.ndarray) -> np.ndarray:
@@ -125,77 +140,143 @@ class Classes:
 
 def classes(df: DataFrame, ngrams: int, id_col: str = "doc_id", text_col: str = "text") -> Classes:
     """Documents of equal shingle sets share a class, named by its smallest id."""
-    # read by the classes, and by their members: written once
+    # both read twice: written once
     own = cut_lineage(shingle_hashes(df, id_col, text_col, ngrams)
                       .select("id", "set", F.xxhash64("set").alias("h1"), F.xxhash64(F.lit("second"), "set").alias("h2")))
-    one = own.groupBy("id").agg(F.min(F.struct("h1", "h2", F.size("set").alias("m"))).alias("k")).select("id", "k.h1", "k.h2", "k.m")
+    one = cut_lineage(own.groupBy("id").agg(F.min(F.struct("h1", "h2", F.size("set").alias("m"))).alias("k")).select("id", "k.h1", "k.h2", "k.m"))
     found = cut_lineage(one.filter("m > 0").groupBy("h1", "h2").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n")))
     members = skew.split_join(one, found.select("h1", "h2", "class_id"), ["h1", "h2"], "left", key_counts=found)
     members = cut_lineage(members.select("id", F.coalesce("class_id", "id").alias("class_id")))
-    named = found.select(F.col("class_id").alias("id"), "h1", "h2", "n")
-    sets = own.join(named, ["id", "h1", "h2"]).dropDuplicates(["id"]).select("id", "n", "set")
+    # joined on the id alone, so that the sets are shuffled once
+    named = found.select(F.col("class_id").alias("id"), F.col("h1").alias("c1"), F.col("h2").alias("c2"), "n")
+    sets = own.join(named, "id").filter("(h1 ^ c1 | h2 ^ c2) = 0").dropDuplicates(["id"]).select("id", "n", "set")
     return Classes(members, cut_lineage(sets))
 
 
-def _needed(size, percent: int):
-    """Shared shingles that two sets of ``size`` shingles need at least (of the larger)."""
-    return F.expr(f"({size} * {percent} + 99) div 100")
-
-
-def shared_shingles(sets: DataFrame) -> DataFrame:
-    """(token, df): the shingles that two or more sets have, and how many have them."""
-    total = sets.agg(F.sum(F.size("set"))).first()[0] or 0
-    blocks = max(1, -(-total // COUNTED))
-
-    def dealt(batches):
-        for batch in batches:
-            tokens, n = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
-            block = (tokens.view(np.uint64) % np.uint64(blocks)).astype(np.int64)
-            order = np.argsort(block, kind="stable")
-            own, starts = np.unique(block[order], return_index=True)
-            ends = pa.array(np.append(starts, len(tokens)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (tokens, n))],
-                                             names=["block", "tokens", "n"])
+def _needed(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Shared shingles that two sets of ``sizes`` shingles need at least (of the larger)."""
+    return (sizes * percent + 99) // 100
+
+
+def _counted(kind: Ty.DataType):
+    """Two functions: of batches of sets, their rows of :func:`shared_places` by block,
+    still with every shingle; and of a block's rows, what remains of them."""
+    rows = Ty.StructType([Ty.StructField("block", Ty.LongType()), Ty.StructField("batch", kind), Ty.StructField("ids", Ty.ArrayType(kind)),
+                          *(Ty.StructField(c, Ty.ArrayType(Ty.LongType())) for c in ("sizes", "tokens", "n")), Ty.StructField("at", Ty.ArrayType(Ty.IntegerType()))])
+    found = Ty.StructType([f for f in rows.fields[1:]] + [Ty.StructField("df", Ty.ArrayType(Ty.LongType()))])
+    lists = lambda ends, x: pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), x)
+
+    def dealt(batches, blocks: int, least: int):
+        for part in _gathered(batches, least):
+            ids, sets = part["id"].combine_chunks(), part["set"].combine_chunks()
+            sizes = pc.list_value_length(sets).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = sets.flatten().to_numpy(zero_copy_only=False)
+            order = np.argsort(values.view(np.uint64))
+            values, at = values[order], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+            block = ((values.view(np.uint64) >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)     # equal ranges of hashes
+            heads = np.flatnonzero(np.append(True, values[1:] != values[:-1]))             # a shingle is sent once, then its sets
+            n = np.diff(np.append(heads, len(values)))
+            tokens, block = values[heads], block[heads]
+            cuts = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block))
+            own = block[cuts[:-1]]
+            first = np.minimum(np.arange(len(own) + 1), 1) * len(ids)                       # ids and sizes go with the first row
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own), pa.array([ids[0].as_py()] * len(own), ids.type), lists(first, ids), lists(first, pa.array(sizes)),
+                 lists(cuts, pa.array(tokens)), lists(cuts, pa.array(n)), lists(np.append(heads, len(values))[cuts], pa.array(at))],
+                names=rows.names)
 
     def counted(block: pa.Table) -> pa.Table:
-        tokens, n = (block[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("tokens", "n"))
+        tokens, n, at = (block[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("tokens", "n", "at"))
         order = np.argsort(tokens)
-        own, starts = np.unique(tokens[order], return_index=True)
-        df = np.add.reduceat(n[order], starts)
-        return pa.table({"token": pa.array(own[df > 1]), "df": pa.array(df[df > 1])})
+        heads = np.flatnonzero(np.append(True, tokens[order][1:] != tokens[order][:-1]))
+        total = np.add.reduceat(n[order], heads)
+        df = np.empty(len(tokens), np.int64)
+        df[order] = np.repeat(total, np.diff(np.append(heads, len(tokens))))
+        keep = df > 1
+        starts = np.append(0, np.cumsum(pc.list_value_length(block["tokens"].combine_chunks()).to_numpy(zero_copy_only=False)))
+        places = np.append(0, np.cumsum(keep))[starts]
+        kept = lists(places, pa.array(tokens[keep])), lists(places, pa.array(n[keep])), lists(np.append(0, np.cumsum(n[keep]))[places], pa.array(at[np.repeat(keep, n)]))
+        out = pa.table([block["batch"], block["ids"], block["sizes"], *kept, lists(places, pa.array(df[keep]))], names=found.names)
+        some = pa.array(np.diff(places) > 0)
+        return out.filter(pc.or_(some, pc.greater(pc.list_value_length(out["ids"]), 0)))
+
+    return dealt, counted, rows, found
+
+
+def _gathered(batches, least: int):
+    """Batches put together until they have ``least`` shingles."""
+    parts, held = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            parts.append(batch)
+            held += len(batch["set"].flatten())
+        if held >= least:
+            yield pa.Table.from_batches(parts)
+            parts, held = [], 0
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def shared_places(sets: DataFrame) -> DataFrame:
+    """The shingles that two or more sets have, several rows for each batch of
+    sets (named by its first id): ``tokens``, ``df`` sets have each of them, ``n`` of
+    this batch, whose numbers follow each other in ``at``. One row of a batch
+    lists its ``ids`` and ``sizes``; in the others these are empty."""
+    sets = sets.filter(F.size("set") > 0).select("id", "set")
+    total = sets.agg(F.sum(F.size("set"))).first()[0] or 0
+    blocks, least = max(1, -(-total // COUNTED)), COUNTED
+    dealt, counted, rows, found = _counted(sets.schema["id"].dataType)
+    return (sets.mapInArrow(lambda batches: dealt(batches, blocks, least), rows)
+            .groupBy("block").applyInArrow(counted, found))
+
 
-    return cut_lineage(sets.select("set").mapInArrow(dealt, "block long, tokens array<long>, n array<long>")
-                       .groupBy("block").applyInArrow(counted, "token long, df long"))
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """(token, df): the shingles that two or more sets have, and how many have them."""
+    listed = shared_places(sets).select(F.explode(F.arrays_zip("tokens", "df")).alias("x"))
+    return cut_lineage(listed.select(F.col("x.tokens").alias("token"), "x.df").distinct())
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, size, token, place, before): the places of each set's order that can
-    start a link, ``place`` from 0, ``before`` the shingle one place earlier."""
-    listed = sets.select("id", F.size("set").cast("long").alias("size"), F.explode("set").alias("token"))
-    shared = shared_shingles(sets)
-    # most shingles are of one set: they are looked up in the few shared ones, not sorted
-    own = (skew.split_join(listed, shared.hint("shuffle_hash"), ["token"], "inner", key_counts=shared, count_col="df")
-           .groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order")))       # one document's shingles
-    ordered = own.select("id", "size", F.col("order.token").alias("order"), (F.col("size") - F.size("order")).alias("alone"))
-    take = (F.col("size") - _needed("size", percent) + 1 - F.col("alone")).cast("int")
-    rows = ordered.withColumn("take", take).filter("take > 0")
-    return (rows.select("id", "size", "alone", "order", F.posexplode(F.slice("order", F.lit(1), F.col("take"))).alias("at", "token"))
-            .select("id", "size", "token", (F.col("alone") + F.col("at")).alias("place"),
-                    F.when(F.col("at") > 0, F.get("order", F.col("at") - 1)).alias("before")))
+    """(id, size, lead, token, place, before): the places of each set's order that can
+    start a link, ``place`` from 0, ``before`` the shingle one place earlier, ``lead``
+    the smallest shingle that other sets have too."""
+    kind = sets.schema["id"].dataType
+    schema = Ty.StructType([Ty.StructField("id", kind), *(Ty.StructField(c, Ty.LongType()) for c in ("size", "lead", "token", "place", "before"))])
+
+    def ordered(batch: pa.Table) -> pa.Table:
+        ids, sizes, tokens, df, n, at = (batch[c].combine_chunks().flatten() for c in ("ids", "sizes", "tokens", "df", "n", "at"))
+        sizes, tokens, df, n, at = (x.to_numpy(zero_copy_only=False) for x in (sizes, tokens, df, n, at))
+        tokens, df = np.repeat(tokens, n), np.repeat(df, n)
+        lead = np.full(len(sizes), np.iinfo(np.int64).max)
+        np.minimum.at(lead, at, tokens)
+        order = np.lexsort((tokens, df, at))
+        tokens, at = tokens[order], at[order]
+        shared = np.bincount(at, minlength=len(sizes))
+        alone = sizes - shared
+        nth = np.arange(len(at)) - (np.cumsum(shared) - shared)[at]
+        take = sizes - _needed(sizes, percent) + 1 - alone
+        keep = nth < take[at]
+        before = pa.array(np.append(0, tokens[:-1])[keep] if len(tokens) else tokens, mask=(nth == 0)[keep])
+        own = at[keep]
+        return pa.table([ids.take(pa.array(own)), pa.array(sizes[own]), pa.array(lead[own]), pa.array(tokens[keep]), pa.array((alone[at] + nth)[keep]), before],
+                        names=schema.names)
+
+    return shared_places(sets).groupBy("batch").applyInArrow(ordered, schema)
 
 
 def candidates(sets: DataFrame, percent: int, **skew_opts) -> DataFrame:
-    """(a, b): pairs of ids, a of the smaller set, that pass the prefix, length and positional filters."""
+    """(a, b, lead_a, lead_b): pairs of ids, a of the smaller set, that pass the prefix,
+    length and positional filters, and the leads of both (:func:`prefixes`)."""
     rows = cut_lineage(prefixes(sets, percent))
-    left = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "size", "place", "before")])
-    right = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "size", "place", "before")])
+    left = rows.select("token", *[F.col(c).alias(f"{c}_a") for c in ("id", "size", "lead", "place", "before")])
+    right = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in ("id", "size", "lead", "place", "before")])
     met = skew.split_join(left, right, ["token"], "inner", **skew_opts)
     first = F.struct("size_a", "id_a") < F.struct("size_b", "id_b")
     length = F.col("size_a") * 100 >= F.col("size_b") * percent
     most = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))      # shingles that may still be shared
     enough = most * (100 + percent) >= (F.col("size_a") + F.col("size_b")) * percent
     new = F.col("before_a").isNull() | F.col("before_b").isNull() | (F.col("before_a") != F.col("before_b"))
-    return met.filter(first & length & enough & new).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    return met.filter(first & length & enough & new).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "lead_a", "lead_b").distinct()
 
 
 def _verified(percent: int):
@@ -227,17 +308,32 @@ def _verified(percent: int):
     return run
 
 
+def cells(pairs: DataFrame) -> DataFrame:
+    """(a, b, x, y): the pairs and their cells, so many that each gets about ``CELL``
+    sets a side, whatever the number of documents in pairs. Sets of one lead, mostly
+    near copies, share a side, unless they are more than ``CELL``: so a set goes to
+    few cells, however many its near copies are."""
+    ends = (pairs.select("a", F.col("lead_a").alias("lead")).unionByName(pairs.select(F.col("b").alias("a"), F.col("lead_b").alias("lead")))
+            .distinct().groupBy("lead").agg(F.count(F.lit(1)).alias("n")))
+    led = cut_lineage(ends.withColumn("parts", F.ceil(F.col("n") / CELL)))
+    blocks = max(1, -(-(led.agg(F.sum("n")).first()[0] or 0) // CELL))
+    large = led.filter("parts > 1")             # at most one for CELL documents
+    dealt = pairs
+    for c, at in (("a", "x"), ("b", "y")):
+        parts = F.broadcast(large.select(F.col("lead").alias(f"lead_{c}"), F.col("parts").alias("parts")))
+        part = F.coalesce(F.pmod(F.xxhash64(c), F.col("parts")), F.lit(0))
+        dealt = (dealt.join(parts, f"lead_{c}", "left")
+                 .withColumn(at, F.pmod(F.xxhash64(f"lead_{c}", part), F.lit(blocks))).drop("parts"))
+    return dealt.select("a", "b", "x", "y")
+
+
 def similar_pairs(sets: DataFrame, percent: int = 80, **skew_opts) -> DataFrame:
     """(src, dst, common, total): every pair of ``sets`` whose similarity
     common / total is at least ``percent`` / 100; src is the smaller id."""
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1..100")
     pairs = cut_lineage(candidates(sets, percent, **skew_opts))
-    # cells so many that each gets about CELL sets a side, whatever the number of documents in pairs
-    n = pairs.agg(F.approx_count_distinct("a")).first()[0]
-    blocks = max(1, -(-n // CELL))
-    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-    dealt = pairs.withColumns({"x": block("a"), "y": block("b")})
+    dealt = cells(pairs)
     wanted = dealt.select("x", "y", F.explode(F.array("a", "b")).alias("id")).distinct()
     sent = (skew.split_join(wanted, sets.select("id", "set"), ["id"], "inner", **skew_opts)
             .select(F.col("x").alias("to_x"), F.col("y").alias("to_y"), "id", "set"))

@@ -83,3 +83,40 @@ def test_shared_shingles_are_counted_in_blocks(spark, monkeypatch):
     want = {t: sum(t in s for s in sets) for t in range(-20, 20)}
     assert {x.token: x.df for x in S.shared_shingles(df).collect()} == {t: c for t, c in want.items() if c > 1}
     assert S.shared_shingles(df.filter("false")).collect() == []
+
+
+@pytest.mark.parametrize("percent", [50, 80])
+def test_prefixes_are_ordered_on_arrays(spark, monkeypatch, percent):
+    monkeypatch.setattr(S, "COUNTED", 7)
+    r = random.Random(6)
+    sets = {i: sorted(r.sample(range(-2**62, 2**62, 2**57), r.randint(0, 9))) for i in range(40)}
+    df = spark.createDataFrame([(f"d{i:02}", s) for i, s in sets.items()], "id string, set array<long>").repartition(3)
+    found = S.prefixes(df, percent)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()        # no row for each shingle
+    count = {t: sum(t in s for s in sets.values()) for s in sets.values() for t in s}
+    want = set()
+    for i, s in sets.items():
+        order = sorted((count[t], t) for t in s)
+        shared = [t for c, t in order if c > 1]
+        for at, (c, t) in enumerate(order[:len(s) + (-len(s) * percent // 100) + 1]):
+            if c > 1:
+                want.add((f"d{i:02}", len(s), min(shared), t, at, order[at - 1][1] if at and order[at - 1][0] > 1 else None))
+    got = [tuple(x) for x in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert S.prefixes(df.filter("size(set) = 0"), percent).collect() == []
+
+
+def test_near_copies_share_cells(spark, monkeypatch):
+    monkeypatch.setattr(S, "CELL", 30)
+    r = random.Random(7)
+    sets = []
+    for k in range(40):
+        base = [r.randrange(-2**62, 2**62) for _ in range(120)]
+        sets += [sorted({*base} - {r.choice(base[2:]), r.choice(base[2:])}) for _ in range(12)]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, set array<long>")
+    pairs = S.cells(S.candidates(df, 80))
+    ids = pairs.selectExpr("x", "y", "explode(array(a, b)) as id")
+    assert pairs.count() == 40 * 66 and ids.select("id").distinct().count() == len(sets)
+    # dealt by their ids, each would go to about ten
+    assert ids.distinct().count() < 3 * len(sets)
+    assert max(x["count"] for x in ids.distinct().groupBy("x", "y").count().collect()) <= 8 * 30
