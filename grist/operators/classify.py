@@ -8,9 +8,8 @@ aggregates and applied inside the scan:
   to one of ``BUCKETS`` buckets (the first 20 bits of its md5, which any engine
   computes alike). No feature is dropped; the width of the model is fixed;
 * training: each task counts its rows by bucket, head and class in arrays of the
-  model's size, ``groupBy(bucket)`` sums them; Laplace-smoothed log-probabilities. At most about
-  ``max_train_rows`` labelled rows are used to fit, those of the smallest hashes
-  of id and text (so copies of a text are chosen one by one); a bucket that no training row fills says nothing and is skipped;
+  model's size, ``groupBy(bucket)`` sums them; Laplace-smoothed log-probabilities. All
+  labelled rows are used to fit, however many; a bucket that no training row fills says nothing and is skipped;
 * scoring: the log-probabilities are a matrix with a row for each seen bucket (at
   most 8 MB a class), broadcast once; a row is scored where it is read, by an
   Arrow UDF over its words: a batch's distinct words and word pairs are hashed
@@ -43,7 +42,6 @@ from grist.session import cut_lineage, release_memory
 TEMPERATURE = 10.0
 BUCKET_DIGITS = 5                       # hexadecimal digits of a feature's md5
 BUCKETS = 16 ** BUCKET_DIGITS
-MAX_TRAIN_ROWS = 500_000                # labelled rows that a fit uses, about, at most
 CACHED_FEATURES = 200_000
 COUNTED_ROWS = 1000                     # documents whose features a training task holds at once
 BYTES = (BUCKET_DIGITS + 1) // 2        # of the md5 that hold these digits
@@ -116,8 +114,7 @@ def _dense(table: DataFrame):
 
 
 def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
-                heads: dict[str, tuple[Column, list[str]]], alpha: float = 1.0,
-                max_train_rows: int = MAX_TRAIN_ROWS, id_col: str = "doc_id") -> dict[str, NBModel]:
+                heads: dict[str, tuple[Column, list[str]]], alpha: float = 1.0) -> dict[str, NBModel]:
     """Fit several naive Bayes heads that share features and training rows in
     one pass: ``heads`` maps a name to ``(label column, class names)``.
 
@@ -128,10 +125,7 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
     names = list(heads)
     ycols = {h: f"_y{i}" for i, h in enumerate(names)}
     classes = {h: sorted(heads[h][1]) for h in names}
-    key = [c for c in (id_col, text_col) if c in df.columns]
-    rows = df.select(*key, *[heads[h][0].alias(ycols[h]) for h in names])
-    share = min(1.0, max_train_rows / max(rows.count(), 1))
-    rows = rows.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = df.select(text_col, *[heads[h][0].alias(ycols[h]) for h in names])
     class_of = [F.coalesce(F.array_position(F.array(*[F.lit(c) for c in classes[h]]), F.col(ycols[h])), F.lit(0)).cast("int")
                 .alias(ycols[h]) for h in names]
     coded = rows.select(featurizer.words(F.col(text_col)).alias("words"), *class_of)
@@ -140,16 +134,17 @@ def train_heads(df: DataFrame, text_col: str, featurizer: Featurizer,
 
     def count(batches):
         totals, documents = np.zeros((len(ncols), BUCKETS), np.int64), np.zeros(len(ncols), np.int64)
+        flat = totals.reshape(-1)
         for batch in batches:
             for part in (batch.slice(i, COUNTED_ROWS) for i in range(0, batch.num_rows, COUNTED_ROWS)):
                 buckets, sizes = features_of(part.column(0), bigrams)
                 at = 0
                 for k, width in enumerate(widths, 1):
                     own = part.column(k).to_numpy(zero_copy_only=False)
-                    owner = np.repeat(own, sizes)
-                    for i in range(width):
-                        totals[at + i] += np.bincount(buckets[owner == i + 1], minlength=BUCKETS)
-                        documents[at + i] += np.count_nonzero(own == i + 1)
+                    owner = np.repeat(own, sizes).astype(np.int64)
+                    labelled = owner > 0
+                    np.add.at(flat, (at - 1 + owner[labelled]) * BUCKETS + buckets[labelled], 1)
+                    documents[at:at + width] += np.bincount(own, minlength=width + 1)[1:]
                     at += width
             release_memory()
         seen = np.nonzero(totals.any(axis=0))[0]

@@ -30,11 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from grist.operators.classify import BUCKETS, COUNTED_ROWS, HARM_FEATURES, MAX_TRAIN_ROWS, Featurizer, features_of
+from grist.operators.classify import BUCKETS, COUNTED_ROWS, HARM_FEATURES, Featurizer, features_of
 from grist.session import cut_lineage
 
 STEPS = 40
 RATE = 3.0
+MAX_TRAIN_ROWS = 500_000    # labelled rows that a fit uses, about, at most
 FEATURE = 1 << 15           # features are multiples of 1 / FEATURE
 WEIGHT = 1 << 20            # weights and residuals are multiples of 1 / WEIGHT
 

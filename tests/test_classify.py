@@ -1,5 +1,7 @@
 """Naive Bayes heads (C1-C5) and the funnel."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from grist.operators import classify as C
@@ -70,3 +72,14 @@ def test_null_and_empty_texts_score_by_the_priors(spark):
     probe = spark.createDataFrame([(1, None), (2, ""), (3, "zz")], "doc_id long, text string")
     got = {(r["lang_label"], round(r["lang_score"], 6)) for r in C.score_nb(C.train_language(d), probe).collect()}
     assert len(got) == 1 and next(iter(got))[0] == "y"
+
+
+def test_a_fit_counts_every_labelled_row(spark):
+    # more rows than a fit used before; the log-probabilities show each row's count
+    n = 600_000
+    d = spark.range(0, n, 1, 8).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("lang"),
+                                       F.concat(F.lit("w"), F.col("id") % 3).alias("text"))
+    m = C.train_language(d)
+    assert [round(math.exp(p) * n) for p in m.log_priors] == [n // 3, 2 * n // 3]
+    got = {tuple(round(math.exp(r[c]) * (size + 3)) - 1 for c, size in zip(m.cols, (n // 3, 2 * n // 3))) for r in m.table.collect()}
+    assert got == {(n // 3, 0), (0, n // 3)} and m.table.count() == 3
